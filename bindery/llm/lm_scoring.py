@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from bindery.llm.common import TO_SPACE, pieces_for, table, text_bytes
 
-SHARD_BYTES = 24_000_000
+SHARD_BYTES = 16_000_000
 #: Prior weights of contexts of one and two words.
 PRIOR = (200.0, 4.0)
 HELD_OUT = (7, 2)
@@ -102,10 +102,10 @@ class Shard:
             h = mix(h) >> np.uint64(8)
         at = np.flatnonzero(self.place >= order - 1)
         distinct, inverse = np.unique(h[at], return_inverse=True)
-        index = np.full(len(h), -1, np.int64)
+        index = np.full(len(h), -1, np.int32)
         index[at] = inverse
         train = ~np.repeat(self.held_out, self.n)[at]
-        return distinct, index, np.bincount(inverse[train], minlength=len(distinct)).astype(np.int64)
+        return distinct, index, np.bincount(inverse[train], minlength=len(distinct))
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -214,14 +214,16 @@ def _scorer(order: int, prior: tuple[float, ...]):
     def score(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if docs.empty:
             return pd.DataFrame({c: [] for c in names})
-        shard = Shard(docs["held_out"].to_numpy(bool), docs["text"].tolist())
+        shard = Shard(docs["held_out"].to_numpy(bool), docs.pop("text").tolist())
         n, v = int(answers["n"].sum()), int(answers["v"].sum())
         own = answers.sort_values("bucket")
         index, totals = [], []
         for k in range(1, order + 1):
             distinct, at, _ = shard.grams(k)
+            size = len(distinct)
+            del distinct
             parts = [unpacked(b) for b in own.loc[own["bucket"] % order == k - 1, "totals"]]
-            totals.append(np.concatenate(parts).astype(np.int64) if parts else np.zeros(len(distinct), np.int64))
+            totals.append(np.concatenate(parts).astype(np.int64) if parts else np.zeros(size, np.int64))
             index.append(at)
         c = totals[0][index[0]]
         base = np.add.reduceat(np.log10((c + 1.0) / (n + v + 1.0)), shard.start)
