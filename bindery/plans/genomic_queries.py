@@ -1,11 +1,717 @@
-"""Queries over the derived genomic views."""
+"""One query for each operator over the derived views, with the SQL that must agree."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from bindery.functions import sequences as seq
+from bindery.operators import intervals, kmers, models, pileup, profiles, reads, sites
+from bindery.plans.views import views, with_views
+from bindery.sources import tables
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+SITE = ["seqid", "position", "strand", "transitions", "coverage", "occupancy", "tie1", "tie2"]
+S, A, G = "v_sites", "v_annots", "v_genome"
+BACKGROUND = (0.95, 0.02, 0.8, 2.5)
+WEIGHTS, RATES, COVERAGE, MOCK_COVERAGE = (0.2, 0.5, 0.3), (0.6, 0.9, 1.5), 3.0, 2.0
+ALPHA, BETA = 0.9, 3.0
+
+
+def query(sql: str | None = None, name: str | None = None):
+    def add(f: Callable[[dict[str, DataFrame], SparkSession], DataFrame]):
+        key = name or f.__name__
+        _QUERIES[key] = lambda spark, sf_dir: f(views(spark, sf_dir), spark)
+        if sql:
+            _SQL[key] = with_views(sql)
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def r6(c: str | Column, name: str | None = None) -> Column:
+    return F.round(F.col(c) if isinstance(c, str) else c, 6).alias(name or c)
+
+
+def by_key(df: DataFrame) -> DataFrame:
+    """Sites by sequence and strand: how many, and sums that tell which."""
+    return df.groupBy("seqid", "strand").agg(F.count(F.lit(1)).alias("n"), F.sum("position").alias("positions"), F.sum(F.col("tie1") * 7 + F.col("tie2")).alias("ties"))
+
+
+BY_KEY = "select seqid, strand, count(*) as n, cast(sum(position) as bigint) as positions, cast(sum(tie1 * 7 + tie2) as bigint) as ties from ({}) q group by seqid, strand"
+SAME = "a.seqid = s.seqid and a.strand = s.strand"
+
+
+def exists(cond: str, neg: bool = False, source: str = "v_annots") -> str:
+    return BY_KEY.format(f"select * from v_sites s where {'not ' if neg else ''}exists (select 1 from {source} a where {cond})")
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views(spark, sf_dir)
+    good = sites.filter_features(v[S], v[A], ["1-URGENT", "2-HIGH"], padding=10)
+    return sites.annotate(good, v[A], SITE).orderBy(F.col("occupancy").desc(), *SITE).limit(1000)
+
+
+# --- sources -----------------------------------------------------------------------------------------------
+
+
+@query(f"select seqid, position, transitions, coverage, score, strand, occupancy, cast(tie1 as varchar) as extra from {S} where transitions > 2")
+def scan_sites(v, spark):
+    header = [*tables.SITE_COLUMNS, "extra"]
+    rows = v[S].where("transitions > 2").select(*list(tables.SITE_COLUMNS), F.col("tie1").alias("extra"))
+    return tables.parse_sites(tables.site_lines(rows), header)
+
+
+@query("select annot_id, cast(annot_id as varchar) as id, feature as name, start_pos, end_pos, strand from v_annots")
+def gff_attr_map(v, spark):
+    rows = v[A].select(F.concat_ws("\t", "seqid", F.lit("x"), "feature", "start_pos", "end_pos", F.lit("."), "strand", F.lit("."), F.concat(F.lit("ID="), "annot_id", F.lit(";Name="), F.url_encode("feature"))).alias("value"))
+    g = tables.parse_gff(rows)
+    return g.select(F.col("attributes")["ID"].cast("bigint").alias("annot_id"), F.col("attributes")["ID"].alias("id"), F.col("attributes")["Name"].alias("name"), "start_pos", "end_pos", "strand")
+
+
+@query("select seqid, position, transitions, coverage, round(1 - occupancy, 6) as score, strand, occupancy, occupancy as p_value from v_sites")
+def upgrade_table(v, spark):
+    old = v[S].select(F.col("seqid").alias("chromosome"), "position", F.col("transitions").alias("m"), F.col("coverage").alias("r"), F.col("occupancy").alias("pvalue"), "strand", F.col("occupancy").alias("occ"))
+    return sites.upgrade_legacy(old).withColumn("score", F.round("score", 6))
+
+
+@query("select seqid, position, strand, tie1, tie2, round(cast(transitions as double) / coverage, 6) as occupancy from v_sites")
+def normalize_fake(v, spark):
+    return v[S].select("seqid", "position", "strand", "tie1", "tie2", r6(F.col("transitions") / F.col("coverage"), "occupancy"))
+
+
+# --- pileup ------------------------------------------------------------------------------------------------
+
+_CNT = "(length(bases) - length(replace(bases, '{}', '')))"
+
+
+def _sum(letters: str) -> str:
+    return " + ".join(_CNT.format(x) for x in letters)
+
+
+@query(f"select chrom, pos, cast({_sum('.ACGT')} as bigint) as fwd_coverage, cast({_sum('ACGT')} as bigint) as fwd_mutations, cast({_sum(',acgt')} as bigint) as rev_coverage, cast({_sum('acgt')} as bigint) as rev_mutations from v_pileup")
+def base_counts(v, spark):
+    f, r = seq.base_counts(F.col("bases"), True), seq.base_counts(F.col("bases"), False)
+    return v["v_pileup"].select("chrom", "pos", f["coverage"].alias("fwd_coverage"), f["mutations"].alias("fwd_mutations"), r["coverage"].alias("rev_coverage"), r["mutations"].alias("rev_mutations"))
+
+
+@query("select * from v_factor")
+def pileup_to_counts(v, spark):
+    return pileup.counts(v["v_pileup"])
+
+
+@query("select f.chrom as seqid, f.pos as position, f.k as transitions, cast(length(p.bases) as bigint) as coverage, cast(f.k as double) as score, f.strand, cast(null as double) as occupancy from v_factor f join v_pileup p on f.chrom = p.chrom and f.pos = p.pos where f.k >= 2")
+def naive_sites(v, spark):
+    return pileup.naive_sites(v["v_pileup"])
+
+
+_MATRIX = (
+    "select ref, alt, cast(sum(case when ref = alt then cov - mut else case alt when 'A' then a when 'C' then c when 'G' then g else t end end) as bigint) as n from "
+    f"(select ref, {_CNT.format('A')} as a, {_CNT.format('C')} as c, {_CNT.format('G')} as g, {_CNT.format('T')} as t, {_sum('ACGT')} as mut, {_sum('.ACGT')} as cov from v_pileup) x, (values ('A'), ('C'), ('G'), ('T')) y(alt) where cov >= 5 group by ref, alt"
+)
+
+
+@query(_MATRIX)
+def transition_matrix(v, spark):
+    return pileup.transition_matrix(v["v_pileup"], 5)
+
+
+@query(f", m as ({_MATRIX}), o as (select ref, alt, case when ref = alt then 0 else n end as n from m) select ref, alt, round(n / (select sum(n) from o), 6) as joint, round(coalesce(n / nullif(sum(n) over (partition by ref), 0), 0), 6) as conditional from o")
+def transition_probs(v, spark):
+    return pileup.transition_probabilities(pileup.transition_matrix(v["v_pileup"], 5)).select("ref", "alt", r6("joint"), r6("conditional"))
+
+
+@query("select k, n, count(*) + 1 as count from v_factor where n < 1000 group by k, n")
+def kn_histogram(v, spark):
+    return pileup.histogram(v["v_factor"], pseudo=1)
+
+
+@query(", c as (select seqid, unnest(range(1, length(seq) + 1)) as pos, seq from v_genome where length(seq) > 0) select seqid, pos, substr(seq, pos, 1) as base, case substr(seq, pos, 1) when 'T' then '+' else '-' end as strand from c where substr(seq, pos, 1) in ('T', 'A')")
+def extract_sites(v, spark):
+    return pileup.site_universe(v[G])
+
+
+# --- joins -------------------------------------------------------------------------------------------------
+
+
+@query("select * from v_trtable")
+def site_merge(v, spark):
+    out = sites.merge_counts(v["v_factor"].select("chrom", "pos", "strand"), v["v_factor"], v["v_mock"])
+    return out.select("chrom", "pos", "k_factor", "n_factor", "k_mock", "n_mock", "strand")
+
+
+@query("select f.chrom as seqid, f.pos as position, f.strand, f.k as transitions, round(case when coalesce(m.n, 0) = 0 then f.k else f.k / m.n end, 6) as occupancy from v_factor f left join v_mock m on f.chrom = m.chrom and f.pos = m.pos and f.strand = m.strand where coalesce(m.k, 0) / (coalesce(m.n, 0) + 1) < 0.4")
+def normalize_occupancy(v, spark):
+    s = v["v_factor"].select(F.col("chrom").alias("seqid"), F.col("pos").alias("position"), "strand", F.col("k").alias("transitions"))
+    m = v["v_mock"].select(F.col("chrom").alias("seqid"), F.col("pos").alias("position"), "strand", F.col("n").alias("total"), F.col("k").alias("mutated"))
+    return sites.normalize(s, m, 0.4).select("seqid", "position", "strand", "transitions", r6("occupancy"))
+
+
+@query(f"select a.feature, s.strand, count(*) as pairs, cast(sum(s.position - a.start_pos) as bigint) as offsets from v_sites s join v_annots a on {SAME} and s.position between a.start_pos and a.end_pos group by a.feature, s.strand")
+def interval_join(v, spark):
+    hits = intervals.point_join(v[S], sites.renamed(v[A]), sites.SITE_KEYS)
+    return hits.groupBy("feature", "strand").agg(F.count(F.lit(1)).alias("pairs"), F.sum(F.col("position") - F.col("start_pos")).alias("offsets"))
+
+
+@query(exists("a.seqid = s.seqid and s.position between a.start_pos and a.end_pos"))
+def interval_semi(v, spark):
+    return by_key(intervals.point_join(v[S], sites.renamed(v[A]), (("seqid", "a_seqid"),), "left_semi"))
+
+
+@query(", x as (select annot_id, seqid, start_pos, end_pos, feature from v_annots) select a.feature, count(*) as pairs, cast(sum(b.annot_id) as bigint) as others from x a join x b on a.seqid = b.seqid and a.start_pos <= b.end_pos and b.start_pos <= a.end_pos and a.annot_id % 10 = 0 group by a.feature")
+def interval_range_join(v, spark):
+    a = v[A].where("annot_id % 10 = 0").select("seqid", F.col("start_pos").alias("a_start"), F.col("end_pos").alias("a_end"), "feature")
+    b = v[A].select(F.col("seqid").alias("b_seqid"), F.col("start_pos").alias("b_start"), F.col("end_pos").alias("b_end"), F.col("annot_id").alias("other"))
+    return intervals.range_join(a, b, (("seqid", "b_seqid"),)).groupBy("feature").agg(F.count(F.lit(1)).alias("pairs"), F.sum("other").alias("others"))
+
+
+@query("select seqid, strand, min(start_pos) as start_pos, max(end_pos) as end_pos, count(*) as n from v_annots group by seqid, strand")
+def interval_extent(v, spark):
+    return intervals.extent(v[A], "seqid", "strand")
+
+
+@query(exists(f"{SAME} and s.position between a.start_pos - 5 and a.end_pos + 5", neg=True))
+def anti_gff(v, spark):
+    return by_key(sites.overlapping(v[S], v[A], "left_anti", 5))
+
+
+@query(exists(f"{SAME} and s.position between a.start_pos and a.end_pos"))
+def site_overlaps(v, spark):
+    return by_key(sites.overlapping(v[S], v[A]))
+
+
+@query(exists(f"{SAME} and a.feature in ('1-URGENT', '2-HIGH') and s.position between a.start_pos - 10 and a.end_pos + 10", neg=True))
+def filter_features(v, spark):
+    return by_key(sites.filter_features(v[S], v[A], ["1-URGENT", "2-HIGH"], 10))
+
+
+@query(exists("a.strand = s.strand and a.feature = '1-URGENT' and s.position between a.start_pos - 2 and a.end_pos + 2", neg=True))
+def filter_features_any_seqid(v, spark):
+    return by_key(sites.filter_features(v[S], v[A], ["1-URGENT"], 2, ignore_seqid=True))
+
+
+@query(f", d as (select distinct seqid, position, strand from v_sites), h as (select s.seqid, s.position, s.strand, a.feature, row_number() over (partition by s.seqid, s.position, s.strand order by a.start_pos, a.end_pos, a.feature) as rn from d s join v_annots a on {SAME} and a.feature in ('1-URGENT', '2-HIGH') and s.position between a.start_pos - 10 and a.end_pos + 10) select feature, count(*) as removed from h where rn = 1 group by feature")
+def removed_by_feature(v, spark):
+    ident = ["seqid", "position", "strand"]
+    return sites.removed_by_feature(v[S].select(*ident).distinct(), v[A], ["1-URGENT", "2-HIGH"], ident, 10)
+
+
+_ANN = f", d as (select distinct {', '.join(SITE)} from v_sites), n as (select {', '.join('s.' + c for c in SITE)}, coalesce(string_agg(distinct a.feature, '|' order by a.feature), 'NA') as annotation from d s left join v_annots a on {SAME} and s.position between a.start_pos and a.end_pos group by all)"
+
+
+@query(f"{_ANN} select * from n")
+def annotate_sites(v, spark):
+    return sites.annotate(v[S], v[A], SITE)
+
+
+@query(f"{_ANN} select case when annotation = 'NA' then 'unannotated' when contains(annotation, '|') then 'ambiguous' else annotation end as kind, count(*) as sites from n group by 1")
+def annotate_summary(v, spark):
+    return sites.annotation_summary(sites.annotate(v[S], v[A], SITE))
+
+
+@query(exists(f"{SAME} and s.position between a.start_pos - case a.strand when '+' then 20 else 5 end and a.end_pos + case a.strand when '+' then 5 else 20 end"))
+def sites_inside(v, spark):
+    return by_key(sites.inside(v[S], v[A], 20, 5))
+
+
+@query(exists(f"{SAME} and s.position between case a.strand when '+' then a.start_pos - 30 else a.end_pos - 10 end and case a.strand when '+' then a.start_pos + 10 else a.end_pos + 30 end"))
+def sites_around(v, spark):
+    return by_key(sites.around(v[S], v[A], "start", 30, 10))
+
+
+@query(exists("a.seqid = s.seqid and a.annot_id % 40 = 0 and ((a.strand = s.strand and s.position between a.start_pos and a.end_pos) or (a.strand <> s.strand and ((s.strand = '+' and (s.position > a.start_pos - 200 and s.position < a.start_pos or s.position > a.end_pos - 200 and s.position < a.end_pos)) or (s.strand = '-' and (s.position > a.start_pos and s.position < a.start_pos + 200 or s.position > a.end_pos and s.position < a.end_pos + 200)))))"))
+def sites_antisense(v, spark):
+    return by_key(sites.antisense(v[S], v[A].where("annot_id % 40 = 0")))
+
+
+_FN = "(select chrom as seqid, pos as position, strand, k from v_factor where k > 1)"
+
+
+@query(exists(f"{SAME} and s.position between a.position - 3 and a.position + 3", source=_FN))
+def near_match(v, spark):
+    b = v["v_factor"].where("k > 1").select(F.col("chrom").alias("seqid"), F.col("pos").alias("position"), "strand")
+    return by_key(sites.near_match(v[S], b, 3))
+
+
+def _banded(v, mod: int) -> DataFrame:
+    d = v[S].where(f"tie1 % 2 = {mod}").groupBy("seqid", "position", "strand").agg(F.max("occupancy").alias("occupancy"))
+    ident = F.concat_ws(":", "seqid", "position", "strand")
+    return sites.bands(d, "occupancy", 4).withColumn("site_id", ident)
+
+
+_BAND = "select seqid, position, strand, max(occupancy) as occupancy from v_sites where tie1 % 2 = {m} group by seqid, position, strand"
+
+
+def _bands_sql(m: int) -> str:
+    q = lambda k: f"(select occupancy from b{m} order by occupancy offset (select cast(least(floor(count(*) * {k / 4}), count(*) - 1) as bigint) from b{m}) limit 1)"
+    return f", b{m} as ({_BAND.format(m=m)}), c{m} as (select *, case when occupancy <= {q(1)} then 1 when occupancy <= {q(2)} then 2 when occupancy <= {q(3)} then 3 else 4 end as band from b{m})"
+
+
+@query(
+    _bands_sql(0) + _bands_sql(1) + ", h as (select distinct a.seqid, a.position, a.strand, a.band as q_a, b.band as q_b from c0 a join c1 b on a.seqid = b.seqid and a.strand = b.strand and b.position between a.position - 2 and a.position + 2),"
+    " na as (select band as q_a, count(*) as na from c0 group by band), nb as (select band as q_b, count(*) as nb from c1 group by band), m as (select q_a, q_b, count(*) as m from h group by q_a, q_b)"
+    " select na.q_a, nb.q_b, round(coalesce(m, 0) / (na + nb - coalesce(m, 0)), 4) as jaccard from na cross join nb left join m on m.q_a = na.q_a and m.q_b = nb.q_b"
+)
+def jaccard_quantiles(v, spark):
+    return sites.jaccard(_banded(v, 0), _banded(v, 1), 2)
+
+
+@query(
+    ", t as (select row_number() over (order by occupancy desc, seqid, position, strand, tie1, tie2) as site_id, * from v_sites order by 1 limit 500), o as (select chrom as seqid, pos as position, strand, max(k / n) as occupancy from v_factor where n > 0 group by 1, 2, 3),"
+    " b as (select t.site_id, max(o.occupancy) as best from t join o on t.seqid = o.seqid and t.strand = o.strand and o.position between t.position - 10 and t.position + 10 group by 1) select round((1 + coalesce(sum(best), 0)) / (count(*) + 1), 6) as colocalization, count(*) as matched from b"
+)
+def colocalization(v, spark):
+    order = [F.col("occupancy").desc(), "seqid", "position", "strand", "tie1", "tie2"]
+    top = sites.sliced(v[S], order, 0, 500).withColumn("site_id", F.monotonically_increasing_id())
+    other = v["v_factor"].where("n > 0").select(F.col("chrom").alias("seqid"), F.col("pos").alias("position"), "strand", (F.col("k") / F.col("n")).alias("occupancy"))
+    return sites.colocalization(top, other, 10).select(r6("colocalization"), "matched")
+
+
+# --- order and quantiles -----------------------------------------------------------------------------------
+
+_ORDER = "seqid, position, strand, tie1, tie2, transitions, coverage"
+
+
+@query(f"select seqid, position, strand, tie1, tie2 from v_sites order by {_ORDER} limit 200")
+def sort_sites(v, spark):
+    return sites.ordered(v[S], F.col("seqid"), [F.col(c) for c in _ORDER.split(", ")[1:]]).select("seqid", "position", "strand", "tie1", "tie2").limit(200)
+
+
+@query(f"select seqid, position, occupancy, tie1, tie2 from v_sites order by occupancy desc, {_ORDER} limit 50 offset 25")
+def topk_slice(v, spark):
+    return sites.sliced(v[S], [F.col("occupancy").desc(), *[F.col(c) for c in _ORDER.split(", ")]], 25, 75).select("seqid", "position", "occupancy", "tie1", "tie2")
+
+
+_Q95 = "(select occupancy from v_sites order by occupancy offset (select cast(least(floor(count(*) * 0.95), count(*) - 1) as bigint) from v_sites) limit 1)"
+
+
+@query(f"select {_Q95} as quantile")
+def quantile_exact(v, spark):
+    return sites.quantile(v[S], "occupancy", 0.95)
+
+
+@query(f"select seqid, position, tie1, tie2, least(occupancy, {_Q95}) as occupancy from v_sites")
+def quantile_cap(v, spark):
+    return sites.cap_at_quantile(v[S], "occupancy", 0.95).select("seqid", "position", "tie1", "tie2", "occupancy")
+
+
+@query("select annot_id, start_pos, end_pos from v_annots where end_pos - start_pos between 20 and 60")
+def gff_size_filter(v, spark):
+    return v[A].where((F.col("end_pos") - F.col("start_pos")).between(20, 60)).select("annot_id", "start_pos", "end_pos")
+
+
+@query(", d as (select *, case strand when '+' then lead(start_pos) over w - end_pos else start_pos - lag(end_pos) over w end as distance from v_annots window w as (partition by seqid, strand order by start_pos, end_pos, annot_id)) select annot_id, distance from d where distance is null or distance = 0 or distance >= 8")
+def gff_min_dist(v, spark):
+    return sites.next_distance(v[A], 8).select("annot_id", "distance")
+
+
+# --- sequences ---------------------------------------------------------------------------------------------
+
+
+@query("select seqid, reverse(translate(seq, 'ACGT', 'TGCA')) as rc from v_genome")
+def revcomp(v, spark):
+    return v[G].select("seqid", seq.revcomp(F.col("seq")).alias("rc"))
+
+
+@query("select a || b || c as kmer from (values ('A'), ('C'), ('G'), ('T')) x(a), (values ('A'), ('C'), ('G'), ('T')) y(b), (values ('A'), ('C'), ('G'), ('T')) z(c)")
+def kmer_universe(v, spark):
+    return kmers.universe(spark, 3)
+
+
+@query("select seqid, coalesce(string_agg(cast(i as varchar), ',' order by i) filter (substr(seq, i + 1, 3) = 'TTA'), '') as starts from (select seqid, seq, unnest(range(0, greatest(length(seq) - 2, 1))) as i from v_genome) q group by seqid")
+def kmer_positions(v, spark):
+    return v[G].select("seqid", F.concat_ws(",", F.transform(seq.occurrences(F.col("seq"), "TTA"), lambda i: i.cast("string"))).alias("starts"))
+
+
+_K3 = "select substr(seq, i, 3) as kmer, i - 1 as pos, seqid from (select seqid, seq, unnest(range(1, length(seq) - 1)) as i from v_genome where length(seq) >= 3) q"
+
+
+@query(f"select kmer, count(*) + 1 as n from ({_K3}) k group by kmer")
+def kmer_counts(v, spark):
+    return kmers.count(v[G], 3, 1)
+
+
+@query(f", c as (select kmer, count(*) + 1 as n from ({_K3}) k group by kmer) select kmer, round(n / (select sum(n) from c), 8) as freq from c")
+def kmer_freq(v, spark):
+    return kmers.frequencies(kmers.count(v[G], 3, 1)).withColumn("freq", F.round("freq", 8))
+
+
+@query(f"select kmer, cast(pos as int) as pos, count(*) as n from ({_K3}) k where pos < 30 group by kmer, pos")
+def kmer_per_position(v, spark):
+    return kmers.by_position(v[G].select(F.substring("seq", 1, 32).alias("seq")), 3)
+
+
+@query(f", c as (select kmer, pos, count(*) as n from ({_K3}) k where pos < 30 group by kmer, pos) select kmer, max(n) as peak from c group by kmer order by peak desc, kmer limit 10")
+def kmer_top10(v, spark):
+    return kmers.top(kmers.by_position(v[G].select(F.substring("seq", 1, 32).alias("seq")), 3))
+
+
+def _odds(binned: str) -> str:
+    return (
+        f", f as (select kmer, count(*) + 1 as n from ({_K3}) k group by kmer), bg as (select kmer, n / (select sum(n) from f) as freq from f), b as ({binned}),"
+        " w as (select b.bin, substr(seq, i, 3) as kmer from (select bin, seq, unnest(range(1, length(seq) - 1)) as i from b where length(seq) >= 3) b),"
+        " c as (select x.bin, bg.kmer, freq, (select count(*) from w where w.bin = x.bin and w.kmer = bg.kmer) + 1 as n from (select distinct bin from b) x, bg) select bin, kmer, round(log2(n / sum(n) over (partition by bin) / freq), 6) as log_odds from c"
+    )
+
+
+@query(_odds("select cast(floor((row_number() over (order by length(seq) desc, seqid) - 1) / 200) as bigint) as bin, substr(seq, 1, 100) as seq from v_genome where cast(seqid as bigint) < 1000"))
+def kmer_logodds(v, spark):
+    from pyspark.sql import Window
+
+    # The bins are ranks of a top slice, so one window task orders it.
+    bg = kmers.frequencies(kmers.count(v[G], 3, 1))
+    ranked = v[G].where("cast(seqid as bigint) < 1000").withColumn("rn", F.row_number().over(Window.orderBy(F.length("seq").desc(), "seqid")))
+    return kmers.log_odds(ranked.select(F.floor((F.col("rn") - 1) / 200).alias("bin"), F.substring("seq", 1, 100).alias("seq")), bg, 3).withColumn("log_odds", F.round("log_odds", 6))
+
+
+@query(_odds("select q.bin, substr(seq, 1, 60) as seq from (select row_number() over (order by length(seq), seqid) - 1 as rn, seq from v_genome where cast(seqid as bigint) < 1000) g join (values (0, 0), (1, 250), (2, 300), (3, 600)) q(bin, mid) on g.rn between q.mid - 100 and q.mid + 100"))
+def kmer_logodds_q(v, spark):
+    from pyspark.sql import Window
+
+    bg = kmers.frequencies(kmers.count(v[G], 3, 1))
+    ranked = v[G].where("cast(seqid as bigint) < 1000").withColumn("rn", F.row_number().over(Window.orderBy(F.length("seq"), "seqid")) - 1)
+    centres = spark.createDataFrame([(0, 0), (1, 250), (2, 300), (3, 600)], "bin int, mid int")
+    binned = ranked.join(F.broadcast(centres), F.col("rn").between(F.col("mid") - 100, F.col("mid") + 100))
+    return kmers.log_odds(binned.select("bin", F.substring("seq", 1, 60).alias("seq")), bg, 3).withColumn("log_odds", F.round("log_odds", 6))
+
+
+@query(", c as (select i - 1 as pos, substr(seq, i, 1) as base from (select seq, unnest(range(1, 21)) as i from v_genome where length(seq) >= 20) q), n as (select pos, base, count(*) as n from c group by 1, 2), p as (select pos, n / sum(n) over (partition by pos) as p from n) select cast(pos as int) as pos, round(2 + sum(p * log2(p)), 6) as ic from p group by pos")
+def pwm_ic(v, spark):
+    return kmers.information(v[G], 20).select("pos", r6("ic"))
+
+
+@query(", w as (select p.seqid, p.position, p.strand, g.seq from (select cast(read_id % 100 as varchar) as seqid, cast(read_id % 61 + 1 as bigint) as position, case when fwd then '+' else '-' end as strand from v_align) p join v_genome g on p.seqid = g.seqid where position - 5 >= 1 and position + 5 <= length(g.seq)) select seqid, position, strand, case strand when '-' then reverse(translate(substr(seq, position - 5, 11), 'ACGT', 'TGCA')) else substr(seq, position - 5, 11) end as seq, count(*) as n from w group by 1, 2, 3, 4")
+def seq_extract(v, spark):
+    points = v["v_align"].select((F.col("read_id") % 100).cast("string").alias("seqid"), (F.col("read_id") % 61 + 1).cast("bigint").alias("position"), F.when(F.col("fwd"), "+").otherwise("-").alias("strand"))
+    return kmers.windows(points, v[G], 5).groupBy("seqid", "position", "strand", "seq").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- reads -------------------------------------------------------------------------------------------------
+
+
+@query("select min(read_id) as read_id, seq from v_reads group by seq")
+def dedup_reads(v, spark):
+    return reads.deduplicate(v["v_reads"])
+
+
+@query("select multiplicity, count(*) as sequences from (select count(*) as multiplicity from v_reads group by seq) q group by multiplicity")
+def dup_histogram(v, spark):
+    return reads.duplicate_histogram(v["v_reads"])
+
+
+@query("select read_id, substr(seq, b + 1, greatest(e - b, 0)) as clipped from (select read_id, seq, case when contains(seq, 'GATC') then length(seq) - strpos(reverse(seq), 'CTAG') + 1 else 0 end as b, case when contains(seq, 'TGGAATTC') then strpos(seq, 'TGGAATTC') - 1 else length(seq) end as e from v_reads) q")
+def adapter_clip(v, spark):
+    clipped, _ = seq.clip_adapters(F.col("seq"), F.col("seq"), "GATC", "TGGAATTC")
+    return v["v_reads"].select("read_id", clipped.alias("clipped"))
+
+
+@query("select read_id, case when starts_with(seq, 'TTGATC') then substr(seq, 7) when starts_with(seq, 'TGATC') then substr(seq, 6) when starts_with(seq, 'GATC') then substr(seq, 5) when starts_with(seq, 'ATC') then substr(seq, 4) else seq end as seq from v_reads")
+def adapter_5p_seeded(v, spark):
+    return v["v_reads"].select("read_id", seq.remove_five(F.col("seq"), "TTGATC", 3).alias("seq"))
+
+
+@query("select length, n, round(sum(n) over (order by length) / sum(n) over (), 6) as ecdf from (select cast(length(seq) as bigint) as length, count(*) as n from v_reads group by 1) q")
+def length_ecdf(v, spark):
+    return reads.length_ecdf(v["v_reads"]).select("length", "n", r6("ecdf"))
+
+
+_QL = "[15 + (o_orderkey + i * 7) % 26 for i in range(0, len)]"
+
+
+@query(f"select case when not mapped then 'unmapped' when contains(seq, 'N') then 'contains_n' when list_min({_QL}) < 16 then 'low_quality' when list_avg({_QL}) < 27.5 then 'low_mean_quality' when len - s - e < 30 then 'short' else 'kept' end as reason, count(*) as reads from v_align group by 1")
+def read_qc(v, spark):
+    return reads.read_qc(v["v_align"], 16, 27.5, 30)
+
+
+@query("select read_id, case when nm = 1 then 'T' || p else '' end as mismatches from v_align")
+def md_parse(v, spark):
+    mm = F.transform(seq.md_mismatches(F.col("md")), lambda m: F.concat(m["ref"], m["pos"].cast("string")))
+    return v["v_align"].select("read_id", F.concat_ws(",", mm).alias("mismatches"))
+
+
+_MM = ", mm as (select read_id, cast(len - s - e as bigint) as length, case when fwd then p else len - s - e - 1 - p end as mm_pos, case when fwd then 'T' || substr(seq, s + p + 1, 1) else 'A' || translate(substr(seq, s + p + 1, 1), 'ACGT', 'TGCA') end as transition, cast(15 + (o_orderkey + (s + p) * 7) % 26 as int) as quality, fwd from v_align where nm = 1)"
+_PAIRS = [a + b for a in "ACGT" for b in "ACGT" if a != b]
+
+
+@query(f"{_MM} select length, cast(mm_pos as bigint) as mm_pos, {', '.join(f'''count(*) filter (transition = '{p}') as {p.lower()}''' for p in _PAIRS)} from mm where length in (select length from mm group by length having count(*) >= 2 * length) group by 1, 2")
+def mismatch_profile(v, spark):
+    out = reads.mismatch_profile(reads.mismatches(v["v_align"]), 2)
+    return out.select("length", F.col("mm_pos").cast("bigint").alias("mm_pos"), *[F.col(p).alias(p.lower()) for p in _PAIRS])
+
+
+@query(f"{_MM} select quality, round(avg(case when transition = 'TC' then 1.0 else 0.0 end), 6) as share, count(*) as n from mm group by quality")
+def transition_by_quality(v, spark):
+    return reads.transition_share(reads.mismatches(v["v_align"]), "quality").select("quality", r6("share"), "n")
+
+
+@query("select read_id from v_align where nm = 0 or (15 + (o_orderkey + (s + p) * 7) % 26 >= 20 and case when p >= 3 and p < len - s - e - 3 then 1 else 0 end <= 0)")
+def mismatch_filter(v, spark):
+    return reads.mismatch_filter(v["v_align"], 20, 0, 3).select("read_id")
+
+
+@query("select read_id from v_align where nm = 1 and p >= 4 and p < len - 4")
+def edge_mutations(v, spark):
+    return reads.edge_mutations(v["v_align"], 4).select("read_id")
+
+
+@query(", c as (select *, case when nm = 1 and p < 5 then p + 1 else 0 end as cl, len - s - e as size from v_align), d as (select *, case when nm = 1 and p >= size - 5 then size - p else 0 end as cr from c) select read_id, start + cl as start, concat(case when s + cl > 0 then concat(cast(s + cl as varchar), 'S') else '' end, cast(size - cl - cr as varchar), 'M', case when e + cr > 0 then concat(cast(e + cr as varchar), 'S') else '' end) as cigar, case when nm = 1 and cl = 0 and cr = 0 then md else cast(size - cl - cr as varchar) end as md from d")
+def softclip_edges(v, spark):
+    return reads.clip_edges(v["v_align"], 5).select("read_id", "start", "cigar", "md")
+
+
+@query(", c as (select case when fwd then substr(seq, 1, s) else reverse(translate(substr(seq, len - e + 1), 'ACGT', 'TGCA')) end as seq from v_align), n as (select cast(length(seq) as bigint) as clip_len, seq, count(*) as count from c where seq <> '' group by 1, 2), r as (select *, row_number() over (partition by clip_len order by count desc, seq) as rank from n) select clip_len, seq, count, cast(rank as int) as rank from r where rank <= 3")
+def softclip_top_n(v, spark):
+    return reads.softclips(v["v_align"], 3)
+
+
+@query("select read_id, cast(case when (flag // 128) % 2 = 1 then flag + case when (flag // 16) % 2 = 1 then -16 else 16 end else flag + case when (flag // 32) % 2 = 1 then -32 else 32 end end as int) as flag from v_align where (flag // 2) % 2 = 1")
+def flip_mates(v, spark):
+    return reads.flip_mates(v["v_align"]).select("read_id", "flag")
+
+
+@query("select count(*) as total_reads, cast(sum(len - s - e) as bigint) as total_coverage from v_align where mapped")
+def bam_statistics(v, spark):
+    return reads.statistics(v["v_align"])
+
+
+# --- profiles ----------------------------------------------------------------------------------------------
+
+
+@query(f"select case s.strand when '+' then s.position - a.start_pos else a.end_pos - s.position end as \"offset\", round(sum(s.occupancy), 6) as total from v_sites s join v_annots a on {SAME} and s.position between a.start_pos and a.end_pos group by 1")
+def occ_profile(v, spark):
+    return profiles.profile(v[S], v[A]).select("offset", r6("total"))
+
+
+def _meta(window: int = 0, flat: int = 0, sense: bool = True) -> str:
+    same = "=" if sense else "<>"
+    parts = []
+    for k, (fwd, low_f, high_f, low_r, high_r, size, shift) in enumerate((("start_pos", 30, 20, 20, 30, 51, 0), ("end_pos", 20, 40, 40, 20, 61, 51))):
+        at = f"case a.strand when '+' then a.{fwd} else a.{'end_pos' if fwd == 'start_pos' else 'start_pos'} end"
+        w = f"select annot_id, seqid, strand, {at} - case strand when '+' then {low_f} else {low_r} end as lo, {at} + case strand when '+' then {high_f} else {high_r} end as hi from v_annots a"
+        parts.append(
+            f", w{k} as ({w}), h{k} as (select case w.strand when '+' then s.position - lo else hi - s.position end as o, sum(occupancy) as t from v_sites s join w{k} w on s.seqid = w.seqid and s.strand {same} w.strand and s.position between lo and hi group by 1),"
+            f" m{k} as (select g.o, coalesce(t, 0) / (select count(*) from v_annots) as mean from (select unnest(range(0, {size})) as o) g left join h{k} on g.o = h{k}.o)"
+        )
+        if window:
+            parts.append(f", z{k} as (select o, avg(mean) over (order by o rows between {window // 2} preceding and {(window - 1) // 2} following) as mean from m{k})")
+        elif flat:
+            parts.append(f", f{k} as (select o, avg(mean) over (order by o rows between {flat} preceding and {flat} following) as mean from m{k}), z{k} as (select m.o, f.mean from m{k} m join f{k} f on f.o = least(greatest(m.o, {flat}), {size - 1 - flat}))")
+        else:
+            parts.append(f", z{k} as (select * from m{k})")
+    return "".join(parts) + " select o as \"offset\", round(mean, 8) as mean from z0 union all select o + 51, round(mean, 8) from z1"
+
+
+def _mean(df: DataFrame) -> DataFrame:
+    return df.select("offset", F.round("mean", 8).alias("mean"))
+
+
+@query(_meta())
+def metagene(v, spark):
+    return _mean(profiles.metagene(v[S], v[A], 30, 40, 20))
+
+
+@query(_meta(sense=False))
+def metagene_antisense(v, spark):
+    return _mean(profiles.metagene(v[S], v[A], 30, 40, 20, sense=False))
+
+
+@query(_meta(window=5))
+def metagene_smooth(v, spark):
+    return _mean(profiles.metagene(v[S], v[A], 30, 40, 20, window=5))
+
+
+@query(_meta(flat=4).split(" union all")[0])
+def metagene_rmean2(v, spark):
+    raw = profiles.metagene(v[S], v[A], 30, 40, 20).where("offset < 51")
+    return _mean(profiles.smooth_flat(raw, 4, 51))
+
+
+_BOOT = (
+    ", o as (select annot_id, row_number() over (order by annot_id) - 1 as ordinal, seqid, strand, start_pos, end_pos from v_annots where annot_id % 20 = 0), n as (select count(*) as n from o),"
+    " p as (select d as draw, ((d * 7919 + i * 104729 + 42) * 48271 % 2147483647) % (select n from n) as ordinal from (select unnest(range(0, 20)) as d), (select unnest(range(0, (select n from n))) as i)),"
+    " w as (select *, case strand when '+' then start_pos - 10 else end_pos - 10 end as lo, case strand when '+' then start_pos + 10 else end_pos + 10 end as hi from o),"
+    " h as (select w.ordinal, case w.strand when '+' then s.position - lo else hi - s.position end as o, sum(occupancy) as t from v_sites s join w on s.seqid = w.seqid and s.strand = w.strand and s.position between lo and hi group by 1, 2),"
+    " b as (select draw, o, sum(t) / (select n from n) as mean from p join h using (ordinal) group by 1, 2),"
+    " g as (select d as draw, x as \"offset\", coalesce(b.mean, 0) as mean from (select unnest(range(0, 20)) as d) cross join (select unnest(range(0, 21)) as x) left join b on b.draw = d and b.o = x)"
+)
+
+
+def _draws(v) -> DataFrame:
+    from pyspark.sql import Window
+
+    a = v[A].where("annot_id % 20 = 0").withColumn("ordinal", F.row_number().over(Window.orderBy("annot_id")) - 1)
+    return profiles.bootstrap(v[S], a, 10, 10, 20)
+
+
+@query(f"{_BOOT} select draw, \"offset\", round(mean, 8) as mean from g")
+def metagene_bootstrap(v, spark):
+    return _draws(v).select("draw", "offset", F.round("mean", 8).alias("mean"))
+
+
+@query(f"{_BOOT} select \"offset\", round(quantile_cont(mean, 0.025), 8) as lower, round(quantile_cont(mean, 0.975), 8) as upper from g group by 1")
+def metagene_ci(v, spark):
+    return profiles.interval_of(_draws(v)).select("offset", F.round("lower", 8).alias("lower"), F.round("upper", 8).alias("upper"))
+
+
+def _heat(scaled: bool) -> str:
+    whole = "size" if scaled else "(select max(size) from o)"
+    keep = "" if scaled else f" where g.x <= floor((r.size - 1) * 20 / {whole.replace('(select max(size) from o)', '(select max(size) from o)')})"
+    return (
+        ", o as (select *, end_pos - start_pos + 1 as size, row_number() over (order by end_pos - start_pos, annot_id) - 1 as ordinal from v_annots), st as (select greatest(1, round_even(count(*) / 10, 0)) as step from o),"
+        " w as (select *, cast(floor(ordinal / (select step from st)) as bigint) as y from o),"
+        f" h as (select y, least(cast(floor((case w.strand when '+' then s.position - start_pos else end_pos - s.position end) * 20 / {whole}) as bigint), 19) as x, sum(occupancy) as t from v_sites s join w on s.seqid = w.seqid and s.strand = w.strand and s.position between start_pos and end_pos group by 1, 2),"
+        f" r as (select y, count(*) as rows_, max(size) as size from w group by y) select r.y, g.x, round(coalesce(t, 0) / rows_, 8) as mean from r cross join (select unnest(range(0, 20)) as x) g left join h on h.y = r.y and h.x = g.x{keep}"
+    )
+
+
+def _sized(v) -> DataFrame:
+    from pyspark.sql import Window
+
+    return v[A].withColumn("ordinal", F.row_number().over(Window.orderBy(F.col("end_pos") - F.col("start_pos"), "annot_id")) - 1)
+
+
+@query(_heat(False))
+def heatmap_bins(v, spark):
+    return profiles.heatmap(v[S], _sized(v), 20, 10).select("y", "x", F.round("mean", 8).alias("mean"))
+
+
+@query(_heat(True))
+def heatmap_small(v, spark):
+    return profiles.heatmap(v[S], _sized(v), 20, 10, scaled=True).select("y", "x", F.round("mean", 8).alias("mean"))
+
+
+@query(_heat(True).replace("select r.y, g.x, round(coalesce(t, 0) / rows_, 8) as mean from r cross", ", c as (select r.y, g.x, coalesce(t, 0) / rows_ as mean from r cross").replace(" r as (select y, count(*)", " r as (select y, count(*)") .rstrip() + ") select y, x, round(least(mean, (select quantile_cont(mean, 0.98) from c)), 8) as mean from c")
+def heatmap_scaled(v, spark):
+    h = profiles.heatmap(v[S], _sized(v), 20, 10, scaled=True)
+    top = h.agg(F.expr("percentile(mean, 0.98D)").alias("top"))
+    return h.crossJoin(F.broadcast(top)).select("y", "x", F.round(F.least("mean", "top"), 8).alias("mean"))
+
+
+@query(f", w as (select seqid, strand, case strand when '+' then end_pos - 25 else start_pos - 25 end as lo, case strand when '+' then end_pos + 25 else start_pos + 25 end as hi from v_annots), h as (select case w.strand when '+' then s.position - lo else hi - s.position end as o, occupancy from v_sites s join w on s.seqid = w.seqid and s.strand = w.strand and s.position between lo and hi), u as (select coalesce(sum(occupancy) filter (o < 25), 0) + 1 as up, coalesce(sum(occupancy) filter (o > 25), 0) + 1 as down from h) select round(log2(down / greatest(1.0, up - down)), 6) as processing_index from u")
+def processing_index(v, spark):
+    return profiles.processing_index(v[S], v[A], 25).select(r6("processing_index"))
+
+
+# --- models ------------------------------------------------------------------------------------------------
+
+
+def _bb(k: str, n: str, a: float, b: float) -> str:
+    return f"exp(lgamma({n} + 1) - lgamma({k} + 1) - lgamma({n} - {k} + 1) + lgamma({a} + {k}) + lgamma({b} + {n} - {k}) - lgamma({a} + {b} + {n}) + lgamma({a} + {b}) - lgamma({a}) - lgamma({b}))"
+
+
+@query(f"select distinct k, n, round({_bb('k', 'n', ALPHA, BETA)}, 9) as p from v_factor")
+def bb_pmf(v, spark):
+    return v["v_factor"].select("k", "n").distinct().select("k", "n", F.round(seq.beta_binomial(F.col("k"), F.col("n"), F.lit(ALPHA), F.lit(BETA)), 9).alias("p"))
+
+
+_r, _rho, _a, _b = BACKGROUND
+_PMF = f"({_r} * exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)) * pow({_rho}, i) * pow({1 - _rho}, n - i) + {1 - _r} * {_bb('i', 'n', _a, _b)})"
+
+
+@query(f", d as (select distinct k, n from v_factor where n > 5 and k > 0), t as (select k, n, unnest(range(k, n + 1)) as i from d), p as (select k, n, sum({_PMF}) as p from t group by k, n) select f.chrom as seqid, f.pos as position, f.strand, f.k, f.n, round(p.p, 8) as p_value from v_factor f join p on f.k = p.k and f.n = p.n where p.p <= 0.2")
+def bs_pvalues(v, spark):
+    called = models.call_sites(v["v_factor"], BACKGROUND, 5, 0.2)
+    return called.select("seqid", "position", "strand", F.col("transitions").alias("k"), F.col("coverage").alias("n"), F.round("p_value", 8).alias("p_value"))
+
+
+@query()
+def em_histogram(v, spark):
+    h = {r["k"]: r["count"] for r in v["v_mock"].groupBy("k").count().collect()}
+    w, g = models.fit_geometric_mixture(h, 3, 50)
+    return spark.createDataFrame([(i, round(float(a), 6), round(float(b), 6)) for i, (a, b) in enumerate(zip(w, g, strict=True))], "component int, weight double, rate double")
+
+
+def _mix(scale: float, one: float, power: str) -> str:
+    return "(" + " + ".join(f"{w} * {g / scale} / pow({one + g / scale}, {power})" for w, g in zip(WEIGHTS, RATES, strict=True)) + ")"
+
+
+_BAR = (COVERAGE + MOCK_COVERAGE) / 2
+_KK = (
+    f", kd as (select distinct k_factor as k, k_mock from v_trtable), ki as (select k, k_mock, unnest(range(0, k)) as i from kd where k > 0),"
+    f" kp as (select k, k_mock, sum(exp(-ln({_mix(MOCK_COVERAGE, 1.0, 'k_mock + 1')}) + lgamma(i + k_mock + 1) - lgamma(i + 1) - lgamma(k_mock + 1) + k_mock * ln({MOCK_COVERAGE / _BAR}) + i * ln({COVERAGE / _BAR}) + ln({_mix(_BAR, 2.0, 'i + k_mock + 1')}))) as below from ki group by 1, 2),"
+    " kk as (select kd.k, kd.k_mock, greatest(1 - coalesce(below, 0), 0) as pval_kk from kd left join kp on kd.k = kp.k and kd.k_mock = kp.k_mock)"
+)
+
+
+def _kk(v) -> DataFrame:
+    return models.kk_table(v["v_trtable"].select(F.col("k_factor").alias("k"), "k_mock"), WEIGHTS, RATES, COVERAGE, MOCK_COVERAGE)
+
+
+@query(f"{_KK} select k, k_mock, round(pval_kk, 8) as pval_kk from kk")
+def pval_kk(v, spark):
+    return _kk(v).select("k", "k_mock", F.round("pval_kk", 8).alias("pval_kk"))
+
+
+def _nk(v) -> DataFrame:
+    return models.nk_table(v["v_trtable"].select(F.col("k_factor").alias("k"), F.col("n_factor").alias("n")), WEIGHTS, RATES, COVERAGE, ALPHA, BETA)
+
+
+_NK = (
+    f", nd as (select distinct k_factor as k, n_factor as n from v_trtable), ng as (select k, unnest(range(k, 50000)) as n from (select distinct k from nd) q),"
+    f" nj as (select k, n, {_bb('k', 'n', ALPHA, BETA)} * ({' + '.join(f'{w} * {g / COVERAGE} / pow({1 + g / COVERAGE}, n)' for w, g in zip(WEIGHTS, RATES, strict=True))}) as j from ng),"
+    " nc as (select k, n, sum(j) over (partition by k order by n) / sum(j) over (partition by k) as c from nj), nk as (select nd.n, nd.k, least(c, 1) as pval_nk from nd join nc on nd.k = nc.k and nd.n = nc.n)"
+)
+
+
+@query(f"{_NK} select n, k, round(pval_nk, 8) as pval_nk from nk")
+def pval_nk(v, spark):
+    return _nk(v).select("n", "k", F.round("pval_nk", 8).alias("pval_nk"))
+
+
+def _pvalues(v) -> DataFrame:
+    t = v["v_trtable"].select(F.col("k_factor").alias("k"), "k_mock")
+    return t.join(F.broadcast(_kk(v)), ["k", "k_mock"]).where("k_mock <= 3").select(F.col("k_mock").cast("bigint").alias("k_mock"), F.round("pval_kk", 8).alias("p"))
+
+
+_PV = f"{_KK}, pv as (select t.k_mock, round(pval_kk, 8) as p from v_trtable t join kk on t.k_factor = kk.k and t.k_mock = kk.k_mock where t.k_mock <= 3), ec as (select k_mock, p as x, sum(c) over (partition by k_mock order by p) / sum(c) over (partition by k_mock) as y from (select k_mock, p, count(*) as c from pv group by 1, 2) q)"
+
+
+@query(f"{_PV} select k_mock, x, round(y, 8) as y from ec")
+def pval_ecdf(v, spark):
+    return models.ecdf(_pvalues(v), "k_mock").select("k_mock", "x", F.round("y", 8).alias("y"))
+
+
+# The least concave majorant in SQL: a point is a knot if no chord between two others lies on or above it.
+@query(
+    f"{_PV}, pt as (select k_mock, x, y from ec union select k_mock, 0.0, 0.0 from ec group by k_mock having min(x) > 0 union select k_mock, 1.0, 1.0 from ec group by k_mock having max(x) < 1),"
+    " kn as (select p.k_mock, p.x, p.y from pt p where not exists (select 1 from pt a join pt b on a.k_mock = b.k_mock where a.k_mock = p.k_mock and a.x < p.x and b.x > p.x and a.y + (b.y - a.y) * (p.x - a.x) / (b.x - a.x) >= p.y - 1e-12)),"
+    " sl as (select k_mock, x, (lead(y) over w - y) / (lead(x) over w - x) as f from kn window w as (partition by k_mock order by x)) select k_mock, round(x, 6) as x, round(coalesce(f, lag(f) over (partition by k_mock order by x)), 5) as f from sl"
+)
+def grenander(v, spark):
+    return models.grenander(_pvalues(v), "k_mock").select("k_mock", r6("x"), F.round("f", 5).alias("f"))
+
+
+def _posterior(v) -> DataFrame:
+    return models.posterior(v["v_trtable"], _kk(v), _nk(v), 3)
+
+
+@query()
+def posterior(v, spark):
+    p = _posterior(v)
+    return p.select("chrom", "pos", "strand", "k_factor", "n_factor", "k_mock", *[r6(c) for c in ("bf_kk", "bf_nk", "pval_kk", "pval_nk", "posterior")])
+
+
+@query()
+def posterior_to_table(v, spark):
+    return models.posterior_sites(_posterior(v), 0.1, 2).select("seqid", "position", "strand", "transitions", "coverage", r6("score"), r6("posterior"))
+
+
+@query("select round((avg(case when k_factor = 0 then 1.0 else 0 end) - avg(case when k_factor = 1 then 1.0 else 0 end)) / (avg(case when k_mock = 0 then 1.0 else 0 end) - avg(case when k_mock = 1 then 1.0 else 0 end)), 6) as eta0 from v_trtable")
+def eta0(v, spark):
+    return models.null_fraction(v["v_trtable"]).select(r6("eta0"))
+
+
+@query()
+def posterior_coverage(v, spark):
+    return models.weighted_coverage(_posterior(v)).select(r6("bound"), r6("unbound"))
