@@ -62,7 +62,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select(F.col("sha").alias("w_sha"), F.col("salt").alias("w_salt"), F.col("salt_keep").alias("w_keep"), "keep_id", "group_size", "rank")
     )
     rows = salted.select("sha", "salt", "salt_keep", "salt_rank", "ids")
-    joined = rows.join(winners, (rows.sha == winners.w_sha) & (rows.salt == winners.w_salt) & rows.salt_keep.eqNullSafe(winners.w_keep))
+    # Null-safe on all keys, or the optimiser filters nulls out below one of the two exchanges and makes them differ.
+    joined = rows.join(winners, rows.sha.eqNullSafe(winners.w_sha) & rows.salt.eqNullSafe(winners.w_salt) & rows.salt_keep.eqNullSafe(winners.w_keep))
     return joined.select("*", F.posexplode("ids").alias("place", "id")).select(
         F.col("id").alias(id_col), "keep_id", "group_size",
         ((F.col("place") == 0) & (F.col("salt_rank") == 1) & (F.col("rank") == 1)).alias("kept"),
