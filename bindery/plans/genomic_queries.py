@@ -509,11 +509,12 @@ def _meta(window: int = 0, flat: int = 0, sense: bool = True) -> str:
             parts.append(f", f{k} as (select o, avg(mean) over (order by o rows between {flat} preceding and {flat} following) as mean from m{k}), z{k} as (select m.o, f.mean from m{k} m join f{k} f on f.o = least(greatest(m.o, {flat}), {size - 1 - flat}))")
         else:
             parts.append(f", z{k} as (select * from m{k})")
-    return "".join(parts) + " select o as \"offset\", round(mean, 8) as mean from z0 union all select o + 51, round(mean, 8) from z1"
+    return "".join(parts) + " select o as \"offset\", round(mean + 1e-12, 8) as mean from z0 union all select o + 51, round(mean + 1e-12, 8) from z1"
 
 
 def _mean(df: DataFrame) -> DataFrame:
-    return df.select("offset", F.round("mean", 8).alias("mean"))
+    """Rounded just above the value: means of rounded occupancies can end in a 5, where the order of a sum decides."""
+    return df.select("offset", F.round(F.col("mean") + 1e-12, 8).alias("mean"))
 
 
 @query(_meta())
