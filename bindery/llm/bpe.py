@@ -157,21 +157,21 @@ class Merges:
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each non-empty word."""
-        out: list[bytes] = [b""] * len(words)
-        by_width: dict[int, list[int]] = {}
-        for k, w in enumerate(words):
-            by_width.setdefault(1 << max(1, (len(w) - 1).bit_length()), []).append(k)
-        for width, places in by_width.items():
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        sizes = sizes[order]
+        ordered, coded = [words[k] for k in order.tolist()], []
+        while len(coded) < len(words):
+            begin = len(coded)
+            width = 1 << max(1, (int(sizes[begin]) - 1).bit_length())
             if width > LONG:
-                for k in places:
-                    out[k] = self._tree(words[k])
-                continue
-            each = max(1, (1 << 18) // width)
-            for s in range(0, len(places), each):
-                some = places[s : s + each]
-                for k, ids in zip(some, self._trees([words[p] for p in some], width), strict=True):
-                    out[k] = ids
-        return out
+                coded += map(self._tree, ordered[begin:])
+                break
+            end = min(int(np.searchsorted(sizes, width, "right")), begin + max(1, (1 << 18) // width))
+            coded += self._trees(ordered[begin:end], width)
+        back = np.empty(len(words), np.int64)
+        back[order] = np.arange(len(words))
+        return [coded[k] for k in back.tolist()]
 
 
 class Bpe(Merges):
