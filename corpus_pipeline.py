@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery.llm import exact_dedup, packing, pii, quality, simhash
+from bindery.llm import exact_dedup, near_copies, packing, pii, quality
 from bindery.llm.common import cut, table
 
 
@@ -25,9 +25,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, that with the smallest id."""
-    kept = simhash.near_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(docs.columns)
+    """One document of each component of near copies (five-word shingles, Jaccard similarity of 0.8), that with the smallest id."""
+    return near_copies.keep_one(docs)
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
