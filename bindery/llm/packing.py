@@ -2,8 +2,8 @@
 
 Pieces of equal length are interchangeable, so the search runs on the histogram of piece lengths, which
 has at most `capacity` rows however many documents there are. Bin completion takes the largest length
-left, enumerates undominated fillings of the room beside it, and repeats the chosen filling as often as
-the counts allow. Best-fit decreasing gives the first incumbent; a branch is cut when its waste so far
+left, enumerates the fillings of the room beside it to which nothing can be added, and branches on them and
+on how often each is repeated. Best-fit decreasing gives the first incumbent; a branch is cut when its waste so far
 already costs a bin more than the volume bound allows. Spark tokenises, counts, ranks the pieces of a
 length in salted groups, and looks up each rank's place in the small table of fillings.
 """
@@ -15,6 +15,7 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -114,43 +115,47 @@ def _pieces(tokenizer_path: str, capacity: int, end_id: int):
 
 
 def fillings(room: int, lengths: list[int], counts: dict[int, int], most: int = FILLINGS) -> list[list[int]]:
-    """Undominated fillings of a room, least waste first, at most `most` of them: larger items first, and one
-    item that fits exactly dominates all else."""
+    """Fillings of a room to which no piece left can be added, least waste first, found in 50 * `most` steps."""
+    return _fillings(room, lengths, counts, 50 * most, True)[0][:most]
+
+
+def _fillings(room: int, lengths: list[int], counts: dict[int, int], steps: int, first: bool) -> tuple[list[list[int]], bool, int]:
+    """Fillings to which nothing can be added, least waste first; whether these are all; steps taken. Equal
+    lengths are taken in one step. One piece that fits exactly dominates all else; with `first`, so does any
+    filling without waste. The first one is found in less steps than there are different lengths in it."""
     if counts.get(room, 0):
-        return [[room]]
+        return [[room]], True, 1
     found: list[tuple[int, list[int]]] = []
-    best, steps = [room + 1], [0]
-
-    def descend(left: int, upto: int, taken: list[int], used: dict[int, int]) -> None:
-        steps[0] += 1
-        k = bisect_right(lengths, min(left, upto)) - 1
-        while k >= 0 and counts.get(lengths[k], 0) <= used.get(lengths[k], 0):
-            k -= 1
-        if k < 0:
-            # Maximal: nothing left fits. A filling that wastes more than the best one so far is only kept while few are known.
-            if left <= best[0] or len(found) < 4:
-                found.append((left, list(taken)))
-                best[0] = min(best[0], left)
-            return
-        tried = 0
-        while k >= 0 and steps[0] < 50 * most and tried < 8 and best[0] > 0:
+    spent, whole = 0, True
+    upto = bisect_right(lengths, room)
+    volume = [0, *accumulate(x * counts[x] for x in lengths[:upto])] if not first else None
+
+    def descend(left: int, k: int, taken: list[int], skipped: int) -> None:
+        nonlocal spent, whole
+        spent += 1
+        k = min(k, bisect_right(lengths, left) - 1)
+        while k >= 0:
+            if spent >= steps and found:
+                whole = False
+                return
+            if volume and left - volume[k + 1] >= skipped:
+                return  # a piece passed over will fit whatever else is taken
             size = lengths[k]
-            if counts.get(size, 0) > used.get(size, 0):
-                tried += 1
-                used[size] = used.get(size, 0) + 1
-                taken.append(size)
-                descend(left - size, size, taken, used)
-                taken.pop()
-                used[size] -= 1
+            have = counts[size]
+            fit = min(have, left // size)
+            for n in range(fit, 0, -1):
+                descend(left - n * size, k - 1, taken + [size] * n, size if n < have and size < skipped else skipped)
+                if not whole or (first and found and found[-1][0] == 0):
+                    return
+            if fit and size < skipped:
+                skipped = size
             k -= 1
+        if left < skipped:
+            found.append((left, taken))
 
-    descend(room, room, [], {})
-    seen, out = set(), []
-    for waste, items in sorted(found, key=lambda f: (f[0], len(f[1]))):
-        if tuple(items) not in seen:
-            seen.add(tuple(items))
-            out.append(items)
-    return out[:most] or [[]]
+    descend(room, upto - 1, [], room + 1)
+    found.sort(key=lambda f: (f[0], len(f[1])))
+    return [items for _, items in found], whole, spent
 
 
 def _greedy(histogram: dict[int, int], capacity: int, fit: bool) -> list[tuple[int, list[int]]]:
@@ -187,50 +192,73 @@ def _greedy(histogram: dict[int, int], capacity: int, fit: bool) -> list[tuple[i
     return out
 
 
+def volume_bound(histogram: dict[int, int], capacity: int = CAPACITY) -> int:
+    """Bins that no packing can do without."""
+    volume = sum(k * v for k, v in histogram.items())
+    return max(-(-volume // capacity), sum(v for k, v in histogram.items() if 2 * k > capacity))
+
+
 def bin_completion(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[int, list[int]]]:
-    """As few bins as found: (times, lengths) each. Exact when the volume bound is met or the search ends within `nodes`."""
+    """As few bins as found: (times, lengths) each. The search runs at every size and takes at most about `nodes`
+    steps; the result is exact when it meets the volume bound or the search ends within them."""
     histogram = {int(k): int(v) for k, v in histogram.items() if v > 0}
     if not histogram:
         return []
     size = lambda bins: sum(t for t, _ in bins)
     volume = sum(k * v for k, v in histogram.items())
-    over_half = sum(v for k, v in histogram.items() if 2 * k > capacity)
-    bound = max(-(-volume // capacity), over_half)
+    bound = volume_bound(histogram, capacity)
     best = min(_greedy(histogram, capacity, True), _greedy(histogram, capacity, False), key=size)
-    spent = [0]
+    fewest = size(best)
+    if fewest == bound:
+        return best
+    counts, bins, spent = dict(histogram), [], 0
+    seen: dict[int, int] = {}
+
+    def take(times: int, need: dict[int, int]) -> None:
+        for x, n in need.items():
+            counts[x] -= n * times
 
-    def search(counts: dict[int, int], bins: list, used: int, waste: int) -> None:
-        nonlocal best
-        spent[0] += 1
+    def choices(used: int, waste: int) -> Iterator[tuple[int, list[int], dict[int, int], int]]:
+        """What may be done with the largest length: each filling beside it, as often as the counts allow and less."""
+        nonlocal best, fewest, spent
         lengths = sorted(k for k, v in counts.items() if v)
+        spent += 1 + len(counts) // 16
         if not lengths:
-            if used < size(best):
-                best = list(bins)
+            if used < fewest:
+                best, fewest = list(bins), used
             return
-        if spent[0] > nodes or size(best) == bound or -(-(volume + waste) // capacity) >= size(best):
+        if -(-(volume + waste) // capacity) >= fewest:
             return
+        state = hash(tuple(counts.values()))
+        if seen.get(state, fewest) <= used:
+            return
+        seen[state] = used
         big = lengths[-1]
         counts[big] -= 1
-        options = fillings(capacity - big, lengths, counts)
+        options, _, steps = _fillings(capacity - big, lengths, counts, max(50 * FILLINGS, (nodes - spent) // 4), False)
         counts[big] += 1
+        spent += steps
         for items in options:
             whole = [big, *items]
-            need: dict[int, int] = {}
-            for x in whole:
-                need[x] = need.get(x, 0) + 1
-            lost = capacity - sum(whole)
-            # Fillings without waste are never worth taking apart, so they are repeated; others go one at a time.
-            times = min(counts[x] // n for x, n in need.items()) if not lost else 1
-            for x, n in need.items():
-                counts[x] -= n * times
-            search(counts, [*bins, (times, whole)], used + times, waste + lost * times)
-            for x, n in need.items():
-                counts[x] += n * times
-            if spent[0] > nodes or size(best) == bound:
-                return
-
-    if size(best) > bound and sum(histogram.values()) <= 400:
-        search(dict(histogram), [], 0, 0)
+            need = {x: whole.count(x) for x in whole}
+            for times in range(min(counts[x] // n for x, n in need.items()), 0, -1):
+                yield times, whole, need, capacity - sum(whole)
+
+    # An explicit stack: at full size a packing has thousands of different fillings.
+    stack = [(choices(0, 0), 0, 0)]
+    while stack and spent <= nodes and fewest > bound:
+        tried, used, waste = stack[-1]
+        step = next(tried, None)
+        if step is None:
+            stack.pop()
+            if stack:
+                times, whole = bins.pop()
+                take(-times, {x: whole.count(x) for x in whole})
+            continue
+        times, whole, need, lost = step
+        take(times, need)
+        bins.append((times, whole))
+        stack.append((choices(used + times, waste + lost * times), used + times, waste + lost * times))
     return best
 
 

@@ -117,6 +117,33 @@ def test_bin_completion_is_optimal_on_small_cases(items):
     assert sum(n for n, _ in bins) == fewest(items, 30)
 
 
+def test_three_bins_beside_fillings_without_waste():
+    items = [20, 19, 18, 9, 7, 6, 4, 4, 3]
+    bins = bin_completion(_count(items), 30)
+    assert sorted(x for n, b in bins for x in b * n) == sorted(items)
+    assert sum(n for n, _ in bins) == 3
+
+
+def test_the_search_runs_at_every_size():
+    items = [20, 19, 18, 9, 7, 6, 4, 4, 3]
+    more = _count([*items, *[30] * 1000])
+    assert sum(n for n, _ in bin_completion(more, 30)) == 1003
+
+
+def test_many_small_pieces_fill_a_room():
+    counts = {1: 5000, 3000: 1, 2000: 1}
+    assert fillings(1096, [1, 2000, 3000], counts, 8)[0] == [1] * 1096
+    assert sum(n for n, _ in bin_completion(counts, 4096)) == 3
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(3, 20), min_size=8, max_size=12))
+def test_bin_completion_is_optimal_on_fuller_cases(items):
+    bins = bin_completion(_count(items), 30)
+    assert sorted(x for n, b in bins for x in b * n) == sorted(items) and all(sum(b) <= 30 for _, b in bins)
+    assert sum(n for n, _ in bins) == fewest(items, 30)
+
+
 def test_fillings_fit():
     counts = {3: 2, 5: 1, 8: 1, 11: 4}
     for f in fillings(16, sorted(counts), dict(counts)):
