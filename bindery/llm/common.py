@@ -29,10 +29,15 @@ def words(text: str | None) -> list[bytes]:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder that the cluster shares."""
-    sc = df.sparkSession.sparkContext
+    """Cut lineage with a reliable checkpoint in the folder that the cluster shares, named in spark.checkpoint.dir.
+
+    Only a local master, whose executors are this process, may do without it and gets a temporary folder."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="bindery-checkpoint-"))
     return df.checkpoint()
 
@@ -49,8 +54,3 @@ def pieces_for(total: int, each: int, least: int = 8) -> int:
 
 def salt(seed: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(seed), F.lit(buckets)).cast("int")
-
-
-def without(df: DataFrame, *names: str) -> DataFrame:
-    """The columns a caller must not clash with are dropped before they are derived again."""
-    return df.drop(*names)
