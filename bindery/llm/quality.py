@@ -1,9 +1,10 @@
 """Quality classifier by importance resampling.
 
-Two hashed n-gram models, of texts labelled good and of all raw texts, give each document a log ratio
-for a word of its text; Gumbel noise, from the id, makes the top k of the sums a sample without
-replacement. k is the number of documents on the good side of a threshold that is calibrated on the
-labels, so the share that stays follows the data.
+Two hashed n-gram models, of texts labelled good and of all raw texts, give each document its importance: the
+log of how much likelier the target model makes the text. With standard Gumbel noise on it, drawn from the
+id, the k largest sums are a sample of k documents without replacement, in which a document's chance follows
+its importance. k is the share of good texts among labelled ones, times the documents. `temperature` divides
+the importance: at 1 (the default) the sample is that of the two models, at larger values it is more even.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from bindery.llm.common import cut, table
 from bindery.llm.lm_scoring import mix, word_hashes
 
 BUCKETS = 1 << 14
-#: At most so many labelled rows fit the target model and the threshold; the rows with the smallest hashes.
+#: At most so many labelled rows fit the target model and the share; the rows with the smallest hashes.
 LABELLED = 50_000
 
 
@@ -58,18 +59,17 @@ def model(texts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
 
 
 def ratio(text: Column, weights: np.ndarray) -> Column:
-    """Mean log ratio of the features of a text; zero without words."""
+    """Sum of the log ratios of the features of a text; zero without words."""
 
     @F.pandas_udf("double")
-    def mean(column: pd.Series) -> pd.Series:
+    def total(column: pd.Series) -> pd.Series:
         out = []
         for s in range(0, len(column), 512):
             ids, n = features(column.iloc[s : s + 512].tolist(), len(weights))
-            sums = np.bincount(np.repeat(np.arange(len(n)), n), weights=weights[ids], minlength=len(n))
-            out.append(sums / np.maximum(n, 1))
+            out.append(np.bincount(np.repeat(np.arange(len(n)), n), weights=weights[ids], minlength=len(n)))
         return pd.Series(np.concatenate(out) if out else np.empty(0))
 
-    return mean(text)
+    return total(text)
 
 
 def gumbel(key: Column) -> Column:
@@ -79,7 +79,7 @@ def gumbel(key: Column) -> Column:
 
 
 def kth_largest(df: DataFrame, column: str, k: int, bins: int = 4096) -> float:
-    """A threshold that k rows reach, by histograms over ever smaller ranges; repeated values stay together."""
+    """A threshold that k rows of finite values reach, by histograms over ever smaller ranges; repeated values stay together."""
     low, high = df.agg(F.min(column), F.max(column)).first()
     if low is None or k <= 0:
         return float("inf")
@@ -101,39 +101,32 @@ def kth_largest(df: DataFrame, column: str, k: int, bins: int = 4096) -> float:
     return low
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, buckets: int = BUCKETS) -> tuple[np.ndarray, float, float]:
-    """(bucket weights, threshold, noise scale): see `resample`. Labelled rows are used up to `labelled`."""
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, buckets: int = BUCKETS) -> tuple[np.ndarray, float]:
+    """(bucket weights, share of good texts): see `resample`. Labelled rows are used up to `labelled`."""
     order = F.xxhash64(F.col("doc_id"), F.lit("label"))
     sample = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(order, "doc_id").limit(labelled)
     known = cut(docs.select(F.col("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("text", "quality"))  # `labelled` ids at most are broadcast
-    weights = model(known.where("quality = 1").select("text"), buckets) - model(docs.select("text"), buckets)
-    values = known.select("quality", ratio(F.col("text"), weights).alias("r")).collect()
-    good, bad = (np.sort([v["r"] for v in values if v["quality"] == q]) for q in (1, 0))
-    if not len(good):
-        return weights, float("-inf"), 0.0
-    if not len(bad):
-        return weights, float(good[0]), 0.0
-    # The threshold with the fewest errors a class; between the values around it.
-    cuts = np.unique(np.r_[good, bad])
-    errors = np.searchsorted(good, cuts) / len(good) * 4 + 1 - np.searchsorted(bad, cuts) / len(bad)
-    at = int(errors.argmin())
-    threshold = float(cuts[at] if at == 0 else (cuts[at - 1] + cuts[at]) / 2)
-    return weights, threshold, float(max(np.median(good) - np.median(bad), 0)) / 100
-
-
-def resample(docs: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, float]:
+    good, n = known.agg(F.count_if(F.col("quality") == 1), F.count(F.lit(1))).first()
+    if not good:
+        return np.zeros(buckets), 1.0
+    return model(known.where("quality = 1").select("text"), buckets) - model(docs.select("text"), buckets), good / n
+
+
+def resample(docs: DataFrame, labels: DataFrame, temperature: float = 1.0, **options) -> tuple[DataFrame, float]:
     """(docs with ratio and key, the key from which on rows are kept).
 
-    A null or empty text has ratio zero. Null ids share their noise. Rows without a label, labels without a
-    row, and an empty table do no harm; without good labels everything is kept. Columns named `ratio` or
-    `key` are replaced.
+    A null or empty text has ratio zero, whatever its length a text is read whole. Null ids share their noise;
+    rows whose keys tie with the last of the sample stay with it. Repeated rows are rows like others. Rows
+    without a label, labels without a row, and an empty table do no harm; without good labels everything is
+    kept. Columns named `ratio` or `key` are replaced.
     """
-    weights, threshold, scale = fit(docs, labels, **options)
-    keyed = docs.withColumn("ratio", ratio(F.col("text"), weights)).withColumn("key", F.col("ratio") + scale * gumbel(F.col("doc_id")))
-    keys = cut(keyed.select("ratio", "key"))
-    return keyed, kth_largest(keys, "key", keys.where(F.col("ratio") >= threshold).count())
+    weights, share = fit(docs, labels, **options)
+    keyed = docs.withColumn("ratio", ratio(F.col("text"), weights)).withColumn("key", F.col("ratio") / temperature + gumbel(F.col("doc_id")))
+    keys = cut(keyed.select("key"))
+    return keyed, kth_largest(keys, "key", round(share * keys.count()))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, ratio, key, kept: all documents, and whether the sample holds them."""
     keyed, least = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return keyed.select("doc_id", F.round("ratio", 9).alias("ratio"), (F.col("key") >= least).alias("kept"))
+    return keyed.select("doc_id", F.round("ratio", 9).alias("ratio"), F.round("key", 9).alias("key"), (F.col("key") >= least).alias("kept"))
