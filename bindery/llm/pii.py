@@ -1,19 +1,26 @@
 """Personal data by candidate gradient boosting, in DataFrame and SQL functions only.
 
-Generators with high recall propose spans: the four base kinds with and without a passing checksum, and
-looser forms (phones without a plus, spelled-out e-mail addresses). Boosted trees score each by its
-format and what stands around it; a threshold per kind, calibrated on the other half of the candidates,
-selects. Base spans always stay; selected others are added where they overlap none of them.
-
-Training data are all candidates of the corpus: features take few values, so a count by feature values
-(at most CELLS rows) is all that the boosting on the driver needs. A base match that passes its check is a
-positive and one that fails a negative; the checksum is not a feature. The trees become CASE expressions.
+Generators with high recall propose spans: the four base kinds with and without a passing check, and looser
+forms (phones without a plus, spelled-out and dotless e-mail addresses, addresses with bracketed dots, dotted
+numbers of other lengths, cards with other separators). Boosted trees score each by its format and what
+stands around it; a threshold per kind, calibrated on held-out candidates, selects. Base spans always stay;
+selected others are added where they pass the check of their kind and overlap no base span.
+
+Labels: a base match that passes its check is a positive. Negatives are candidates that fail it (version
+numbers, short numbers, at-signs without a domain) and those that overlap a base span of another kind. All
+other loose candidates have no label and only receive scores. A span has one label, and none twice. Neither
+the check nor a phone's plus is a feature, so a kind is told by its shape and surroundings alone; where these do
+not tell (a card by its digits without the checksum), no threshold is precise enough and nothing is added.
+
+Training reads counts by feature values: per kind and half at most the product of SIZES, 94,500 rows, and far
+fewer in practice, whatever the corpus. The trees become CASE expressions.
 """
 
 from __future__ import annotations
 
 import math
 from collections import defaultdict
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +37,21 @@ PATTERN = {
 }
 #: Looser forms of a kind, which only the trees can select.
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]++|\.[A-Za-z0-9-]++)++",
-    "phone": r"(?<![0-9+-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: ?[\[(]at[\])] ?|@)[A-Za-z0-9-]++(?:(?: ?[\[(]dot[\])] ?|\.)[A-Za-z0-9-]++)*+",
+    "ip": r"(?<![0-9.\[])[0-9]{1,5}(?:\[?\.\]?[0-9]{1,5}){2,7}(?![0-9])",
+    "card": r"(?<![0-9])[0-9]{4}(?:[._/]|[ -]{2})[0-9]{4}(?:[._/]|[ -]{2})[0-9]{4}(?:[._/]|[ -]{2})[0-9]{1,7}(?![0-9])",
+    "phone": r"(?<![0-9+.-])\(?[0-9]{2,4}\)?(?:[ .-]{1,2}\(?[0-9]{2,4}\)?){1,4}(?![0-9-])",
 }
-CELLS, ROUNDS, RATE, PRECISION, LEAST = 20_000, 12, 0.5, 0.98, 30
-FEATURES = ("digits", "marks", "letters", "before", "after")
+#: Texts that may hold such a form.
+MAY = {"email": r"[\[(]at[\])]|@", "ip": r"[0-9]\[?\.\]?[0-9]{1,5}\[?\.\]?[0-9]", "card": r"[0-9]{4}(?:[._/]|[ -]{2})[0-9]{4}", "phone": r"[0-9]{2}\)?[ .-]{1,2}\(?[0-9]{2}"}
+#: Words before a span that often go with personal data, and with other numbers.
+CUES = (r"(?i)\b(?:call|phone|tel|telephone|mobile|cell|fax|ring|dial|whatsapp|sms|contact|e-?mail|mail|write|card|visa|ip|host|server)\W{0,3}$", r"(?i)(?:\b(?:order|invoice|id|ref|reference|version|release|build|part|sku|isbn|issn|tracking|serial|no|nr|number|section|case|ticket|date|since|until|v)\W{0,3}|#)$")
+#: Feature -> how many values it takes.
+SIZES = {"digits": 21, "marks": 5, "letters": 2, "groups": 6, "before": 5, "after": 5, "cue": 3}
+FEATURES = tuple(SIZES)
+ROUNDS, RATE, DEPTH, PRECISION = 20, 0.5, 3, 0.95
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-SPAN = "struct<kind:int,start:int,stop:int,base:boolean,ok:boolean,digits:int,marks:int,letters:int,before:int,after:int>"
+SPAN = "struct<kind:int,start:int,stop:int,base:boolean,pattern:boolean,ok:boolean,digits:int,marks:int,letters:int,groups:int,before:int,after:int,cue:int>"
 
 
 def _digits(m: Column) -> Column:
@@ -55,14 +70,15 @@ def luhn(digits: Column) -> Column:
 
 
 def _valid(kind: str, m: Column) -> Column:
+    """The check of a kind; loose forms are read as their base form would be written."""
     n = F.length(_digits(m))
     if kind == "ip":
-        return m.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$")
+        return F.regexp_replace(m, r"[\[\]]", "").rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$")
     if kind == "card":
         return F.when(n.between(13, 19), luhn(_digits(m))).otherwise(False)
     if kind == "phone":
         return n.between(9, 15)
-    return F.lit(True)
+    return m.rlike(r"(?:@|[\[(]at[\])]).*(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]")
 
 
 def _class(c: Column) -> Column:
@@ -81,13 +97,15 @@ def _spans(text: Column, kind: str, pattern: str, base: bool) -> Column:
         m, gap, rest = F.element_at(acc["m"], i), F.element_at(acc["g"], i), F.element_at(acc["g"], i + 1)
         start = acc["at"] + F.length(gap)
         stop = start + F.length(m)
-        n = F.length(_digits(m))
-        marks = F.length(m) - n - F.length(F.regexp_replace(m, "[^A-Za-z]", ""))
-        span = F.struct(
-            F.lit(k).alias("kind"), start.alias("start"), stop.alias("stop"), (F.lit(base) & _valid(kind, m)).alias("base"), _valid(kind, m).alias("ok"),
-            F.least(n, F.lit(20)).alias("digits"), F.least(marks, F.lit(6)).alias("marks"), F.least(F.length(F.regexp_replace(m, "[^A-Za-z]", "")), F.lit(3)).alias("letters"),
-            _class(F.right(gap, F.lit(1))).alias("before"), _class(F.left(rest, F.lit(1))).alias("after"),
-        ).cast(SPAN)
+        n, letters = F.length(_digits(m)), F.length(F.regexp_replace(m, "[^A-Za-z]", ""))
+        ahead = F.right(gap, F.lit(16))
+        fields = {
+            "kind": F.lit(k), "start": start, "stop": stop, "base": F.lit(base) & _valid(kind, m), "pattern": F.lit(base), "ok": _valid(kind, m),
+            "digits": F.least(n, F.lit(20)), "marks": F.least(F.length(m) - n - letters - F.when(m.startswith("+"), 1).otherwise(0), F.lit(4)), "letters": F.least(letters, F.lit(1)),
+            "groups": F.least(F.regexp_count(m, F.lit("[0-9]+" if kind != "email" else r"\.|[\[(]dot")), F.lit(5)), "before": _class(F.right(gap, F.lit(1))), "after": _class(F.left(rest, F.lit(1))),
+            "cue": F.when(ahead.rlike(CUES[0]), 1).when(ahead.rlike(CUES[1]), 2).otherwise(0),
+        }
+        span = F.struct(*[c.alias(name) for name, c in fields.items()]).cast(SPAN)
         wanted = n >= 7 if kind in ("card", "phone") else F.lit(True)
         return F.struct(acc["m"].alias("m"), acc["g"].alias("g"), stop.alias("at"), F.when(wanted, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
@@ -96,24 +114,30 @@ def _spans(text: Column, kind: str, pattern: str, base: bool) -> Column:
     return F.when(F.size(found) > 0, F.aggregate(F.sequence(F.lit(1), F.size(found)), start, step, lambda a: a["out"])).otherwise(none)
 
 
+def _overlap(a: Column, b: Column) -> Column:
+    return (a["start"] < b["stop"]) & (b["start"] < a["stop"])
+
+
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with `spans`, an array of all proposals; texts without a digit or an at sign are not searched."""
+    """docs with `spans`: the base patterns' matches and loose ones that overlap none of their own kind; texts without
+    a digit or an at sign are not searched."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     digit, at = text.rlike("[0-9]"), text.contains("@")
     none = F.array().cast(f"array<{SPAN}>")
-    loose_at = text.rlike(r"[\[(]at[\])]")
-    parts = [
-        F.when(at, _spans(text, "email", PATTERN["email"], True)).otherwise(none), F.when(loose_at, _spans(text, "email", LOOSE["email"], False)).otherwise(none),
+    fixed = [
+        F.when(at, _spans(text, "email", PATTERN["email"], True)).otherwise(none),
         F.when(digit & text.rlike(r"[0-9]\.[0-9]"), _spans(text, "ip", PATTERN["ip"], True)).otherwise(none),
         F.when(digit, _spans(text, "card", PATTERN["card"], True)).otherwise(none),
         F.when(digit & text.contains("+"), _spans(text, "phone", PATTERN["phone"], True)).otherwise(none),
-        F.when(digit & text.rlike(r"[0-9]{3}[ .-][0-9]{4}"), _spans(text, "phone", LOOSE["phone"], False)).otherwise(none),
     ]
-    return docs.withColumn("spans", F.concat(*parts))
+    loose = [F.when(text.rlike(MAY[k]), _spans(text, k, LOOSE[k], False)).otherwise(none) for k in KINDS]
+    df = docs.withColumn("fixed", F.concat(*fixed)).withColumn("loose", F.concat(*loose))
+    free = F.filter("loose", lambda s: ~F.exists("fixed", lambda b: (b["kind"] == s["kind"]) & _overlap(b, s)))
+    return df.withColumn("spans", F.when(F.size("loose") > 0, F.concat("fixed", free)).otherwise(F.col("fixed"))).drop("fixed", "loose")
 
 
 def boost(cells: list[tuple[tuple[int, ...], float, float]], rounds: int = ROUNDS, rate: float = RATE) -> list:
-    """Gradient-boosted trees of depth two on weighted cells (features, positives, negatives), logistic loss.
+    """Gradient-boosted trees of depth DEPTH on weighted cells (features, positives, negatives), logistic loss.
 
     A tree is (feature, threshold, left, right) with leaves as numbers; "feature <= threshold" goes left."""
     score = [0.0] * len(cells)
@@ -145,7 +169,7 @@ def boost(cells: list[tuple[tuple[int, ...], float, float]], rounds: int = ROUND
         return f, v, grow([i for i in rows if cells[i][0][f] <= v], depth - 1), grow([i for i in rows if cells[i][0][f] > v], depth - 1)
 
     for _ in range(rounds if cells else 0):
-        tree = grow(list(range(len(cells))), 2)
+        tree = grow(list(range(len(cells))), DEPTH)
         trees.append(tree)
         score = [max(-30.0, min(30.0, s + predict([tree], c[0]))) for s, c in zip(score, cells, strict=True)]
     return trees
@@ -160,22 +184,48 @@ def predict(trees: list, x: tuple[int, ...]) -> float:
     return total
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> dict[int, tuple[list, float]]:
-    """kind -> (trees, threshold). Ids split candidates into a half for the trees and one for the threshold."""
-    c = candidates(docs, text_col).select(F.pmod(F.xxhash64(text_col), F.lit(2)).alias("half"), F.explode("spans").alias("s")).select("half", "s.*")
-    # Phones without a plus share the phone model: a plus is not a feature, so their format and context decide.
-    rows = c.groupBy("half", "kind", *FEATURES).agg(F.sum(F.col("ok").cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"), F.max("base").alias("b")).where("b or not (kind = 0)").collect()
+@dataclass(frozen=True)
+class Model:
+    """Trees and threshold of a kind, with what the held-out half says of them; shares are of labelled candidates."""
+
+    trees: list
+    threshold: float
+    positives: int
+    negatives: int
+    precision: float
+    recall: float
+
+
+def _labelled(docs: DataFrame, text_col: str) -> DataFrame:
+    """half and fields of the labelled candidates, with `label`. Texts split into a half for the trees and one for the threshold."""
+    other = lambda s: F.exists("spans", lambda b: b["base"] & (b["kind"] != s["kind"]) & _overlap(b, s))
+    marked = F.transform("spans", lambda s: F.struct(s.alias("s"), F.when(s["base"], 1).when(~s["ok"] | other(s), 0).alias("label")))
+    c = candidates(docs, text_col).where(F.size("spans") > 0)
+    return c.select(F.pmod(F.xxhash64(text_col), F.lit(2)).alias("half"), F.explode(marked).alias("m")).select("half", "m.s.*", "m.label").where("label is not null")
+
+
+def calibrate(scored: list[tuple[float, float, float]], precision: float = PRECISION) -> tuple[float, float, float]:
+    """(threshold, precision, recall): the lowest score from which on positives, with one of either class added to what
+    was counted, reach the precision. So a few candidates do not calibrate anything, without a switch at some number."""
+    total = sum(p for _, p, _ in scored)
+    best, pos, neg = (math.inf, 0.0, 0.0), 0.0, 0.0
+    ordered = sorted(scored, reverse=True)
+    for k, (s, p, n) in enumerate(ordered):
+        pos, neg = pos + p, neg + n
+        if (k + 1 == len(ordered) or ordered[k + 1][0] < s) and (pos + 1) / (pos + neg + 2) >= precision:
+            best = (s, pos / (pos + neg), pos / total if total else 0.0)
+    return best
+
+
+def fit(docs: DataFrame, text_col: str = "text") -> dict[int, Model]:
+    """A model for each kind."""
+    counts = _labelled(docs, text_col).groupBy("half", "kind", *FEATURES).agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n")).collect()
     model = {}
     for k in range(len(KINDS)):
-        half = [[(tuple(r[f] for f in FEATURES), float(r["pos"]), float(r["n"] - r["pos"])) for r in rows if r["kind"] == k and r["half"] == h] for h in (0, 1)]
-        trees = boost(half[0])
-        threshold, pos, neg = math.inf, 0.0, 0.0
-        scored = sorted(((predict(trees, x), p, n) for x, p, n in half[1]), reverse=True)
-        for s, p, n in scored:
-            pos, neg = pos + p, neg + n
-            if pos + neg >= LEAST and pos >= PRECISION * (pos + neg):
-                threshold = s
-        model[k] = (trees, threshold)
+        half = [[(tuple(r[f] for f in FEATURES), float(r["pos"]), float(r["n"] - r["pos"])) for r in counts if r["kind"] == k and r["half"] == h] for h in (0, 1)]
+        trees = boost(sorted(half[0]))
+        threshold, precision, recall = calibrate([(predict(trees, x), p, n) for x, p, n in half[1]])
+        model[k] = Model(trees, threshold, int(sum(p for h in half for _, p, _ in h)), int(sum(n for h in half for _, _, n in h)), precision, recall)
     return model
 
 
@@ -185,33 +235,34 @@ def _tree(tree, s: Column) -> Column:
     return F.when(s[FEATURES[tree[0]]] <= tree[1], _tree(tree[2], s)).otherwise(_tree(tree[3], s))
 
 
-def _selected(s: Column, model: dict[int, tuple[list, float]]) -> Column:
+def _selected(s: Column, model: dict[int, Model]) -> Column:
     out = F.lit(False)
-    for k, (trees, threshold) in model.items():
-        if trees and threshold < math.inf:
+    for k, m in model.items():
+        if m.trees and m.threshold < math.inf:
             total = F.lit(0.0)
-            for t in trees:
+            for t in m.trees:
                 total = total + _tree(t, s)
-            out = F.when(s["kind"] == k, total >= threshold - 1e-9).otherwise(out)
-    return out
+            out = F.when(s["kind"] == k, total >= m.threshold - 1e-9).otherwise(out)
+    return out & s["ok"]
 
 
 def find(docs: DataFrame, text_col: str = "text", model: dict | None = None) -> DataFrame:
     """docs with `base` and `all`: arrays of (kind, start, stop), sorted, in code points with the end exclusive.
 
-    A null or empty text has none; ids are not read, so null and repeated ones do no harm; an empty table
-    gives no rows and an empty model. Columns named spans, base or all are replaced.
+    A null or empty text has none, a text is read whole whatever its length; ids are not read, so null and
+    repeated ones do no harm; an empty table gives no rows and an empty model. Of added spans that overlap,
+    the one that begins first stays, then the longer, then that of the kind listed first. Columns named spans,
+    fixed, loose, more, base or all are replaced.
     """
     if model is None:
         model = fit(docs, text_col)
     plain = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"))
     df = candidates(docs, text_col)
     df = df.withColumn("base", F.array_sort(F.transform(F.filter("spans", lambda s: s["base"]), plain)))
-    more = F.filter("spans", lambda s: ~s["base"] & _selected(s, model) & ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    more = F.array_distinct(F.transform(more, plain))
-    # Of added spans that overlap, the one that begins first stays, then the longer.
-    df = df.withColumn("more", F.when(F.size("spans") > F.size("base"), more).otherwise(F.array().cast("array<struct<kind:int,start:int,stop:int>>")))
-    clear = F.filter("more", lambda s: ~F.exists("more", lambda o: (o["start"] < s["stop"]) & (s["start"] < o["stop"]) & ((o["start"] < s["start"]) | ((o["start"] == s["start"]) & (o["stop"] > s["stop"])))))
+    more = F.filter("spans", lambda s: ~s["pattern"] & _selected(s, model) & ~F.exists("base", lambda b: _overlap(b, s)))
+    df = df.withColumn("more", F.when(F.size("spans") > F.size("base"), F.array_distinct(F.transform(more, plain))).otherwise(F.array().cast("array<struct<kind:int,start:int,stop:int>>")))
+    order = lambda s: F.struct(s["start"], -s["stop"], s["kind"])
+    clear = F.filter("more", lambda s: ~F.exists("more", lambda o: _overlap(o, s) & (order(o) < order(s))))
     return df.withColumn("all", F.array_sort(F.concat("base", clear))).drop("spans", "more")
 
 
@@ -235,6 +286,7 @@ def redact(docs: DataFrame, text_col: str = "text", model: dict | None = None) -
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the base spans, and all spans, of every document."""
     found = find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("all")).alias("spans"))
