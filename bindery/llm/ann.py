@@ -1,23 +1,32 @@
 """Approximate nearest neighbours by inner product over robust-pruned directed graphs.
 
-Vectors are dealt by id into shards of bounded size; each shard builds one graph in a task and hands it on
-as a single row. Greedy searches propose a vector's neighbours; relaxed distance pruning keeps an edge
-only if no kept neighbour is nearer to its end by the factor ALPHA, which leaves diverse edges. A beam
-search then answers blocks of queries on every shard, and the shards' answers are merged per query.
-Inner product becomes distance by one more dimension that gives all vectors of a shard the same length.
-Equal vectors are one node of the graph that lists their ids.
+Vectors are dealt into cells around pivots, and cells into shards of bounded size; each shard builds one
+graph in a task and hands it on as a single row. Greedy searches propose a vector's neighbours; relaxed
+distance pruning keeps an edge only if no kept neighbour is nearer to its end by the factor ALPHA, which
+leaves diverse edges. A beam search then answers a query on each shard of the cells nearest to it, and the
+shards' answers are merged per query. Inner product becomes distance by one more dimension that gives all
+vectors of a shard the same length. Equal vectors are one node that lists the ids which any answer can need.
+
+How many cells a query visits is measured, not guessed: exact neighbours of a bounded sample of the
+queries, from one pass over all vectors, tell how many of the nearest cells hold the share COVERAGE of them.
+Vectors without any structure so visit all cells; with it, work grows with the vectors, not with their square.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bindery.llm.common import pieces_for, table
+from bindery.llm.common import cut, pieces_for, table
 
-SHARD, DEGREE, BUILD_BEAM, BEAM, ALPHA, QUERY_BLOCK, ENTRIES, BATCH = 4096, 24, 40, 64, 1.2, 2048, 8, 256
+SHARD, DEGREE, BUILD_BEAM, BEAM, ALPHA, QUERY_BLOCK, ENTRIES, BATCH = 8192, 24, 40, 64, 1.2, 2048, 8, 256
+#: Pivots are fitted on at most CELLS * PER_CELL vectors; larger cells are split into shards. ASKED queries measure how many cells to visit.
+CELLS, PER_CELL, ASKED, COVERAGE, SALTS = 4096, 32, 128, 0.98, 64
 
 
 def beam_search(x: np.ndarray, graph: np.ndarray, entries: np.ndarray, q: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,14 +113,16 @@ def _lifted(x: np.ndarray) -> np.ndarray:
 
 
 def _build(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.iloc[np.argsort(pdf["ids"].map(lambda i: i[0]).to_numpy(np.int64))]
     vectors = np.array(pdf["v"].tolist(), np.float64)
-    order = np.lexsort((pdf["vec_id"].to_numpy(),))
-    distinct, node = np.unique(vectors[order], axis=0, return_inverse=True)
-    by_node = np.argsort(node.reshape(-1), kind="stable")
-    graph, entries = build_graph(_lifted(distinct / max(np.abs(distinct).max(), 1e-300)))
-    sizes = np.bincount(node.reshape(-1), minlength=len(distinct)).astype(np.int64)
-    ids = pdf["vec_id"].to_numpy(np.int64)[order][by_node]
-    return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "dim": pdf["dim"].iloc[:1], "ids": [ids.tobytes()], "sizes": [sizes.tobytes()], "vectors": [distinct.tobytes()], "graph": [graph.astype(np.int32).tobytes()], "entries": [entries.astype(np.int64).tobytes()]})
+    graph, entries = build_graph(_lifted(vectors / max(np.abs(vectors).max(), 1e-300)))
+    sizes = pdf["ids"].map(len).to_numpy(np.int64)
+    packed = {"ids": np.concatenate(pdf["ids"].tolist()).astype(np.int64), "sizes": sizes, "vectors": vectors, "graph": graph.astype(np.int32), "entries": entries.astype(np.int64)}
+    return pd.DataFrame({**{c: pdf[c].iloc[:1].to_numpy() for c in SHARD_KEY}, **{c: [a.tobytes()] for c, a in packed.items()}})
+
+
+SHARD_KEY = ["dim", "cell", "sub"]
+BUILT = "dim int, cell int, sub int, ids binary, sizes binary, vectors binary, graph binary, entries binary"
 
 
 def _search(k: int, beam: int):
@@ -138,8 +149,7 @@ def _search(k: int, beam: int):
             rows, node, score = rows[best], node[best], score[best]
             rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
             rows, node, score = rows[rank <= k], node[rank <= k], score[rank <= k]
-            # Of equal vectors the k + 1 smallest ids suffice: ties go to smaller ids and one may be the query's own.
-            take = np.minimum(sizes[node], k + 1)
+            take = sizes[node]
             at = np.repeat(start[node], take) + np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
             out.append(pd.DataFrame({"query_id": own[b : b + BATCH][np.repeat(rows, take)], "vec_id": ids[at], "score": np.repeat(score, take)}))
         got = pd.concat(out)
@@ -149,12 +159,105 @@ def _search(k: int, beam: int):
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD, beam: int = BEAM) -> DataFrame:
+def _floats(batches):
+    """dim, v -> dim, v as single-precision bytes."""
+    for batch in batches:
+        v = batch.column(1)
+        flat, at = v.values.to_numpy(zero_copy_only=False).astype(np.float32), v.offsets.to_numpy()
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([flat[at[k] : at[k + 1]].tobytes() for k in range(len(v))], pa.binary())], names=["dim", "v"])
+
+
+def pivots_of(sample: np.ndarray, cells: int, rounds: int = 6, seed: int = 11) -> np.ndarray:
+    """Centres of `cells` groups of a sample, by a few rounds of k-means."""
+    centres = sample[np.sort(np.random.default_rng(seed).permutation(len(sample))[:cells])].astype(np.float32)
+    for _ in range(rounds if len(centres) > 1 else 0):
+        own = cell_of(sample, centres)
+        n = np.bincount(own, minlength=len(centres))
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, sample)
+        centres[n > 0] = sums[n > 0] / n[n > 0, None]
+    return centres
+
+
+def cell_of(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest centre of each row."""
+    half = (centres.astype(np.float64) ** 2).sum(1) / 2
+    return np.concatenate([(x[s : s + 4096] @ centres.T - half).argmax(1) for s in range(0, len(x), 4096)]) if len(x) else np.empty(0, np.int64)
+
+
+class Cells:
+    """Pivots by the length of vectors; lengths without pivots have one cell."""
+
+    def __init__(self, sample: list[tuple[int, bytes]], cells: int):
+        by: dict[int, list[np.ndarray]] = {}
+        for dim, v in sample:
+            by.setdefault(dim, []).append(np.frombuffer(v, np.float32))
+        self.pivots = {dim: pivots_of(np.array(v), max(1, round(cells * len(v) / len(sample)))) for dim, v in by.items()}
+
+    def own(self, rows: list[np.ndarray]) -> np.ndarray:
+        """The cell of each vector."""
+        return self._by_dim(rows, lambda x, p: cell_of(x, p))
+
+    def order(self, q: np.ndarray) -> np.ndarray:
+        """Cells by the inner product of their pivots with a query, largest first."""
+        p = self.pivots.get(len(q))
+        return np.array([0]) if p is None else np.argsort(-(p @ q.astype(np.float32)), kind="stable")
+
+    def _by_dim(self, rows: list[np.ndarray], f) -> np.ndarray:
+        out, dims = np.zeros(len(rows), np.int32), np.array([len(r) for r in rows])
+        for dim in np.unique(dims):
+            if int(dim) in self.pivots:
+                at = np.flatnonzero(dims == dim)
+                out[at] = f(np.array([rows[k] for k in at], np.float32), self.pivots[int(dim)])
+        return out
+
+
+def _exact(asked: list[tuple[int, np.ndarray]], cells: Cells, k: int):
+    """The k best vectors of a task for each of a few queries, with their cells."""
+
+    def run(batches):
+        by: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for q in asked:
+            by.setdefault(len(q[1]), []).append(q)
+        best: dict[int, list[tuple[float, int]]] = {i: [] for i, _ in asked}
+        for batch in batches:
+            rows = [np.array(v) for v in batch.column(0).to_pylist()]
+            own, dims = cells.own(rows), np.array([len(r) for r in rows])
+            for dim, queries in by.items():
+                at = np.flatnonzero(dims == dim)
+                if len(at):
+                    scores = np.array([q for _, q in queries]) @ np.array([rows[j] for j in at]).T
+                    for (i, _), s in zip(queries, scores, strict=True):
+                        top = np.argsort(-s)[: k + 1]
+                        best[i] = sorted([*best[i], *((-float(s[j]), int(own[at[j]])) for j in top)])[: k + 1]
+        rows = [(i, -s, c) for i, found in best.items() for s, c in found]
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.float64(), pa.int32()))], names=["query_id", "score", "cell"])
+
+    return run
+
+
+def _visits(distinct: DataFrame, asked: DataFrame, cells: Cells, k: int, coverage: float) -> dict[int, int]:
+    """How many of the nearest cells a query of each length visits, and one more than the sample needs."""
+    some = [(r["vec_id"], np.array(r["v"])) for r in asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(ASKED).collect()]
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "cell")
+    found = distinct.select("v").mapInArrow(_exact(some, cells, k), "query_id bigint, score double, cell int").withColumn("r", F.row_number().over(w)).where(F.col("r") <= k + 1).collect()  # ASKED * (k + 1) rows
+    place = {i: {int(c): n for n, c in enumerate(cells.order(q))} for i, q in some}
+    dims = {i: len(q) for i, q in some}
+    out = {}
+    for dim, p in cells.pivots.items():
+        depth = np.sort([place[r["query_id"]][r["cell"]] for r in found if dims[r["query_id"]] == dim])
+        out[dim] = min(len(p), int(depth[max(0, math.ceil(coverage * len(depth)) - 1)]) + 2) if len(depth) else len(p)
+    return out
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD, beam: int = BEAM, coverage: float = COVERAGE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query by inner product, ties to smaller ids.
 
     Vectors that are null, empty or zero, hold null or non-finite components, or have a null id take no
     part; of several vectors with one id the smallest does. Vectors are compared with queries of their
-    length only. A query's own id is never its neighbour. Empty tables give no rows.
+    length only. A query's own id is never its neighbour. A query visits at least as many cells as hold k + 1
+    different vectors, if there are so many. Other columns are not read, whatever their names. Empty tables
+    give no rows.
     """
 
     def usable(df: DataFrame) -> DataFrame:
@@ -162,18 +265,49 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
         fine = F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))) & F.exists(v, lambda c: c != 0)
         return df.where(F.col(id_col).isNotNull() & fine).groupBy(F.col(id_col).cast("long").alias("vec_id")).agg(F.min(v).alias("v")).withColumn("dim", F.size("v"))
 
-    base, asked = usable(vectors), usable(queries)
-    shards = pieces_for(vectors.count(), shard, 1)
-    blocks = pieces_for(queries.count(), QUERY_BLOCK, 1)
-    built = base.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).groupBy("shard", "dim").applyInPandas(_build, "shard int, dim int, ids binary, sizes binary, vectors binary, graph binary, entries binary")
-    built = built.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    keys = ["shard", "dim", "block"]
-    found = built.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(_search(k, beam), "query_id bigint, vec_id bigint, score double")
+    # Of equal vectors the k + 1 smallest ids suffice: ties go to smaller ids and one may be the query's own. Salts first.
+    ranked = usable(vectors).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
+    for by in (["v", "salt"], ["v"]):
+        ranked = ranked.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("vec_id"))).where(F.col("r") <= k + 1)
+    distinct = cut(ranked.groupBy("v", "dim").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
+    asked = cut(usable(queries))
+    n = distinct.count()
+    wanted = min(CELLS, pieces_for(n, shard, 1))
+    sample = distinct.orderBy(F.xxhash64("v"), F.element_at("ids", 1)).limit(wanted * PER_CELL if wanted > 1 else 0)
+    cells = Cells([tuple(r) for r in sample.select("dim", "v").mapInArrow(_floats, "dim int, v binary").collect()], wanted)
+    own_cell = F.pandas_udf(lambda v: pd.Series(cells.own(v.tolist())), "int")
+    placed = distinct.withColumn("cell", own_cell("v"))
+    sizes = {(r["dim"], r["cell"]): r["count"] for r in placed.groupBy("dim", "cell").count().collect()}  # one row a cell
+    visits = _visits(distinct, asked, cells, k, coverage) if wanted > 1 else {}
+    subs = lambda dim, cell: -(-sizes.get((dim, cell), 0) // shard)
+
+    def routed(v: pd.Series) -> pd.Series:
+        out = []
+        for q in v:
+            shards, held, dim = [], 0, len(q)
+            for place, c in enumerate(cells.order(q).tolist()):
+                if place >= visits.get(dim, 1) and held > k:
+                    break
+                held += sizes.get((dim, c), 0)
+                shards += [{"cell": c, "sub": s} for s in range(subs(dim, c))]
+            out.append(shards)
+        return pd.Series(out)
+
+    sub = F.pandas_udf(lambda dim, cell, h: pd.Series([x % max(1, subs(d, c)) for d, c, x in zip(dim, cell, h, strict=True)]), "int")
+    dealt = placed.withColumn("sub", sub("dim", "cell", F.xxhash64("v").bitwiseAND((1 << 62) - 1)))
+    built = dealt.groupBy(*SHARD_KEY).applyInPandas(_build, BUILT)
+    route = F.pandas_udf(routed, "array<struct<cell:int,sub:int>>")
+    going = asked.withColumn("to", F.explode(route("v"))).select("vec_id", "v", "dim", "to.cell", "to.sub")
+    blocks = going.groupBy(*SHARD_KEY).agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks"))
+    going = going.join(blocks, SHARD_KEY).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).drop("blocks")
+    built = built.join(blocks, SHARD_KEY).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    keys = [*SHARD_KEY, "block"]
+    found = built.groupBy(*keys).cogroup(going.groupBy(*keys)).applyInPandas(_search(k, beam), "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
     vectors = table(spark, sf_dir, "embeddings")
     return nearest(vectors, vectors.where("vec_id % 20 = 0"))
