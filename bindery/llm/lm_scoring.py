@@ -3,15 +3,17 @@
 Counting: texts are dealt into shards of bounded size. A shard lists its distinct n-grams (64-bit hashes
 of words, 56-bit hashes of longer n-grams) with their training counts and sends them, packed, to buckets
 by hash; a bucket adds the shards' counts up and answers each shard in the order of its list, about a
-byte for each n-gram. So what moves grows with the distinct n-grams of the input, no word is a hot key,
-and no model is broadcast.
+byte for each n-gram. A shard sends nothing where it has no n-gram, so lists are never more than n-grams. What
+moves grows with the distinct n-grams of the input, no word is a hot key, and no model is broadcast, only the
+number of tokens and of different ones.
 
 Scoring: from the answers a shard builds the part of the automaton that its texts can visit. States are
 the contexts seen in training, arcs the seen n-grams, and each state has a failure arc to its longest
 suffix. Smoothing is Bayesian with a Dirichlet prior on the shorter context:
 P(w|h) = (c(hw) + k P(w|h')) / (c(h) + k), so a failure arc weighs k / (c(h) + k); below all contexts
-stands the add-one unigram model. One left-to-right traversal, in step over all texts of a shard,
-carries the state and adds up log10 probabilities.
+stands the add-one unigram model, whose arcs match every word. Arc weights are computed once for each n-gram,
+shorter ones first. One left-to-right traversal, in step over all texts of a shard, carries the state: it takes
+the word's arc if the state has one and else the failure arc to try again, and adds up log10 probabilities.
 """
 
 from __future__ import annotations
@@ -135,7 +137,7 @@ def _counter(order: int, buckets: int):
             at = _bounds(distinct, k, buckets)
             for b in range(buckets):
                 h = distinct[at[b] : at[b + 1]]
-                if len(h) or k == 1:  # an empty list too, so that each bucket tells every shard its share of N and V
+                if len(h):
                     rows.append((b * order + k - 1, int(pdf["shard"].iloc[0]), packed(np.diff(np.r_[np.uint64(0), h])), packed(counts[at[b] : at[b + 1]])))
         return pd.DataFrame(rows, columns=["bucket", "shard", "hashes", "counts"])
 
@@ -149,28 +151,36 @@ def _merger(order: int):
         counts = np.concatenate([unpacked(b) for b in pdf["counts"]]).astype(np.int64)
         total = np.bincount(inverse, weights=counts, minlength=len(distinct)).astype(np.int64)
         answers = np.split(total[inverse], np.cumsum([len(h) for h in hashes])[:-1])
-        first = pdf["bucket"].iloc[0] % order == 0
+        # The bucket's share of N and V stands in one row.
+        once = (np.arange(len(pdf)) == 0) & bool(pdf["bucket"].iloc[0] % order == 0)
         return pd.DataFrame({
             "bucket": pdf["bucket"], "shard": pdf["shard"], "totals": [packed(a) for a in answers],
-            "n": int(total.sum()) if first else 0, "v": int((total > 0).sum()) if first else 0,
+            "n": once * int(total.sum()), "v": once * int((total > 0).sum()),
         })
 
     return merge
 
 
 class Automaton:
-    """States, arcs and failure arcs over the n-grams of one shard. State 0 is the root; the context of an
-    n-gram of order k with index i is state base[k] + i if training has it."""
-
-    def __init__(self, totals: list[np.ndarray], n: int, v: int, prior: tuple[float, ...]):
-        self.totals, self.prior = totals, prior
-        self.floor = np.log10(1.0 / (n + v + 1.0))
-        self.unigram = np.log10((totals[0] + 1.0) / (n + v + 1.0))
-        self.base = np.cumsum([1, *(len(t) for t in totals[:-1])])
-        self.fail_weight = np.concatenate([[0.0], *(np.log10(k / (t + k)) for t, k in zip(totals[:-1], prior, strict=True))])
-
-    def traverse(self, shard: Shard, index: list[np.ndarray]) -> np.ndarray:
-        """log10 probability of each text. The arc tables of a position are the indexes of its n-grams."""
+    """States, arcs and failure arcs over the n-grams of one shard. The context of an n-gram of order k with
+    index i is a state if training has it; its failure arc leads to the context without its first word. An arc is
+    an n-gram that training has, named by order and index; the root, order 1, has an arc for every word."""
+
+    def __init__(self, index: list[np.ndarray], totals: list[np.ndarray], n: int, v: int, prior: tuple[float, ...]):
+        self.index, self.totals = index, totals
+        self.arcs = [np.log10((totals[0] + 1.0) / (n + v + 1.0))]
+        self.fails = [np.log10(k / (t + k)) for t, k in zip(totals[:-1], prior, strict=True)]
+        for k, weight in enumerate(prior, 1):
+            at = np.flatnonzero(index[k] >= 0)
+            which = index[k][at]
+            context, shorter = np.empty(len(totals[k]), np.int32), np.empty(len(totals[k]), np.int32)
+            context[which], shorter[which] = index[k - 1][at - 1], index[k - 1][at]
+            below = 10.0 ** self.arcs[k - 1][shorter]  # training has the shorter n-gram if it has this one
+            self.arcs.append(np.log10((totals[k] + weight * below) / (totals[k - 1][context] + weight)))
+
+    def traverse(self, shard: Shard) -> np.ndarray:
+        """log10 probability of each text."""
+        index, totals = self.index, self.totals
         order = len(index)
         by_size = np.argsort(-shard.n, kind="stable")
         start, n = shard.start[by_size], shard.n[by_size]
@@ -180,28 +190,27 @@ class Automaton:
         alive = np.searchsorted(-n, -np.arange(last), "left")
         for t in range(last):
             m = alive[t]
-            at, ctx = start[:m] + t, length[:m]
-            p = self.unigram[index[0][at]]
-            for k in range(1, order):  # probability of the arc taken from each suffix, shortest first
-                has = np.flatnonzero(ctx >= k)
-                if not has.size:
-                    break
-                before = index[k - 1][at[has] - 1]
-                c_h = self.totals[k - 1][before]
-                arc = self.totals[k][index[k][at[has]]]
-                seen = arc > 0
-                weight = self.prior[k - 1]
-                state = self.base[k - 1] + before
-                q = self.fail_weight[state] + p[has]
-                q[seen] = np.log10((arc[seen] + weight * 10.0 ** p[has[seen]]) / (c_h[seen] + weight))
-                p[has] = q
-            score[:m] += p
-            # The next state: the longest suffix, of order - 1 words at most, that is a context.
-            nxt = np.zeros(m, np.int64)
-            for k in range(1, order):
-                fits = np.flatnonzero((nxt == k - 1) & (ctx >= k - 1))
-                fits = fits[self.totals[k - 1][index[k - 1][at[fits]]] > 0]
-                nxt[fits] = k
+            at, state = start[:m] + t, length[:m]
+            left = np.arange(m)  # texts that have not found their arc
+            for k in range(order - 1, -1, -1):
+                now = state[left] == k  # the other states are shorter
+                here, left = left[now], left[~now]
+                if not here.size:
+                    continue
+                gram = index[k][at[here]]
+                match = totals[k][gram] > 0 if k else np.ones(len(here), bool)
+                score[here[match]] += self.arcs[k][gram[match]]
+                failed = here[~match]
+                if failed.size:
+                    score[failed] += self.fails[k - 1][index[k - 1][at[failed] - 1]]
+                    state[failed] = k - 1
+                    left = np.concatenate([left, failed])
+            # The arc of order k + 1 that was taken leads to its own context of k + 1 words, or k if that is the most.
+            nxt = np.minimum(state + 1, order - 1)
+            for k in range(order - 1, 0, -1):
+                here = np.flatnonzero(nxt == k)
+                if here.size:
+                    nxt[here[totals[k - 1][index[k - 1][at[here]]] == 0]] = k - 1
             length[:m] = nxt
         out = np.empty(len(n))
         out[by_size] = score
@@ -214,21 +223,20 @@ def _scorer(order: int, prior: tuple[float, ...]):
     def score(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if docs.empty:
             return pd.DataFrame({c: [] for c in names})
+        n, v = int(docs["all_n"].iloc[0]), int(docs["all_v"].iloc[0])
         shard = Shard(docs["held_out"].to_numpy(bool), docs.pop("text").tolist())
-        n, v = int(answers["n"].sum()), int(answers["v"].sum())
         own = answers.sort_values("bucket")
         index, totals = [], []
         for k in range(1, order + 1):
-            distinct, at, _ = shard.grams(k)
-            size = len(distinct)
-            del distinct
-            parts = [unpacked(b) for b in own.loc[own["bucket"] % order == k - 1, "totals"]]
-            totals.append(np.concatenate(parts).astype(np.int64) if parts else np.zeros(size, np.int64))
+            at = shard.grams(k)[1]
+            parts = [unpacked(b).astype(np.int64) for b in own.loc[own["bucket"] % order == k - 1, "totals"]]
+            totals.append(np.concatenate(parts) if parts else np.empty(0, np.int64))
             index.append(at)
         c = totals[0][index[0]]
         base = np.add.reduceat(np.log10((c + 1.0) / (n + v + 1.0)), shard.start)
         known = np.add.reduceat((c > 0).astype(np.int64), shard.start)
-        model = Automaton(totals, n, v, prior).traverse(shard, index)
+        del c
+        model = Automaton(index, totals, n, v, prior).traverse(shard)
         return pd.DataFrame({"id": docs["id"], "held_out": shard.held_out, "n_tokens": shard.n, "n_known": known, "train_tokens": n, "base_score": base, "score": model})[names]
 
     return score
@@ -238,7 +246,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row.
 
     A null text is empty: its only token is the end. A null id trains. Repeated rows count and are scored
-    as often as they occur. len(prior) + 1 is the order of the model. An empty table gives no rows.
+    as often as they occur; a text is scored whole, however long, in one shard. len(prior) + 1 is the order of the
+    model. Other columns, whatever their names, are not read. An empty table gives no rows.
     """
     order = len(prior) + 1
     ident = F.col(id_col).cast("long").cast("string")  # as text: pandas has no nulls among integers
@@ -249,9 +258,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("int")).repartition(shards, "shard")
     asked = dealt.groupBy("shard").applyInPandas(_counter(order, shards), "bucket int, shard int, hashes binary, counts binary")
     answered = asked.repartition(shards, "bucket").groupBy("bucket").applyInPandas(_merger(order), "bucket int, shard int, totals binary, n bigint, v bigint")
-    scored = dealt.groupBy("shard").cogroup(answered.repartition(shards, "shard").groupBy("shard")).applyInPandas(_scorer(order, prior), SCORES)
+    back = answered.repartition(shards, "shard")
+    totals = back.agg(F.sum("n").alias("all_n"), F.sum("v").alias("all_v"))  # one row
+    scored = dealt.crossJoin(F.broadcast(totals)).groupBy("shard").cogroup(back.groupBy("shard")).applyInPandas(_scorer(order, prior), SCORES)
     return scored.withColumn("id", F.col("id").cast("long")).withColumnRenamed("id", id_col)
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents under the model of those that are not held out."""
     return score_texts(table(spark, sf_dir, "documents"))
