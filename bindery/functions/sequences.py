@@ -38,16 +38,19 @@ def base_counts(bases: Column, forward: bool) -> dict[str, Column]:
 
 
 def kmers(s: Column, k: int) -> Column:
-    """All overlapping k-mers in order; an empty array for short strings."""
-    n = F.length(s) - (k - 1)
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(s, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    """All overlapping k-mers in order; an empty array for short strings. One pass: a look-ahead at each place."""
+    return F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))
+
+
+def chunks(s: Column, width: int, more: int = 0) -> Column:
+    """Pieces of `width` letters in order, each with up to `more` letters of what follows, in one pass; an empty array
+    for the empty string. What spans at most more + 1 letters lies whole in the piece that its first letter is in."""
+    return F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{1,{width + more}}})).{{1,{width}}}"), F.lit(1))
 
 
 def occurrences(s: Column, sub: str) -> Column:
     """0-based starts of all, also overlapping, occurrences."""
-    n = F.length(s) - (len(sub) - 1)
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(s, i, F.lit(len(sub))) == sub)
-    return F.when(n > 0, F.transform(starts, lambda i: (i - 1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    return F.array_compact(F.transform(kmers(s, len(sub)), lambda x, i: F.when(x == sub, i.cast("long"))))
 
 
 def md_mismatches(md: Column) -> Column:

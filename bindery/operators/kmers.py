@@ -7,7 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery.functions.sequences import BASES, kmers
+from bindery.functions.sequences import BASES, chunks, kmers, revcomp
+
+#: Letters in a piece of a sequence.
+CHUNK = 10_000
+#: The clamp of log odds for plots, by k.
+CLAMP = {2: 2.5, 3: 2.5, 4: 3.0, 5: 4.0, 6: 4.0}
 
 
 def universe(spark: SparkSession, k: int) -> DataFrame:
@@ -16,9 +21,17 @@ def universe(spark: SparkSession, k: int) -> DataFrame:
     return reduce(lambda df, _: df.crossJoin(F.broadcast(one)).select(F.concat("kmer", "b").alias("kmer")), range(k - 1), one.withColumnRenamed("b", "kmer"))
 
 
+def cut(seqs: DataFrame, k: int, width: int = CHUNK) -> DataFrame:
+    """seqs with `seq` in pieces of `width` letters and the k - 1 after them, and `begin`, the place (from 0) of a piece.
+
+    So a sequence of any length is worked on in rows of bounded size, and every k-mer is seen once."""
+    rest = [c for c in seqs.columns if c != "seq"]
+    return seqs.select(*rest, F.posexplode(chunks(F.col("seq"), width, k - 1)).alias("begin", "seq")).withColumn("begin", F.col("begin").cast("long") * width)
+
+
 def count(seqs: DataFrame, k: int, pseudo: int = 0) -> DataFrame:
     """kmer, n over all sequences; with a pseudocount every k-mer of the universe appears. k-mers with other letters are left out."""
-    found = seqs.select(F.explode(kmers(F.col("seq"), k)).alias("kmer")).where(F.col("kmer").rlike("^[ACGT]+$")).groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
+    found = cut(seqs.select("seq"), k).select(F.explode(kmers(F.col("seq"), k)).alias("kmer")).groupBy("kmer").agg(F.count(F.lit(1)).alias("n")).where(F.col("kmer").rlike("^[ACGT]+$"))
     if not pseudo:
         return found
     return universe(seqs.sparkSession, k).join(found, "kmer", "left").select("kmer", (F.coalesce("n", F.lit(0)) + pseudo).alias("n"))
@@ -31,7 +44,8 @@ def frequencies(counts: DataFrame) -> DataFrame:
 
 def by_position(seqs: DataFrame, k: int, dense: bool = False, width: int = 0) -> DataFrame:
     """kmer, pos (0-based), n; dense adds zeros for every k-mer and position below `width`."""
-    found = seqs.select(F.posexplode(kmers(F.col("seq"), k)).alias("pos", "kmer")).groupBy("kmer", "pos").agg(F.count(F.lit(1)).alias("n"))
+    at = cut(seqs.select("seq"), k).select("begin", F.posexplode(kmers(F.col("seq"), k)).alias("pos", "kmer"))
+    found = at.groupBy("kmer", (F.col("begin") + F.col("pos")).cast("int").alias("pos")).agg(F.count(F.lit(1)).alias("n"))
     if not dense:
         return found
     grid = universe(seqs.sparkSession, k).crossJoin(F.broadcast(seqs.sparkSession.range(width).select(F.col("id").cast("int").alias("pos"))))
@@ -47,7 +61,7 @@ def log_odds(seqs: DataFrame, background: DataFrame, k: int, clamp: float | None
     """bin, kmer, log_odds: log2 of the share of a k-mer in a bin (pseudocount 1) by its background frequency.
 
     seqs: bin, seq. background: kmer, freq. Both tables of k-mers have 4^k rows."""
-    found = seqs.select("bin", F.explode(kmers(F.col("seq"), k)).alias("kmer")).groupBy("bin", "kmer").agg(F.count(F.lit(1)).alias("n"))
+    found = cut(seqs.select("bin", "seq"), k).select("bin", F.explode(kmers(F.col("seq"), k)).alias("kmer")).groupBy("bin", "kmer").agg(F.count(F.lit(1)).alias("n"))
     grid = seqs.select("bin").distinct().crossJoin(F.broadcast(background))
     full = grid.join(found, ["bin", "kmer"], "left").withColumn("n", F.coalesce("n", F.lit(0)) + 1)
     total = full.groupBy("bin").agg(F.sum("n").alias("total"))
@@ -71,12 +85,47 @@ def information(seqs: DataFrame, width: int) -> DataFrame:
     return n.join(F.broadcast(total), "pos").groupBy("pos").agg((2 + F.sum(p * F.log2(p))).alias("ic"))
 
 
-def windows(sites: DataFrame, genome: DataFrame, width: int) -> DataFrame:
-    """Sites with `seq`, the strand's sequence from width before to width after; out-of-range sites are dropped.
+def windows(sites: DataFrame, genome: DataFrame, width: int, keep: bool = False, chunk: int = CHUNK) -> DataFrame:
+    """Sites with `seq`, the strand's sequence from width before to width after; out-of-range sites are dropped, or
+    with `keep` stay with a null seq.
+
+    genome: seqid, seq. Sequences are cut into pieces that hold a whole window, and sites join the piece that
+    theirs begins in, so that no sequence is copied for each of its sites."""
+    pieces = genome.select("seqid", F.posexplode(chunks(F.col("seq"), chunk, 2 * width)).alias("_piece", "_seq"))
+    first = F.col("position") - width - 1
+    placed = sites.withColumn("_piece", F.when(first >= 0, F.floor(first / chunk)).cast("int"))
+    joined = placed.join(pieces, ["seqid", "_piece"], "left" if keep else "inner")
+    seq = F.substring(F.col("_seq"), (first - F.col("_piece").cast("long") * chunk + 1).cast("int"), F.lit(2 * width + 1))
+    seq = F.when(F.length(seq) == 2 * width + 1, F.when(F.col("strand") == "-", revcomp(seq)).otherwise(seq))
+    out = joined.withColumn("seq", seq).drop("_piece", "_seq")
+    return out if keep else out.where(F.col("seq").isNotNull())
+
+
+def rank_bins(ranked: DataFrame, size: int = 1000, most: int = 50_000) -> DataFrame:
+    """Rows (`rank`, from 0) with `bin`: groups of `size` ranks up to rank `most`; a bin that ends beyond the last rank
+    but one is left out, and so are its rows."""
+    n = ranked.agg(F.count(F.lit(1)).alias("_n"))
+    end = (F.floor(F.col("rank") / size) + 1) * size
+    return ranked.crossJoin(F.broadcast(n)).where((end <= most) & (end <= F.col("_n") - 2)).withColumn("bin", F.floor(F.col("rank") / size)).drop("_n")
+
+
+def centred_bins(ranked: DataFrame, quantiles: list[float], half: int = 500) -> DataFrame:
+    """Rows with each `bin` that holds their rank: bin 0 the first 2 * half ranks, then `half` ranks to either side of
+    each quantile; bins may overlap."""
+    n = ranked.agg(F.count(F.lit(1)).alias("_n"))
+    spans = [F.struct(F.lit(0).alias("bin"), F.lit(0).cast("long").alias("low"), F.lit(2 * half).cast("long").alias("high"))]
+    for i, q in enumerate(quantiles, 1):
+        mid = F.floor(F.col("_n") * q)
+        spans.append(F.struct(F.lit(i).alias("bin"), (mid - half).alias("low"), (mid + half).alias("high")))
+    hit = F.filter(F.array(*spans), lambda b: (F.col("rank") >= b["low"]) & (F.col("rank") <= b["high"]))
+    return ranked.crossJoin(F.broadcast(n)).withColumn("bin", F.explode(F.transform(hit, lambda b: b["bin"]))).drop("_n")
+
+
+def quartiles(counts: DataFrame, parts: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """pos and a quartile of the counts of all k-mers at each position, the baselines of the position plot."""
+    return counts.groupBy("pos").agg(*[F.expr(f"percentile(n, {q}D)").alias(f"q{round(100 * q)}") for q in parts])
 
-    genome: seqid, seq. The join is on seqid; adaptive execution splits a sequence with many sites."""
-    from bindery.functions.sequences import revcomp
 
-    piece = F.substring(F.col("seq"), (F.col("position") - width).cast("int"), F.lit(2 * width + 1))
-    joined = sites.join(genome, "seqid").where((F.col("position") - width >= 1) & (F.col("position") + width <= F.length("seq")))
-    return joined.withColumn("seq", F.when(F.col("strand") == "-", revcomp(piece)).otherwise(piece))
+def reverse_pwm(pwm: DataFrame, width: int) -> DataFrame:
+    """A matrix (pos from 0, base, p) read on the other strand: positions reversed, bases complemented."""
+    return pwm.select((F.lit(width - 1) - F.col("pos")).alias("pos"), F.translate("base", "ACGT", "TGCA").alias("base"), "p")

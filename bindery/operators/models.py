@@ -6,15 +6,16 @@ probabilities are computed once for distinct (n, k) and joined back.
 
 from __future__ import annotations
 
+import json
 import math
+from collections import Counter
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bindery.functions.sequences import mixture
-
 TERMS = 50_000
 
 
@@ -116,25 +117,39 @@ def fit_background(histogram: dict[tuple[int, int], int], depths: range = range(
     return (*(1 / (1 + np.exp(-t[:2]))), *np.exp(t[2:]))
 
 
+def background_pmf(n: int, background: tuple[float, float, float, float]) -> np.ndarray:
+    """P(k | n) for k = 0..n."""
+    r, rho, a, b = background
+    k = np.arange(n + 1)
+    one = log_rising(1.0, max(n, 1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        noise = np.exp(one[n] - one[k] - one[n - k] + np.where(k > 0, k * np.log(rho), 0.0) + np.where(k < n, (n - k) * np.log1p(-rho), 0.0))
+    return r * noise + (1 - r) * beta_binomial(k, np.full(n + 1, n), a, b)
+
+
 def tail_table(pairs: DataFrame, background: tuple[float, float, float, float], snp_likely: bool = False, cap: int = 500) -> DataFrame:
     """n, k, p_value for distinct pairs: the probability of k or more; above `cap` k is rescaled to it.
 
-    snp_likely leaves k = n out of the tail, and k >= n has p-value 1."""
-    n, k = F.col("n"), F.col("k")
-    over = n > cap
-    size, hits = F.when(over, cap).otherwise(n), F.when(over, F.rint(k / n * cap)).otherwise(k)
-    term = lambda i: mixture(i, F.col("size"), *background)
-    last = F.col("size") - (1 if snp_likely else 0)
-    total = F.when(F.col("hits") <= last, F.aggregate(F.sequence(F.col("hits"), F.greatest(last, F.col("hits"))), F.lit(0.0), lambda s, i: s + term(i))).otherwise(0.0)
-    p = F.when(F.col("hits") >= F.col("size"), 1.0).otherwise(total) if snp_likely else total
-    return pairs.select("n", "k").distinct().withColumn("size", size.cast("long")).withColumn("hits", hits.cast("long")).select("n", "k", p.alias("p_value"))
+    snp_likely leaves k = n out of the tail, and k >= n has p-value 1. Each n makes its tail once, as a running sum
+    from the end, which takes time linear in the smaller of n and cap."""
+
+    def one_n(pdf: pd.DataFrame) -> pd.DataFrame:
+        n, k = int(pdf["n"].iloc[0]), pdf["k"].to_numpy(np.int64)
+        size = min(n, cap)
+        hits = np.rint(k / n * cap).astype(np.int64) if n > cap else k
+        p = background_pmf(size, background)
+        if snp_likely:
+            p = np.r_[p[:-1], 0.0]
+        tail = np.r_[np.cumsum(p[::-1])[::-1], 0.0]
+        value = tail[np.clip(hits, 0, size + 1)]
+        return pd.DataFrame({"n": pdf["n"], "k": pdf["k"], "p_value": np.where(hits >= size, 1.0, value) if snp_likely else value})
+
+    return pairs.select(F.col("n").cast("long"), F.col("k").cast("long")).distinct().groupBy("n").applyInPandas(one_n, "n bigint, k bigint, p_value double")
 
 
 def snp_likely(background: tuple[float, float, float, float], depth: int = 11, start: int = 5) -> bool:
     """Whether full conversion is more likely than all counts from `start` below it."""
-    r, rho, a, b = background
-    k = np.arange(depth + 1)
-    p = r * np.array([math.comb(depth, int(x)) for x in k]) * rho**k * (1 - rho) ** (depth - k) + (1 - r) * beta_binomial(k, np.full(depth + 1, depth), a, b)
+    p = background_pmf(depth, background)
     return bool(p[depth] > p[start:depth].sum())
 
 
@@ -197,62 +212,70 @@ def ecdf(values: DataFrame, by: str) -> DataFrame:
 
 def concave_majorant(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(knots, slope from each knot on) of the least concave majorant, by pooling segments whose slopes rise."""
-    size, rise = list(np.diff(x)), list(np.diff(y))
-    blocks: list[list[float]] = []
-    for s, r in zip(size, rise, strict=True):
-        blocks.append([s, r])
+    blocks: list[list[float]] = []  # width, rise, segments
+    for s, r in zip(np.diff(x).tolist(), np.diff(y).tolist(), strict=True):
+        blocks.append([s, r, 1])
         while len(blocks) > 1 and blocks[-1][1] * blocks[-2][0] >= blocks[-2][1] * blocks[-1][0]:
-            s2, r2 = blocks.pop()
-            blocks[-1][0] += s2
-            blocks[-1][1] += r2
-    knots = np.r_[x[0], x[0] + np.cumsum([b[0] for b in blocks])]
+            last = blocks.pop()
+            blocks[-1] = [p + q for p, q in zip(blocks[-1], last, strict=True)]
+    knots = x[np.r_[0, np.cumsum([b[2] for b in blocks])]]
     slopes = np.array([b[1] / b[0] for b in blocks])
     return knots, np.r_[slopes, slopes[-1]]
 
 
+def _fitted(p: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(knots, density from each knot on) of sorted distinct p-values and their counts, on [0, 1]."""
+    x, y = p, np.cumsum(counts) / counts.sum()
+    if x[-1] != 1:
+        x, y = np.r_[x, 1.0], np.r_[y, 1.0]
+    if x[0] != 0:
+        x, y = np.r_[0.0, x], np.r_[0.0, y]
+    return concave_majorant(x, y) if len(x) > 1 else (np.array([0.0, 1.0]), np.array([1.0, 1.0]))
+
+
 def grenander(values: DataFrame, by: str) -> DataFrame:
     """Group, x, f: knots of the decreasing density of p-values, on [0, 1]. A group has one row for each distinct p-value."""
-    n = values.groupBy(by, "p").agg(F.count(F.lit(1)).alias("c"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("p")
-        x, y = pdf["p"].to_numpy(float), np.cumsum(pdf["c"].to_numpy(float)) / pdf["c"].sum()
-        if x[-1] != 1:
-            x, y = np.r_[x, 1.0], np.r_[y, 1.0]
-        if x[0] != 0:
-            x, y = np.r_[0.0, x], np.r_[0.0, y]
-        knots, slopes = concave_majorant(x, y) if len(x) > 1 else (np.array([0.0, 1.0]), np.array([1.0, 1.0]))
+        knots, slopes = _fitted(pdf["p"].to_numpy(float), pdf["c"].to_numpy(float))
         return pd.DataFrame({by: pdf[by].iloc[0], "x": knots, "f": slopes})
 
-    return n.groupBy(by).applyInPandas(fit, f"{by} bigint, x double, f double")
+    return values.groupBy(by, "p").agg(F.count(F.lit(1)).alias("c")).groupBy(by).applyInPandas(fit, f"{by} bigint, x double, f double")
+
+
+def bayes_factors(values: DataFrame, by: str) -> DataFrame:
+    """Group, p, bf, q for each distinct p-value: the density at its last knot by the least density, less one, and one
+    less that least density."""
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("p")
+        p = pdf["p"].to_numpy(float)
+        knots, slopes = _fitted(p, pdf["c"].to_numpy(float))
+        low = max(float(slopes.min()), 1e-6)  # a density that falls to zero leaves some null
+        return pd.DataFrame({by: pdf[by], "p": p, "bf": slopes[np.searchsorted(knots, p, "right") - 1] / low - 1, "q": 1 - low})
+
+    return values.groupBy(by, "p").agg(F.count(F.lit(1)).alias("c")).groupBy(by).applyInPandas(fit, f"{by} bigint, p double, bf double, q double")
 
 
 def posterior(table: DataFrame, kk: DataFrame, nk: DataFrame, max_k_mock: int, lump: int = 10, scale: bool = False) -> DataFrame:
     """The transition table with bf_kk, bf_nk, pval_kk, pval_nk, posterior, for k_factor > 0 and k_mock <= max_k_mock.
 
-    Densities are fitted a k_mock, and a k_factor lumped at `lump`; a Bayes factor is the density at the last
-    knot up to the p-value by the density's minimum, less one. Knots are few and are broadcast."""
+    Densities are fitted a k_mock, and a k_factor lumped at `lump`. Bayes factors are found once for each distinct
+    p-value of a group, and meet the rows by equality; what is joined grows with distinct (n, k), and its size is
+    left to the planner to look at."""
     lumped = F.least(F.col("k_factor"), F.lit(lump)).cast("long")
-    t = table.where(F.col("k_mock") <= max_k_mock).join(F.broadcast(kk.withColumnRenamed("k", "k_factor")), ["k_factor", "k_mock"])
-    t = t.join(F.broadcast(nk.withColumnsRenamed({"k": "k_factor", "n": "n_factor"})), ["k_factor", "n_factor"], "left").withColumn("lump", lumped).withColumn("mock", F.col("k_mock").cast("long"))
-    covered = t.where("n_factor > 0")
+    t = table.where(F.col("k_mock") <= max_k_mock).join(kk.withColumnRenamed("k", "k_factor"), ["k_factor", "k_mock"])
+    t = t.join(nk.withColumnsRenamed({"k": "k_factor", "n": "n_factor"}), ["k_factor", "n_factor"], "left").withColumn("lump", lumped).withColumn("mock", F.col("k_mock").cast("long"))
     if scale:
-        top_kk, top_nk = t.groupBy("mock").agg(F.max("pval_kk").alias("top_kk")), covered.groupBy("lump").agg(F.max("pval_nk").alias("top_nk"))
+        top_kk, top_nk = t.groupBy("mock").agg(F.max("pval_kk").alias("top_kk")), t.where("n_factor > 0").groupBy("lump").agg(F.max("pval_nk").alias("top_nk"))
+        # At most max_k_mock + 1 rows, and lump + 1.
         t = t.join(F.broadcast(top_kk), "mock").join(F.broadcast(top_nk), "lump", "left").withColumn("pval_kk", F.col("pval_kk") / F.col("top_kk")).withColumn("pval_nk", F.col("pval_nk") / F.col("top_nk")).drop("top_kk", "top_nk")
-        covered = t.where("n_factor > 0")
-
-    def steps(values: DataFrame, by: str) -> DataFrame:
-        knots = grenander(values, by)
-        w = Window.partitionBy(by).orderBy("x")
-        low = knots.groupBy(by).agg(F.greatest(F.min("f"), F.lit(1e-6)).alias("low"))  # a density that falls to zero leaves some null
-        return knots.withColumn("upto", F.coalesce(F.lead("x").over(w), F.lit(2.0))).join(low, by).select(by, "x", "upto", (F.col("f") / F.col("low") - 1).alias("bf"), (1 - F.col("low")).alias("q"))
-
-    a = steps(t.select("mock", F.col("pval_kk").alias("p")), "mock").withColumnsRenamed({"mock": "a_mock", "x": "ax", "upto": "au", "bf": "bf_kk", "q": "aq"})
-    b = steps(covered.select("lump", F.col("pval_nk").alias("p")), "lump").withColumnsRenamed({"lump": "b_lump", "x": "bx", "upto": "bu", "bf": "bf_nk", "q": "bq"})
-    hit = t.where("k_factor > 0").join(F.broadcast(a), (F.col("mock") == F.col("a_mock")) & (F.col("pval_kk") >= F.col("ax")) & (F.col("pval_kk") < F.col("au")))
-    hit = hit.join(F.broadcast(b), (F.col("lump") == F.col("b_lump")) & (F.col("pval_nk") >= F.col("bx")) & (F.col("pval_nk") < F.col("bu")))
+    a = bayes_factors(t.select("mock", F.col("pval_kk").alias("p")), "mock").select("mock", F.col("p").alias("pval_kk"), F.col("bf").alias("bf_kk"))
+    b = bayes_factors(t.where("n_factor > 0").select("lump", F.col("pval_nk").alias("p")), "lump").select("lump", F.col("p").alias("pval_nk"), F.col("bf").alias("bf_nk"), "q")
+    hit = t.where("k_factor > 0").join(a, ["mock", "pval_kk"]).join(b, ["lump", "pval_nk"])
     # A group whose density never exceeds its minimum holds no signal: its posterior is zero.
-    bf = F.try_divide(F.col("bf_kk") * F.col("bf_nk") * (1 - F.col("bq")), F.col("bq"))
+    bf = F.try_divide(F.col("bf_kk") * F.col("bf_nk") * (1 - F.col("q")), F.col("q"))
     return hit.select(*table.columns, "bf_kk", "bf_nk", "pval_kk", "pval_nk", F.coalesce(F.try_divide(bf, 1 + bf), F.lit(0.0)).alias("posterior"))
 
 
@@ -272,3 +295,47 @@ def null_fraction(table: DataFrame) -> DataFrame:
 def weighted_coverage(post: DataFrame) -> DataFrame:
     """Coverage of bound and of unbound sites, weighted by the posterior."""
     return post.agg(F.sum(F.col("n_factor") * F.col("posterior")).alias("bound"), F.sum(F.col("n_factor") * (1 - F.col("posterior"))).alias("unbound"))
+
+
+@dataclass(frozen=True)
+class MockModel:
+    """What is fitted on mock counts: coverage, mixtures of k and of n, and the beta-binomial of k given n."""
+
+    coverage: float
+    pk_weights: tuple[float, ...]
+    pk_rates: tuple[float, ...]
+    pn_weights: tuple[float, ...]
+    pn_rates: tuple[float, ...]
+    alpha: float
+    beta: float
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One line of JSON, by Spark's writer, so that any store will do."""
+        spark.createDataFrame([(json.dumps(asdict(self)),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> MockModel:
+        values = json.loads(spark.read.text(path).first()["value"])
+        return MockModel(**{k: tuple(v) if isinstance(v, list) else v for k, v in values.items()})
+
+
+def fit_mock(counts: DataFrame, coverage: float, components: int = 3, iterations: int = 250, k: str = "k", n: str = "n") -> MockModel:
+    """The mock model of a table of counts. One pass brings the (k, n) histogram to the driver, whose rows follow the
+    depths that occur, not the sites; the mixtures fit its margins, the beta-binomial the pairs with n > 0."""
+    pairs = {(int(r[k]), int(r[n])): int(r["count"]) for r in counts.groupBy(k, n).count().collect()}
+    by_k, by_n = Counter(), Counter()
+    for (a, b), c in pairs.items():
+        by_k[a] += c
+        by_n[b] += c
+    wk, gk = fit_geometric_mixture(by_k, components, iterations)
+    wn, gn = fit_geometric_mixture(by_n, components, iterations)
+    alpha, beta = fit_beta_binomial({p: c for p, c in pairs.items() if p[1] > 0})
+    plain = lambda x: tuple(float(v) for v in x)
+    return MockModel(float(coverage), plain(wk), plain(gk * coverage), plain(wn), plain(gn * coverage), float(alpha), float(beta))
+
+
+def score_with(table: DataFrame, model: MockModel, coverage: float, max_k_mock: int, scale: bool = False) -> DataFrame:
+    """p-values, Bayes factors and posteriors of a transition table under a fitted mock model and the factor's coverage."""
+    kk = kk_table(table.select(F.col("k_factor").alias("k"), "k_mock"), model.pk_weights, model.pk_rates, coverage, model.coverage)
+    nk = nk_table(table.select(F.col("k_factor").alias("k"), F.col("n_factor").alias("n")), model.pn_weights, model.pn_rates, coverage, model.alpha, model.beta)
+    return posterior(table, kk, nk, max_k_mock, scale=scale)

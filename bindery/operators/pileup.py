@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindery.functions.sequences import BASES, base_counts, count_char
+from bindery.operators.intervals import point_join
+from bindery.operators.kmers import cut
+from bindery.operators.sites import SITE_KEYS, overlapping, renamed
 
 
 def counts(pileup: DataFrame, mutation: tuple[str, str] = ("T", "C")) -> DataFrame:
@@ -30,8 +33,25 @@ def naive_sites(pileup: DataFrame, min_transitions: int = 2, reference: str = "T
 def site_universe(genome: DataFrame, base: str = "T") -> DataFrame:
     """Each position of a base on + and of its complement on -, 1-based, upper case only."""
     other = dict(zip("ACGT", "TGCA", strict=True))[base]
-    at = genome.select("seqid", F.posexplode(F.split("seq", "")).alias("p", "base"))
-    return at.where(F.col("base").isin(base, other)).select("seqid", (F.col("p") + 1).cast("long").alias("pos"), "base", F.when(F.col("base") == base, "+").otherwise("-").alias("strand"))
+    at = cut(genome.select("seqid", "seq"), 1).select("seqid", "begin", F.posexplode(F.split("seq", "")).alias("p", "base"))
+    return at.where(F.col("base").isin(base, other)).select("seqid", (F.col("begin") + F.col("p") + 1).alias("pos"), "base", F.when(F.col("base") == base, "+").otherwise("-").alias("strand"))
+
+
+def site_universe_within(genome: DataFrame, annots: DataFrame, base: str = "T") -> DataFrame:
+    """The same inside annotations, on the strand of each, lower case too; a position in several counts once."""
+    upper = genome.select("seqid", F.upper("seq").alias("seq"))
+    sites = site_universe(upper, base).withColumnRenamed("pos", "position")
+    return overlapping(sites, annots).withColumnRenamed("position", "pos")
+
+
+def strand_coverage(pileup: DataFrame, annots: DataFrame) -> DataFrame:
+    """annot_id, offset (5' to 3'), coverage: depth of the annotation's strand at each covered position inside it."""
+    depth = lambda fwd: base_counts(F.col("bases"), fwd)["coverage"]
+    both = F.explode(F.array(F.struct(F.lit("+").alias("strand"), depth(True).alias("coverage")), F.struct(F.lit("-").alias("strand"), depth(False).alias("coverage")))).alias("d")
+    points = pileup.select(F.col("chrom").alias("seqid"), F.col("pos").alias("position"), both).select("seqid", "position", "d.*").where("coverage > 0")
+    hits = point_join(points, renamed(annots.select("annot_id", "seqid", "strand", "start_pos", "end_pos")), SITE_KEYS)
+    offset = F.when(F.col("strand") == "+", F.col("position") - F.col("start_pos")).otherwise(F.col("end_pos") - F.col("position"))
+    return hits.select("annot_id", offset.alias("offset"), "coverage")
 
 
 def transition_matrix(pileup: DataFrame, min_coverage: int = 1) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bindery.operators.intervals import point_join
@@ -71,20 +73,44 @@ def metagene(sites: DataFrame, annots: DataFrame, upstream: int, downstream: int
     return parts[0].unionByName(parts[1])
 
 
+def raw_matrix(sites: DataFrame, annots: DataFrame, end: str, outside: int, inner: int, sense: bool = True) -> DataFrame:
+    """annot_id, values: the occupancy around one end of each annotation, one array in reading direction a row, zeros
+    where nothing was hit; annotations without a hit are rows of zeros."""
+    size = outside + inner + 1
+    sums = offsets(sites, _around(annots, end, outside, inner), sense).groupBy("annot_id", "offset").agg(F.sum("occupancy").alias("o"))
+    found = sums.groupBy("annot_id").agg(F.map_from_entries(F.collect_list(F.struct(F.col("offset").cast("int"), "o"))).alias("m"))  # at most `size` entries
+    values = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0.0)))
+    return annots.select("annot_id").join(found, "annot_id", "left").select("annot_id", values.alias("values"))
+
+
+#: Poisson weights of a bootstrap: how often an annotation is drawn, by an even number in [0, 1).
+POISSON = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(8)]
+
+
+def weight(draw: Column, annot_id: Column, seed: int) -> Column:
+    """Poisson(1) weight of an annotation in a draw, from two steps of an arithmetic generator."""
+    step = (draw * 7919 + F.pmod(annot_id, F.lit(2147483647)) * 104729 + seed) * 48271 % 2147483647
+    u = ((step + draw * 31) * 16807 % 2147483647) / 2147483647.0
+    out = F.lit(len(POISSON))
+    for k in range(len(POISSON) - 1, -1, -1):
+        out = F.when(u < POISSON[k], k).otherwise(out)
+    return out
+
+
 def bootstrap(sites: DataFrame, annots: DataFrame, upstream: int, gene: int, draws: int, seed: int = 42) -> DataFrame:
-    """draw, offset, mean: each draw resamples the annotations with replacement, by an arithmetic generator.
+    """draw, offset, mean: each draw resamples the annotations with replacement.
 
-    An annotation's weight in a draw is how often it was drawn; hits carry the weights, so no profile is copied.
-    annots must have `ordinal` 0..n-1."""
-    n = annots.count()
+    How often an annotation is drawn is Poisson(1), which is what drawing as many as there are comes to, and follows
+    from its id and the draw alone; so draws are added up in place, and only draws x offsets sums are shuffled."""
     spark = annots.sparkSession
-    picks = spark.range(draws).withColumnRenamed("id", "draw").crossJoin(spark.range(n).withColumnRenamed("id", "i"))
-    mixed = F.pmod((F.col("draw") * 7919 + F.col("i") * 104729 + seed) * 48271 % 2147483647, F.lit(max(n, 1)))
-    weights = picks.groupBy("draw", mixed.alias("ordinal")).agg(F.count(F.lit(1)).alias("w"))
+    each = F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw")
+    drawn = lambda df, *cols: df.select(*cols, "annot_id", each).withColumn("w", weight(F.col("draw").cast("long"), F.col("annot_id").cast("long"), seed)).where("w > 0")
     hits = offsets(sites, _around(annots, "start", upstream, gene)).groupBy("annot_id", "offset").agg(F.sum("occupancy").alias("o"))
-    sums = hits.join(annots.select("annot_id", "ordinal"), "annot_id").join(weights, "ordinal").groupBy("draw", "offset").agg((F.sum(F.col("o") * F.col("w")) / n).alias("mean"))
-    grid = spark.range(draws).withColumnRenamed("id", "draw").crossJoin(F.broadcast(spark.range(upstream + gene + 1).withColumnRenamed("id", "offset")))
-    return grid.join(sums, ["draw", "offset"], "left").fillna(0.0, ["mean"])
+    sums = drawn(hits, "offset", "o").groupBy("draw", "offset").agg(F.sum(F.col("o") * F.col("w")).alias("total"))
+    counts = drawn(annots).groupBy("draw").agg(F.sum("w").alias("n"))  # one row a draw
+    grid = spark.range(draws).select(F.col("id").cast("int").alias("draw")).crossJoin(F.broadcast(spark.range(upstream + gene + 1).withColumnRenamed("id", "offset")))
+    full = grid.join(sums, ["draw", "offset"], "left").join(F.broadcast(counts), "draw", "left")
+    return full.select("draw", "offset", F.coalesce(F.col("total") / F.col("n"), F.lit(0.0)).alias("mean"))
 
 
 def interval_of(draws: DataFrame, low: float = 0.025, high: float = 0.975) -> DataFrame:

@@ -37,11 +37,20 @@ def removed_by_feature(sites: DataFrame, annots: DataFrame, features: list[str],
     return first.groupBy("feature").agg(F.count(F.lit(1)).alias("removed"))
 
 
-def annotate(sites: DataFrame, annots: DataFrame, ident: list[str]) -> DataFrame:
-    """`ident` columns of all sites with `annotation`: the distinct features around them, sorted, joined by "|", or NA."""
-    hits = point_join(sites.select(*ident), renamed(annots).select("a_seqid", "a_strand", "start_pos", "end_pos", "feature"), SITE_KEYS)
-    named = hits.groupBy(*ident).agg(F.concat_ws("|", F.sort_array(F.collect_set("feature"))).alias("annotation"))
-    return sites.select(*ident).distinct().join(named, ident, "left").withColumn("annotation", F.coalesce("annotation", F.lit("NA")))
+def annotate(sites: DataFrame, annots: DataFrame, ident: list[str], max_n: int | None = None) -> DataFrame:
+    """`ident` columns of all sites with `annotation`: the distinct features around them, sorted, joined by "|", or NA.
+
+    Rows keep their number, repeated ones too, and may hold nulls; a site without position, sequence or strand is
+    NA. max_n takes the sites of largest occupancy, ties in order of `ident`. Each site goes once to the final
+    grouping as it is, and once for each annotation around it, so that no join back to the sites is needed."""
+    rows = sites.select(*ident)
+    if max_n is not None:
+        rows = rows.orderBy(F.col("occupancy").desc_nulls_last(), *ident).limit(max_n)
+    hits = point_join(rows, renamed(annots).select("a_seqid", "a_strand", "start_pos", "end_pos", "feature"), SITE_KEYS).select(*ident, "feature", F.lit(0).alias("_rows"))
+    both = rows.select(*ident, F.lit(None).cast("string").alias("feature"), F.lit(1).alias("_rows")).unionByName(hits)
+    named = both.groupBy(*ident).agg(F.concat_ws("|", F.sort_array(F.collect_set("feature"))).alias("annotation"), F.sum("_rows").alias("_rows"))
+    again = named.withColumn("_rows", F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int"))))
+    return again.select(*ident, F.when(F.col("annotation") == "", "NA").otherwise(F.col("annotation")).alias("annotation"))
 
 
 def annotation_summary(annotated: DataFrame) -> DataFrame:
@@ -105,6 +114,15 @@ def quantile(df: DataFrame, column: str, q: float) -> DataFrame:
     return upto.crossJoin(F.broadcast(total)).where((F.col("upto") > at) & (F.col("upto") - F.col("n") <= at)).select(F.col(column).alias("quantile"))
 
 
+def quantiles(df: DataFrame, column: str, qs: dict[str, float]) -> DataFrame:
+    """One row with a column for each name and q: the values at index floor(n q), all from one running count."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("total"))
+    upto = running(counts, column, "n").crossJoin(F.broadcast(total))
+    at = lambda q: F.least(F.floor(F.col("total") * F.lit(q)), F.col("total") - 1)
+    return upto.agg(*[F.min(F.when(F.col("upto") > at(q), F.col(column))).alias(name) for name, q in qs.items()])
+
+
 def running(counts: DataFrame, column: str, n: str, ranges: int = 1024) -> DataFrame:
     """counts with `upto`, the running sum of n in order of a numeric column, without one task for all rows.
 
@@ -118,17 +136,43 @@ def running(counts: DataFrame, column: str, n: str, ranges: int = 1024) -> DataF
     return dealt.join(F.broadcast(before), "_part").withColumn("upto", F.col("_before") + F.sum(n).over(within)).drop("_part", "_before")
 
 
+def ordinal(df: DataFrame, column: str, then: str, per: int = 100_000) -> DataFrame:
+    """df with `ordinal`, its place (from 0) in order of two whole-number columns, without one task for all rows.
+
+    Counts by the first column give the place of each of its values; a value with many rows is cut into ranges of the
+    second, whose counts give the place of each range. Rows that tie in both have different places in any order.
+    Nulls are left out."""
+    rows = df.where(F.col(column).isNotNull() & F.col(then).isNotNull())
+    values = rows.groupBy(column).agg(F.count(F.lit(1)).alias("_n"), F.min(then).alias("_lo"), F.max(then).alias("_hi"))
+    parts = F.ceil(F.col("_n") / per)
+    values = running(values, column, "_n").select(column, (F.col("upto") - F.col("_n")).alias("_before"), "_lo", ((F.col("_hi").cast("double") - F.col("_lo").cast("double") + 1) / parts).alias("_width"))
+    dealt = rows.join(values, column).withColumn("_part", F.floor((F.col(then).cast("double") - F.col("_lo").cast("double")) / F.col("_width")))
+    sizes = dealt.groupBy(column, "_part").agg(F.count(F.lit(1)).alias("_s"))
+    earlier = Window.partitionBy(column).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(column, "_part", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_inside"))
+    within = Window.partitionBy(column, "_part").orderBy(then)
+    placed = dealt.withColumn("_k", F.row_number().over(within)).join(sizes, [column, "_part"])
+    return placed.withColumn("ordinal", F.col("_before") + F.col("_inside") + F.col("_k") - 1).select(*df.columns, "ordinal")
+
+
 def cap_at_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
     """Values above the quantile lowered to it; an empty table stays empty."""
     return df.crossJoin(F.broadcast(quantile(df, column, q))).withColumn(column, F.least(F.col(column), F.col("quantile"))).drop("quantile")
 
 
-def next_distance(annots: DataFrame, minimum: int, maximum: int = 0) -> DataFrame:
-    """Annotations with `distance` to the next on their strand (downstream), null for the last, at least `minimum`
-    away and at most `maximum` (0: no bound). A distance of 0 passes. Partitioned by sequence and strand."""
-    by = Window.partitionBy("seqid", "strand")
-    ahead = F.lead("start_pos").over(by.orderBy("start_pos", "end_pos", "annot_id")) - F.col("end_pos")
-    behind = F.col("start_pos") - F.lag("end_pos").over(by.orderBy("start_pos", "end_pos", "annot_id"))
+def next_distance(annots: DataFrame, minimum: int, maximum: int = 0, opposite: bool = False) -> DataFrame:
+    """Annotations with `distance` to the next on their strand (downstream), or with `opposite` on the other one, null
+    for the last, at least `minimum` away and at most `maximum` (0: no bound). A distance of 0 passes.
+    Partitioned by sequence and strand, or by sequence."""
+    if opposite:
+        by = Window.partitionBy("seqid").orderBy("start_pos", "end_pos", "annot_id")
+        other = lambda c: F.when(F.col("strand") != F.lit("+"), F.col(c))
+        after = F.first(other("start_pos"), ignorenulls=True).over(by.rowsBetween(1, Window.unboundedFollowing))
+        before = F.last(F.when(F.col("strand") == "+", F.col("end_pos")), ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
+        ahead, behind = after - F.col("end_pos"), F.col("start_pos") - before
+    else:
+        by = Window.partitionBy("seqid", "strand").orderBy("start_pos", "end_pos", "annot_id")
+        ahead, behind = F.lead("start_pos").over(by) - F.col("end_pos"), F.col("start_pos") - F.lag("end_pos").over(by)
     d = annots.withColumn("distance", F.when(F.col("strand") == "+", ahead).otherwise(behind))
     keep = F.col("distance").isNull() | (F.col("distance") == 0) | (F.col("distance") >= minimum)
     if maximum:
@@ -183,34 +227,38 @@ def upgrade_legacy(df: DataFrame) -> DataFrame:
     )
 
 
-def jaccard(a: DataFrame, b: DataFrame, width: int, parts: int = 10) -> DataFrame:
-    """q_a, q_b, jaccard of all pairs of occupancy bands (lower bound excluded): matched / (|a| + |b| - matched).
+def jaccard(a: DataFrame, b: DataFrame, width: int, clamp: float | None = None) -> DataFrame:
+    """q_a, q_b, jaccard of all pairs of occupancy bands (lower bound excluded): matched / (|a| + |b| - matched), at
+    most `clamp`.
 
-    a, b: seqid, position, strand, band (1..parts)."""
+    a, b: seqid, position, strand, band."""
     size_a = a.groupBy(F.col("band").alias("q_a")).agg(F.count(F.lit(1)).alias("na"))
     size_b = b.groupBy(F.col("band").alias("q_b")).agg(F.count(F.lit(1)).alias("nb"))
     windows = b.select(F.col("seqid").alias("a_seqid"), F.col("strand").alias("a_strand"), (F.col("position") - width).alias("start_pos"), (F.col("position") + width).alias("end_pos"), F.col("band").alias("q_b")).distinct()
     hits = point_join(a, windows, SITE_KEYS).select("site_id", F.col("band").alias("q_a"), "q_b").distinct()
     matched = hits.groupBy("q_a", "q_b").agg(F.count(F.lit(1)).alias("m"))
     grid = size_a.crossJoin(F.broadcast(size_b)).join(matched, ["q_a", "q_b"], "left").fillna(0)  # parts x parts rows
-    return grid.select("q_a", "q_b", F.round(F.col("m") / (F.col("na") + F.col("nb") - F.col("m")), 4).alias("jaccard"))
+    share = F.round(F.col("m") / (F.col("na") + F.col("nb") - F.col("m")), 4)
+    return grid.select("q_a", "q_b", (share if clamp is None else F.least(share, F.lit(clamp))).alias("jaccard"))
 
 
 def bands(df: DataFrame, column: str, parts: int = 10) -> DataFrame:
     """Rows with `band`: the first q = 1/parts, 2/parts, ... whose exact quantile is not below the value."""
-    out = df
-    names = []
-    for k in range(1, parts):
-        names.append(f"_q{k}")
-        out = out.crossJoin(F.broadcast(quantile(df, column, k / parts).withColumnRenamed("quantile", names[-1])))
+    names = [f"_q{k}" for k in range(1, parts)]
+    out = df.crossJoin(F.broadcast(quantiles(df, column, {n: k / parts for k, n in enumerate(names, 1)})))
     band = F.lit(parts)
     for k in range(parts - 1, 0, -1):
         band = F.when(F.col(column) <= F.col(names[k - 1]), k).otherwise(band)
     return out.withColumn("band", band).drop(*names)
 
 
-def colocalization(top: DataFrame, other: DataFrame, width: int) -> DataFrame:
-    """Mean over `top` sites of the largest occupancy of `other` within `width`, sum and count both beginning at 1."""
+def colocalization(top: DataFrame, other: DataFrame, width: int, relative: bool = False) -> DataFrame:
+    """Mean over `top` sites of the largest occupancy of `other` within `width`, sum and count both beginning at 1;
+    relative: the log2 of that mean by the median occupancy of `other` (null if that is not positive)."""
     windows = top.select("site_id", F.col("seqid").alias("a_seqid"), F.col("strand").alias("a_strand"), (F.col("position") - width).alias("start_pos"), (F.col("position") + width).alias("end_pos")).withColumnRenamed("site_id", "t_id")
     best = point_join(other, windows, SITE_KEYS).groupBy("t_id").agg(F.max("occupancy").alias("best"))
-    return best.agg(((F.lit(1.0) + F.coalesce(F.sum("best"), F.lit(0.0))) / (F.count(F.lit(1)) + 1)).alias("colocalization"), F.count(F.lit(1)).alias("matched"))
+    out = best.agg(((F.lit(1.0) + F.coalesce(F.sum("best"), F.lit(0.0))) / (F.count(F.lit(1)) + 1)).alias("colocalization"), F.count(F.lit(1)).alias("matched"))
+    if relative:
+        middle = other.agg(F.expr("percentile(occupancy, 0.5D)").alias("_m"))
+        out = out.crossJoin(F.broadcast(middle)).withColumn("colocalization", F.when(F.col("_m") > 0, F.log2(F.col("colocalization") / F.col("_m")))).drop("_m")
+    return out

@@ -60,16 +60,16 @@ def exists(cond: str, neg: bool = False, source: str = "v_annots") -> str:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = views(spark, sf_dir)
     good = sites.filter_features(v[S], v[A], ["1-URGENT", "2-HIGH"], padding=10)
-    return sites.annotate(good, v[A], SITE).orderBy(F.col("occupancy").desc(), *SITE).limit(1000)
+    return sites.annotate(good, v[A], SITE, 1000).orderBy(F.col("occupancy").desc(), *SITE)
 
 
 # --- sources -----------------------------------------------------------------------------------------------
 
 
-@query(f"select seqid, position, transitions, coverage, score, strand, occupancy, cast(tie1 as varchar) as extra from {S} where transitions > 2")
+@query(f"select seqid, position, transitions, coverage, score, strand, occupancy, cast(tie1 as varchar) as extra from {S}")
 def scan_sites(v, spark):
     header = [*tables.SITE_COLUMNS, "extra"]
-    rows = v[S].where("transitions > 2").select(*list(tables.SITE_COLUMNS), F.col("tie1").alias("extra"))
+    rows = v[S].select(*list(tables.SITE_COLUMNS), F.col("tie1").alias("extra"))
     return tables.parse_sites(tables.site_lines(rows), header)
 
 
@@ -169,9 +169,9 @@ def interval_semi(v, spark):
     return by_key(intervals.point_join(v[S], sites.renamed(v[A]), (("seqid", "a_seqid"),), "left_semi"))
 
 
-@query(", x as (select annot_id, seqid, start_pos, end_pos, feature from v_annots) select a.feature, count(*) as pairs, cast(sum(b.annot_id) as bigint) as others from x a join x b on a.seqid = b.seqid and a.start_pos <= b.end_pos and b.start_pos <= a.end_pos and a.annot_id % 10 = 0 group by a.feature")
+@query(", x as (select annot_id, seqid, start_pos, end_pos, feature from v_annots) select a.feature, count(*) as pairs, cast(sum(b.annot_id) as bigint) as others from x a join x b on a.seqid = b.seqid and a.start_pos <= b.end_pos and b.start_pos <= a.end_pos group by a.feature")
 def interval_range_join(v, spark):
-    a = v[A].where("annot_id % 10 = 0").select("seqid", F.col("start_pos").alias("a_start"), F.col("end_pos").alias("a_end"), "feature")
+    a = v[A].select("seqid", F.col("start_pos").alias("a_start"), F.col("end_pos").alias("a_end"), "feature")
     b = v[A].select(F.col("seqid").alias("b_seqid"), F.col("start_pos").alias("b_start"), F.col("end_pos").alias("b_end"), F.col("annot_id").alias("other"))
     return intervals.range_join(a, b, (("seqid", "b_seqid"),)).groupBy("feature").agg(F.count(F.lit(1)).alias("pairs"), F.sum("other").alias("others"))
 
@@ -207,14 +207,29 @@ def removed_by_feature(v, spark):
     return sites.removed_by_feature(v[S].select(*ident).distinct(), v[A], ["1-URGENT", "2-HIGH"], ident, 10)
 
 
-_ANN = f", d as (select distinct {', '.join(SITE)} from v_sites), n as (select {', '.join('s.' + c for c in SITE)}, coalesce(string_agg(distinct a.feature, '|' order by a.feature), 'NA') as annotation from d s left join v_annots a on {SAME} and s.position between a.start_pos and a.end_pos group by all)"
+_ANN = f", d as (select row_number() over () as rid, {', '.join(SITE)} from v_sites), n as (select rid, {', '.join('s.' + c for c in SITE)}, coalesce(string_agg(distinct a.feature, '|' order by a.feature), 'NA') as annotation from d s left join v_annots a on {SAME} and s.position between a.start_pos and a.end_pos group by all)"
 
 
-@query(f"{_ANN} select * from n")
+@query(f"{_ANN} select {', '.join(SITE)}, annotation from n")
 def annotate_sites(v, spark):
     return sites.annotate(v[S], v[A], SITE)
 
 
+@query(f"{_ANN}, t as (select * from n order by occupancy desc, {', '.join(SITE)} limit 500) select {', '.join(SITE)}, annotation from t")
+def annotate_top(v, spark):
+    return sites.annotate(v[S], v[A], SITE, 500)
+
+
+_CALLED = "select chrom as seqid, pos * 4 as position, strand, k as transitions, cast(null as double) as occupancy from v_factor where k >= 2"
+
+
+@query(f", d as (select row_number() over () as rid, * from ({_CALLED} union all {_CALLED}) q), n as (select rid, s.seqid, s.position, s.strand, s.transitions, s.occupancy, coalesce(string_agg(distinct a.feature, '|' order by a.feature), 'NA') as annotation from d s left join v_annots a on {SAME} and s.position between a.start_pos and a.end_pos group by all) select seqid, position, strand, transitions, occupancy, annotation from n")
+def annotate_called(v, spark):
+    """Called sites, which have no occupancy yet, each twice."""
+    called = pileup.naive_sites(v["v_pileup"]).withColumn("position", F.col("position") * 4)
+    return sites.annotate(called.unionByName(called), v[A], ["seqid", "position", "strand", "transitions", "occupancy"])
+
+
 @query(f"{_ANN} select case when annotation = 'NA' then 'unannotated' when contains(annotation, '|') then 'ambiguous' else annotation end as kind, count(*) as sites from n group by 1")
 def annotate_summary(v, spark):
     return sites.annotation_summary(sites.annotate(v[S], v[A], SITE))
@@ -230,9 +245,9 @@ def sites_around(v, spark):
     return by_key(sites.around(v[S], v[A], "start", 30, 10))
 
 
-@query(exists("a.seqid = s.seqid and a.annot_id % 40 = 0 and ((a.strand = s.strand and s.position between a.start_pos and a.end_pos) or (a.strand <> s.strand and ((s.strand = '+' and (s.position > a.start_pos - 200 and s.position < a.start_pos or s.position > a.end_pos - 200 and s.position < a.end_pos)) or (s.strand = '-' and (s.position > a.start_pos and s.position < a.start_pos + 200 or s.position > a.end_pos and s.position < a.end_pos + 200)))))"))
+@query(exists("a.seqid = s.seqid and s.position between a.start_pos - 200 and a.end_pos + 200 and ((a.strand = s.strand and s.position between a.start_pos and a.end_pos) or (a.strand <> s.strand and ((s.strand = '+' and (s.position > a.start_pos - 200 and s.position < a.start_pos or s.position > a.end_pos - 200 and s.position < a.end_pos)) or (s.strand = '-' and (s.position > a.start_pos and s.position < a.start_pos + 200 or s.position > a.end_pos and s.position < a.end_pos + 200)))))"))
 def sites_antisense(v, spark):
-    return by_key(sites.antisense(v[S], v[A].where("annot_id % 40 = 0")))
+    return by_key(sites.antisense(v[S], v[A]))
 
 
 _FN = "(select chrom as seqid, pos as position, strand, k from v_factor where k > 1)"
@@ -244,27 +259,30 @@ def near_match(v, spark):
     return by_key(sites.near_match(v[S], b, 3))
 
 
-def _banded(v, mod: int) -> DataFrame:
-    d = v[S].where(f"tie1 % 2 = {mod}").groupBy("seqid", "position", "strand").agg(F.max("occupancy").alias("occupancy"))
-    ident = F.concat_ws(":", "seqid", "position", "strand")
-    return sites.bands(d, "occupancy", 4).withColumn("site_id", ident)
+def _banded(df: DataFrame) -> DataFrame:
+    d = df.groupBy("seqid", "position", "strand").agg(F.max("occupancy").alias("occupancy"))
+    return sites.bands(d, "occupancy").withColumn("site_id", F.concat_ws(":", "seqid", "position", "strand"))
 
 
-_BAND = "select seqid, position, strand, max(occupancy) as occupancy from v_sites where tie1 % 2 = {m} group by seqid, position, strand"
+_BAND = "select seqid, position, strand, max(occupancy) as occupancy from {m} group by seqid, position, strand"
+_OTHER = "(select chrom as seqid, pos as position, strand, k / n as occupancy from v_factor where n > 0)"
 
 
-def _bands_sql(m: int) -> str:
-    q = lambda k: f"(select occupancy from b{m} order by occupancy offset (select cast(least(floor(count(*) * {k / 4}), count(*) - 1) as bigint) from b{m}) limit 1)"
-    return f", b{m} as ({_BAND.format(m=m)}), c{m} as (select *, case when occupancy <= {q(1)} then 1 when occupancy <= {q(2)} then 2 when occupancy <= {q(3)} then 3 else 4 end as band from b{m})"
+def _bands_sql(m: int, source: str) -> str:
+    q = lambda k: f"(select occupancy from b{m} order by occupancy offset (select cast(least(floor(count(*) * {k / 10}), count(*) - 1) as bigint) from b{m}) limit 1)"
+    cases = " ".join(f"when occupancy <= {q(k)} then {k}" for k in range(1, 10))
+    return f", b{m} as ({_BAND.format(m=source)}), c{m} as (select *, case {cases} else 10 end as band from b{m})"
 
 
 @query(
-    _bands_sql(0) + _bands_sql(1) + ", h as (select distinct a.seqid, a.position, a.strand, a.band as q_a, b.band as q_b from c0 a join c1 b on a.seqid = b.seqid and a.strand = b.strand and b.position between a.position - 2 and a.position + 2),"
+    _bands_sql(0, "v_sites") + _bands_sql(1, _OTHER) + ", h as (select distinct a.seqid, a.position, a.strand, a.band as q_a, b.band as q_b from c0 a join c1 b on a.seqid = b.seqid and a.strand = b.strand and b.position between a.position - 2 and a.position + 2),"
     " na as (select band as q_a, count(*) as na from c0 group by band), nb as (select band as q_b, count(*) as nb from c1 group by band), m as (select q_a, q_b, count(*) as m from h group by q_a, q_b)"
     " select na.q_a, nb.q_b, round(coalesce(m, 0) / (na + nb - coalesce(m, 0)), 4) as jaccard from na cross join nb left join m on m.q_a = na.q_a and m.q_b = nb.q_b"
 )
 def jaccard_quantiles(v, spark):
-    return sites.jaccard(_banded(v, 0), _banded(v, 1), 2)
+    """Deciles of the sites against deciles of the factor's sites."""
+    other = v["v_factor"].where("n > 0").select(F.col("chrom").alias("seqid"), F.col("pos").alias("position"), "strand", (F.col("k") / F.col("n")).alias("occupancy"))
+    return sites.jaccard(_banded(v[S]), _banded(other), 2)
 
 
 @query(
@@ -283,9 +301,9 @@ def colocalization(v, spark):
 _ORDER = "seqid, position, strand, tie1, tie2, transitions, coverage"
 
 
-@query(f"select seqid, position, strand, tie1, tie2 from v_sites order by {_ORDER} limit 200")
+@query(f"select seqid, position, strand, tie1, tie2 from v_sites order by {_ORDER}")
 def sort_sites(v, spark):
-    return sites.ordered(v[S], F.col("seqid"), [F.col(c) for c in _ORDER.split(", ")[1:]]).select("seqid", "position", "strand", "tie1", "tie2").limit(200)
+    return sites.ordered(v[S], F.col("seqid"), [F.col(c) for c in _ORDER.split(", ")[1:]]).select("seqid", "position", "strand", "tie1", "tie2")
 
 
 @query(f"select seqid, position, occupancy, tie1, tie2 from v_sites order by occupancy desc, {_ORDER} limit 50 offset 25")
@@ -316,6 +334,11 @@ def gff_min_dist(v, spark):
     return sites.next_distance(v[A], 8).select("annot_id", "distance")
 
 
+@query(", d as (select *, case strand when '+' then (select min(b.start_pos) from v_annots b where b.seqid = a.seqid and b.strand = '-' and (b.start_pos, b.end_pos, b.annot_id) > (a.start_pos, a.end_pos, a.annot_id)) - end_pos else start_pos - coalesce((select b.end_pos from v_annots b where b.seqid = a.seqid and b.strand = '+' and (b.start_pos, b.end_pos, b.annot_id) < (a.start_pos, a.end_pos, a.annot_id) order by b.start_pos desc, b.end_pos desc, b.annot_id desc limit 1), null) end as distance from v_annots a) select annot_id, distance from d where distance is null or distance = 0 or distance >= 8".replace("v_annots b where", "v_annots b where"))
+def gff_min_dist_opposite(v, spark):
+    return sites.next_distance(v[A], 8, opposite=True).select("annot_id", "distance")
+
+
 # --- sequences ---------------------------------------------------------------------------------------------
 
 
@@ -347,43 +370,65 @@ def kmer_freq(v, spark):
     return kmers.frequencies(kmers.count(v[G], 3, 1)).withColumn("freq", F.round("freq", 8))
 
 
-@query(f"select kmer, cast(pos as int) as pos, count(*) as n from ({_K3}) k where pos < 30 group by kmer, pos")
+@query(f"select kmer, cast(pos as int) as pos, count(*) as n from ({_K3}) k group by kmer, pos")
 def kmer_per_position(v, spark):
-    return kmers.by_position(v[G].select(F.substring("seq", 1, 32).alias("seq")), 3)
+    return kmers.by_position(v[G], 3)
 
 
-@query(f", c as (select kmer, pos, count(*) as n from ({_K3}) k where pos < 30 group by kmer, pos) select kmer, max(n) as peak from c group by kmer order by peak desc, kmer limit 10")
+@query(f", c as (select kmer, pos, count(*) as n from ({_K3}) k group by kmer, pos) select kmer, max(n) as peak from c group by kmer order by peak desc, kmer limit 10")
 def kmer_top10(v, spark):
-    return kmers.top(kmers.by_position(v[G].select(F.substring("seq", 1, 32).alias("seq")), 3))
+    return kmers.top(kmers.by_position(v[G], 3))
+
+
+_DENSE = f", u as (select a || b || c as kmer, p as pos from (values ('A'), ('C'), ('G'), ('T')) x(a), (values ('A'), ('C'), ('G'), ('T')) y(b), (values ('A'), ('C'), ('G'), ('T')) z(c), (select unnest(range(0, 40)) as p)), c as (select kmer, pos, count(*) as n from ({_K3}) k group by kmer, pos), f as (select u.kmer, u.pos, coalesce(n, 0) as n from u left join c on u.kmer = c.kmer and u.pos = c.pos)"
+
+
+@query(f"{_DENSE} select cast(pos as int) as pos, quantile_cont(n, 0.25) as q25, quantile_cont(n, 0.5) as q50, quantile_cont(n, 0.75) as q75 from f group by pos")
+def kmer_quartiles(v, spark):
+    """Baselines of the position plot, over all k-mers at each of the first 40 places, absent ones as zero."""
+    return kmers.quartiles(kmers.by_position(v[G], 3, dense=True, width=40))
 
 
-def _odds(binned: str) -> str:
+def _odds(binned: str, clamp: str = "{}") -> str:
+    odds = clamp.format("log2(n / sum(n) over (partition by bin) / freq)")
     return (
         f", f as (select kmer, count(*) + 1 as n from ({_K3}) k group by kmer), bg as (select kmer, n / (select sum(n) from f) as freq from f), b as ({binned}),"
-        " w as (select b.bin, substr(seq, i, 3) as kmer from (select bin, seq, unnest(range(1, length(seq) - 1)) as i from b where length(seq) >= 3) b),"
-        " c as (select x.bin, bg.kmer, freq, (select count(*) from w where w.bin = x.bin and w.kmer = bg.kmer) + 1 as n from (select distinct bin from b) x, bg) select bin, kmer, round(log2(n / sum(n) over (partition by bin) / freq), 6) as log_odds from c"
+        " w as (select bin, substr(seq, i, 3) as kmer, count(*) as n from (select bin, seq, unnest(range(1, length(seq) - 1)) as i from b where length(seq) >= 3) b group by 1, 2),"
+        f" c as (select x.bin, bg.kmer, freq, coalesce(w.n, 0) + 1 as n from (select distinct bin from b) x cross join bg left join w on w.bin = x.bin and w.kmer = bg.kmer), o as (select bin, kmer, round({odds}, 6) as log_odds from c)"
     )
 
 
-@query(_odds("select cast(floor((row_number() over (order by length(seq) desc, seqid) - 1) / 200) as bigint) as bin, substr(seq, 1, 100) as seq from v_genome where cast(seqid as bigint) < 1000"))
-def kmer_logodds(v, spark):
-    from pyspark.sql import Window
+_RANKED = "select row_number() over (order by length(seq) desc, cast(seqid as bigint)) - 1 as rank, seq, (select count(*) from v_genome) as total from v_genome"
+_RANK_BINS = f"select floor(rank / 100) as bin, seq from ({_RANKED}) r where (floor(rank / 100) + 1) * 100 <= least(5000, total - 2)"
+_CENTRED = f"select q.bin, seq from ({_RANKED}) r join (values (0, 0.0), (1, 0.25), (2, 0.3), (3, 0.6)) q(bin, share) on case when q.bin = 0 then rank between 0 and 100 else rank between floor(total * share) - 50 and floor(total * share) + 50 end"
+
+
+def _longest_first(v) -> DataFrame:
+    """Sequences with their rank by length; only ids and lengths are ranked."""
+    sizes = v[G].select("seqid", (-F.length("seq")).cast("long").alias("size"), F.col("seqid").cast("long").alias("number"))
+    ranks = sites.ordinal(sizes, "size", "number").select("seqid", F.col("ordinal").alias("rank"))
+    return v[G].join(ranks, "seqid")
+
+
+def _log_odds(v, binned: DataFrame, clamp: float | None = None) -> DataFrame:
+    return kmers.log_odds(binned, kmers.frequencies(kmers.count(v[G], 3, 1)), 3, clamp)
+
 
-    # The bins are ranks of a top slice, so one window task orders it.
-    bg = kmers.frequencies(kmers.count(v[G], 3, 1))
-    ranked = v[G].where("cast(seqid as bigint) < 1000").withColumn("rn", F.row_number().over(Window.orderBy(F.length("seq").desc(), "seqid")))
-    return kmers.log_odds(ranked.select(F.floor((F.col("rn") - 1) / 200).alias("bin"), F.substring("seq", 1, 100).alias("seq")), bg, 3).withColumn("log_odds", F.round("log_odds", 6))
+@query(_odds(_RANK_BINS) + " select cast(bin as bigint) as bin, kmer, log_odds from o")
+def kmer_logodds(v, spark):
+    return _log_odds(v, kmers.rank_bins(_longest_first(v), 100, 5000)).withColumn("log_odds", F.round("log_odds", 6))
 
 
-@query(_odds("select q.bin, substr(seq, 1, 60) as seq from (select row_number() over (order by length(seq), seqid) - 1 as rn, seq from v_genome where cast(seqid as bigint) < 1000) g join (values (0, 0), (1, 250), (2, 300), (3, 600)) q(bin, mid) on g.rn between q.mid - 100 and q.mid + 100"))
+@query(_odds(_CENTRED) + " select bin, kmer, log_odds from o")
 def kmer_logodds_q(v, spark):
-    from pyspark.sql import Window
+    return _log_odds(v, kmers.centred_bins(_longest_first(v), [0.25, 0.3, 0.6], 50)).withColumn("log_odds", F.round("log_odds", 6))
+
 
-    bg = kmers.frequencies(kmers.count(v[G], 3, 1))
-    ranked = v[G].where("cast(seqid as bigint) < 1000").withColumn("rn", F.row_number().over(Window.orderBy(F.length("seq"), "seqid")) - 1)
-    centres = spark.createDataFrame([(0, 0), (1, 250), (2, 300), (3, 600)], "bin int, mid int")
-    binned = ranked.join(F.broadcast(centres), F.col("rn").between(F.col("mid") - 100, F.col("mid") + 100))
-    return kmers.log_odds(binned.select("bin", F.substring("seq", 1, 60).alias("seq")), bg, 3).withColumn("log_odds", F.round("log_odds", 6))
+@query(_odds(_RANK_BINS, "greatest(least({}, 0.05), -0.05)") + " select kmer, round(sum(log_odds), 5) as lead from o where bin < 3 group by kmer")
+def kmer_leading(v, spark):
+    """k-mers by the sum of their clamped log odds over the first three bins."""
+    odds = _log_odds(v, kmers.rank_bins(_longest_first(v), 100, 5000), 0.05).withColumn("log_odds", F.round("log_odds", 6))
+    return kmers.leading(odds).withColumn("lead", F.round("lead", 5))
 
 
 @query(", c as (select i - 1 as pos, substr(seq, i, 1) as base from (select seq, unnest(range(1, 21)) as i from v_genome where length(seq) >= 20) q), n as (select pos, base, count(*) as n from c group by 1, 2), p as (select pos, n / sum(n) over (partition by pos) as p from n) select cast(pos as int) as pos, round(2 + sum(p * log2(p)), 6) as ic from p group by pos")
@@ -538,24 +583,23 @@ def metagene_rmean2(v, spark):
     return _mean(profiles.smooth_flat(raw, 4, 51))
 
 
+DRAWS = 50
+_POISSON = " ".join(f"when u < {p!r} then {k}" for k, p in enumerate(profiles.POISSON))
 _BOOT = (
-    ", o as (select annot_id, row_number() over (order by annot_id) - 1 as ordinal, seqid, strand, start_pos, end_pos from v_annots where annot_id % 20 = 0), n as (select count(*) as n from o),"
-    " p as (select d as draw, ((d * 7919 + i * 104729 + 42) * 48271 % 2147483647) % (select n from n) as ordinal from (select unnest(range(0, 20)) as d), (select unnest(range(0, (select n from n))) as i)),"
-    " w as (select *, case strand when '+' then start_pos - 10 else end_pos - 10 end as lo, case strand when '+' then start_pos + 10 else end_pos + 10 end as hi from o),"
-    " h as (select w.ordinal, case w.strand when '+' then s.position - lo else hi - s.position end as o, sum(occupancy) as t from v_sites s join w on s.seqid = w.seqid and s.strand = w.strand and s.position between lo and hi group by 1, 2),"
-    " b as (select draw, o, sum(t) / (select n from n) as mean from p join h using (ordinal) group by 1, 2),"
-    " g as (select d as draw, x as \"offset\", coalesce(b.mean, 0) as mean from (select unnest(range(0, 20)) as d) cross join (select unnest(range(0, 21)) as x) left join b on b.draw = d and b.o = x)"
+    f", d as (select unnest(range(0, {DRAWS})) as draw), q as (select annot_id, draw, ((draw * 7919 + annot_id * 104729 + 42) * 48271 % 2147483647 + draw * 31) * 16807 % 2147483647 / cast(2147483647.0 as double) as u from v_annots cross join d),"
+    f" w as (select annot_id, draw, case {_POISSON} else {len(profiles.POISSON)} end as w from q), n as (select draw, sum(w) as n from w group by draw),"
+    " a as (select annot_id, seqid, strand, case strand when '+' then start_pos - 10 else end_pos - 10 end as lo, case strand when '+' then start_pos + 10 else end_pos + 10 end as hi from v_annots),"
+    " h as (select a.annot_id, case a.strand when '+' then s.position - lo else hi - s.position end as o, sum(occupancy) as t from v_sites s join a on s.seqid = a.seqid and s.strand = a.strand and s.position between lo and hi group by 1, 2),"
+    " b as (select draw, o, sum(t * w) as total from w join h using (annot_id) group by 1, 2),"
+    " g as (select n.draw, x as \"offset\", coalesce(b.total / n.n, 0) as mean from n cross join (select unnest(range(0, 21)) as x) left join b on b.draw = n.draw and b.o = x)"
 )
 
 
 def _draws(v) -> DataFrame:
-    from pyspark.sql import Window
-
-    a = v[A].where("annot_id % 20 = 0").withColumn("ordinal", F.row_number().over(Window.orderBy("annot_id")) - 1)
-    return profiles.bootstrap(v[S], a, 10, 10, 20)
+    return profiles.bootstrap(v[S], v[A], 10, 10, DRAWS)
 
 
-@query(f"{_BOOT} select draw, \"offset\", round(mean, 8) as mean from g")
+@query(f"{_BOOT} select cast(draw as int) as draw, \"offset\", round(mean, 8) as mean from g")
 def metagene_bootstrap(v, spark):
     return _draws(v).select("draw", "offset", F.round("mean", 8).alias("mean"))
 
@@ -577,9 +621,7 @@ def _heat(scaled: bool) -> str:
 
 
 def _sized(v) -> DataFrame:
-    from pyspark.sql import Window
-
-    return v[A].withColumn("ordinal", F.row_number().over(Window.orderBy(F.col("end_pos") - F.col("start_pos"), "annot_id")) - 1)
+    return sites.ordinal(v[A].withColumn("size0", F.col("end_pos") - F.col("start_pos")), "size0", "annot_id").drop("size0")
 
 
 @query(_heat(False))
@@ -604,6 +646,23 @@ def processing_index(v, spark):
     return profiles.processing_index(v[S], v[A], 25).select(r6("processing_index"))
 
 
+@query(f", w as (select annot_id, seqid, strand, case strand when '+' then start_pos - 6 else end_pos - 9 end as lo, case strand when '+' then start_pos + 9 else end_pos + 6 end as hi from v_annots), h as (select w.annot_id, case w.strand when '+' then s.position - lo else hi - s.position end as o, sum(occupancy) as t from v_sites s join w on s.seqid = w.seqid and s.strand = w.strand and s.position between lo and hi group by 1, 2), g as (select annot_id, o from v_annots cross join (select unnest(range(0, 16)) as o)) select g.annot_id, string_agg(format('{{:.4f}}', coalesce(t, 0) + 1e-9), ',' order by g.o) as row from g left join h on g.annot_id = h.annot_id and g.o = h.o group by g.annot_id")
+def metagene_matrix(v, spark):
+    m = profiles.raw_matrix(v[S], v[A], "start", 6, 9)
+    return m.select("annot_id", F.concat_ws(",", F.transform("values", lambda x: F.format_string("%.4f", x + 1e-9))).alias("row"))
+
+
+@query(f", p as (select chrom as seqid, pos as position, '+' as strand, cast({_sum('.ACGT')} as bigint) as coverage from v_pileup union all select chrom, pos, '-', cast({_sum(',acgt')} as bigint) from v_pileup) select a.annot_id, case a.strand when '+' then s.position - a.start_pos else a.end_pos - s.position end as \"offset\", s.coverage from p s join v_annots a on {SAME} and s.position between a.start_pos and a.end_pos where s.coverage > 0")
+def coverage_profile(v, spark):
+    return pileup.strand_coverage(v["v_pileup"], v[A])
+
+
+@query(", s as (select seqid, unnest(range(1, length(seq) + 1)) as pos, seq from v_genome), a as (select cast(read_id % 150 as varchar) as seqid, cast(1 + read_id % 200 as bigint) as lo, cast(1 + read_id % 200 + len as bigint) as hi, case when fwd then '+' else '-' end as strand from v_align) select distinct s.seqid, pos, substr(seq, pos, 1) as base, case substr(seq, pos, 1) when 'T' then '+' else '-' end as strand from s where substr(seq, pos, 1) in ('T', 'A') and exists (select 1 from a where a.seqid = s.seqid and a.strand = case substr(seq, pos, 1) when 'T' then '+' else '-' end and s.pos between lo and hi)")
+def extract_sites_within(v, spark):
+    a = v["v_align"].select((F.col("read_id") % 150).cast("string").alias("seqid"), (1 + F.col("read_id") % 200).cast("bigint").alias("start_pos"), (1 + F.col("read_id") % 200 + F.col("len")).cast("bigint").alias("end_pos"), F.when(F.col("fwd"), "+").otherwise("-").alias("strand"))
+    return pileup.site_universe_within(v[G], a)
+
+
 # --- models ------------------------------------------------------------------------------------------------
 
 
@@ -626,10 +685,21 @@ def bs_pvalues(v, spark):
     return called.select("seqid", "position", "strand", F.col("transitions").alias("k"), F.col("coverage").alias("n"), F.round("p_value", 8).alias("p_value"))
 
 
-@query()
+_STEPS = 50
+_SHARE = [f"w{j} * pow(1 - p{j}, k) * p{j}" for j in (1, 2, 3)]
+_NEXT = ", ".join(f"sum(r{j}) / sum(r{j} * (k + 1))" for j in (1, 2, 3)) + ", " + ", ".join(f"sum(r{j}) / sum(c)" for j in (1, 2, 3))
+_RESP = ", ".join(f"{x} / ({' + '.join(_SHARE)}) * c as r{j}" for j, x in enumerate(_SHARE, 1))
+
+
+@query(
+    ", h as (select cast(k as double) as k, count(*) as c from v_mock group by k), s as (select 1 / (1 + sum(k * c) / sum(c)) as s, max(k) as top from h),"
+    " em as (select 0 as i, s as p1, 1.05 * s as p2, 1 / (1 + top) as p3, 0.01 / 1.01 as w1, 0.99 / 1.01 as w2, 0.01 / 1.01 as w3 from s"
+    f" union all select i + 1, {_NEXT} from (select i, k, c, {_RESP} from em, h where i < {_STEPS}) x group by i)"
+    f" select cast(j as int) as component, round(w, 6) as weight, round(p / (1 - p), 6) as rate from (select 0 as j, w1 as w, p1 as p from em where i = {_STEPS} union all select 1, w2, p2 from em where i = {_STEPS} union all select 2, w3, p3 from em where i = {_STEPS}) e"
+)
 def em_histogram(v, spark):
-    h = {r["k"]: r["count"] for r in v["v_mock"].groupBy("k").count().collect()}
-    w, g = models.fit_geometric_mixture(h, 3, 50)
+    h = {r["k"]: r["count"] for r in v["v_mock"].groupBy("k").count().collect()}  # a row for each count that occurs
+    w, g = models.fit_geometric_mixture(h, 3, _STEPS)
     return spark.createDataFrame([(i, round(float(a), 6), round(float(b), 6)) for i, (a, b) in enumerate(zip(w, g, strict=True))], "component int, weight double, rate double")
 
 
@@ -693,19 +763,60 @@ def grenander(v, spark):
     return models.grenander(_pvalues(v), "k_mock").select("k_mock", r6("x"), F.round("f", 5).alias("f"))
 
 
+def _density(source: str, z: str) -> str:
+    """Common tables: Bayes factor at each p of `source` (g, p); names end in z."""
+    return (
+        f", e{z} as (select g, p as x, sum(c) over (partition by g order by p) / sum(c) over (partition by g) as y from (select g, p, count(*) as c from {source} group by 1, 2) q),"
+        f" t{z} as (select g, x, y from e{z} union select g, 0.0, 0.0 from e{z} group by g having min(x) > 0 union select g, 1.0, 1.0 from e{z} group by g having max(x) < 1),"
+        f" k{z} as (select p.g, p.x, p.y from t{z} p where not exists (select 1 from t{z} a join t{z} b on a.g = b.g where a.g = p.g and a.x < p.x and b.x > p.x and a.y + (b.y - a.y) * (p.x - a.x) / (b.x - a.x) >= p.y - 1e-12)),"
+        f" s{z} as (select g, x, (lead(y) over w - y) / (lead(x) over w - x) as f0 from k{z} window w as (partition by g order by x)), f{z} as (select g, x, coalesce(f0, lag(f0) over (partition by g order by x)) as f from s{z}),"
+        f" m{z} as (select g, greatest(min(f), 1e-6) as low from f{z} group by g),"
+        f" b{z} as (select e.g, e.x as p, (select f from f{z} f where f.g = e.g and f.x <= e.x order by f.x desc limit 1) / m.low - 1 as bf, 1 - m.low as q from e{z} e join m{z} m on e.g = m.g)"
+    )
+
+
+_POST = (
+    _KK + _NK.replace(", nd as", ", nd as", 1)
+    + ", t0 as (select t.*, round(kk.pval_kk, 8) as pval_kk, round(nk.pval_nk, 8) as pval_nk, least(k_factor, 10) as lump from v_trtable t join kk on t.k_factor = kk.k and t.k_mock = kk.k_mock left join nk on t.k_factor = nk.k and t.n_factor = nk.n where t.k_mock <= 3),"
+    " va as (select k_mock as g, pval_kk as p from t0), vb as (select lump as g, pval_nk as p from t0 where n_factor > 0)"
+    + _density("va", "_a") + _density("vb", "_b")
+    + ", po as (select t.*, a.bf as bf_kk, b.bf as bf_nk, b.q, a.bf * b.bf * (1 - b.q) / nullif(b.q, 0) as bf from t0 t join b_a a on a.g = t.k_mock and a.p = t.pval_kk join b_b b on b.g = t.lump and b.p = t.pval_nk where k_factor > 0), ps as (select *, coalesce(bf / (1 + bf), 0) as posterior from po)"
+)
+
+
 def _posterior(v) -> DataFrame:
-    return models.posterior(v["v_trtable"], _kk(v), _nk(v), 3)
+    """Of p-values rounded to 8 digits, so that both engines see the same ties."""
+    kk, nk = _kk(v).withColumn("pval_kk", F.round("pval_kk", 8)), _nk(v).withColumn("pval_nk", F.round("pval_nk", 8))
+    return models.posterior(v["v_trtable"], kk, nk, 3)
 
 
-@query()
+@query(f"{_POST} select chrom, pos, strand, k_factor, n_factor, k_mock, round(log10(greatest(1 + bf_kk, 1e-6)), 4) as lbf_kk, round(log10(greatest(1 + bf_nk, 1e-6)), 4) as lbf_nk, pval_kk, pval_nk, round(posterior, 4) + 0.0 as posterior from ps")
 def posterior(v, spark):
-    p = _posterior(v)
-    return p.select("chrom", "pos", "strand", "k_factor", "n_factor", "k_mock", *[r6(c) for c in ("bf_kk", "bf_nk", "pval_kk", "pval_nk", "posterior")])
+    """Bayes factors as logarithms of one more."""
+    logs = [F.round(F.log10(F.greatest(1 + F.col(c), F.lit(1e-6))), 4).alias("l" + c) for c in ("bf_kk", "bf_nk")]
+    return _posterior(v).select("chrom", "pos", "strand", "k_factor", "n_factor", "k_mock", *logs, "pval_kk", "pval_nk", (F.round("posterior", 4) + 0.0).alias("posterior"))
 
 
-@query()
+@query(f"{_POST} select chrom as seqid, pos as position, strand, k_factor as transitions, n_factor as coverage, round(ln(nullif(bf_kk, 0)) + ln(nullif(bf_nk, 0)), 3) as score, round(posterior, 4) as posterior from ps where round(posterior, 4) >= 0.1 and k_factor >= 2")
 def posterior_to_table(v, spark):
-    return models.posterior_sites(_posterior(v), 0.1, 2).select("seqid", "position", "strand", "transitions", "coverage", r6("score"), r6("posterior"))
+    post = _posterior(v).withColumn("posterior", F.round("posterior", 4))
+    return models.posterior_sites(post, 0.1, 2).select("seqid", "position", "strand", "transitions", "coverage", F.round("score", 3).alias("score"), "posterior")
+
+
+@query()
+def mock_model(v, spark):
+    """Everything that is fitted on the mock counts, and the background of the naive p-values; tests hold the fits against planted values."""
+    m = models.fit_mock(v["v_mock"], MOCK_COVERAGE, 3, 100)
+    r, rho, a, b = models.fit_background({(int(x["k"]), int(x["n"])): int(x["count"]) for x in v["v_factor"].groupBy("k", "n").count().collect()})
+    rows = [("alpha", m.alpha), ("beta", m.beta), *((f"pk_{i}", w) for i, w in enumerate(m.pk_weights)), *((f"pn_{i}", w) for i, w in enumerate(m.pn_weights)), ("r", r), ("rho", rho), ("a", a), ("b", b)]
+    return spark.createDataFrame([(n, round(float(x), 4)) for n, x in rows], "parameter string, value double")
+
+
+@query()
+def posterior_fitted(v, spark):
+    """From counts to posteriors: the mock model is fitted first; tests hold the chain against its parts."""
+    m = models.fit_mock(v["v_mock"], MOCK_COVERAGE, 3, 100)
+    return models.score_with(v["v_trtable"], m, COVERAGE, 3).select("chrom", "pos", "strand", "k_factor", "n_factor", "k_mock", F.round("posterior", 4).alias("posterior"))
 
 
 @query("select round((avg(case when k_factor = 0 then 1.0 else 0 end) - avg(case when k_factor = 1 then 1.0 else 0 end)) / (avg(case when k_mock = 0 then 1.0 else 0 end) - avg(case when k_mock = 1 then 1.0 else 0 end)), 6) as eta0 from v_trtable")
@@ -713,6 +824,6 @@ def eta0(v, spark):
     return models.null_fraction(v["v_trtable"]).select(r6("eta0"))
 
 
-@query()
+@query(f"{_POST} select round(sum(n_factor * posterior), 1) as bound, round(sum(n_factor * (1 - posterior)), 1) as unbound from ps")
 def posterior_coverage(v, spark):
-    return models.weighted_coverage(_posterior(v)).select(r6("bound"), r6("unbound"))
+    return models.weighted_coverage(_posterior(v)).select(F.round("bound", 1).alias("bound"), F.round("unbound", 1).alias("unbound"))

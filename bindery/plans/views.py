@@ -52,4 +52,4 @@ def views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def with_views(sql: str) -> str:
     """A DuckDB statement: `sql` is a SELECT, or further common tables, begun with a comma, and a SELECT."""
     ctes = ", ".join(f"{name} as ({body.replace('{g}', chr(44) + ' ' + chr(39) + 'g' + chr(39))})" for name, body in VIEWS.items())
-    return f"with {ctes} {sql}"
+    return f"with recursive {ctes} {sql}"

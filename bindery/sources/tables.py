@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import itertools
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bindery.functions.sequences import revcomp
+
 #: The columns that a site table must begin with.
 SITE_COLUMNS = {"seqid": "string", "position": "bigint", "transitions": "int", "coverage": "int", "score": "double", "strand": "string", "occupancy": "double"}
 LEGACY_COLUMNS = {"chromosome": "string", "position": "bigint", "m": "int", "r": "int", "pvalue": "double", "strand": "string", "occ": "double"}
@@ -79,11 +87,101 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.where(body != "").select(F.split(lines[0], r"\s")[0].alias("seqid"), F.upper(F.regexp_replace(F.concat_ws("", F.slice(lines, 2, F.size(lines))), r"\s", "")).alias("seq"))
 
 
+def _split_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with the file and the split that they were read from; a task reads the lines of a split in order."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Iterator[str]]]:
+    """(file, block, lines) of each split."""
+    rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+    for (file, block), some in itertools.groupby(rows, key=lambda r: r[1:]):
+        yield file, block, (r[0] or "" for r in some)
+
+
+def _fasta_summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """file, block, name of the last header (null: none), letters after it or in all of the split."""
+    out = []
+    for file, block, lines in _by_split(batches):
+        name, letters = None, 0
+        for line in lines:
+            if line.startswith(">"):
+                name, letters = (line[1:].split() or [""])[0], 0
+            else:
+                letters += len(line.strip())
+        out.append((file, block, name, letters))
+    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string(), pa.int64()))], names=["file", "block", "name", "letters"])
+
+
+def _fasta_pieces(chunk: int, before: dict[tuple[str, int], tuple[str | None, int]]):
+    """seqid, chunk, at, seq: the letters of lines, cut at multiples of `chunk`. before: (file, block) -> the sequence
+    that goes on there, and the letters of it that came before."""
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.string()))], names=["seqid", "chunk", "at", "seq"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for file, block, lines in _by_split(batches):
+            name, start = before[(file, block)]
+            out, text = [], []
+            for line in itertools.chain(lines, [">"]):
+                if not line.startswith(">"):
+                    text.append(line.strip())
+                if line.startswith(">") or len(text) >= 4096:
+                    whole = "".join(text).upper()
+                    text = []
+                    while whole:
+                        n = chunk - start % chunk
+                        out.append((name, start // chunk, start % chunk, whole[:n]))
+                        start += len(whole[:n])
+                        whole = whole[n:]
+                    if len(out) >= 256:
+                        yield table(out)
+                        out = []
+                if line.startswith(">"):
+                    name, start = (line[1:].split() or [""])[0], 0
+            yield table(out)
+
+    return run
+
+
 def read_fasta_chunks(spark: SparkSession, path: str, chunk: int = 100_000) -> DataFrame:
-    """seqid, chunk_start (1-based), seq: sequences in pieces that joins can spread."""
-    g = read_fasta(spark, path)
-    starts = F.sequence(F.lit(1).cast("long"), F.greatest(F.length("seq"), F.lit(1)).cast("long"), F.lit(chunk).cast("long"))
-    return g.select("seqid", F.explode(starts).alias("chunk_start"), "seq").select("seqid", "chunk_start", F.substring(F.col("seq"), F.col("chunk_start").cast("int"), F.lit(chunk)).alias("seq"))
+    """seqid, chunk_start (1-based), seq: sequences in pieces that joins can spread, in upper case.
+
+    Files are read in splits, so that a chromosome is never one row. A first pass notes for each split the last
+    header and the letters after it, one row a split, which tells where every split begins."""
+    lines = _split_lines(spark, path)
+    notes = sorted(tuple(r) for r in lines.mapInArrow(_fasta_summary, "file string, block bigint, name string, letters bigint").collect())
+    before: dict[tuple[str, int], tuple[str | None, int]] = {}
+    for _, some in itertools.groupby(notes, key=lambda r: r[0]):
+        name, letters = None, 0
+        for file, block, last, more in some:
+            before[(file, block)] = (name, letters)
+            name, letters = (name, letters + more) if last is None else (last, more)
+    parts = lines.mapInArrow(_fasta_pieces(chunk, before), "seqid string, chunk bigint, at bigint, seq string").where("seqid is not null")
+    # A chunk holds at most `chunk` letters, so its pieces are few.
+    whole = parts.groupBy("seqid", "chunk").agg(F.sort_array(F.collect_list(F.struct("at", "seq"))).alias("p"))
+    return whole.select("seqid", (F.col("chunk") * chunk + 1).alias("chunk_start"), F.concat_ws("", F.col("p.seq")).alias("seq"))
+
+
+def fetch(chunks: DataFrame, regions: DataFrame, chunk: int = 100_000) -> DataFrame:
+    """regions (seqid, start_pos, end_pos, strand, 1-based closed) with `seq` of their strand; regions that reach out of
+    their sequence are dropped. A region joins the chunks it touches, and these alone."""
+    named = regions.withColumn("_id", F.xxhash64("seqid", "start_pos", "end_pos", "strand"))
+    asked = named.select("_id", "seqid", "start_pos", "end_pos").distinct().where("start_pos >= 1 and start_pos <= end_pos")
+    touched = asked.withColumn("chunk_start", F.explode(F.transform(F.sequence(F.floor((F.col("start_pos") - 1) / chunk), F.floor((F.col("end_pos") - 1) / chunk)), lambda c: c * chunk + 1)))
+    first = F.greatest(F.col("start_pos") - F.col("chunk_start"), F.lit(0))
+    piece = F.substring(F.col("seq"), (first + 1).cast("int"), (F.col("end_pos") - F.col("chunk_start") + 1 - first).cast("int"))
+    got = touched.join(chunks, ["seqid", "chunk_start"]).select("_id", "seqid", "start_pos", "end_pos", F.struct("chunk_start", piece.alias("s")).alias("p"))
+    whole = got.groupBy("_id", "seqid", "start_pos", "end_pos").agg(F.sort_array(F.collect_list("p")).alias("p")).withColumn("seq", F.concat_ws("", F.col("p.s")))
+    whole = whole.where(F.length("seq") == F.col("end_pos") - F.col("start_pos") + 1).select("_id", "seq")
+    return named.join(whole, "_id").withColumn("seq", F.when(F.col("strand") == "-", revcomp(F.col("seq"))).otherwise(F.col("seq"))).drop("_id")
+
+
+def check_index(chunks: DataFrame, index: DataFrame) -> DataFrame:
+    """Sequences whose length is not that of the index, or that one of the two lacks; none if the index is sound."""
+    lengths = chunks.groupBy("seqid").agg(F.sum(F.length("seq")).alias("found"))
+    return lengths.join(index.select("seqid", "length"), "seqid", "full").where(~F.col("found").eqNullSafe(F.col("length")))
 
 
 def read_fai(spark: SparkSession, path: str) -> DataFrame:
@@ -93,13 +191,56 @@ def read_fai(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(good.alias("seqid"), *[parts[i].cast("bigint").alias(c) for i, c in enumerate(("length", "offset", "linebases", "linewidth"), 1)])
 
 
+RECORDS = "file string, block bigint, place int, lines array<string>"
+LETTERS = re.compile(r"[A-Za-z.*-]*\r?")
+
+
+def _begins(lines: list[str], i: int) -> bool:
+    """Whether a record begins at line i: a quality line that looks like a header is not followed by letters."""
+    return lines[i].startswith("@") and LETTERS.fullmatch(lines[i + 1]) is not None and lines[i + 2].startswith("+") and len(lines[i + 1]) == len(lines[i + 3])
+
+
+def _fastq_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole records of a split (place 1), what comes before the first (0) and after the last (2); all, if none is whole (1 is missing)."""
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int32(), pa.list_(pa.string())))], names=["file", "block", "place", "lines"])
+
+    for file, block, lines in _by_split(batches):
+        held, found, out = [], False, []
+        for line in lines:
+            held.append(line)
+            if not found and len(held) >= 4 and _begins(held, len(held) - 4):
+                found = True
+                if held[:-4]:
+                    out.append((file, block, 0, held[:-4]))
+                held = held[-4:]
+            if found and len(held) == 4:
+                out.append((file, block, 1, held))
+                held = []
+            if len(out) >= 4096:
+                yield table(out)
+                out = []
+        if held:
+            out.append((file, block, 2 if found else 0, held))
+        yield table(out)
+
+
+def _fastq_rest(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Records that lie across splits, from the pieces of a file in order: at most two a split."""
+    lines = [x for r in pdf.sort_values(["block", "place"])["lines"] for x in r]
+    lines = [x for k, x in enumerate(lines) if x or k % 4 in (1, 3)]  # empty lines between records, but not empty reads
+    return pd.DataFrame({"lines": [lines[k : k + 4] for k in range(0, len(lines) - 3, 4)]})
+
+
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """id, seq, plus, qual of four-line records. A record is found at "\\n@" line starts followed by a letter line
-    and a plus line, so that quality lines that begin with @ stay data; files split without a global order."""
-    text = spark.read.text(path, wholetext=True)
-    record = r"@([^\n]*)\n([A-Za-z.*-]*)\r?\n(\+[^\n]*)\n([^\n]*)(?:\n|$)"
-    each = text.select(F.explode(F.regexp_extract_all("value", F.lit(record), F.lit(0))).alias("r"))
-    return each.select(*[F.regexp_extract("r", record, i).alias(c) for i, c in enumerate(("id", "seq", "plus", "qual"), 1)])
+    """id, seq, plus, qual of four-line records. Files are read in splits: a task finds where records begin, and the
+    pieces of records at the edges of splits, at most two for each, meet in one group a file."""
+    pieces = _split_lines(spark, path).mapInArrow(_fastq_records, RECORDS)
+    rest = pieces.where("place <> 1").groupBy("file").applyInPandas(_fastq_rest, "lines array<string>")
+    each = pieces.where("place = 1").select("lines").unionByName(rest)
+    clean = lambda i: F.regexp_replace(F.col("lines")[i], r"\r$", "")
+    return each.select(F.substring(clean(0), 2, 1 << 30).alias("id"), clean(1).alias("seq"), clean(2).alias("plus"), clean(3).alias("qual"))
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
@@ -127,19 +268,16 @@ def write_sites(sites: DataFrame, path: str, order: list[Column] | None = None)
     (sites.orderBy(*order) if order else sites).select(*[_text(F.col(c)).alias(c) for c in sites.columns]).write.csv(path, sep="\t", header=True, quote="", escapeQuotes=False)
 
 
-def fasta_lines(windows: DataFrame, order: list[Column]) -> DataFrame:
-    """rank, value: records `>seq:i:chrom:pos:strand:occupancy:transitions:ratio` and sequence. i counts dropped
-    rows too, so windows keeps out-of-range rows with a null seq; a zero occupancy leaves the ratio empty.
-
-    One task numbers what is written, a top slice; number ranges before for more."""
-    ranked = windows.withColumn("rank", F.row_number().over(Window.orderBy(*order)) - 1).where("seq is not null")
+def fasta_lines(windows: DataFrame) -> DataFrame:
+    """rank, value: records `>seq:i:chrom:pos:strand:occupancy:transitions:ratio` and sequence, for rows with their
+    place in `ordinal`, which counts rows of null seq too; these are left out. A zero occupancy leaves the ratio empty."""
     ratio = F.when(F.col("occupancy") != 0, F.bround(F.col("transitions") / F.col("occupancy"), 2))
-    head = F.concat_ws(":", F.lit("seq"), "rank", "seqid", "position", "strand", F.bround("occupancy", 2), "transitions", F.coalesce(ratio.cast("string"), F.lit("")))
-    return ranked.select("rank", F.concat(F.lit(">"), head, F.lit("\n"), F.col("seq")).alias("value"))
+    head = F.concat_ws(":", F.lit("seq"), F.col("ordinal").cast("string"), "seqid", "position", "strand", F.bround("occupancy", 2), "transitions", F.coalesce(ratio.cast("string"), F.lit("")))
+    return windows.where("seq is not null").select(F.col("ordinal").alias("rank"), F.concat(F.lit(">"), head, F.lit("\n"), F.col("seq")).alias("value"))
 
 
-def write_fasta(windows: DataFrame, path: str, order: list[Column]) -> None:
-    fasta_lines(windows, order).orderBy("rank").select("value").write.text(path)
+def write_fasta(windows: DataFrame, path: str) -> None:
+    fasta_lines(windows).orderBy("rank").select("value").write.text(path)
 
 
 def gff_lines(gff: DataFrame) -> DataFrame:
