@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from functools import cache, cached_property
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery.llm.common import table
+from bindery.llm.common import per_worker, table
 
 #: Distinct chunks that a Python worker keeps encoded; the memo is emptied when it is full.
 MEMO = 800_000
@@ -212,7 +212,7 @@ class Bpe(Merges):
         return b"".join(map(self.bytes_of.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
 
 
-@cache
+@per_worker
 def bpe_of(path: str) -> Bpe:
     """One for each Python worker, which Spark uses again for later tasks."""
     return Bpe(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,22 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(column)).alias("b")).first()["b"] or 0
 
 
+_held: list = []
+
+
+def per_worker(make):
+    """One object for each argument in a Python worker, which Spark uses again for later tasks; see `release`."""
+    kept = cache(make)
+    _held.append(kept)
+    return kept
+
+
+def release() -> None:
+    """What earlier tasks of other operators have kept in this worker is let go."""
+    for kept in _held:
+        kept.cache_clear()
+
+
 def pieces_for(total: int, each: int, least: int = 8) -> int:
     """How many pieces of about `each` make `total`; grows with the data."""
     return max(least, -(-total // each))

@@ -15,13 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bindery.llm.common import one_space, salt, table
+from bindery.llm.common import one_space, release, salt, table
 
 SALTS = 64
 LOCAL = "sha binary, norm string, ids array<bigint>"
 
 
 def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     schema = pa.schema([("sha", pa.binary()), ("norm", pa.string()), ("ids", pa.list_(pa.int64()))])
     for batch in batches:
         groups: dict[bytes, list[tuple[str, list]]] = {}

@@ -42,7 +42,7 @@ HINTS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "banner", "br
 WEAK = {"complementary", "modal", "pagination", "pager", "popup", "promo", "promotion", "recommended", "related", "search", "share", "sharing", "social", "toolbar", "topbar", "widget"}
 CONTAINER = {"div", "section", "aside", "ul", "ol", "dl", "table", "details", "center", "article"}
 #: Bytes of html in a sort range, and the least number of consecutive link lines that are a menu.
-RANGE_BYTES, LINKS = 16_000_000, 3
+RANGE_BYTES, LINKS = 4_000_000, 3
 SPACE = re.compile(r"\s+")
 
 

@@ -14,7 +14,6 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import cache
 from itertools import accumulate
 
 import numpy as np
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bindery.llm.bpe import Merges
-from bindery.llm.common import cut, pieces_for, table
+from bindery.llm.common import cut, per_worker, pieces_for, table
 
 CAPACITY, END_ID = 4096, 1
 FILLINGS, NODES = 64, 200_000
@@ -87,7 +86,7 @@ class WordEncoder:
         return [b"".join(map(get, w)) for w in split]
 
 
-@cache
+@per_worker
 def encoder_of(path: str) -> WordEncoder:
     return WordEncoder(path)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery.llm.common import cut, table
+from bindery.llm.common import cut, release, table
 from bindery.llm.lm_scoring import mix, word_hashes
 
 BUCKETS = 1 << 14
@@ -39,6 +39,7 @@ def features(texts: list[str | None], buckets: int = BUCKETS) -> tuple[np.ndarra
 
 def _counts(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         total = np.zeros(buckets, np.int64)
         for batch in batches:
             for s in range(0, batch.num_rows, 512):

@@ -20,29 +20,34 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindery.llm.common import cut, table, words
+from bindery.llm.common import cut, pieces_for, table, words
 
 RADIUS, HOT, FAN, CHUNK = 2, 4096, 8, 1 << 20
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """Majority bits of the XXH64 (seed 42) of all word shingles; zero without words."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of all word shingles in order; fewer words are one shingle."""
     w = words(text)
-    if not w:
-        return 0
-    whole = b" ".join(w)
+    whole, digest = b" ".join(w), xxhash.xxh64_intdigest
     if len(w) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(whole, 42)]
-    else:
-        ends = [e - 1 for e in accumulate(len(x) + 1 for x in w)]
-        starts = [0, *(e + 1 for e in ends[:-shingle])]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(whole[s:e], 42) for s, e in zip(starts, ends[shingle - 1 :], strict=True)]
-    h = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
+        return np.array([digest(whole, 42)], dtype=np.uint64)
+    ends = [e - 1 for e in accumulate(len(x) + 1 for x in w)]
+    starts = [0, *(e + 1 for e in ends[:-shingle])]
+    return np.array([digest(whole[s:e], 42) for s, e in zip(starts, ends[shingle - 1 :], strict=True)], dtype=np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half the hashes."""
+    h = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
     ones = sum(np.unpackbits(h[i : i + 65536], axis=1, bitorder="little").sum(0, dtype=np.int64) for i in range(0, len(h), 65536))
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """Majority bits of the hashes of all word shingles; zero without words."""
+    return majority(shingle_hashes(text, shingle)) if words(text) else 0
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
@@ -178,20 +183,36 @@ def _links(fps: DataFrame, hot: int) -> DataFrame:
     return both.repartition("key").sortWithinPartitions("key").mapInArrow(_group_links, "a bigint, b bigint").distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node that has a smaller neighbour has one alone, which has none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node, root (the smallest node of its component) by alternating star contractions; one checkpoint a round."""
+    """node, root (the smallest node of its component) by alternating star contractions; one checkpoint a round.
+
+    Links are few beside the rows that they come from: a checkpoint keeps about 500,000 in a partition."""
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    while True:
+    parts = pieces_for(edges.count(), 500_000)
+    edges = edges.coalesce(parts)
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
-        new = cut(small)
-        same = new.join(edges, ["u", "v"], "left_anti").isEmpty() and new.count() == edges.count()
-        edges = new
-        if same:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        edges = cut(small.coalesce(parts))
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def fingerprint_links(prints: DataFrame, hot: int = HOT) -> DataFrame:
+    """a, b: for rows (node, fp), links of each node to the smallest of its fingerprint and of these along the index."""
+    classes = prints.groupBy("fp").agg(F.min("node").alias("first"))
+    same = prints.join(classes, "fp").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    side = lambda k: classes.select(F.col("fp").alias(f"fp_{k}"), F.col("first").alias(k))
+    found = _links(classes.select("fp"), hot).withColumnsRenamed({"a": "fp_a", "b": "fp_b"})
+    return same.unionByName(found.join(side("a"), "fp_a").join(side("b"), "fp_b").select("a", "b"))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
