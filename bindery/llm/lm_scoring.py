@@ -260,7 +260,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     answered = asked.repartition(shards, "bucket").groupBy("bucket").applyInPandas(_merger(order), "bucket int, shard int, totals binary, n bigint, v bigint")
     back = answered.repartition(shards, "shard")
     # One row. All columns are read, or the planner would prune them and make the answers twice.
-    totals = back.agg(F.sum("n").alias("all_n"), F.sum("v").alias("all_v"), *[F.count(c).alias(f"_{c}") for c in ("bucket", "shard", "totals")]).select("all_n", "all_v")
+    whole = F.col("bucket").isNotNull() & F.col("shard").isNotNull() & F.col("totals").isNotNull()
+    totals = back.agg(*[F.sum(F.when(whole, F.col(c))).alias(f"all_{c}") for c in ("n", "v")])
     scored = dealt.crossJoin(F.broadcast(totals)).groupBy("shard").cogroup(back.groupBy("shard")).applyInPandas(_scorer(order, prior), SCORES)
     return scored.withColumn("id", F.col("id").cast("long")).withColumnRenamed("id", id_col)
 

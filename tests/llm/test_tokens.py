@@ -150,3 +150,29 @@ def test_fillings_fit():
         assert sum(f) <= 16 and all(f.count(x) <= counts[x] for x in f)
     best = max(sum(c) for n in range(5) for c in combinations([3, 3, 5, 8, 11], n) if sum(c) <= 16)
     assert sum(fillings(16, sorted(counts), dict(counts))[0]) == best
+
+
+def fewest_of_subsets(items, capacity):
+    """Bins and the filling of the last, over all subsets."""
+    best = [(len(items) + 1, 0)] * (1 << len(items))
+    best[0] = (1, 0)
+    for mask, (bins, filled) in enumerate(best):
+        for i, x in enumerate(items):
+            if not mask >> i & 1:
+                best[mask | 1 << i] = min(best[mask | 1 << i], (bins, filled + x) if filled + x <= capacity else (bins + 1, x))
+    return best[-1][0]
+
+
+def test_bin_completion_finds_the_fewest():
+    import random
+    from collections import Counter
+
+    r = random.Random(5)
+    for _ in range(300):
+        capacity = r.choice([30, 60, 100])
+        items = [r.randint(max(1, capacity // 9), capacity * 2 // 3) for _ in range(r.randint(6, 11))]
+        bins = bin_completion(dict(Counter(items)), capacity)
+        assert sum(t for t, _ in bins) == fewest_of_subsets(items, capacity)
+        assert sum((Counter({x: n * t for x, n in Counter(b).items()}) for t, b in bins), Counter()) == Counter(items) and all(sum(b) <= capacity for _, b in bins)
+    hard = [9, 10, 12, 13, 13, 16, 16, 16, 17, 21, 23, 24, 25, 26, 27, 30]
+    assert sum(t for t, _ in bin_completion(dict(Counter(hard)), 60)) == 5
