@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bindery.llm import ann, bpe, byte_bpe, exact_dedup, fim, html_text, lm_scoring, packing, pii, preference, quality, simhash
+from bindery.llm import ann, bpe, byte_bpe, exact_dedup, fim, html_text, lm_scoring, manifest, packing, pii, preference, quality, simhash
 
 
 def queries() -> dict:
@@ -17,10 +17,11 @@ def queries() -> dict:
         "op8_preference": preference.op8_preference,
         "op9_quality": quality.op9_quality,
         "op10_bpe": bpe.op10_bpe,
+        "op11_merkle": manifest.op11_merkle,
         "op12_fim": fim.op12_fim,
         "op13_byte_bpe": byte_bpe.op13_byte_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE, "op8_preference": preference.ORACLE, "op12_fim": fim.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op8_preference": preference.ORACLE, "op11_merkle": manifest.ORACLE, "op12_fim": fim.ORACLE}
