@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindery.functions import sequences
-from bindery.operators import kmers, models, pileup, profiles, reads, sampling, sites
+from bindery.operators import alignments, kmers, lineage, models, pileup, profiles, reads, sampling, sites, trimming, umis
 from bindery.sources import tables
 
 Frames = dict[str, Any]
@@ -227,6 +227,39 @@ def _remove_five(spark, t, cfg):
     return {"fastq": t["fastq"].withColumn("_s", left).withColumn("qual", F.expr("substring(qual, length(seq) - length(_s) + 1, length(_s))")).withColumn("seq", F.col("_s")).drop("_s")}
 
 
+@stage("clip_tolerant", ("fastq",), ("fastq",), adapter3=Setting(str, None, dna), error_rate=Setting(float, 0.1, nonnegative), overlap=Setting(int, 3, nonnegative), min_length=Setting(int, 20, nonnegative))
+def _clip_tolerant(spark, t, cfg):
+    return {"fastq": trimming.clip_tolerant(t["fastq"], cfg["adapter3"], cfg["error_rate"], cfg["overlap"], cfg["min_length"])}
+
+
+@stage("quality_trim", ("fastq",), ("fastq",), cutoff=Setting(int, 30, nonnegative), min_length=Setting(int, 20, nonnegative), mode=Setting(str, "end", one_of("end", "sum", "segment")), phred_base=Setting(int, 33, nonnegative))
+def _quality_trim(spark, t, cfg):
+    return {"fastq": trimming.trim_quality(t["fastq"], cfg["cutoff"], cfg["min_length"], cfg["mode"], cfg["phred_base"])}
+
+
+@stage("umi_extract", ("fastq",), ("fastq",), length=Setting(int, None, nonnegative))
+def _umi_extract(spark, t, cfg):
+    return {"fastq": umis.extract(t["fastq"], cfg["length"]).drop("umi")}
+
+
+@stage("umi_deduplicate", ("sam",), ("sam", "molecules"))
+def _umi_deduplicate(spark, t, cfg):
+    kept = umis.deduplicate(t["sam"])
+    return {"sam": kept.select(t["sam"].columns), "molecules": kept.select("read_id", "umi", "molecule_reads", "molecule_umis")}
+
+
+@stage("sort_alignments", ("sam",), ("sam",), partitions=Setting(int, 200, nonnegative))
+def _sort_alignments(spark, t, cfg):
+    path = lineage.new_table(spark, "sorted")
+    alignments.write_sorted(t["sam"], path, cfg["partitions"])
+    return {"sam": spark.read.parquet(path)}
+
+
+@stage("pileup", ("sam", "genome"), ("pileup",))
+def _pileup(spark, t, cfg):
+    return {"pileup": alignments.pileup(t["sam"], t["genome"])}
+
+
 @stage("read_filter", ("sam",), ("sam", "read_qc"), min_quality=Setting(int, 0, nonnegative), min_mean_quality=Setting(float, 20.0, nonnegative), min_length=Setting(int, 20, nonnegative), max_mismatches=Setting(int, 1, nonnegative), edge=Setting(int, 2, nonnegative))
 def _read_filter(spark, t, cfg):
     how = (cfg["min_quality"], cfg["min_mean_quality"], cfg["min_length"])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindery.functions import sequences as seq
-from bindery.operators import intervals, kmers, models, pileup, profiles, reads, sites
+from bindery.operators import alignments, intervals, kmers, lineage, models, pileup, profiles, reads, sites, trimming, umis
 from bindery.plans.views import views, with_views
 from bindery.sources import tables
 
@@ -530,6 +530,93 @@ def bam_statistics(v, spark):
     return reads.statistics(v["v_align"])
 
 
+# --- reads with insertions, deletions and skips --------------------------------------------------------------
+
+_SEGMENTS = (
+    "select *, 'M' as op, 0 as r, s as q, a as len from v_indel union all select *, 'D', a, s + a, d from v_indel union all select *, 'M', a + d, s + a, b from v_indel"
+    " union all select *, 'M', a + d + b, s + a + b + i, c from v_indel union all select *, 'N', a + d + b + c, s + a + b + i + c, n from v_indel union all select *, 'M', a + d + b + c + n, s + a + b + i + c, t from v_indel"
+)
+_QUAL = "chr(cast(48 + (o_orderkey + {} * 7) % 26 as int))"
+_SYMBOLS = (
+    f", segs as ({_SEGMENTS}), cells as (select *, unnest(range(0, len)) as j from segs where len > 0), laid as (select *, start + r + j as pos from cells),"
+    " here as (select laid.*, coalesce(nullif(substr(g.seq, laid.pos, 1), ''), 'N') as ref, substr(laid.seq, cast(q + j + 1 as int), 1) as base, g.seq as gseq from laid join v_genome g on laid.chrom = g.seqid),"
+    " symbols as (select chrom, pos, ref, start, read_id, 0 as ord, 1 as n1, case when pos = start then '^' || chr(mapq + 33) else '' end"
+    " || case op when 'M' then case when base = ref then case when fwd then '.' else ',' end when fwd then base else lower(base) end when 'D' then '*' else case when fwd then '>' else '<' end end"
+    f" || case when pos = start + a + d + b + c + n + t - 1 then '$' else '' end as text, {_QUAL.format('case op when $$M$$ then q + j else q end')} as qual from here"
+    " union all select chrom, pos, ref, start, read_id, 1, 0, case when fwd then '+' || i || substr(seq, s + a + b + 1, i) else lower('+' || i || substr(seq, s + a + b + 1, i)) end, '' from here where i > 0 and pos = start + a + d + b - 1"
+    " union all select chrom, pos, ref, start, read_id, 1, 0, case when fwd then '-' || d || rpad(substr(gseq, start + a, d), d, 'N') else lower('-' || d || rpad(substr(gseq, start + a, d), d, 'N')) end, '' from here where d > 0 and pos = start + a - 1)"
+).replace("$$", "'")
+
+
+@query(_SYMBOLS + " select chrom, pos, max(ref) as ref, cast(sum(n1) as int) as depth, string_agg(text, '' order by start, read_id, ord) as bases, string_agg(qual, '' order by start, read_id, ord) as quals from symbols group by chrom, pos")
+def pileup_reads(v, spark):
+    return alignments.pileup(v["v_indel"], v[G])
+
+
+@query(_SYMBOLS + " select chrom, pos, ref, case when fwd then '+' else '-' end as strand, case op when 'D' then '-' else base end as base, count(*) as n from here where op <> 'N' group by all")
+def pileup_base_counts(v, spark):
+    return alignments.position_counts(v["v_indel"], v[G])
+
+
+@query(", o as (select *, start + a + d + b + c + n + t - 1 as end_pos from v_indel) select read_id, chrom, start, end_pos from o where chrom = '7' and start <= 280 and end_pos >= 20")
+def region_reads(v, spark):
+    """Alignments written in order, and those of a region read back by the bounds of files and row groups."""
+    path = lineage.new_table(spark, "sorted")
+    alignments.write_sorted(v["v_indel"].select("read_id", "chrom", "start", "cigar", "seq", "fwd"), path, 8)
+    return alignments.read_region(spark, path, "7", 20, 280).select("read_id", "chrom", "start", "end_pos")
+
+
+_MOLECULES = (
+    ", begun as (select *, chrom || ':' || case when fwd then '+' || ':' || (start - s) else '-' || ':' || (start + a + d + b + c + n + t - 1 + e) end as place from (select * replace (case o_orderkey % 3 when 0 then 'c1' when 1 then 'c2' else 'c3' end as chrom, cast(10 + o_orderkey % 11 as bigint) as start) from v_indel) q),"
+    " nodes as (select place, umi, count(*) as k, min(read_id) filter (mapq = top) as best from (select *, max(mapq) over (partition by place, umi) as top from begun) q group by place, umi),"
+    " links as (select p.place, p.umi as parent, c.umi as child from nodes p join nodes c on p.place = c.place and hamming(p.umi, c.umi) = 1 and p.k >= 2 * c.k - 1),"
+    " reach as (select place, umi as lead, umi from nodes union select r.place, r.lead, l.child from reach r join links l on r.place = l.place and r.umi = l.parent),"
+    " led as (select r.place, r.umi, (list(r.lead order by h.k desc, r.lead))[1] as lead from reach r join nodes h on h.place = r.place and h.umi = r.lead group by r.place, r.umi)"
+)
+
+
+@query(_MOLECULES + " select place, lead as umi, cast(sum(k) as bigint) as molecule_reads, count(*) as molecule_umis, (select best from nodes b where b.place = led.place and b.umi = led.lead) as read_id from led join nodes using (place, umi) group by place, lead")
+def umi_dedup(v, spark):
+    chrom = F.concat(F.lit("c"), (1 + F.col("o_orderkey") % 3).cast("string"))
+    moved = v["v_indel"].withColumns({"chrom": chrom, "start": (10 + F.col("o_orderkey") % 11).cast("long")}).select("read_id", "chrom", "start", "cigar", "fwd", "mapq", "umi")
+    kept = umis.deduplicate(moved, F.col("umi"))
+    return kept.select(F.concat_ws(":", "chrom", F.when(F.col("fwd"), "+").otherwise("-"), umis.begins(kept).cast("string")).alias("place"), "umi", "molecule_reads", "molecule_umis", "read_id")
+
+
+@query("select concat('r', cast(read_id as varchar), '_', substr(seq, 1, 6), ' x') as id, substr(seq, 1, 6) as umi, substr(seq, 7) as seq, substr(seq, 7) as qual from v_reads where length(seq) >= 6")
+def umi_extract(v, spark):
+    named = v["v_reads"].select(F.concat(F.lit("r"), F.col("read_id").cast("string"), F.lit(" x")).alias("id"), "seq", F.col("seq").alias("qual"))
+    return umis.extract(named, 6).select("id", "umi", "seq", "qual")
+
+
+@query()
+def adapter_tolerant(v, spark):
+    return trimming.clip_tolerant(v["v_reads"].withColumn("qual", F.col("seq")), "TGGAATTCTC", 0.2, 3)
+
+
+_RUNS = (
+    ", q as (select read_id, unnest(range(0, length(seq))) as p, length(seq) as size, o_orderkey from v_indel), w as (select *, 15 + (o_orderkey + p * 7) % 26 as ql from q),"
+    " tails as (select *, sum(28 - ql) over (partition by read_id order by p desc) as tail, sum(ql - 28) over (partition by read_id order by p) as total from w),"
+    " live as (select *, min(tail) over (partition by read_id order by p desc) as lowest, min(total) over (partition by read_id order by p rows between unbounded preceding and 1 preceding) as before from tails),"
+    " best as (select *, total - least(coalesce(before, 0), 0) as gain from live),"
+    " tops as (select read_id, max(size) as size, max(p + 1) filter (ql >= 28) as kept_end, max(tail) filter (lowest >= 0 and tail > 0) as cut, max(gain) as gain from best group by read_id),"
+    " ends as (select read_id, min(p) + 1 as seg_end from best join tops using (read_id) where best.gain = tops.gain and tops.gain > 0 group by read_id)"
+)
+
+
+@query(
+    _RUNS + " select t.read_id, cast(coalesce(kept_end, 0) as int) as kept_end, cast(coalesce((select max(l.p) from best l where l.read_id = t.read_id and l.lowest >= 0 and l.tail = t.cut), t.size) as int) as kept_sum,"
+    " cast(coalesce(e.seg_end, 0) as int) as seg_end, cast(coalesce((select sum(w.ql - 28) from w where w.read_id = t.read_id and w.p < e.seg_end), 0) as int) as seg_total, cast(greatest(t.gain, 0) as int) as seg_gain from tops t left join ends e using (read_id)"
+)
+def quality_trim(v, spark):
+    """Where each way of trimming cuts; of the segment its end, the sum up to it, and its own sum."""
+    q, seg = F.col("quals"), trimming.best_segment(F.col("quals"), 28)
+    over = lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + x - 28)
+    rows = v["v_indel"].select("read_id", "quals", trimming.trimmed_end(q, 28).alias("kept_end"), trimming.trimmed_sum(q, 28).alias("kept_sum"), seg.alias("seg"))
+    own = over(F.slice("quals", F.col("seg.begin") + 1, F.col("seg.end") - F.col("seg.begin")))
+    return rows.select("read_id", "kept_end", "kept_sum", F.col("seg.end").alias("seg_end"), over(F.slice("quals", F.lit(1), F.col("seg.end"))).alias("seg_total"), own.alias("seg_gain"))
+
+
 # --- profiles ----------------------------------------------------------------------------------------------
 
 

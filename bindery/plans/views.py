@@ -34,6 +34,14 @@ VIEWS = {
   concat(case when o_orderkey % 23 = 0 then 'N' else 'A' end, substr(repeat('ACGTTGCA', 8), cast(1 + o_orderkey % 8 as int), len - 1)) as seq,
   concat(case when s > 0 then concat(cast(s as varchar(9)), 'S') else '' end, cast(len - s - e as varchar(9)), 'M', case when e > 0 then concat(cast(e as varchar(9)), 'S') else '' end) as cigar,
   case when nm = 1 then concat(cast(p as varchar(9)), 'T', cast(len - s - e - p - 1 as varchar(9))) else cast(len - s - e as varchar(9)) end as md from v_align0""",
+    "v_indel0": """select o_orderkey as read_id, cast(o_orderkey % (select count(*) from documents) as varchar(20)) as chrom, cast(1 + (o_custkey * 7 + o_orderkey) % 300 as bigint) as start, o_custkey % 2 = 0 as fwd,
+  cast(o_custkey % 3 as int) as s, cast(5 + o_orderkey % 9 as int) as a, cast(o_custkey % 4 as int) as d, cast(4 + o_custkey % 7 as int) as b, cast(o_orderkey % 3 as int) as i, cast(3 + o_orderkey % 5 as int) as c,
+  cast(case when o_custkey % 10 = 0 then 25 else 0 end as int) as n, cast(case when o_custkey % 10 = 0 then 4 else 0 end as int) as t, cast(o_orderkey % 4 as int) as e, cast(1 + o_orderkey % 10 as int) as f, o_orderkey,
+  cast(o_custkey % 5 * 10 as int) as mapq, concat(substr('ACGT', cast(1 + o_custkey % 4 as int), 1), substr('ACGT', cast(1 + o_custkey % 23 % 2 as int), 1), substr('ACGT', cast(1 + o_orderkey % 2 as int), 1), 'AC', substr('ACGT', cast(1 + o_orderkey % 7 % 3 as int), 1)) as umi from orders""",
+    "v_indel": """select *, substr(repeat('ACGTTGCAGT', 10), f, s + a + b + i + c + t + e) as seq,
+  concat(case when s > 0 then concat(cast(s as varchar(9)), 'S') else '' end, cast(a as varchar(9)), 'M', case when d > 0 then concat(cast(d as varchar(9)), 'D') else '' end, cast(b as varchar(9)), 'M',
+    case when i > 0 then concat(cast(i as varchar(9)), 'I') else '' end, cast(c as varchar(9)), 'M', case when n > 0 then concat(cast(n as varchar(9)), 'N4M') else '' end, case when e > 0 then concat(cast(e as varchar(9)), 'S') else '' end) as cigar
+  from v_indel0""",
 }
 
 
@@ -46,6 +54,7 @@ def views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         out[name] = spark.sql(sql.replace("{g}", ""))
         out[name].createOrReplaceTempView(name)
     out["v_align"] = out["v_align"].selectExpr("*", "transform(sequence(0, len - 1), i -> cast(15 + (o_orderkey + i * 7) % 26 as int)) as quals")
+    out["v_indel"] = out["v_indel"].selectExpr("*", "transform(sequence(0, length(seq) - 1), j -> cast(15 + (o_orderkey + j * 7) % 26 as int)) as quals")
     return out
 
 

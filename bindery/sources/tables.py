@@ -251,7 +251,7 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     quals = F.transform(F.split(p[10], ""), lambda c: F.ascii(c) - 33)
     return spark.read.text(path).where(~F.col("value").startswith("@") & (F.size(p) >= 11)).select(
         p[0].alias("read_id"), flag.alias("flag"), p[2].alias("chrom"), p[3].cast("bigint").alias("start"), p[5].alias("cigar"), p[9].alias("seq"), quals.alias("quals"),
-        (flag.bitwiseAND(4) == 0).alias("mapped"), (flag.bitwiseAND(16) == 0).alias("fwd"), F.coalesce(tag("NM").try_cast("int"), F.lit(0)).alias("nm"), tag("MD").alias("md"),
+        (flag.bitwiseAND(4) == 0).alias("mapped"), (flag.bitwiseAND(16) == 0).alias("fwd"), F.coalesce(tag("NM").try_cast("int"), F.lit(0)).alias("nm"), tag("MD").alias("md"), p[4].try_cast("int").alias("mapq"),
     )
 
 

@@ -138,3 +138,22 @@ def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "c.yaml").write_text("inputs: {pileup: p}\nstages: [pileup_counts, {background_finder: {max_p: 0.5}}]\n")
     assert cli.main(["run", f"{tmp_path}/c.yaml", "--out", f"{tmp_path}/two"]) == 0
     assert sites.sliced(spark.read.parquet(f"{tmp_path}/two/sites"), [F.col("position")], 0, 1).count() == 1
+
+
+def test_reads_to_sites(spark, tmp_path):
+    """Raw reads through trimming, and alignments through deduplication, order and pileup, to counts."""
+    adapter = "TGGAATTCTCGGGTGCCAAGG"
+    fastq = [("r1 x", "ACGTTT" + "GATTACA" * 4 + adapter[:12], "I" * 46), ("r2", "ACGTTT" + "GATTACA" * 4 + "TGGAATACTC", "I" * 30 + "#" * 14), ("r3", "ACG", "III")]
+    (tmp_path / "r.fq").write_text("".join(f"@{i}\n{s}\n+\n{q}\n" for i, s, q in fastq))
+    clean = pipeline.run(spark, {"inputs": {"fastq": f"{tmp_path}/r.fq"}, "stages": [{"clip_tolerant": {"adapter3": adapter, "min_length": 5}}, {"quality_trim": {"cutoff": 20}}, {"umi_extract": {"length": 6}}]})
+    assert sorted((x.id, x.seq) for x in clean["fastq"].collect()) == [("r1_ACGTTT x", "GATTACA" * 4), ("r2_ACGTTT", ("GATTACA" * 4)[:24])]
+    sam = [f"r{k}_{'ACGT'[k % 2] * 4}\t{16 * (k % 3 == 2)}\tc1\t{5 + k % 3}\t{k}\t4M\t*\t0\t0\tACGT\tIIII" for k in range(12)]
+    (tmp_path / "a.sam").write_text("@HD\tVN:1.6\n" + "\n".join(sam) + "\nu\t4\t*\t0\t0\t*\t*\t0\t0\tAC\tII\n")
+    (tmp_path / "g.fa").write_text(">c1\nTTTTACGTTACG\n")
+    t = pipeline.run(spark, {"inputs": {"sam": f"{tmp_path}/a.sam", "genome": f"{tmp_path}/g.fa"}, "stages": ["umi_deduplicate", {"sort_alignments": {"partitions": 2}}, "pileup", "pileup_counts"]})
+    assert t["molecules"].count() == 6 and t["sam"].columns[-1] == "end_pos"
+    # The best of each place and identifier: the last ones, by mapping quality.
+    assert sorted(x.read_id for x in t["sam"].collect()) == sorted(f"r{k}_{'ACGT'[k % 2] * 4}" for k in range(6, 12))
+    rows = {x.pos: (x.ref, x.depth, x.bases) for x in t["pileup"].collect()}
+    assert rows[5] == ("A", 2, "^'.^*.") and sum(d for _, d, _ in rows.values()) == 24
+    assert t["counts"].count() > 0
