@@ -14,27 +14,29 @@ from pyspark.sql import functions as F
 
 from bindery.functions.sequences import chunks
 
-#: Letters in a piece of the reference, and blocks in a piece from which on its positions are put together in parts.
+#: Letters in a piece of the reference, and reads that begin in one from which on its positions are put together in parts.
 PIECE, DEEP = 10_000, 100_000
 BLOCK = "struct<op:string,n:int,r:int,q:int>"
 
 
-def blocks(cigar: Column) -> Column:
-    """array<struct<op, n, r, q>>: each operation with its length, and how many letters of the reference and of the read lie
-    before it. Hard clips and padding take neither; M stands for =, X and M."""
+def walk(cigar: Column) -> Column:
+    """struct<blocks, first, last, tail> of a CIGAR string: each operation as op, n, r, q with its length and how many letters of the
+    reference and of the read lie before it (M stands for =, X and M; hard clips and padding take neither and are left out); the
+    last place on the reference, -1 if there is none; and whether an insertion follows the last. One fold."""
     parts = F.regexp_extract_all(cigar, F.lit(r"\d+[MIDNSHP=X]"), F.lit(0))
 
     def step(a: Column, p: Column) -> Column:
-        op, n = F.right(p, F.lit(1)), F.substring(p, F.lit(1), F.length(p) - 1).cast("int")
-        op = F.when(op.isin("=", "X"), "M").otherwise(op)
+        op, n = F.translate(F.right(p, F.lit(1)), "=X", "MM"), F.substring(p, F.lit(1), F.length(p) - 1).cast("int")
         here = F.struct(op.alias("op"), n.alias("n"), a["r"].alias("r"), a["q"].alias("q"))
+        on = op.isin("M", "D", "N")
         return F.struct(
-            (a["r"] + F.when(op.isin("M", "D", "N"), n).otherwise(0)).alias("r"), (a["q"] + F.when(op.isin("M", "I", "S"), n).otherwise(0)).alias("q"),
-            F.when(op.isin("H", "P"), a["out"]).otherwise(F.concat(a["out"], F.array(here))).alias("out"),
+            (a["r"] + F.when(on, n).otherwise(0)).alias("r"), (a["q"] + F.when(op.isin("M", "I", "S"), n).otherwise(0)).alias("q"),
+            F.when(op.isin("H", "P"), a["blocks"]).otherwise(F.concat(a["blocks"], F.array(here))).alias("blocks"),
+            F.when(on, False).otherwise(a["tail"] | (op == "I")).alias("tail"),
         )
 
-    zero = F.struct(F.lit(0).alias("r"), F.lit(0).alias("q"), F.array().cast(f"array<{BLOCK}>").alias("out"))
-    return F.aggregate(parts, zero, step, lambda a: a["out"])
+    zero = F.struct(F.lit(0).alias("r"), F.lit(0).alias("q"), F.array().cast(f"array<{BLOCK}>").alias("blocks"), F.lit(False).alias("tail"))
+    return F.aggregate(parts, zero, step, lambda a: F.struct(a["blocks"].alias("blocks"), (a["r"] - 1).alias("last"), a["tail"].alias("tail")))
 
 
 def reference_length(cigar: Column) -> Column:
@@ -42,6 +44,16 @@ def reference_length(cigar: Column) -> Column:
     return F.aggregate(F.regexp_extract_all(cigar, F.lit(r"(\d+)[MDN=X]"), F.lit(1)), F.lit(0).cast("long"), lambda a, n: a + n.cast("long"))
 
 
+def _mapped(align: DataFrame) -> DataFrame:
+    known = align if "mapq" in align.columns else align.withColumn("mapq", F.lit(60))
+    return known.where("mapped") if "mapped" in align.columns else known
+
+
+def _pieces(genome: DataFrame) -> DataFrame:
+    """chrom, piece, _ref: the reference in pieces that do not overlap."""
+    return genome.select(F.col("seqid").alias("chrom"), F.posexplode(chunks(F.col("seq"), PIECE)).alias("piece", "_ref")).withColumn("piece", F.col("piece").cast("long"))
+
+
 def _letters(c: Column, fwd: Column) -> Column:
     return F.when(fwd, F.upper(c)).otherwise(F.lower(c))
 
@@ -49,22 +61,19 @@ def _letters(c: Column, fwd: Column) -> Column:
 def _placed(align: DataFrame) -> DataFrame:
     """One row for each block and piece of the reference that it lies in: where the part of it in that piece begins and ends
     (0-based, closed); an insertion lies at the base before it."""
-    walked = align.withColumn("_blocks", blocks(F.col("cigar")))
-    ops = ["read_id", "chrom", "start", "fwd", "mapq", "seq", "quals"]
-    # The first and the last block on the reference carry the marks of a read's ends; an insertion after the last one comes before its mark.
-    on = F.filter("_blocks", lambda b: b["op"].isin("M", "D", "N"))
-    first, last = F.get(on, F.lit(0)), F.element_at(on, -1)
-    tail = F.exists("_blocks", lambda b: (b["op"] == "I") & (b["r"] == last["r"] + last["n"]))
-    each = walked.where(F.size(on) > 0).select(*ops, first["r"].alias("_first"), (last["r"] + last["n"] - 1).alias("_last"), tail.alias("_tail"), F.explode("_blocks").alias("b")).select("*", "b.*").drop("b")
-    each = each.where((F.col("op") != "S") & ((F.col("op") != "I") | (F.col("r") > 0)) & (F.col("n") > 0))
-    at = F.col("start") - 1 + F.col("r")
-    begin, end = F.when(F.col("op") == "I", at - 1).otherwise(at), F.when(F.col("op") == "I", at - 1).otherwise(at + F.col("n") - 1)
-    spread = each.withColumns({"_begin": begin, "_end": end}).withColumn("piece", F.explode(F.sequence(F.floor(F.col("_begin") / PIECE), F.floor(F.col("_end") / PIECE))))
+    ops = ["read_id", "chrom", "start", "fwd", "mapq", "seq", "quals", *(["part"] if "part" in align.columns else [])]
+    walked = align.select(*ops, walk(F.col("cigar")).alias("_w"))
+    # The first and the last place on the reference carry the marks of a read's ends; an insertion after the last one comes before its mark.
+    each = walked.where("_w.last >= 0").select(*ops, F.col("_w.last").alias("_last"), F.col("_w.tail").alias("_tail"), F.inline("_w.blocks"))
+    each = each.where("op <> 'S' and (op <> 'I' or r > 0) and n > 0")
+    at, inserted = F.col("start") - 1 + F.col("r"), F.col("op") == "I"
+    spread = each.withColumns({"_begin": F.when(inserted, at - 1).otherwise(at), "_end": F.when(inserted, at - 1).otherwise(at + F.col("n") - 1)})
+    spread = spread.withColumn("piece", F.explode(F.sequence(F.floor(F.col("_begin") / PIECE), F.floor(F.col("_end") / PIECE))))
     return spread.withColumns({"_from": F.greatest("_begin", F.col("piece") * PIECE), "_to": F.least("_end", F.col("piece") * PIECE + PIECE - 1)})
 
 
 def _symbols(placed: DataFrame) -> DataFrame:
-    """chrom, pos, ref, part, start, read_id, ord, n, text, qual: what each block adds to each position. ord keeps the order in a read:
+    """chrom, pos, ref, start, read_id, part, ord, n, text, qual: what each block adds to each position. ord keeps the order in a read:
     0 its base, then what follows it."""
     fwd, mark = F.col("fwd"), F.col("start") - 1
     offset = F.col("_from") - F.col("_begin")
@@ -76,12 +85,12 @@ def _symbols(placed: DataFrame) -> DataFrame:
     pos = F.col("_from") + i
     ref, base = F.substring("_piece_ref", i + 1, F.lit(1)), F.substring("_own", i + 1, F.lit(1))
     symbol = F.when(F.col("op") == "M", F.when(F.upper(base) == F.upper(ref), F.when(fwd, ".").otherwise(",")).otherwise(_letters(base, fwd))).when(F.col("op") == "D", "*").otherwise(F.when(fwd, ">").otherwise("<"))
-    head = F.when(pos == mark + F.col("_first"), F.concat(F.lit("^"), F.chr(F.least("mapq", F.lit(93)) + 33))).otherwise("")
+    head = F.when(pos == mark, F.concat(F.lit("^"), F.chr(F.least("mapq", F.lit(93)) + 33))).otherwise("")
     end = F.when((pos == mark + F.col("_last")) & ~F.col("_tail"), "$").otherwise("")
     # A base of a deletion has the quality of the next base of the read, or of the last one.
     at = F.when(F.col("op") == "M", F.col("q") + F.col("_offset") + i).otherwise(F.least(F.col("q"), F.size("quals") - 1))
     qual = F.chr(F.least(F.coalesce(F.get("quals", at.cast("int")), F.lit(0)), F.lit(93)) + 33)
-    key = ["chrom", "start", "read_id", "parts"]
+    key = ["chrom", "start", "read_id", "part"]
     bases = row.where("op <> 'I'").select("*", F.explode(F.sequence(F.lit(0), (F.col("_to") - F.col("_from")).cast("int"))).alias("_i"))
     bases = bases.select(*key, (pos + 1).alias("pos"), ref.alias("ref"), F.lit(0).cast("long").alias("ord"), F.lit(1).alias("n"), F.concat(head, symbol, end).alias("text"), qual.alias("qual"))
     # Insertions and deletions are told at the base before them; a deletion that lies in several pieces tells its letters in parts.
@@ -101,21 +110,18 @@ def pileup(align: DataFrame, genome: DataFrame) -> DataFrame:
     Unmapped reads and those without a CIGAR string are left out; reads stand in order of start and read_id. Positions beyond
     the reference, and sequences that it lacks, have the reference N. genome: seqid, seq.
 
-    Pieces of the reference that many blocks lie in deal their reads to parts, so that no group holds more than some
-    DEEP rows before strings are made of it; there the order of reads is that of parts, then start and read_id.
+    Reads that begin in a piece of the reference where more than DEEP do are dealt to parts, so that no group holds many more rows
+    before strings are made of it; there the order of reads is that of parts, then start and read_id.
     """
-    reads = align if "mapq" in align.columns else align.withColumn("mapq", F.lit(60))
-    if "mapped" in align.columns:
-        reads = reads.where("mapped")
-    placed = _placed(reads)
-    counts = placed.groupBy("chrom", "piece").agg(F.count(F.lit(1)).alias("_blocks"))
-    pieces = genome.select(F.col("seqid").alias("chrom"), F.posexplode(chunks(F.col("seq"), PIECE)).alias("piece", "_ref")).withColumn("piece", F.col("piece").cast("long"))
-    known = counts.join(pieces, ["chrom", "piece"], "left").select("chrom", "piece", "_ref", F.ceil(F.col("_blocks") / DEEP).cast("int").alias("parts"))
-    symbols = _symbols(placed.join(known, ["chrom", "piece"]))
-    part = F.pmod(F.xxhash64("read_id"), F.col("parts")).cast("int")
-    fields = F.struct("start", "read_id", "ord", "n", "text", "qual")
-    grouped = symbols.groupBy("chrom", "pos", part.alias("part")).agg(F.max("ref").alias("ref"), F.sort_array(F.collect_list(fields)).alias("s"))
-    texts = grouped.select("chrom", "pos", "part", "ref", F.aggregate("s", F.lit(0), lambda a, x: a + x["n"]).alias("depth"), F.concat_ws("", "s.text").alias("bases"), F.concat_ws("", "s.qual").alias("quals"))
+    reads = _mapped(align)
+    home = F.floor((F.col("start") - 1) / PIECE)
+    deep = reads.groupBy("chrom", home.alias("_home")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > DEEP)
+    part = F.when(F.col("_n").isNull(), 0).otherwise(F.pmod(F.xxhash64("read_id"), F.ceil(F.col("_n") / DEEP))).cast("int")
+    dealt = reads.withColumn("_home", home).join(deep, ["chrom", "_home"], "left").withColumn("part", part)
+    symbols = _symbols(_placed(dealt).join(_pieces(genome), ["chrom", "piece"], "left"))
+    fields = F.struct("start", "read_id", "ord", "text", "qual")
+    grouped = symbols.groupBy("chrom", "pos", "part").agg(F.max("ref").alias("ref"), F.sum("n").alias("depth"), F.sort_array(F.collect_list(fields)).alias("s"))
+    texts = grouped.select("chrom", "pos", "part", "ref", "depth", F.concat_ws("", "s.text").alias("bases"), F.concat_ws("", "s.qual").alias("quals"))
     whole = texts.groupBy("chrom", "pos").agg(F.max("ref").alias("ref"), F.sum("depth").cast("int").alias("depth"), F.sort_array(F.collect_list(F.struct("part", "bases", "quals"))).alias("p"))
     return whole.select("chrom", "pos", "ref", "depth", F.concat_ws("", "p.bases").alias("bases"), F.concat_ws("", "p.quals").alias("quals"))
 
@@ -123,14 +129,12 @@ def pileup(align: DataFrame, genome: DataFrame) -> DataFrame:
 def position_counts(align: DataFrame, genome: DataFrame) -> DataFrame:
     """chrom, pos, ref, strand, base, n: reads with a base (or - for a deletion) at each position, without a list of them: counts
     are added up before they are shuffled, so depth does not matter."""
-    reads = (align if "mapq" in align.columns else align.withColumn("mapq", F.lit(60))).where("mapped" if "mapped" in align.columns else "true")
-    placed = _placed(reads).where("op in ('M', 'D')")
+    placed = _placed(_mapped(align)).where("op in ('M', 'D')")
     seen = placed.select("chrom", "piece", "_from", "fwd", F.when(F.col("op") == "M", F.upper(F.substring("seq", (F.col("q") + F.col("_from") - F.col("_begin") + 1).cast("int"), (F.col("_to") - F.col("_from") + 1).cast("int")))).otherwise(F.repeat(F.lit("-"), (F.col("_to") - F.col("_from") + 1).cast("int"))).alias("s"))
     each = seen.select("chrom", "piece", "_from", "fwd", F.posexplode(F.split("s", "")).alias("i", "base")).where("base <> ''")
     n = each.groupBy("chrom", "piece", (F.col("_from") + F.col("i") + 1).alias("pos"), F.when(F.col("fwd"), "+").otherwise("-").alias("strand"), "base").agg(F.count(F.lit(1)).alias("n"))
-    pieces = genome.select(F.col("seqid").alias("chrom"), F.posexplode(chunks(F.col("seq"), PIECE)).alias("piece", "_ref")).withColumn("piece", F.col("piece").cast("long"))
     ref = F.substring("_ref", (F.col("pos") - F.col("piece") * PIECE).cast("int"), F.lit(1))
-    return n.join(pieces, ["chrom", "piece"], "left").select("chrom", "pos", F.coalesce(F.when(ref != "", ref), F.lit("N")).alias("ref"), "strand", "base", "n")
+    return n.join(_pieces(genome), ["chrom", "piece"], "left").select("chrom", "pos", F.coalesce(F.when(ref != "", ref), F.lit("N")).alias("ref"), "strand", "base", "n")
 
 
 def write_sorted(align: DataFrame, path: str, partitions: int, rows_per_group: int = 100_000) -> None:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from bindery.functions import sequences
 from bindery.operators import alignments, kmers, lineage, models, pileup, profiles, reads, sampling, sites, trimming, umis
-from bindery.sources import tables
+from bindery.sources import bam, tables
 
 Frames = dict[str, Any]
 
@@ -161,7 +161,7 @@ class Pipeline:
 
 #: Format -> reader of a path.
 READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "fastq": tables.read_fastq, "sam": tables.read_sam, "pileup": tables.read_pileup, "mock_pileup": tables.read_pileup, "sites": tables.read_sites, "legacy_sites": tables.read_legacy,
+    "fastq": tables.read_fastq, "sam": tables.read_sam, "bam": bam.read_bam, "pileup": tables.read_pileup, "mock_pileup": tables.read_pileup, "sites": tables.read_sites, "legacy_sites": tables.read_legacy,
     "gff": lambda spark, path: with_ids(tables.read_gff(spark, path)), "genome": tables.read_fasta, "parquet": lambda spark, path: spark.read.parquet(path),
 }
 
