@@ -3,8 +3,9 @@
 A range condition alone makes Spark compare all rows of an equi key, of which genomes have few. So
 intervals are listed under each bin of `width` that they touch, a point has one bin, and the bin joins the
 equi keys. Intervals longer than LONG bins use bins LONG times as wide, in a join of their own, which keeps
-the number of listed rows near the number of intervals. Adaptive execution drops that join when no interval
-is long, and splits a bin that many rows share.
+the number of listed rows near the number of intervals. Which of the two kinds occur is looked up first, over the
+intervals alone, so that points are read and dealt out once where one does. Adaptive execution splits a bin that
+many rows share.
 """
 
 from __future__ import annotations
@@ -22,8 +23,12 @@ def _bin(c: Column, width: int) -> Column:
 
 
 def _levels(intervals: DataFrame, start: Column, stop: Column, width: int) -> list[tuple[DataFrame, int]]:
+    """The intervals of each kind that occurs, with the width of its bins."""
     long = stop - start > width * LONG
-    return [(intervals.where(~long), width), (intervals.where(long), width * LONG)]
+    some = intervals.where(start <= stop).agg(F.bool_or(long).alias("long"), F.bool_or(~long).alias("short")).first()
+    if some["long"] and some["short"]:
+        return [(intervals.where(~long), width), (intervals.where(long), width * LONG)]
+    return [(intervals, width * LONG if some["long"] else width)]
 
 
 def _listed(intervals: DataFrame, start: Column, stop: Column, width: int) -> DataFrame:
@@ -43,8 +48,10 @@ def point_join(points: DataFrame, intervals: DataFrame, on: tuple, how: str = "i
     """Points with the intervals [low, high] around them; how: inner, left_semi, left_anti or left."""
     low, high = F.col("start_pos") if low is None else low, F.col("end_pos") if high is None else high
     parts = _levels(intervals, low, high, width)
-    if how == "left_anti":
+    if how == "left_anti" and len(parts) > 1:
         return reduce(lambda p, part: _joined(p, part[0], on, pos, low, high, part[1], "left_anti"), parts, points)
+    if len(parts) == 1:
+        return _joined(points, parts[0][0], on, pos, low, high, parts[0][1], how)
     if how == "left_semi":
         (short, w), (long, v) = parts
         found = _joined(points, short, on, pos, low, high, w, "left_semi")

@@ -162,11 +162,6 @@ def call_sites(counts: DataFrame, background: tuple[float, float, float, float],
     )
 
 
-def _log_choose(n: Column, k: Column) -> Column:
-    """log of n over k, by a sum of k logarithms."""
-    return F.when(k > 0, F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(k, F.lit(1)).cast("long")), F.lit(0.0), lambda s, i: s + F.log((n - k + i) / i))).otherwise(F.lit(0.0))
-
-
 def kk_table(pairs: DataFrame, weights, rates, coverage: float, mock_coverage: float) -> DataFrame:
     """k, k_mock, pval_kk for distinct pairs: 1 less the probabilities of fewer conversions given the mock's, at least 0."""
     bar = (coverage + mock_coverage) / 2
@@ -178,12 +173,16 @@ def kk_table(pairs: DataFrame, weights, rates, coverage: float, mock_coverage: f
             out = out + float(w) * (g / scale) / F.pow(F.lit(one + g / scale), power)
         return out
 
-    def p(i: Column) -> Column:
-        log_p = -F.log(total(mock_coverage, 1.0, km + 1)) + _log_choose(i + km, i) + km * math.log(mock_coverage / bar) + i * math.log(coverage / bar)
-        return F.exp(log_p + F.log(total(bar, 2.0, i + km + 1)))
+    # One pass over i, which carries what is left of one and the logarithm of i + k_mock over i.
+    def step(a: Column, i: Column) -> Column:
+        log_p = -F.log(total(mock_coverage, 1.0, km + 1)) + a["choose"] + km * math.log(mock_coverage / bar) + i * math.log(coverage / bar)
+        left = F.greatest(a["left"] - F.exp(log_p + F.log(total(bar, 2.0, i + km + 1))), F.lit(0.0))
+        return F.struct(left.alias("left"), (a["choose"] + F.log((i + km + 1) / (i + 1))).alias("choose"))
 
     some = pairs.select("k", "k_mock").distinct()
-    below = F.when(F.col("k") > 0, F.aggregate(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("k"), F.lit(1)).cast("long") - 1), F.lit(1.0), lambda s, i: F.greatest(s - p(i), F.lit(0.0)))).otherwise(F.lit(1.0))
+    start = F.struct(F.lit(1.0).alias("left"), F.lit(0.0).alias("choose"))
+    upto = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("k"), F.lit(1)).cast("long") - 1)
+    below = F.when(F.col("k") > 0, F.aggregate(upto, start, step, lambda a: a["left"])).otherwise(F.lit(1.0))
     return some.withColumn("pval_kk", below)
 
 

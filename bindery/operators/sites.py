@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bindery.operators.intervals import point_join
+from bindery.operators.neighbours import next_distance, next_distance_exact  # noqa: F401
 
 SITE_KEYS = (("seqid", "a_seqid"), ("strand", "a_strand"))
 
@@ -41,16 +42,15 @@ def annotate(sites: DataFrame, annots: DataFrame, ident: list[str], max_n: int |
     """`ident` columns of all sites with `annotation`: the distinct features around them, sorted, joined by "|", or NA.
 
     Rows keep their number, repeated ones too, and may hold nulls; a site without position, sequence or strand is
-    NA. max_n takes the sites of largest occupancy, ties in order of `ident`. Each site goes once to the final
-    grouping as it is, and once for each annotation around it, so that no join back to the sites is needed."""
+    NA. max_n takes the sites of largest occupancy, ties in order of `ident`. Features are collected for each different place,
+    three columns wide, and joined back to the sites by it."""
     rows = sites.select(*ident)
     if max_n is not None:
         rows = rows.orderBy(F.col("occupancy").desc_nulls_last(), *ident).limit(max_n)
-    hits = point_join(rows, renamed(annots).select("a_seqid", "a_strand", "start_pos", "end_pos", "feature"), SITE_KEYS).select(*ident, "feature", F.lit(0).alias("_rows"))
-    both = rows.select(*ident, F.lit(None).cast("string").alias("feature"), F.lit(1).alias("_rows")).unionByName(hits)
-    named = both.groupBy(*ident).agg(F.concat_ws("|", F.sort_array(F.collect_set("feature"))).alias("annotation"), F.sum("_rows").alias("_rows"))
-    again = named.withColumn("_rows", F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int"))))
-    return again.select(*ident, F.when(F.col("annotation") == "", "NA").otherwise(F.col("annotation")).alias("annotation"))
+    place = ["seqid", "strand", "position"]
+    hits = point_join(rows.select(*place).distinct(), renamed(annots).select("a_seqid", "a_strand", "start_pos", "end_pos", "feature"), SITE_KEYS)
+    named = hits.groupBy(*place).agg(F.concat_ws("|", F.sort_array(F.collect_set("feature"))).alias("annotation"))
+    return rows.join(named, place, "left").select(*ident, F.when(F.coalesce("annotation", F.lit("")) == "", "NA").otherwise(F.col("annotation")).alias("annotation"))
 
 
 def annotation_summary(annotated: DataFrame) -> DataFrame:
@@ -160,45 +160,6 @@ def cap_at_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
     return df.crossJoin(F.broadcast(quantile(df, column, q))).withColumn(column, F.least(F.col(column), F.col("quantile"))).drop("quantile")
 
 
-def next_distance(annots: DataFrame, minimum: int, maximum: int = 0, opposite: bool = False) -> DataFrame:
-    """Annotations with `distance` to the next on their strand (downstream), or with `opposite` on the other one, null
-    for the last, at least `minimum` away and at most `maximum` (0: no bound). A distance of 0 passes.
-    Partitioned by sequence and strand, or by sequence."""
-    if opposite:
-        by = Window.partitionBy("seqid").orderBy("start_pos", "end_pos", "annot_id")
-        other = lambda c: F.when(F.col("strand") != F.lit("+"), F.col(c))
-        after = F.first(other("start_pos"), ignorenulls=True).over(by.rowsBetween(1, Window.unboundedFollowing))
-        before = F.last(F.when(F.col("strand") == "+", F.col("end_pos")), ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
-        ahead, behind = after - F.col("end_pos"), F.col("start_pos") - before
-    else:
-        by = Window.partitionBy("seqid", "strand").orderBy("start_pos", "end_pos", "annot_id")
-        ahead, behind = F.lead("start_pos").over(by) - F.col("end_pos"), F.col("start_pos") - F.lag("end_pos").over(by)
-    d = annots.withColumn("distance", F.when(F.col("strand") == "+", ahead).otherwise(behind))
-    keep = F.col("distance").isNull() | (F.col("distance") == 0) | (F.col("distance") >= minimum)
-    if maximum:
-        keep = keep & (F.col("distance").isNull() | (F.col("distance") <= maximum))
-    return d.where(keep)
-
-
-def next_distance_exact(annots: DataFrame, minimum: int) -> DataFrame:
-    """The sequential form, in which a minus-strand row looks back at surviving rows only; one group per sequence and strand."""
-
-    def scan(pdf):
-        pdf = pdf.sort_values(["start_pos", "end_pos", "annot_id"])
-        kept, last = [], None
-        for k, r in enumerate(pdf.itertuples(index=False)):
-            if r.strand == "+":
-                d = pdf["start_pos"].iloc[k + 1] - r.end_pos if k + 1 < len(pdf) else 0
-            else:
-                d = r.start_pos - last if last is not None else 0
-            good = d == 0 or d >= minimum
-            kept.append(good)
-            last = r.end_pos if good else last
-        return pdf[kept]
-
-    return annots.groupBy("seqid", "strand").applyInPandas(scan, annots.schema)
-
-
 def normalize(sites: DataFrame, pileup: DataFrame, max_ratio: float | None = None) -> DataFrame:
     """Occupancy as transitions by reference coverage (transitions where there is none); with max_ratio only
     sites whose mutations / (coverage + 1) stay below it. pileup: seqid, position, strand, total, mutated."""

@@ -1,5 +1,7 @@
 """Goldens of sites, sequences and file formats."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +83,52 @@ def test_distances(spark):
     assert more.count() == 7 and sorted(r.annot_id for r in intervals.remove(more, spark.createDataFrame([(7,), (1,)], "annot_id bigint"), "annot_id").collect()) == [2, 3, 4, 5, 6]
 
 
+def loop_exact(rows, minimum):
+    """The filter row by row: + rows look ahead, others back at what is left."""
+    kept = set()
+    groups = {(r[1], r[4]) for r in rows}
+    for seqid, strand in groups:
+        mine = sorted((r for r in rows if (r[1], r[4]) == (seqid, strand)), key=lambda r: (r[2], r[3], r[0]))
+        last = None
+        for k, r in enumerate(mine):
+            if strand == "+":
+                d = mine[k + 1][2] - r[3] if k + 1 < len(mine) else 0
+            else:
+                d = r[2] - last if last is not None else 0
+            if d == 0 or d >= minimum:
+                kept.add(r[0])
+                last = r[3]
+    return kept
+
+
+@pytest.mark.parametrize("ranges", [1, 7, 64])
+def test_distances_in_ranges(spark, ranges):
+    r = random.Random(ranges)
+    rows = []
+    for i in range(600):
+        start = r.randint(1, 4000)
+        rows.append((i, r.choice("st"), start, start + r.choice([0, 3, 9, 40, 400]), r.choice("+--"), "g"))
+    rows += [(1000 + k, "u", 10 * k, 10 * k + 4, "-", "g") for k in range(300)]
+    a = spark.createDataFrame(rows, ANNOT)
+    for minimum in (-5, 0, 1, 6, 50):
+        assert {x.annot_id for x in sites.next_distance_exact(a, minimum, ranges=ranges).collect()} == loop_exact(rows, minimum), minimum
+    order = lambda x: (x[2], x[3], x[0])
+    for opposite in (False, True):
+        got = {x.annot_id: x.distance for x in sites.next_distance(a, -1 << 40, opposite=opposite, ranges=ranges).collect()}
+        for x in rows:
+            asked = [y for y in rows if y[1] == x[1] and (y[4] == x[4]) != opposite]
+            later, earlier = [y for y in asked if order(y) > order(x)], [y for y in asked if order(y) < order(x)]
+            want = (min(later, key=order)[2] - x[3] if later else None) if x[4] == "+" else (x[2] - max(earlier, key=order)[3] if earlier else None)
+            assert got[x[0]] == want, x
+    assert sites.next_distance(a.limit(0), 1).count() == 0 and sites.next_distance_exact(a.limit(0), 1).count() == 0
+
+
+def test_many_annotations_of_one_chromosome(spark):
+    a = spark.range(300_000).selectExpr("id as annot_id", "'c' as seqid", "id * 5 as start_pos", "id * 5 + id % 9 as end_pos", "if(id % 3 = 0, '+', '-') as strand", "'g' as feature")
+    assert sites.next_distance(a, 1, opposite=True).count() > 0
+    assert sites.next_distance_exact(a, 3).count() > 0
+
+
 def test_long_intervals_meet_points_once(spark):
     points = spark.createDataFrame([("c", p) for p in range(1, 400_000, 997)], "seqid string, position bigint")
     spans = [(k, "c", s, e) for k, (s, e) in enumerate([(1, 399_999), (10, 10), (1, 1), (64_000, 64_999), (100, 64_101), (5, 64_006), (300_000, 700_000)])]
