@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bindery.operators.intervals import point_join
+from bindery.operators.lineage import cut
+from bindery.operators.sites import ordinal
 
 KEYS = (("seqid", "a_seqid"), ("strand", "a_strand"))
 
@@ -113,6 +117,51 @@ def bootstrap(sites: DataFrame, annots: DataFrame, upstream: int, gene: int, dra
     return full.select("draw", "offset", F.coalesce(F.col("total") / F.col("n"), F.lit(0.0)).alias("mean"))
 
 
+def block_counts(n: int, per: int, block: int, draws: int, seed: int) -> np.ndarray:
+    """How many of n draws with replacement from n rows fall into a block of `per` rows, for each draw.
+
+    Rows are halved, block by block, down to the one asked for; how many fall to the left is binomial, by a generator that
+    follows from the half alone. So every task finds the same numbers, and those of all blocks add up to n."""
+    low, high, counts = 0, -(-n // per), np.full(draws, n, np.int64)
+    while high - low > 1:
+        middle = (low + high) // 2
+        left, whole = (middle - low) * per, min(high * per, n) - low * per
+        to_left = np.random.default_rng([seed, low, high]).binomial(counts, left / whole)
+        low, high, counts = (low, middle, to_left) if block < middle else (middle, high, counts - to_left)
+    return counts
+
+
+def block_weights(n: int, per: int, block: int, draws: int, seed: int) -> np.ndarray:
+    """draws x rows of a block: how often each row is drawn."""
+    size = min(per, n - block * per)
+    return np.random.default_rng([seed, block]).multinomial(block_counts(n, per, block, draws, seed), np.full(size, 1 / size))
+
+
+def bootstrap_exact(sites: DataFrame, annots: DataFrame, upstream: int, gene: int, draws: int, seed: int = 42, per: int = 4096) -> DataFrame:
+    """draw, offset, mean: in each draw exactly as many annotations as there are, with replacement.
+
+    Annotations are numbered by annot_id and dealt into blocks of `per`. A task has the profile of one block, at most `per` rows
+    at each offset, and draws all its weights itself (see `block_weights`), so that only draws x offsets sums leave it."""
+    spark = annots.sparkSession
+    size, n = upstream + gene + 1, annots.count()
+    numbered = cut(ordinal(annots.select("annot_id").withColumn("_one", F.lit(1).cast("long")), "_one", "annot_id").select("annot_id", "ordinal"))
+    sums = offsets(sites, _around(annots, "start", upstream, gene)).groupBy("annot_id", "offset").agg(F.sum("occupancy").alias("o"))
+    blocks = sums.join(numbered, "annot_id").select(F.floor(F.col("ordinal") / per).alias("block"), (F.col("ordinal") % per).alias("row"), F.col("offset").cast("int").alias("offset"), F.col("o").cast("double").alias("o"))
+
+    def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        block = int(pdf["block"].iloc[0])
+        weights = block_weights(n, per, block, draws, seed)
+        profile = np.zeros((weights.shape[1], size))
+        pdf = pdf.sort_values(["row", "offset"])
+        profile[pdf["row"].to_numpy(int), pdf["offset"].to_numpy(int)] = pdf["o"].to_numpy(float)
+        draw, offset = np.divmod(np.arange(draws * size), size)
+        return pd.DataFrame({"draw": draw, "offset": offset, "total": (weights @ profile).ravel()})
+
+    total = blocks.groupBy("block").applyInPandas(add_up, "draw int, offset bigint, total double").groupBy("draw", "offset").agg(F.sum("total").alias("total"))
+    grid = spark.range(draws).select(F.col("id").cast("int").alias("draw")).crossJoin(F.broadcast(spark.range(size).withColumnRenamed("id", "offset")))
+    return grid.join(total, ["draw", "offset"], "left").select("draw", "offset", (F.coalesce("total", F.lit(0.0)) / max(n, 1)).alias("mean"))
+
+
 def interval_of(draws: DataFrame, low: float = 0.025, high: float = 0.975) -> DataFrame:
     """offset, lower, upper: linear-interpolation quantiles over the draws."""
     return draws.groupBy("offset").agg(F.expr(f"percentile(mean, {low}D)").alias("lower"), F.expr(f"percentile(mean, {high}D)").alias("upper"))

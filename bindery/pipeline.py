@@ -395,7 +395,7 @@ def _metagene(spark, t, cfg):
 
 @stage("bootstrap", ("sites", "gff"), ("bootstrap", "confidence"), upstream=Setting(int, 1000, nonnegative), gene=Setting(int, 750, nonnegative), draws=Setting(int, 500, nonnegative), seed=Setting(int, 42))
 def _bootstrap(spark, t, cfg):
-    draws = profiles.bootstrap(t["sites"], t["gff"], cfg["upstream"], cfg["gene"], cfg["draws"], cfg["seed"])
+    draws = profiles.bootstrap_exact(t["sites"], t["gff"], cfg["upstream"], cfg["gene"], cfg["draws"], cfg["seed"])
     return {"bootstrap": draws, "confidence": profiles.interval_of(draws)}
 
 

@@ -301,6 +301,12 @@ def colocalization(v, spark):
 _ORDER = "seqid, position, strand, tie1, tie2, transitions, coverage"
 
 
+def _spread(v) -> DataFrame:
+    """Reads with a sequence and a position that follow from their number, over all sequences; many positions lie outside."""
+    n = v[G].agg(F.count(F.lit(1)).alias("_n"))
+    return v["v_align"].crossJoin(F.broadcast(n)).select("*", (F.col("read_id") % F.col("_n")).cast("string").alias("seqid"), (F.col("read_id") * 31 % 5200 + 1).cast("bigint").alias("position"))
+
+
 @query(f"select seqid, position, strand, tie1, tie2 from v_sites order by {_ORDER}")
 def sort_sites(v, spark):
     return sites.ordered(v[S], F.col("seqid"), [F.col(c) for c in _ORDER.split(", ")[1:]]).select("seqid", "position", "strand", "tie1", "tie2")
@@ -339,6 +345,20 @@ def gff_min_dist_opposite(v, spark):
     return sites.next_distance(v[A], 8, opposite=True).select("annot_id", "distance")
 
 
+_SURVIVORS = (
+    ", m as (select annot_id, seqid, start_pos, end_pos, row_number() over (partition by seqid order by start_pos, end_pos, annot_id) as i from v_annots where strand = '-'),"
+    " keep as (select seqid, i, annot_id, end_pos as last from m where i = 1 union all"
+    " select m.seqid, m.i, case when m.start_pos = k.last or m.start_pos - k.last >= 40 then m.annot_id end, case when m.start_pos = k.last or m.start_pos - k.last >= 40 then m.end_pos else k.last end from keep k join m on m.seqid = k.seqid and m.i = k.i + 1),"
+    " p as (select annot_id, lead(start_pos) over (partition by seqid order by start_pos, end_pos, annot_id) - end_pos as d from v_annots where strand = '+')"
+)
+
+
+@query(_SURVIVORS + " select annot_id from keep where annot_id is not null union all select annot_id from p where d is null or d = 0 or d >= 40")
+def gff_min_dist_exact(v, spark):
+    """The sequential filter, in which a row that went no longer counts."""
+    return sites.next_distance_exact(v[A], 40).select("annot_id")
+
+
 # --- sequences ---------------------------------------------------------------------------------------------
 
 
@@ -399,8 +419,16 @@ def _odds(binned: str, clamp: str = "{}") -> str:
 
 
 _RANKED = "select row_number() over (order by length(seq) desc, cast(seqid as bigint)) - 1 as rank, seq, (select count(*) from v_genome) as total from v_genome"
-_RANK_BINS = f"select floor(rank / 100) as bin, seq from ({_RANKED}) r where (floor(rank / 100) + 1) * 100 <= least(5000, total - 2)"
-_CENTRED = f"select q.bin, seq from ({_RANKED}) r join (values (0, 0.0), (1, 0.25), (2, 0.3), (3, 0.6)) q(bin, share) on case when q.bin = 0 then rank between 0 and 100 else rank between floor(total * share) - 50 and floor(total * share) + 50 end"
+_RANK_BINS = f"select floor(rank / 100) as bin, seq from ({_RANKED}) r where (floor(rank / 100) + 1) * 100 <= least(50000, total - 2)"
+#: The quantiles of the centred bins.
+QUANTILES = [
+    0.01, 0.02, 0.03, 0.04, 0.05, 0.1, 0.125, 0.15, 0.175, 0.2, 0.225, 0.25, 0.275, 0.3, 0.325, 0.35, 0.375, 0.4,
+    0.45, 0.5, 0.55, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9,
+]
+_CENTRED = (
+    f"select q.bin, seq from ({_RANKED}) r join (values (0, 0.0), {', '.join(f'({i}, {q})' for i, q in enumerate(QUANTILES, 1))}) q(bin, share) on case when q.bin = 0 then rank between 0 and 1000"
+    " else rank between floor(total * cast(share as double)) - 500 and floor(total * cast(share as double)) + 500 end"
+)
 
 
 def _longest_first(v) -> DataFrame:
@@ -416,19 +444,19 @@ def _log_odds(v, binned: DataFrame, clamp: float | None = None) -> DataFrame:
 
 @query(_odds(_RANK_BINS) + " select cast(bin as bigint) as bin, kmer, log_odds from o")
 def kmer_logodds(v, spark):
-    return _log_odds(v, kmers.rank_bins(_longest_first(v), 100, 5000)).withColumn("log_odds", F.round("log_odds", 6))
+    return _log_odds(v, kmers.rank_bins(_longest_first(v), 100)).withColumn("log_odds", F.round("log_odds", 6))
 
 
 @query(_odds(_CENTRED) + " select bin, kmer, log_odds from o")
 def kmer_logodds_q(v, spark):
-    return _log_odds(v, kmers.centred_bins(_longest_first(v), [0.25, 0.3, 0.6], 50)).withColumn("log_odds", F.round("log_odds", 6))
+    return _log_odds(v, kmers.centred_bins(_longest_first(v), QUANTILES)).withColumn("log_odds", F.round("log_odds", 6))
 
 
-@query(_odds(_RANK_BINS, "greatest(least({}, 0.05), -0.05)") + " select kmer, round(sum(log_odds), 5) as lead from o where bin < 3 group by kmer")
+@query(_odds(_RANK_BINS, "greatest(least({}, 0.05), -0.05)") + " select kmer, cast(sum(cast(log_odds as decimal(18, 6))) as double) as lead from o where bin < 3 group by kmer")
 def kmer_leading(v, spark):
-    """k-mers by the sum of their clamped log odds over the first three bins."""
-    odds = _log_odds(v, kmers.rank_bins(_longest_first(v), 100, 5000), 0.05).withColumn("log_odds", F.round("log_odds", 6))
-    return kmers.leading(odds).withColumn("lead", F.round("lead", 5))
+    """k-mers by the sum of their clamped log odds over the first three bins; of decimals, whose sum has no order."""
+    odds = _log_odds(v, kmers.rank_bins(_longest_first(v), 100), 0.05).withColumn("log_odds", F.round("log_odds", 6).cast("decimal(18,6)"))
+    return kmers.leading(odds).withColumn("lead", F.col("lead").cast("double"))
 
 
 @query(", c as (select i - 1 as pos, substr(seq, i, 1) as base from (select seq, unnest(range(1, 21)) as i from v_genome where length(seq) >= 20) q), n as (select pos, base, count(*) as n from c group by 1, 2), p as (select pos, n / sum(n) over (partition by pos) as p from n) select cast(pos as int) as pos, round(2 + sum(p * log2(p)), 6) as ic from p group by pos")
@@ -436,9 +464,9 @@ def pwm_ic(v, spark):
     return kmers.information(v[G], 20).select("pos", r6("ic"))
 
 
-@query(", w as (select p.seqid, p.position, p.strand, g.seq from (select cast(read_id % 100 as varchar) as seqid, cast(read_id % 61 + 1 as bigint) as position, case when fwd then '+' else '-' end as strand from v_align) p join v_genome g on p.seqid = g.seqid where position - 5 >= 1 and position + 5 <= length(g.seq)) select seqid, position, strand, case strand when '-' then reverse(translate(substr(seq, position - 5, 11), 'ACGT', 'TGCA')) else substr(seq, position - 5, 11) end as seq, count(*) as n from w group by 1, 2, 3, 4")
+@query(", w as (select p.seqid, p.position, p.strand, g.seq from (select cast(read_id % (select count(*) from documents) as varchar) as seqid, cast(read_id * 31 % 5200 + 1 as bigint) as position, case when fwd then '+' else '-' end as strand from v_align) p join v_genome g on p.seqid = g.seqid where position - 5 >= 1 and position + 5 <= length(g.seq)) select seqid, position, strand, case strand when '-' then reverse(translate(substr(seq, position - 5, 11), 'ACGT', 'TGCA')) else substr(seq, position - 5, 11) end as seq, count(*) as n from w group by 1, 2, 3, 4")
 def seq_extract(v, spark):
-    points = v["v_align"].select((F.col("read_id") % 100).cast("string").alias("seqid"), (F.col("read_id") % 61 + 1).cast("bigint").alias("position"), F.when(F.col("fwd"), "+").otherwise("-").alias("strand"))
+    points = _spread(v).select("seqid", "position", F.when(F.col("fwd"), "+").otherwise("-").alias("strand"))
     return kmers.windows(points, v[G], 5).groupBy("seqid", "position", "strand", "seq").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -664,10 +692,12 @@ def metagene_smooth(v, spark):
     return _mean(profiles.metagene(v[S], v[A], 30, 40, 20, window=5))
 
 
-@query(_meta(flat=4).split(" union all")[0])
+@query(_meta(flat=4))
 def metagene_rmean2(v, spark):
-    raw = profiles.metagene(v[S], v[A], 30, 40, 20).where("offset < 51")
-    return _mean(profiles.smooth_flat(raw, 4, 51))
+    """Each end smoothed by itself."""
+    raw = profiles.metagene(v[S], v[A], 30, 40, 20)
+    first, second = raw.where("offset < 51"), raw.where("offset >= 51").withColumn("offset", F.col("offset") - 51)
+    return _mean(profiles.smooth_flat(first, 4, 51).unionByName(profiles.smooth_flat(second, 4, 61).withColumn("offset", F.col("offset") + 51)))
 
 
 DRAWS = 50
@@ -682,6 +712,12 @@ _BOOT = (
 )
 
 
+@query()
+def metagene_bootstrap_exact(v, spark):
+    """Each draw takes as many annotations as there are, with replacement."""
+    return profiles.bootstrap_exact(v[S], v[A], 10, 10, 500)
+
+
 def _draws(v) -> DataFrame:
     return profiles.bootstrap(v[S], v[A], 10, 10, DRAWS)
 
@@ -744,9 +780,9 @@ def coverage_profile(v, spark):
     return pileup.strand_coverage(v["v_pileup"], v[A])
 
 
-@query(", s as (select seqid, unnest(range(1, length(seq) + 1)) as pos, seq from v_genome), a as (select cast(read_id % 150 as varchar) as seqid, cast(1 + read_id % 200 as bigint) as lo, cast(1 + read_id % 200 + len as bigint) as hi, case when fwd then '+' else '-' end as strand from v_align) select distinct s.seqid, pos, substr(seq, pos, 1) as base, case substr(seq, pos, 1) when 'T' then '+' else '-' end as strand from s where substr(seq, pos, 1) in ('T', 'A') and exists (select 1 from a where a.seqid = s.seqid and a.strand = case substr(seq, pos, 1) when 'T' then '+' else '-' end and s.pos between lo and hi)")
+@query(", s as (select seqid, unnest(range(1, length(seq) + 1)) as pos, seq from v_genome), a as (select cast(read_id % (select count(*) from documents) as varchar) as seqid, cast(read_id * 31 % 5200 + 1 as bigint) as lo, cast(read_id * 31 % 5200 + 1 + len as bigint) as hi, case when fwd then '+' else '-' end as strand from v_align) select distinct s.seqid, pos, substr(seq, pos, 1) as base, case substr(seq, pos, 1) when 'T' then '+' else '-' end as strand from s where substr(seq, pos, 1) in ('T', 'A') and exists (select 1 from a where a.seqid = s.seqid and a.strand = case substr(seq, pos, 1) when 'T' then '+' else '-' end and s.pos between lo and hi)")
 def extract_sites_within(v, spark):
-    a = v["v_align"].select((F.col("read_id") % 150).cast("string").alias("seqid"), (1 + F.col("read_id") % 200).cast("bigint").alias("start_pos"), (1 + F.col("read_id") % 200 + F.col("len")).cast("bigint").alias("end_pos"), F.when(F.col("fwd"), "+").otherwise("-").alias("strand"))
+    a = _spread(v).select("seqid", F.col("position").alias("start_pos"), (F.col("position") + F.col("len")).alias("end_pos"), F.when(F.col("fwd"), "+").otherwise("-").alias("strand"))
     return pileup.site_universe_within(v[G], a)
 
 

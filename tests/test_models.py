@@ -5,6 +5,8 @@ import math
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from bindery.operators import models
 
 BACKGROUND = (0.9, 0.03, 0.8, 2.0)
@@ -119,3 +121,25 @@ def test_posterior_by_brute_force(spark, tmp_path, scale):
             q = fb[min(k, 10)][1]
             bf = fa[m][0][i] * fb[min(k, 10)][0][i] * (1 - q) / q if q else 0.0
             assert got[i] == pytest.approx(bf / (1 + bf), rel=1e-6, abs=1e-9)
+
+
+def test_bootstrap_draws_as_many_as_there_are(spark):
+    from bindery.operators import profiles
+
+    for n, per in ((1, 4), (10, 4), (64, 4), (1003, 50)):
+        weights = np.hstack([profiles.block_weights(n, per, b, 40, 7) for b in range(-(-n // per))])
+        assert weights.shape == (40, n) and (weights.sum(axis=1) == n).all()
+    many = np.hstack([profiles.block_weights(200, 7, b, 3000, 1) for b in range(29)])
+    # Each row is drawn once on average, with variance (n - 1) / n, wherever it lies; rows of different blocks are hardly correlated.
+    assert abs(many.mean(axis=0) - 1).max() < 0.08 and abs(many.var(axis=0) - 0.995).max() < 0.15
+    assert abs(np.corrcoef(many[:, 0], many[:, 199])[0, 1]) < 0.07
+    annots = spark.createDataFrame([(100 - k, "c", 50 * k, 50 * k + 20, "+-"[k % 2], "g") for k in range(1, 31)], "annot_id bigint, seqid string, start_pos bigint, end_pos bigint, strand string, feature string")
+    sites_ = spark.createDataFrame([("c", p, "+-"[p % 2], p % 7 / 7) for p in range(0, 1600, 3)], "seqid string, position bigint, strand string, occupancy double")
+    got = {(r.draw, r.offset): r.mean for r in profiles.bootstrap_exact(sites_, annots, 5, 3, 20, seed=3, per=8).collect()}
+    weights = np.hstack([profiles.block_weights(30, 8, b, 20, 3) for b in range(4)])
+    hits = {(r.annot_id, r.offset): r.o for r in profiles.offsets(sites_, profiles._around(annots, "start", 5, 3)).groupBy("annot_id", "offset").agg(F.sum("occupancy").alias("o")).collect()}
+    ids = sorted(r.annot_id for r in annots.collect())
+    assert len(got) == 20 * 9
+    for (draw, offset), mean in got.items():
+        assert abs(mean - sum(weights[draw, i] * hits.get((a, offset), 0.0) for i, a in enumerate(ids)) / 30) < 1e-9
+    assert all(r.mean == 0 for r in profiles.bootstrap_exact(sites_, annots.limit(0), 5, 3, 2).collect())
