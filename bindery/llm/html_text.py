@@ -6,8 +6,10 @@ and shared lines are deleted. Differencing decides on pages that declare no arti
 declared article, and on lines inside one whose class hints at furniture without proving it. What an article
 declared by markup says without such a hint stays, shared or not: articles of one host repeat passages, and
 the text of an article is to be kept whole. Lines that elements declare to be furniture (menus, forms,
-scripts, notices, comments and so on) go on their own evidence, and so do lines outside a declared article
-and runs of lines that are links only. Two pages with the same lines throughout are copies and keep them.
+scripts, notices, comments and so on) go on their own evidence, and so do lines outside a declared article.
+A page without an article loses what is declared and what it shares; only where it has no partner to show what is shared
+do short lines of links, three or more in a row, count as a menu. Two pages with the same lines throughout are
+copies and keep them.
 
 Sort ranges do not show in the result: the pages at their edges are handed to the ranges beside them.
 """
@@ -18,6 +20,7 @@ import html
 import itertools
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,8 +31,10 @@ from pyspark.sql import functions as F
 
 from bindery.llm.common import pieces_for, table, text_bytes
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+#: An attribute and its value; a quote that is not closed runs to the end, other values to white space or the tag's end.
+ATTRIBUTE = re.compile(r"[\s/]*([^\s/>][^\s/>=]*)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*|(?=>)))?")
+GAP = re.compile(r"[\s/]*")
 #: Elements of the HTML standard by their role.
 RAW = {"script", "style", "noscript", "template", "title", "textarea", "iframe", "xmp"}
 FURNITURE = RAW | {"head", "nav", "aside", "form", "button", "select", "option", "label", "fieldset", "dialog", "menu", "svg", "object", "audio", "video", "canvas", "map"}
@@ -41,8 +46,10 @@ HINTS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "banner", "br
 #: Words that hint at furniture, for differencing to decide; outside an article they declare it.
 WEAK = {"complementary", "modal", "pagination", "pager", "popup", "promo", "promotion", "recommended", "related", "search", "share", "sharing", "social", "toolbar", "topbar", "widget"}
 CONTAINER = {"div", "section", "aside", "ul", "ol", "dl", "table", "details", "center", "article"}
-#: Bytes of html in a sort range, and the least number of consecutive link lines that are a menu.
-RANGE_BYTES, LINKS = 4_000_000, 3
+#: Words that stand beside these in a name without another meaning: only a name made of both declares or hints.
+NEUTRAL = {"area", "bar", "block", "body", "bottom", "box", "col", "column", "container", "content", "footer", "group", "header", "holder", "inner", "item", "items", "left", "link", "links", "list", "main", "module", "outer", "page", "panel", "primary", "right", "secondary", "section", "site", "slot", "text", "top", "unit", "wrap", "wrapper"}
+#: Bytes of html in a sort range; on a page without a partner so many consecutive lines of links, each of so few words, are a menu.
+RANGE_BYTES, LINKS, LINK_WORDS = 4_000_000, 3, 3
 SPACE = re.compile(r"\s+")
 
 
@@ -60,6 +67,51 @@ class Line:
         return self.article + 2 * self.furniture + 4 * self.hinted + 8 * self.link + 16 * self.boxed
 
 
+def named(attributes: dict[str, str]) -> set[str]:
+    """Words of HINTS and WEAK that names in class, id or role consist of, beside neutral ones and numbers."""
+    out: set[str] = set()
+    for k in ("class", "id", "role"):
+        for token in attributes.get(k, "").split():
+            words = {w for w in re.split(r"[^a-z]+", token) if w}
+            if words <= HINTS | WEAK | NEUTRAL:
+                out |= words & (HINTS | WEAK)
+    return out
+
+
+def tags(source: str) -> Iterator[tuple[int, int, str, bool, dict[str, str], bool]]:
+    """Tags and comments in order: where each begins and ends, its name (empty for comments and declarations), whether it is
+    an end tag, its attributes (the first of equal names), and whether a slash of its own ends it.
+
+    One pass forward, as the HTML standard reads them: quotes inside an unquoted value are part of it, and a tag or quote
+    that is not closed runs to the end of the page. The receiver may send a place to go on from."""
+    at, size = source.find("<"), len(source)
+    while at >= 0:
+        end, name, closing, attributes, empty = at + 1, "", False, {}, False
+        if source.startswith("<!--", at):
+            stop = source.find("-->", at + 4)
+            end = stop + 3 if stop >= 0 else size
+        elif source[at + 1 : at + 2] in ("!", "?"):
+            stop = source.find(">", at)
+            end = stop + 1 if stop >= 0 else size
+        else:
+            closing = source[at + 1 : at + 2] == "/"
+            m = NAME.match(source, at + 1 + closing)
+            if not m:
+                at = source.find("<", at + 1)
+                continue
+            name, here = m[0].lower(), m.end()
+            while True:
+                gap = GAP.match(source, here)
+                if source.startswith(">", gap.end()) or gap.end() == size:
+                    end, empty = min(gap.end() + 1, size), gap[0].endswith("/")
+                    break
+                m = ATTRIBUTE.match(source, here)
+                attributes.setdefault(m[1].lower(), (m[2] or "").strip("\"'").lower() if m[2] and m[2][0] in "\"'" else (m[2] or "").lower())
+                here = m.end()
+        skip = yield at, end, name, closing, attributes, empty
+        at = source.find("<", max(end, skip or 0))
+
+
 @dataclass
 class Page:
     host: str
@@ -68,12 +120,49 @@ class Page:
     flags: list[int]
 
 
+class _Open:
+    """The open elements: name, furniture, inside an article, hinted, hinted by a container. What is asked of it is kept beside the list, so that no
+    tag makes a walk over elements that stay open."""
+
+    def __init__(self):
+        self.items: list[tuple[str, bool, bool, bool, bool]] = []
+        self.names: Counter[str] = Counter()
+        self.blocks: list[int] = []
+
+    @property
+    def top(self) -> tuple[str, bool, bool, bool, bool]:
+        return self.items[-1] if self.items else ("", False, False, False, False)
+
+    def push(self, item: tuple[str, bool, bool, bool, bool]) -> None:
+        if item[0] in BLOCK:
+            self.blocks.append(len(self.items))
+        self.items.append(item)
+        self.names[item[0]] += 1
+
+    def close(self, k: int) -> None:
+        """Closes the elements from place k on."""
+        for name, *_ in self.items[k:]:
+            self.names[name] -= 1
+        del self.items[k:]
+        while self.blocks and self.blocks[-1] >= k:
+            self.blocks.pop()
+
+    def last(self, name: str) -> int | None:
+        if not self.names[name]:
+            return None
+        k = len(self.items) - 1
+        while self.items[k][0] != name:
+            k -= 1
+        return k
+
+
 def lines(source: str | None) -> list[Line]:
-    """Text blocks in page order with what markup says of them; character references decoded, white space as one space."""
+    """Text blocks in page order with what markup says of them; character references decoded, white space as one space.
+    Time is linear in the page, however it is broken."""
     out: list[Line] = []
-    stack: list[tuple[str, bool, bool, bool, bool]] = []  # element, furniture, inside an article, hinted, by a container
+    stack = _Open()
     buffer: list[str] = []
-    plain, links = False, 0  # whether the block has text outside links; open links
+    plain = False  # whether the block has text outside links
     source = source or ""
 
     def flush() -> None:
@@ -81,69 +170,63 @@ def lines(source: str | None) -> list[Line]:
         text = SPACE.sub(" ", html.unescape("".join(buffer))).strip()
         buffer.clear()
         if text:
-            _, furniture, inside, hinted, boxed = stack[-1] if stack else ("", False, False, False, False)
+            _, furniture, inside, hinted, boxed = stack.top
             out.append(Line(text, inside, furniture, hinted, not plain, boxed))
         plain = False
 
-    at = 0
-    while True:
-        m = TAG.search(source, at)
-        piece = source[at : m.start() if m else len(source)]
+    def take(piece: str) -> None:
+        nonlocal plain
         buffer.append(piece)
-        plain = plain or (not links and bool(piece.strip()))
-        if not m:
+        plain = plain or (not stack.names["a"] and bool(piece.strip()))
+
+    at, skip, scan = 0, None, tags(source)
+    while True:
+        try:
+            begin, end, name, closing, attributes, empty = scan.send(skip)
+        except StopIteration:
             break
-        at = m.end()
-        name = (m[2] or "").lower()
+        skip = None
+        take(source[at:begin])
+        at = end
         if not name:
             continue
         if name in BLOCK:
             flush()
         elif name == "br":
             buffer.append(" ")
-        if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if any(s[1] for s in stack[k:]):
-                        flush()
-                    links -= sum(s[0] == "a" for s in stack[k:])
-                    del stack[k:]
-                    break
+        if closing:
+            k = stack.last(name)
+            if k is not None:
+                if any(s[1] for s in stack.items[k:]):
+                    flush()
+                stack.close(k)
             continue
-        if name in VOID or m[3].endswith("/"):
+        if name in VOID or empty:
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(source, at)
-            at = end.end() if end else len(source)
+            found = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(source, at)
+            at = skip = found.end() if found else len(source)
             continue
         if name in ("p", "li", "dd", "dt", "tr", "td", "th", "option"):  # elements whose end tag may be left out
-            k = len(stack) - 1 if stack and stack[-1][0] == name else None
-            if name == "p" and k is None:
-                # A paragraph also closes one that inline elements left open.
-                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCK), None)
-                k = k if k is not None and stack[k][0] == "p" else None
+            k = len(stack.items) - 1 if stack.top[0] == name else None
+            if name == "p" and k is None and stack.blocks and stack.items[stack.blocks[-1]][0] == "p":
+                k = stack.blocks[-1]  # a paragraph also closes one that inline elements left open
             if k is not None:
-                links -= sum(s[0] == "a" for s in stack[k:])
-                del stack[k:]
-        _, gone, inside, hinted, boxed = stack[-1] if stack else ("", False, False, False, False)
-        attributes = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(m[3])} if m[3] else {}
-        marked = {w for k in ("class", "id", "role") for w in re.split(r"[^a-z0-9]+", attributes.get(k, ""))}
-        furniture = name in FURNITURE or (name in EDGE and (not inside or name == "footer")) or "hidden" in re.split(r"[\s=]+", m[3].lower()) or attributes.get("aria-hidden") == "true"
+                stack.close(k)
+        _, gone, inside, hinted, boxed = stack.top
+        marked = named(attributes) if attributes else set()
+        furniture = name in FURNITURE or (name in EDGE and (not inside or name == "footer")) or "hidden" in attributes or attributes.get("aria-hidden") == "true"
         if name == "article":
-            marked &= {"comment", "comments", "replies", "related", "recommended", "sponsored"}
-            furniture = furniture or bool(marked)
+            furniture = furniture or bool(marked & {"comment", "comments", "replies", "related", "recommended", "sponsored"})
         elif name not in ("html", "body", "main"):
-            if inside:
-                furniture = furniture or (name in CONTAINER and bool(marked & HINTS))
-                hinted = hinted or bool(marked & (HINTS | WEAK))
-                boxed = boxed or (name in CONTAINER and bool(marked & WEAK))
-            else:
-                furniture = furniture or bool(marked & (HINTS | WEAK))
+            furniture = furniture or ((name in CONTAINER or not inside) and bool(marked & HINTS))
+            hinted = hinted or bool(marked)
+            boxed = boxed or (inside and name in CONTAINER and bool(marked & WEAK))
         if furniture and not gone and name not in BLOCK:
             flush()
         inside = inside or name in ("article", "main") or attributes.get("role") in ("main", "article")
-        stack.append((name, gone or furniture, inside, hinted, boxed))
-        links += name == "a"
+        stack.push((name, gone or furniture, inside, hinted, boxed))
+    take(source[at:])
     flush()
     return out
 
@@ -239,7 +322,8 @@ def main_text(own: Page, before: Page | None, after: Page | None) -> tuple[str,
         if f & 8:
             run.append(k)
         else:
-            menu |= set(run) if len(run) >= LINKS else set()
+            short = not partner and len(run) >= LINKS and all(own.texts[j].count(" ") < LINK_WORDS for j in run)
+            menu |= set(run) if short else set()
             run = []
     kept, deleted = [], 0
     for k, (text, f) in enumerate(zip(own.texts, own.flags, strict=True)):

@@ -47,6 +47,19 @@ def test_base_spans(spark):
     assert pii.find(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_the_query_counts_each_kind(spark, tmp_path):
+    rows = [*texts(), *[(300 + i, t) for i, t in enumerate(HARD)], (500, "1.1.1.1 2.2.2.2 3.3.3.3 a@b.cd +1 (212) 555-0199"), (501, "a@b.cd e@f.gh 4539578763621486 i@j.kl"), (502, "+1 212 555 0199, +44 20 7946 0958; 9.9.9.9")]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((str(r.doc_id), r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in pii.op6_pii(spark, str(tmp_path)).collect())
+    want = []
+    for i, t in rows:
+        spans = brute(t)
+        n = Counter(k for k, _, _ in spans)
+        want.append((str(i), n["email"], n["ip"], n["card"], n["phone"], hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans).encode()).hexdigest()))
+    assert got == sorted(want)
+    assert any(x[2] > 2 for x in got)
+
+
 def test_added_spans_are_learned(spark):
     r = random.Random(2)
     rows = [f"please ring +1 ({r.randrange(200, 999)}) 555-{i:04d} today" for i in range(200)] + [f"server {i % 200}.{i % 7}.0.{i % 250} is up" for i in range(200)]

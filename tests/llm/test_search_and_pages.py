@@ -173,3 +173,60 @@ def test_linear_space_alignment_is_a_longest_one():
 def test_shared_path():
     p = lambda host, path: Page(host, path, [], [])
     assert shared_path(p("a", "/x/1"), p("a", "/x/2")) == 3 and shared_path(p("a", "/"), p("b", "/")) == -1 == shared_path(p("a", "/"), None)
+
+
+def test_attributes_as_browsers_read_them():
+    say = lambda h: [(x.text, x.furniture) for x in lines(h)]
+    assert say("<article><p title=it's>one</p><p>two</p></article>") == [("one", False), ("two", False)]
+    assert say("<p><a href=/x/>link</a> and text") == [("link and text", False)]
+    assert say("<p class=x/>gone? <b>no</b></p>") == [("gone? no", False)]
+    assert say('<p title="a > b">x</p><p data-a=\'"\'>y</p>') == [("x", False), ("y", False)]
+    assert say("<div hidden>no</div><div title='hidden'>yes</div>") == [("no", True), ("yes", False)]
+    assert say("a < b and <3 and </ > c") == [("a < b and <3 and </ > c", False)]
+    assert say("x<!-- - > <p>no --><br>y<p title=\"open>no") == [("x y", False)]
+    assert [x.text for x in lines("<script>if (a<b) '</scripty>'</SCRIPT >in")] == ["in"]
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<p title=it's>w</p>", "<a href=/x/>w</a>", "</b>", "<b><p></p>", '<p title="x', "< ", "<!-- ", "<script>", "<a = ", "<div>"])
+def test_broken_pages_take_linear_time(unit):
+    import time
+
+    took = []
+    for size in (300_000, 3_000_000):
+        began = time.process_time()
+        lines(unit * (size // len(unit)))
+        took.append(time.process_time() - began)
+    assert took[1] < max(3.0, 25 * took[0])
+
+
+def test_names_that_only_hold_a_hint_drop_nothing(spark):
+    body = "".join(f'<div class="{c}">{c} stays</div>' for c in ("notice-of-change", "comment-free", "ad-hoc", "related-work-in-physics"))
+    gone = "".join(f'<div class="{c}">{c} goes</div>' for c in ("notice", "comments-list", "ad-slot", "cookie-banner", "newsletter-signup-box"))
+    papers = "".join(f"<li><a href=/{k}>A paper of many words, number {k}</a></li>" for k in range(3))
+    rows = [(1, "http://a.org/1", f"<article><p>Text</p>{body}{gone}</article>"), (2, "http://b.org/1", '<body><div class="widget">main body</div></body>'), (3, "http://c.org/1", f"<body><p>Intro</p><ul>{papers}</ul><p>End</p></body>")]
+    menu = "".join(f"<li><a href=/{k}>go {k}</a></li>" for k in range(4))
+    rows += [(10 + k, f"http://d.org/x/{k}", f"<body><ul>{menu}</ul><ul><li><a>one {k}</a></li><li><a>two {k}</a></li><li><a>three {k}</a></li></ul><p>Text {k}</p></body>") for k in range(3)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[1] == "Text\n" + "\n".join(f"{c} stays" for c in ("notice-of-change", "comment-free", "ad-hoc", "related-work-in-physics"))
+    assert got[2] == "main body"
+    assert got[3] == "Intro\n" + "\n".join(f"A paper of many words, number {k}" for k in range(3)) + "\nEnd"
+    # With a partner, what is shared decides, and nothing else.
+    assert all(got[10 + k] == f"one {k}\ntwo {k}\nthree {k}\nText {k}" for k in range(3))
+
+
+def test_invented_pages_against_their_own_parts(spark):
+    """Pages put together from parts of which it is known whether they belong to the text."""
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(rng.choice(list("abcdeé"), rng.integers(2, 8)))
+    rows, want = [], {}
+    for k in range(50):
+        site, article = k % 5, k % 2
+        own = [" ".join([f"p{k}", *(word() for _ in range(rng.integers(1, 12)))]) for _ in range(rng.integers(1, 9))]
+        middle = "".join(f"<p id=x{j}>{t.replace(' ', rng.choice([' ', chr(10), ' <i>']), 1)}" if j % 2 else f"<div>{t}</div>" for j, t in enumerate(own))
+        junk = '<div class="share">Share</div><section class="comments"><p>reader %d</p></section>' % k
+        middle = f"<article>{middle}{junk}</article>" if article else f"<main>{middle}</main>"
+        html = f"<html><head><title>t{k}</title></head><body><header>Site {site}<nav><a href=/>Home</a></nav></header><div class='ad'>buy {k}</div><form>mail me</form>{middle}<footer>(c) site {site}</footer><script>var x='<p>no';</script></body></html>"
+        rows.append((k, f"http://s{site}.org/{'ab'[k % 2]}/{k}", html))
+        want[k] = "\n".join(own)
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)).collect()}
+    assert got == want
