@@ -11,14 +11,14 @@ from bindery.operators.kmers import cut
 from bindery.operators.sites import SITE_KEYS, overlapping, renamed
 
 
-def counts(pileup: DataFrame, mutation: tuple[str, str] = ("T", "C")) -> DataFrame:
-    """chrom, pos, strand, k conversions and n = k + matches. Upper-case references of the pair only."""
+def counts(pileup: DataFrame, mutation: tuple[str, str] = ("T", "C"), keep: tuple[str, ...] = ()) -> DataFrame:
+    """chrom, pos, strand, k conversions and n = k + matches, and the columns to `keep`. Upper-case references of the pair only."""
     ref, alt = mutation
     pair = dict(zip("ACGT", "TGCA", strict=True))
     plus = F.col("ref") == ref
     k = F.when(plus, count_char(F.col("bases"), alt)).otherwise(count_char(F.col("bases"), pair[alt].lower()))
     n = k + F.when(plus, count_char(F.col("bases"), ".")).otherwise(count_char(F.col("bases"), ","))
-    return pileup.where(F.col("ref").isin(ref, pair[ref])).select("chrom", "pos", F.when(plus, "+").otherwise("-").alias("strand"), k.alias("k"), n.alias("n"))
+    return pileup.where(F.col("ref").isin(ref, pair[ref])).select("chrom", "pos", F.when(plus, "+").otherwise("-").alias("strand"), k.alias("k"), n.alias("n"), *keep)
 
 
 def naive_sites(pileup: DataFrame, min_transitions: int = 2, reference: str = "T", mutation: str = "C") -> DataFrame:
@@ -70,6 +70,16 @@ def transition_probabilities(matrix: DataFrame) -> DataFrame:
     return off.join(F.broadcast(rows), "ref").crossJoin(F.broadcast(total)).select("ref", "alt", F.when(F.col("total") > 0, F.col("n") / F.col("total")).otherwise(0.0).alias("joint"), F.when(F.col("row") > 0, F.col("n") / F.col("row")).otherwise(0.0).alias("conditional"))
 
 
+def transition_margins(matrix: DataFrame) -> DataFrame:
+    """ref, alt, level, n, joint, conditional: mutations of each pair (level 0), each reference (1), each read base (2) and all (3), with null
+    for what is summed over; their share of all mutations, and of those of their reference. One aggregate over grouping sets."""
+    off = matrix.where("ref <> alt")
+    sums = off.cube("ref", "alt").agg(F.grouping_id().cast("int").alias("level"), F.sum("n").alias("n"))
+    rows, total = sums.where("level = 1").select("ref", F.col("n").alias("row")), sums.where("level = 3").select(F.col("n").alias("total"))
+    full = sums.join(F.broadcast(rows), "ref", "left").crossJoin(F.broadcast(total))  # at most four rows, and one
+    return full.select("ref", "alt", "level", "n", F.try_divide(F.col("n"), F.col("total")).alias("joint"), F.try_divide(F.col("n"), F.coalesce("row", "total")).alias("conditional"))
+
+
 def histogram(counts_: DataFrame, k: str = "k", n: str = "n", below: int = 1000, pseudo: int = 0) -> DataFrame:
     """Rows of each (k, n) with n under `below`."""
     return counts_.where(F.col(n) < below).groupBy(k, n).agg((F.count(F.lit(1)) + pseudo).alias("count"))

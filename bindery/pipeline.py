@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindery.functions import sequences
-from bindery.operators import alignments, kmers, lineage, models, pileup, profiles, reads, sampling, sites, trimming, umis
+from bindery.operators import alignments, background, kmers, lineage, models, pileup, profiles, reads, sampling, sites, trimming, umis
 from bindery.sources import bam, tables
 
 Frames = dict[str, Any]
@@ -297,10 +297,9 @@ def _naive(spark, t, cfg):
     return {"sites": pileup.naive_sites(t["pileup"], cfg["min_transitions"], cfg["reference"], cfg["mutation"])}
 
 
-@stage("background_finder", ("counts",), ("sites",), min_coverage=Setting(int, 5, nonnegative), max_p=Setting(float, 0.001, nonnegative))
+@stage("background_finder", ("counts",), ("sites",), min_coverage=Setting(int, 5, nonnegative), max_p=Setting(float, 0.001, nonnegative), restarts=Setting(int, 100, nonnegative), average=Setting(str, "best", one_of("best", "running")))
 def _background(spark, t, cfg):
-    histogram = {(int(r["k"]), int(r["n"])): int(r["count"]) for r in pileup.histogram(t["counts"]).collect()}  # depths below 1000: at most 500,500 rows
-    fitted = models.fit_background(histogram)
+    fitted = background.fit(t["counts"], restarts=cfg["restarts"], average=cfg["average"])
     return {"sites": models.call_sites(t["counts"], fitted, cfg["min_coverage"], cfg["max_p"], models.snp_likely(fitted))}
 
 

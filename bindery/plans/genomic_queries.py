@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindery.functions import sequences as seq
-from bindery.operators import alignments, intervals, kmers, lineage, models, pileup, profiles, reads, sites, trimming, umis
+from bindery.operators import alignments, background, intervals, kmers, lineage, models, pileup, profiles, reads, sites, trimming, umis
 from bindery.plans.views import views, with_views
 from bindery.sources import tables
 
@@ -132,6 +132,12 @@ def transition_probs(v, spark):
     return pileup.transition_probabilities(pileup.transition_matrix(v["v_pileup"], 5)).select("ref", "alt", r6("joint"), r6("conditional"))
 
 
+@query(f", m as ({_MATRIX}), c as (select ref, alt, cast(grouping(ref) * 2 + grouping(alt) as int) as level, cast(sum(n) as bigint) as n from m where ref <> alt group by cube (ref, alt)) select c.ref, c.alt, c.level, c.n, round(c.n / nullif(t.n, 0), 6) as joint, round(c.n / nullif(coalesce(r.n, t.n), 0), 6) as conditional from c join c t on t.level = 3 left join c r on r.level = 1 and r.ref = c.ref")
+def transition_margins(v, spark):
+    """The matrix with its margins."""
+    return pileup.transition_margins(pileup.transition_matrix(v["v_pileup"], 5)).select("ref", "alt", "level", "n", r6("joint"), r6("conditional"))
+
+
 @query("select k, n, count(*) + 1 as count from v_factor where n < 1000 group by k, n")
 def kn_histogram(v, spark):
     return pileup.histogram(v["v_factor"], pseudo=1)
@@ -935,6 +941,13 @@ def mock_model(v, spark):
     return spark.createDataFrame([(n, round(float(x), 4)) for n, x in rows], "parameter string, value double")
 
 
+@query()
+def background_model(v, spark):
+    """The background of the factor's counts by 100 restarts a depth; tests hold the fit against planted values and a grid."""
+    found = background.fit(v["v_factor"])
+    return spark.createDataFrame([(n, round(float(x), 4)) for n, x in zip(("r", "rho", "alpha", "beta"), found, strict=True)], "parameter string, value double")
+
+
 @query()
 def posterior_fitted(v, spark):
     """From counts to posteriors: the mock model is fitted first; tests hold the chain against its parts."""

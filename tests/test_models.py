@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from bindery.operators import models
+from bindery.operators import background, models
 
 BACKGROUND = (0.9, 0.03, 0.8, 2.0)
 
@@ -143,3 +143,67 @@ def test_bootstrap_draws_as_many_as_there_are(spark):
     for (draw, offset), mean in got.items():
         assert abs(mean - sum(weights[draw, i] * hits.get((a, offset), 0.0) for i, a in enumerate(ids)) / 30) < 1e-9
     assert all(r.mean == 0 for r in profiles.bootstrap_exact(sites_, annots.limit(0), 5, 3, 2).collect())
+
+
+def test_gradient_of_the_background():
+    r = np.random.default_rng(4)
+    for _ in range(40):
+        counts, t = r.integers(1, 500, r.integers(3, 12)).astype(float), r.uniform(-3, 3, 4)
+        _, g = background.loss_and_gradient(t, counts)
+        e = np.eye(4) * 1e-6
+        numeric = [(background.loss_and_gradient(t + x, counts)[0] - background.loss_and_gradient(t - x, counts)[0]) / 2e-6 for x in e]
+        assert g == pytest.approx(numeric, abs=1e-5)
+    p = models.background_pmf(7, (0.3, 0.05, 0.7, 2.0))
+    t = np.array([math.log(1 / 0.05 - 1), math.log(0.7), math.log(2.0), math.log(1 / 0.3 - 1)])
+    assert background.loss_and_gradient(t, p)[0] == pytest.approx(-(p * np.log(p)).sum())
+
+
+def test_background_of_planted_parameters(spark):
+    rows = [(k, n, round(p * 400_000)) for n in range(4, 12) for k, p in enumerate(models.background_pmf(n, BACKGROUND))]
+    counts = spark.createDataFrame([(k, n, c) for k, n, c in rows if c], "k long, n long, c long").selectExpr("k", "n", "explode(sequence(1L, c)) as x").drop("x")
+    tried = background.restarts_of(counts, restarts=12).collect()
+    assert len(tried) == 6 * 13 and sum(x.done for x in tried) > 30
+    for depth in (7, 10):
+        h = np.array([c for k, n, c in rows if n == depth], float)
+        best = min(x.loss for x in tried if x.depth == depth and (x.done or x.restart == 0))
+        # A grid around the planted values finds nothing better.
+        r, rho, a, b = BACKGROUND
+        grid = [background.loss_and_gradient(np.array([math.log(1 / (rho * s) - 1), math.log(a * u), math.log(b * w), math.log(1 / z - 1)]), h)[0] for s in (0.8, 0.9, 1, 1.1, 1.25) for u in (0.5, 0.75, 1, 1.5, 2) for w in (0.5, 0.75, 1, 1.5, 2) for z in (0.85, 0.88, 0.9, 0.92, 0.95)]
+        assert best <= min(grid) + 1e-6
+    for average in ("best", "running"):
+        found = background.fit(counts, restarts=12, average=average)
+        for n in (6, 9):
+            assert models.background_pmf(n, found) == pytest.approx(models.background_pmf(n, BACKGROUND), abs=2e-2 if average == "running" else 8e-3), average
+    with pytest.raises(ValueError, match="no site"):
+        background.fit(counts.where("n > 90"), restarts=1)
+
+
+def test_streams_agree_with_batch(spark, tmp_path):
+    """Files that arrive one after another, one row of them too late."""
+    from datetime import datetime, timedelta
+
+    from bindery.streaming import reads as stream
+
+    at = lambda s: datetime(2020, 1, 1) + timedelta(seconds=s)
+    schema = "chrom string, pos long, ref string, bases string, arrived timestamp"
+    batches = [[("c", p, "AT"[p % 2], "..C,,g"[: 3 + p % 4], at(20 * b + p)) for p in range(8)] for b in range(4)]
+    late = [("c", 1, "T", "CCCC", at(1))]
+    for k, rows in enumerate([*batches, [("c", 3, "T", ".", at(500))], [("c", 3, "T", ".", at(510))], late, [("c", 3, "T", ",", at(900))]]):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/part{k}")
+        next((tmp_path / f"part{k}").glob("*.parquet")).rename(tmp_path / "in" / f"{k}.parquet")
+    incoming = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+
+    def drained(df, mode, name):
+        df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{tmp_path}/{name}").trigger(availableNow=True).start().awaitTermination()
+        return spark.table(name)
+
+    got = {tuple(x) for x in drained(stream.conversions(incoming(), "30 seconds", "60 seconds"), "append", "stream_counts").where("begin < '2020-01-01 00:02:00'").collect()}
+    want = {tuple(x) for x in stream.conversions(spark.createDataFrame([x for b in batches for x in b], schema), "30 seconds", "60 seconds").collect()}
+    assert got == want and got
+    seqs = drained(stream.deduplicate(incoming().withColumnRenamed("bases", "seq"), "60 seconds"), "append", "stream_reads")
+    # Each once, the late row not at all.
+    assert sorted(x.seq for x in seqs.collect()) == sorted({x[3] for b in batches for x in b} | {".", ","})
+    named = incoming().selectExpr("concat(chrom, pos) as read_id", "chrom as place", "ref as umi", "arrived")
+    once = drained(stream.molecules(named, "1 hour"), "complete", "stream_molecules")
+    assert {(x.umi, x.n) for x in once.collect()} == {("A", 4), ("T", 4)}
