@@ -12,88 +12,21 @@ import os
 import string
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from typing import Any
+from typing import Any, Literal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bindery import settings
 from bindery.functions import sequences
 from bindery.operators import alignments, background, kmers, lineage, models, pileup, profiles, reads, sampling, sites, trimming, umis
+from bindery.settings import Amount, Base, ConfigError, Count, Dna, MaybeDna
 from bindery.sources import bam, tables
 
 Frames = dict[str, Any]
 
 
-class ConfigError(ValueError):
-    """A setting is missing or wrong, or a stage needs a format that nothing gives."""
-
-
-@dataclass(frozen=True)
-class Setting:
-    """type converts the raw value, check validates or converts it further; a setting without a default is mandatory."""
-
-    type: Callable[[Any], Any]
-    default: Any = None
-    check: Callable[[Any], Any] = lambda x: x
-
-
-def section(config: Mapping[str, Any], settings: Mapping[str, Setting], where: str = "") -> dict[str, Any]:
-    """The settings with defaults filled in; unknown, missing and invalid ones raise."""
-    if unknown := set(config) - set(settings):
-        raise ConfigError(f"{where}: unknown settings {', '.join(sorted(unknown))}")
-    out = {}
-    for name, s in settings.items():
-        if name not in config:
-            if s.default is None:
-                raise ConfigError(f"{where}: mandatory setting {name!r} is missing")
-            out[name] = s.default
-            continue
-        try:
-            out[name] = s.check(s.type(config[name]))
-        except (ValueError, TypeError) as e:
-            raise ConfigError(f"{where}: invalid value {config[name]!r} for {name!r}: {e}") from e
-    return out
-
-
-def boolean(x: Any) -> bool:
-    """False for false, "no", "0" and the empty text, true for all else."""
-    return x if isinstance(x, bool) else str(x).lower() not in ("no", "0", "", "false")
-
-
-def dna(x: str) -> str:
-    """Upper-case DNA; U becomes T; every letter must be one of ACGT."""
-    x = str(x).upper().replace("U", "T")
-    if not x or set(x) - set("ACGT"):
-        raise ValueError("DNA may hold A, C, G and T only")
-    return x
-
-
-def nucleotide(x: str) -> str:
-    if len(x) != 1:
-        raise ValueError("one of A, C, G, T is expected")
-    return dna(x)
-
-
-def nonnegative(x: int) -> int:
-    if x < 0:
-        raise ValueError("a non-negative number is expected")
-    return x
-
-
-def one_of(*allowed: Any) -> Callable[[Any], Any]:
-    def check(x: Any) -> Any:
-        if x not in allowed:
-            raise ValueError(f"one of {', '.join(map(str, allowed))} is expected")
-        return x
-
-    return check
-
-
-def names(x: Any) -> list[str]:
-    """A list, or a text with commas."""
-    return [n.strip() for n in x.split(",") if n.strip()] if isinstance(x, str) else list(x)
-
-
 def beside(config_path: str, path: str) -> str:
     """A path as it is if it is absolute or names a store, else relative to the configuration file."""
     return path if os.path.isabs(path) or "://" in path else os.path.join(os.path.dirname(os.path.abspath(config_path)), path)
@@ -101,27 +34,35 @@ def beside(config_path: str, path: str) -> str:
 
 @dataclass(frozen=True)
 class Stage:
+    """run(spark, tables, **settings) gives the tables that it makes; its keyword-only arguments are the settings."""
+
     name: str
-    run: Callable[[SparkSession, Frames, dict[str, Any]], Frames]
+    run: Callable[..., Frames]
     needs: tuple[str, ...]
     gives: tuple[str, ...]
-    settings: dict[str, Setting]
+
+    @property
+    def settings(self) -> dict[str, Any]:
+        return settings.fields(self.run)
 
 
 STAGES: dict[str, Stage] = {}
-COMMON = {"skip": Setting(boolean, False), "module_info": Setting(str, "")}
 
 
-def stage(name: str, needs: tuple[str, ...], gives: tuple[str, ...], **settings: Setting):
+def stage(name: str, needs: tuple[str, ...], gives: tuple[str, ...]):
     """Registers a stage; other packages may add theirs, or name one by its dotted path."""
 
-    def add(f: Callable[[SparkSession, Frames, dict[str, Any]], Frames]):
-        STAGES[name] = Stage(name, f, needs, gives, settings | COMMON)
+    def add(f: Callable[..., Frames]):
+        STAGES[name] = Stage(name, f, needs, gives)
         return f
 
     return add
 
 
+def _common(*, skip: bool = False, module_info: str = "") -> None:
+    """What every stage takes: whether to leave it out, and a note."""
+
+
 def resolve(name: str) -> Stage:
     if name in STAGES:
         return STAGES[name]
@@ -144,25 +85,25 @@ class Pipeline:
 
     def schedule(self, name: str, config: Mapping[str, Any] | None = None) -> None:
         s = resolve(name)
-        settings = section(config or {}, s.settings, name)
-        if settings["skip"]:
+        given = settings.read(config or {}, s.settings | settings.fields(_common), name)
+        if given["skip"]:
             return
         if missing := [f for f in s.needs if f not in self.formats]:
             raise ConfigError(f"{name}: nothing gives {', '.join(missing)}")
         self.formats |= set(s.gives)
-        self.jobs.append((s, settings))
+        self.jobs.append((s, {k: v for k, v in given.items() if k in s.settings}))
 
     def run(self, spark: SparkSession, frames: Frames) -> Frames:
         frames = dict(frames)
-        for s, settings in self.jobs:
-            frames |= s.run(spark, frames, settings)
+        for s, given in self.jobs:
+            frames |= s.run(spark, frames, **given)
         return frames
 
 
 #: Format -> reader of a path.
 READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fastq": tables.read_fastq, "sam": tables.read_sam, "bam": bam.read_bam, "pileup": tables.read_pileup, "mock_pileup": tables.read_pileup, "sites": tables.read_sites, "legacy_sites": tables.read_legacy,
-    "gff": lambda spark, path: with_ids(tables.read_gff(spark, path)), "genome": tables.read_fasta, "parquet": lambda spark, path: spark.read.parquet(path),
+    "gff": lambda spark, path: with_ids(tables.read_gff(spark, path)), "genome": tables.read_fasta, "genome_index": tables.read_fai, "parquet": lambda spark, path: spark.read.parquet(path),
 }
 
 
@@ -182,223 +123,234 @@ def load(path: str, variables: Mapping[str, str] | None = None) -> dict[str, Any
             raise ConfigError(f"{path}: no value for ${{{e.args[0]}}}") from e
 
 
+def _custom(*, path: str, reader: str = "parquet") -> None:
+    """What a custom file takes."""
+
+
 def plan(config: Mapping[str, Any]) -> Pipeline:
     """inputs: {format: path}, custom_files: {format: {path, reader}}, stages: [name or {name: settings}]."""
     inputs = dict(config.get("inputs") or {})
     for fmt, c in (config.get("custom_files") or {}).items():
-        section(c, {"path": Setting(str), "reader": Setting(str, "parquet", one_of(*READERS))}, f"custom_files.{fmt}")
+        if settings.read(c, settings.fields(_custom), f"custom_files.{fmt}")["reader"] not in READERS:
+            raise ConfigError(f"custom_files.{fmt}: one of {', '.join(READERS)} is expected")
     if unknown := [f for f in inputs if f not in READERS]:
         raise ConfigError(f"inputs: no reader for {', '.join(unknown)}")
     p = Pipeline(set(inputs) | set(config.get("custom_files") or {}))
     for s in config.get("stages") or []:
-        name, settings = (s, {}) if isinstance(s, str) else next(iter(s.items()))
-        p.schedule(name, settings)
+        name, given = (s, {}) if isinstance(s, str) else next(iter(s.items()))
+        p.schedule(name, given)
     return p
 
 
 def run(spark: SparkSession, config: Mapping[str, Any], config_path: str = ".") -> Frames:
     """The tables of all formats at the end of a pipeline, not yet computed."""
     p = plan(config)
-    frames: Frames = {f: READERS[f](spark, beside(config_path, path)) for f, path in (config.get("inputs") or {}).items()}
-    for fmt, c in (config.get("custom_files") or {}).items():
-        frames[fmt] = READERS[c.get("reader", "parquet")](spark, beside(config_path, c["path"]))
+    wanted = {f: (f, path) for f, path in (config.get("inputs") or {}).items()}
+    wanted |= {f: (c.get("reader", "parquet"), c["path"]) for f, c in (config.get("custom_files") or {}).items()}
+    frames: Frames = {}
+    for fmt, (reader, path) in wanted.items():
+        try:
+            frames[fmt] = READERS[reader](spark, beside(config_path, path))
+        except AnalysisException as e:  # Spark looks paths up when a table is made
+            raise ConfigError(f"{fmt}: {path} cannot be read: {e.getCondition() or e}") from e
+    if "genome" in frames and "genome_index" in frames:
+        lengths = frames["genome"].select("seqid", F.lit(1).alias("chunk_start"), "seq")
+        if wrong := tables.check_index(lengths, frames["genome_index"]).limit(5).collect():
+            raise ConfigError(f"genome_index: it does not fit the genome at {', '.join(r['seqid'] for r in wrong)}")
     return p.run(spark, frames)
 
 
 # --- stages ------------------------------------------------------------------------------------------------
 
-COUNT = Setting(int, 2, nonnegative)
-
-
 @stage("deduplicate", ("fastq",), ("fastq",))
-def _deduplicate(spark, t, cfg):
+def _deduplicate(spark, t):
     return {"fastq": reads.deduplicate(t["fastq"], "id")}
 
 
-@stage("clip_adapters", ("fastq",), ("fastq",), adapter5=Setting(str, "", lambda x: x and dna(x)), adapter3=Setting(str, "", lambda x: x and dna(x)), barcode5=Setting(int, 0, nonnegative), barcode3=Setting(int, 0, nonnegative), min_length=Setting(int, 20, nonnegative))
-def _clip(spark, t, cfg):
-    s, q = sequences.clip_adapters(F.col("seq"), F.col("qual"), cfg["adapter5"], cfg["adapter3"], cfg["barcode5"], cfg["barcode3"])
-    return {"fastq": t["fastq"].withColumns({"seq": s, "qual": q}).where(F.length("seq") >= cfg["min_length"])}
+@stage("clip_adapters", ("fastq",), ("fastq",))
+def _clip(spark, t, *, adapter5: MaybeDna = "", adapter3: MaybeDna = "", barcode5: Count = 0, barcode3: Count = 0, min_length: Count = 20):
+    s, q = sequences.clip_adapters(F.col("seq"), F.col("qual"), adapter5, adapter3, barcode5, barcode3)
+    return {"fastq": t["fastq"].withColumns({"seq": s, "qual": q}).where(F.length("seq") >= min_length)}
 
 
-@stage("remove_five", ("fastq",), ("fastq",), adapter=Setting(str, None, dna), seed=Setting(int, 3, nonnegative), mode=Setting(str, "seeded", one_of("strict", "seeded", "anywhere")))
-def _remove_five(spark, t, cfg):
-    left = sequences.remove_five(F.col("seq"), cfg["adapter"], cfg["seed"], cfg["mode"])
+@stage("remove_five", ("fastq",), ("fastq",))
+def _remove_five(spark, t, *, adapter: Dna, seed: Count = 3, mode: Literal["strict", "seeded", "anywhere"] = "seeded"):
+    left = sequences.remove_five(F.col("seq"), adapter, seed, mode)
     return {"fastq": t["fastq"].withColumn("_s", left).withColumn("qual", F.expr("substring(qual, length(seq) - length(_s) + 1, length(_s))")).withColumn("seq", F.col("_s")).drop("_s")}
 
 
-@stage("clip_tolerant", ("fastq",), ("fastq",), adapter3=Setting(str, None, dna), error_rate=Setting(float, 0.1, nonnegative), overlap=Setting(int, 3, nonnegative), min_length=Setting(int, 20, nonnegative))
-def _clip_tolerant(spark, t, cfg):
-    return {"fastq": trimming.clip_tolerant(t["fastq"], cfg["adapter3"], cfg["error_rate"], cfg["overlap"], cfg["min_length"])}
+@stage("clip_tolerant", ("fastq",), ("fastq",))
+def _clip_tolerant(spark, t, *, adapter3: Dna, error_rate: Amount = 0.1, overlap: Count = 3, min_length: Count = 20):
+    return {"fastq": trimming.clip_tolerant(t["fastq"], adapter3, error_rate, overlap, min_length)}
 
 
-@stage("quality_trim", ("fastq",), ("fastq",), cutoff=Setting(int, 30, nonnegative), min_length=Setting(int, 20, nonnegative), mode=Setting(str, "end", one_of("end", "sum", "segment")), phred_base=Setting(int, 33, nonnegative))
-def _quality_trim(spark, t, cfg):
-    return {"fastq": trimming.trim_quality(t["fastq"], cfg["cutoff"], cfg["min_length"], cfg["mode"], cfg["phred_base"])}
+@stage("quality_trim", ("fastq",), ("fastq",))
+def _quality_trim(spark, t, *, cutoff: Count = 30, min_length: Count = 20, mode: Literal["end", "sum", "segment"] = "end", phred_base: Count = 33):
+    return {"fastq": trimming.trim_quality(t["fastq"], cutoff, min_length, mode, phred_base)}
 
 
-@stage("umi_extract", ("fastq",), ("fastq",), length=Setting(int, None, nonnegative))
-def _umi_extract(spark, t, cfg):
-    return {"fastq": umis.extract(t["fastq"], cfg["length"]).drop("umi")}
+@stage("umi_extract", ("fastq",), ("fastq",))
+def _umi_extract(spark, t, *, length: Count):
+    return {"fastq": umis.extract(t["fastq"], length).drop("umi")}
 
 
 @stage("umi_deduplicate", ("sam",), ("sam", "molecules"))
-def _umi_deduplicate(spark, t, cfg):
+def _umi_deduplicate(spark, t):
     kept = umis.deduplicate(t["sam"])
     return {"sam": kept.select(t["sam"].columns), "molecules": kept.select("read_id", "umi", "molecule_reads", "molecule_umis")}
 
 
-@stage("sort_alignments", ("sam",), ("sam",), partitions=Setting(int, 200, nonnegative))
-def _sort_alignments(spark, t, cfg):
+@stage("sort_alignments", ("sam",), ("sam",))
+def _sort_alignments(spark, t, *, partitions: Count = 200):
     path = lineage.new_table(spark, "sorted")
-    alignments.write_sorted(t["sam"], path, cfg["partitions"])
+    alignments.write_sorted(t["sam"], path, partitions)
     return {"sam": spark.read.parquet(path)}
 
 
 @stage("pileup", ("sam", "genome"), ("pileup",))
-def _pileup(spark, t, cfg):
+def _pileup(spark, t):
     return {"pileup": alignments.pileup(t["sam"], t["genome"])}
 
 
-@stage("read_filter", ("sam",), ("sam", "read_qc"), min_quality=Setting(int, 0, nonnegative), min_mean_quality=Setting(float, 20.0, nonnegative), min_length=Setting(int, 20, nonnegative), max_mismatches=Setting(int, 1, nonnegative), edge=Setting(int, 2, nonnegative))
-def _read_filter(spark, t, cfg):
-    how = (cfg["min_quality"], cfg["min_mean_quality"], cfg["min_length"])
+@stage("read_filter", ("sam",), ("sam", "read_qc"))
+def _read_filter(spark, t, *, min_quality: Count = 0, min_mean_quality: Amount = 20.0, min_length: Count = 20, max_mismatches: Count = 1, edge: Count = 2):
+    how = (min_quality, min_mean_quality, min_length)
     good = t["sam"].where(reads.drop_reason(*how).isNull())
-    return {"sam": reads.clip_edges(reads.mismatch_filter(good, cfg["min_quality"], cfg["max_mismatches"], cfg["edge"]), cfg["edge"]), "read_qc": reads.read_qc(t["sam"], *how)}
+    return {"sam": reads.clip_edges(reads.mismatch_filter(good, min_quality, max_mismatches, edge), edge), "read_qc": reads.read_qc(t["sam"], *how)}
 
 
 @stage("bam_statistics", ("sam",), ("statistics",))
-def _statistics(spark, t, cfg):
+def _statistics(spark, t):
     return {"statistics": reads.statistics(t["sam"])}
 
 
-@stage("softclip_analysis", ("sam",), ("softclips",), top=Setting(int, 10, nonnegative))
-def _softclips(spark, t, cfg):
-    return {"softclips": reads.softclips(t["sam"], cfg["top"])}
+@stage("softclip_analysis", ("sam",), ("softclips",))
+def _softclips(spark, t, *, top: Count = 10):
+    return {"softclips": reads.softclips(t["sam"], top)}
 
 
-@stage("pileup_counts", ("pileup",), ("counts",), reference=Setting(str, "T", nucleotide), mutation=Setting(str, "C", nucleotide))
-def _counts(spark, t, cfg):
-    return {"counts": pileup.counts(t["pileup"], (cfg["reference"], cfg["mutation"]))}
+@stage("pileup_counts", ("pileup",), ("counts",))
+def _counts(spark, t, *, reference: Base = "T", mutation: Base = "C"):
+    return {"counts": pileup.counts(t["pileup"], (reference, mutation))}
 
 
-@stage("mock_counts", ("mock_pileup",), ("mock_counts",), reference=Setting(str, "T", nucleotide), mutation=Setting(str, "C", nucleotide))
-def _mock_counts(spark, t, cfg):
-    return {"mock_counts": pileup.counts(t["mock_pileup"], (cfg["reference"], cfg["mutation"]))}
+@stage("mock_counts", ("mock_pileup",), ("mock_counts",))
+def _mock_counts(spark, t, *, reference: Base = "T", mutation: Base = "C"):
+    return {"mock_counts": pileup.counts(t["mock_pileup"], (reference, mutation))}
 
 
-@stage("transition_frequency", ("pileup",), ("transitions",), min_coverage=Setting(int, 5, nonnegative))
-def _frequency(spark, t, cfg):
-    return {"transitions": pileup.transition_probabilities(pileup.transition_matrix(t["pileup"], cfg["min_coverage"]))}
+@stage("transition_frequency", ("pileup",), ("transitions",))
+def _frequency(spark, t, *, min_coverage: Count = 5):
+    return {"transitions": pileup.transition_probabilities(pileup.transition_matrix(t["pileup"], min_coverage))}
 
 
-@stage("naive_finder", ("pileup",), ("sites",), min_transitions=COUNT, reference=Setting(str, "T", nucleotide), mutation=Setting(str, "C", nucleotide))
-def _naive(spark, t, cfg):
-    return {"sites": pileup.naive_sites(t["pileup"], cfg["min_transitions"], cfg["reference"], cfg["mutation"])}
+@stage("naive_finder", ("pileup",), ("sites",))
+def _naive(spark, t, *, min_transitions: Count = 2, reference: Base = "T", mutation: Base = "C"):
+    return {"sites": pileup.naive_sites(t["pileup"], min_transitions, reference, mutation)}
 
 
-@stage("background_finder", ("counts",), ("sites",), min_coverage=Setting(int, 5, nonnegative), max_p=Setting(float, 0.001, nonnegative), restarts=Setting(int, 100, nonnegative), average=Setting(str, "best", one_of("best", "running")))
-def _background(spark, t, cfg):
-    fitted = background.fit(t["counts"], restarts=cfg["restarts"], average=cfg["average"])
-    return {"sites": models.call_sites(t["counts"], fitted, cfg["min_coverage"], cfg["max_p"], models.snp_likely(fitted))}
+@stage("background_finder", ("counts",), ("sites",))
+def _background(spark, t, *, min_coverage: Count = 5, max_p: Amount = 0.001, restarts: Count = 100, average: Literal["best", "running"] = "best"):
+    fitted = background.fit(t["counts"], restarts=restarts, average=average)
+    return {"sites": models.call_sites(t["counts"], fitted, min_coverage, max_p, models.snp_likely(fitted))}
 
 
-@stage("prediction_sites", ("genome",), ("universe",), nucleotide=Setting(str, "T", nucleotide))
-def _universe(spark, t, cfg):
-    return {"universe": pileup.site_universe(t["genome"], cfg["nucleotide"]).select(F.col("seqid").alias("chrom"), "pos", "strand")}
+@stage("prediction_sites", ("genome",), ("universe",))
+def _universe(spark, t, *, nucleotide: Base = "T"):
+    return {"universe": pileup.site_universe(t["genome"], nucleotide).select(F.col("seqid").alias("chrom"), "pos", "strand")}
 
 
 @stage("transition_table", ("universe", "counts", "mock_counts"), ("transition_table",))
-def _transition_table(spark, t, cfg):
+def _transition_table(spark, t):
     return {"transition_table": sites.merge_counts(t["universe"], t["counts"], t["mock_counts"])}
 
 
-@stage("learn_mock", ("mock_counts",), ("mock_model",), coverage=Setting(float), components=Setting(int, 3, nonnegative), iterations=Setting(int, 250, nonnegative))
-def _learn(spark, t, cfg):
-    return {"mock_model": models.fit_mock(t["mock_counts"], cfg["coverage"], cfg["components"], cfg["iterations"])}
+@stage("learn_mock", ("mock_counts",), ("mock_model",))
+def _learn(spark, t, *, coverage: float, components: Count = 3, iterations: Count = 250):
+    return {"mock_model": models.fit_mock(t["mock_counts"], coverage, components, iterations)}
 
 
-@stage("mock_finder", ("transition_table", "mock_model"), ("posteriors", "sites"), coverage=Setting(float), max_k_mock=Setting(int, 10, nonnegative), posterior=Setting(float, 0.1, nonnegative), min_k=COUNT, scale=Setting(boolean, False))
-def _mock_finder(spark, t, cfg):
-    post = models.score_with(t["transition_table"], t["mock_model"], cfg["coverage"], cfg["max_k_mock"], cfg["scale"])
-    return {"posteriors": post, "sites": models.posterior_sites(post, cfg["posterior"], cfg["min_k"])}
+@stage("mock_finder", ("transition_table", "mock_model"), ("posteriors", "sites"))
+def _mock_finder(spark, t, *, coverage: float, max_k_mock: Count = 10, posterior: Amount = 0.1, min_k: Count = 2, scale: bool = False):
+    post = models.score_with(t["transition_table"], t["mock_model"], coverage, max_k_mock, scale)
+    return {"posteriors": post, "sites": models.posterior_sites(post, posterior, min_k)}
 
 
-@stage("normalize", ("sites", "mock_counts"), ("sites",), max_ratio=Setting(float, 0.0, nonnegative))
-def _normalize(spark, t, cfg):
+@stage("normalize", ("sites", "mock_counts"), ("sites",))
+def _normalize(spark, t, *, max_ratio: Amount = 0.0):
     other = t["mock_counts"].select(F.col("chrom").alias("seqid"), F.col("pos").alias("position"), "strand", F.col("n").alias("total"), F.col("k").alias("mutated"))
-    return {"sites": sites.normalize(t["sites"], other, cfg["max_ratio"] or None)}
+    return {"sites": sites.normalize(t["sites"], other, max_ratio or None)}
 
 
-@stage("quantile_cap", ("sites",), ("sites",), column=Setting(str, "occupancy"), quantile=Setting(float, 0.95, nonnegative))
-def _cap(spark, t, cfg):
-    return {"sites": sites.cap_at_quantile(t["sites"], cfg["column"], cfg["quantile"])}
+@stage("quantile_cap", ("sites",), ("sites",))
+def _cap(spark, t, *, column: str = "occupancy", quantile: Amount = 0.95):
+    return {"sites": sites.cap_at_quantile(t["sites"], column, quantile)}
 
 
 @stage("upgrade", ("legacy_sites",), ("sites",))
-def _upgrade(spark, t, cfg):
+def _upgrade(spark, t):
     return {"sites": sites.upgrade_legacy(t["legacy_sites"])}
 
 
-@stage("gff_filter", ("sites", "gff"), ("sites",), features=Setting(names, []), padding=Setting(int, 0, nonnegative), ignore_seqid=Setting(boolean, False))
-def _gff_filter(spark, t, cfg):
-    return {"sites": sites.filter_features(t["sites"], t["gff"], cfg["features"], cfg["padding"], cfg["ignore_seqid"])}
+@stage("gff_filter", ("sites", "gff"), ("sites",))
+def _gff_filter(spark, t, *, features: list[str] = (), padding: Count = 0, ignore_seqid: bool = False):
+    return {"sites": sites.filter_features(t["sites"], t["gff"], features, padding, ignore_seqid)}
 
 
-@stage("annotate", ("sites", "gff"), ("annotated", "annotation_summary"), max_n=Setting(int, 0, nonnegative))
-def _annotate(spark, t, cfg):
-    found = sites.annotate(t["sites"], t["gff"], t["sites"].columns, cfg["max_n"] or None)
+@stage("annotate", ("sites", "gff"), ("annotated", "annotation_summary"))
+def _annotate(spark, t, *, max_n: Count = 0):
+    found = sites.annotate(t["sites"], t["gff"], t["sites"].columns, max_n or None)
     return {"annotated": found, "annotation_summary": sites.annotation_summary(found)}
 
 
-@stage("motif_sequences", ("sites", "gff", "genome"), ("fasta",), features=Setting(names, []), padding=Setting(int, 20, nonnegative), key=Setting(str, "occupancy"), begin=Setting(int, 0, nonnegative), end=Setting(int, 1000, nonnegative), width=Setting(int, 12, nonnegative))
-def _motif(spark, t, cfg):
+@stage("motif_sequences", ("sites", "gff", "genome"), ("fasta",))
+def _motif(spark, t, *, features: list[str] = (), padding: Count = 20, key: str = "occupancy", begin: Count = 0, end: Count = 1000, width: Count = 12):
     """Unwanted features removed, a slice of the best sites, and their sequences as FASTA lines with their place."""
-    rest = sites.filter_features(t["sites"], t["gff"], cfg["features"], cfg["padding"])
-    order = [F.col(cfg["key"]).desc_nulls_last(), *[F.col(c) for c in ("seqid", "position", "strand")]]
-    best = sites.sliced(rest, order, cfg["begin"], cfg["end"])
+    rest = sites.filter_features(t["sites"], t["gff"], features, padding)
+    order = [F.col(key).desc_nulls_last(), *[F.col(c) for c in ("seqid", "position", "strand")]]
+    best = sites.sliced(rest, order, begin, end)
     # At most end - begin rows, which one array numbers.
-    fields = F.struct(F.col(cfg["key"]).isNull().alias("_no"), (-F.col(cfg["key"]).cast("double")).alias("_k"), "seqid", "position", "strand", F.struct(*best.columns).alias("_row"))
+    fields = F.struct(F.col(key).isNull().alias("_no"), (-F.col(key).cast("double")).alias("_k"), "seqid", "position", "strand", F.struct(*best.columns).alias("_row"))
     numbered = best.agg(F.sort_array(F.collect_list(fields)).alias("_all")).select(F.posexplode("_all").alias("ordinal", "_r")).select("ordinal", "_r._row.*")
-    return {"fasta": tables.fasta_lines(kmers.windows(numbered, t["genome"], cfg["width"], keep=True)).orderBy("rank")}
+    return {"fasta": tables.fasta_lines(kmers.windows(numbered, t["genome"], width, keep=True)).orderBy("rank")}
 
 
-@stage("negative_set", ("sites", "gff", "genome"), ("negatives",), n=Setting(int, 1000, nonnegative), width=Setting(int, 20, nonnegative), seed=Setting(int, 42), by_site=Setting(boolean, True))
-def _negatives(spark, t, cfg):
-    if cfg["by_site"]:
-        return {"negatives": sampling.negative_set(t["sites"], t["gff"], t["genome"], cfg["n"], cfg["width"], cfg["seed"])}
-    return {"negatives": sampling.random_sequences(t["gff"], t["genome"], cfg["n"], cfg["width"], cfg["seed"])}
+@stage("negative_set", ("sites", "gff", "genome"), ("negatives",))
+def _negatives(spark, t, *, n: Count = 1000, width: Count = 20, seed: int = 42, by_site: bool = True):
+    if by_site:
+        return {"negatives": sampling.negative_set(t["sites"], t["gff"], t["genome"], n, width, seed)}
+    return {"negatives": sampling.random_sequences(t["gff"], t["genome"], n, width, seed)}
 
 
-@stage("kmer_log_odds", ("sites", "genome", "negatives"), ("kmer_log_odds",), k=Setting(int, 3, nonnegative), width=Setting(int, 20, nonnegative), bin=Setting(int, 1000, nonnegative), most=Setting(int, 50_000, nonnegative))
-def _log_odds(spark, t, cfg):
+@stage("kmer_log_odds", ("sites", "genome", "negatives"), ("kmer_log_odds",))
+def _log_odds(spark, t, *, k: Count = 3, width: Count = 20, bin: Count = 1000, most: Count = 50000):
     """Bins of ranks by occupancy, against the k-mers of the negative set."""
     scored = t["sites"].where("occupancy is not null").withColumns({"_o": -F.round(F.col("occupancy") * 1_000_000_000).cast("long"), "_h": F.xxhash64("seqid", "position", "strand").bitwiseAND((1 << 52) - 1)})
     ranked = sites.ordinal(scored, "_o", "_h").withColumnRenamed("ordinal", "rank")
-    binned = kmers.rank_bins(kmers.windows(ranked, t["genome"], cfg["width"]), cfg["bin"], cfg["most"])
-    background = kmers.frequencies(kmers.count(t["negatives"], cfg["k"], 1))
-    return {"kmer_log_odds": kmers.log_odds(binned.select("bin", "seq"), background, cfg["k"])}
+    binned = kmers.rank_bins(kmers.windows(ranked, t["genome"], width), bin, most)
+    background = kmers.frequencies(kmers.count(t["negatives"], k, 1))
+    return {"kmer_log_odds": kmers.log_odds(binned.select("bin", "seq"), background, k)}
 
 
-@stage("kmer_positions", ("sites", "genome"), ("kmer_positions",), k=Setting(int, 3, nonnegative), width=Setting(int, 20, nonnegative))
-def _positions(spark, t, cfg):
-    return {"kmer_positions": kmers.by_position(kmers.windows(t["sites"], t["genome"], cfg["width"]), cfg["k"], True, 2 * cfg["width"] + 2 - cfg["k"])}
+@stage("kmer_positions", ("sites", "genome"), ("kmer_positions",))
+def _positions(spark, t, *, k: Count = 3, width: Count = 20):
+    return {"kmer_positions": kmers.by_position(kmers.windows(t["sites"], t["genome"], width), k, True, 2 * width + 2 - k)}
 
 
-@stage("metagene", ("sites", "gff"), ("metagene",), upstream=Setting(int, 1000, nonnegative), downstream=Setting(int, 1000, nonnegative), gene=Setting(int, 750, nonnegative), smooth=Setting(int, 20, nonnegative), min_size=Setting(int, 1, nonnegative), max_size=Setting(int, 1 << 40, nonnegative), antisense=Setting(boolean, False))
-def _metagene(spark, t, cfg):
+@stage("metagene", ("sites", "gff"), ("metagene",))
+def _metagene(spark, t, *, upstream: Count = 1000, downstream: Count = 1000, gene: Count = 750, smooth: Count = 20, min_size: Count = 1, max_size: Count = 1 << 40, antisense: bool = False):
     size = F.col("end_pos") - F.col("start_pos") + 1
-    annots = t["gff"].where(size.between(cfg["min_size"], cfg["max_size"]))
-    return {"metagene": profiles.metagene(t["sites"], annots, cfg["upstream"], cfg["downstream"], cfg["gene"], cfg["smooth"], not cfg["antisense"])}
+    annots = t["gff"].where(size.between(min_size, max_size))
+    return {"metagene": profiles.metagene(t["sites"], annots, upstream, downstream, gene, smooth, not antisense)}
 
 
-@stage("bootstrap", ("sites", "gff"), ("bootstrap", "confidence"), upstream=Setting(int, 1000, nonnegative), gene=Setting(int, 750, nonnegative), draws=Setting(int, 500, nonnegative), seed=Setting(int, 42))
-def _bootstrap(spark, t, cfg):
-    draws = profiles.bootstrap_exact(t["sites"], t["gff"], cfg["upstream"], cfg["gene"], cfg["draws"], cfg["seed"])
+@stage("bootstrap", ("sites", "gff"), ("bootstrap", "confidence"))
+def _bootstrap(spark, t, *, upstream: Count = 1000, gene: Count = 750, draws: Count = 500, seed: int = 42):
+    draws = profiles.bootstrap_exact(t["sites"], t["gff"], upstream, gene, draws, seed)
     return {"bootstrap": draws, "confidence": profiles.interval_of(draws)}
 
 
-@stage("heatmap", ("sites", "gff"), ("heatmap",), xbins=Setting(int, 500, nonnegative), ybins=Setting(int, 500, nonnegative), scaled=Setting(boolean, False))
-def _heatmap(spark, t, cfg):
+@stage("heatmap", ("sites", "gff"), ("heatmap",))
+def _heatmap(spark, t, *, xbins: Count = 500, ybins: Count = 500, scaled: bool = False):
     sized = sites.ordinal(t["gff"].withColumns({"_size": F.col("end_pos") - F.col("start_pos"), "_h": F.col("annot_id").bitwiseAND((1 << 52) - 1)}), "_size", "_h").drop("_size", "_h")
-    return {"heatmap": profiles.heatmap(t["sites"], sized, cfg["xbins"], cfg["ybins"], cfg["scaled"])}
+    return {"heatmap": profiles.heatmap(t["sites"], sized, xbins, ybins, scaled)}

@@ -2,12 +2,13 @@
 
 import random
 from collections import Counter
+from typing import Literal
 
 import pytest
 from pyspark.sql import functions as F
 
 from bindery import __main__ as cli
-from bindery import pipeline
+from bindery import pipeline, settings
 from bindery.operators import sampling, sites
 
 ANNOT = "annot_id bigint, seqid string, start_pos bigint, end_pos bigint, strand string, feature string"
@@ -45,17 +46,22 @@ def test_random_sequences(spark):
     assert sampling.negative_lines(sampling.negative_set(s, annots(spark), genome, 3, 2)).first().value.startswith(">random:")
 
 
+def some_stage(spark, t, *, a: settings.Count, b: bool = True, c: settings.Base = "T", d: Literal["x", "y"] = "x", e: list[str] = (), f: settings.Amount = 0.5, g: settings.MaybeDna = ""):
+    return {}
+
+
 def test_settings():
-    s = {"a": pipeline.Setting(int, None, pipeline.nonnegative), "b": pipeline.Setting(pipeline.boolean, True), "c": pipeline.Setting(str, "T", pipeline.nucleotide)}
-    assert pipeline.section({"a": "3", "b": "no", "c": "u"}, s) == {"a": 3, "b": False, "c": "T"}
-    assert pipeline.section({"a": 0}, s) == {"a": 0, "b": True, "c": "T"}
-    for bad in ({}, {"a": -1}, {"a": "x"}, {"a": 1, "c": "AC"}, {"a": 1, "d": 2}):
-        with pytest.raises(pipeline.ConfigError):
-            pipeline.section(bad, s)
-    assert pipeline.dna("acu") == "ACT" and pipeline.names("a, b,") == ["a", "b"] and pipeline.beside("/x/c.yaml", "d") == "/x/d" == pipeline.beside("/y/c", "/x/d")
-    for bad in ("", "ACX"):
-        with pytest.raises(ValueError):
-            pipeline.dna(bad)
+    known = settings.fields(some_stage)
+    rest = {"d": "x", "e": [], "f": 0.5, "g": ""}
+    assert settings.read({"a": "3", "b": "no", "c": "u"}, known) == {"a": 3, "b": False, "c": "T"} | rest
+    assert settings.read({"a": 0}, known) == {"a": 0, "b": True, "c": "T"} | rest
+    assert settings.read({"a": 1, "d": "y", "e": "p, q,", "f": "2", "g": "acu"}, known) == {"a": 1, "b": True, "c": "T", "d": "y", "e": ["p", "q"], "f": 2.0, "g": "ACT"}
+    for bad in ({}, {"a": -1}, {"a": "x"}, {"a": 1.5}, {"a": 1, "c": "AC"}, {"a": 1, "z": 2}, {"a": 1, "b": "perhaps"}, {"a": 1, "d": "z"}, {"a": 1, "f": "nan"}, {"a": 1, "g": "AXC"}):
+        with pytest.raises(settings.ConfigError):
+            settings.read(bad, known)
+    with pytest.raises(settings.ConfigError, match="'a'.*'c'"):
+        settings.read({"a": -1, "c": ""}, known)
+    assert pipeline.beside("/x/c.yaml", "d") == "/x/d" == pipeline.beside("/y/c", "/x/d")
 
 
 def test_plans_are_checked():
@@ -66,7 +72,7 @@ def test_plans_are_checked():
             pipeline.plan(bad)
 
 
-OWN = pipeline.Stage("own", lambda spark, t, cfg: {"sites": t["sites"].where("transitions > 2")}, ("sites",), ("sites",), dict(pipeline.COMMON))
+OWN = pipeline.Stage("own", lambda spark, t: {"sites": t["sites"].where("transitions > 2")}, ("sites",), ("sites",))
 
 
 def inputs(tmp_path):
@@ -157,3 +163,15 @@ def test_reads_to_sites(spark, tmp_path):
     rows = {x.pos: (x.ref, x.depth, x.bases) for x in t["pileup"].collect()}
     assert rows[5] == ("A", 2, "^'.^*.") and sum(d for _, d, _ in rows.values()) == 24
     assert t["counts"].count() > 0
+
+
+def test_inputs_are_checked_before_stages_run(spark, tmp_path):
+    inputs(tmp_path)
+    with pytest.raises(pipeline.ConfigError, match="pileup: .*nothing"):
+        pipeline.run(spark, {"inputs": {"pileup": f"{tmp_path}/nothing"}, "stages": ["pileup_counts"]})
+    (tmp_path / "g.fa.fai").write_text("c1\t420\t4\t60\t61\n")
+    good = {"inputs": {"genome": f"{tmp_path}/g.fa", "genome_index": f"{tmp_path}/g.fa.fai"}, "stages": ["prediction_sites"]}
+    assert pipeline.run(spark, good)["universe"].count() > 0
+    (tmp_path / "g.fa.fai").write_text("c1\t421\t4\t60\t61\n")
+    with pytest.raises(pipeline.ConfigError, match="c1"):
+        pipeline.run(spark, good)
