@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bindery.operators.density import bayes_factors, concave_majorant, grenander  # noqa: F401
+
 TERMS = 50_000
 
 
@@ -209,54 +211,6 @@ def ecdf(values: DataFrame, by: str) -> DataFrame:
     return n.select(by, F.col("p").alias("x"), (F.sum("c").over(w.orderBy("p").rowsBetween(Window.unboundedPreceding, 0)) / F.sum("c").over(w)).alias("y"))
 
 
-def concave_majorant(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(knots, slope from each knot on) of the least concave majorant, by pooling segments whose slopes rise."""
-    blocks: list[list[float]] = []  # width, rise, segments
-    for s, r in zip(np.diff(x).tolist(), np.diff(y).tolist(), strict=True):
-        blocks.append([s, r, 1])
-        while len(blocks) > 1 and blocks[-1][1] * blocks[-2][0] >= blocks[-2][1] * blocks[-1][0]:
-            last = blocks.pop()
-            blocks[-1] = [p + q for p, q in zip(blocks[-1], last, strict=True)]
-    knots = x[np.r_[0, np.cumsum([b[2] for b in blocks])]]
-    slopes = np.array([b[1] / b[0] for b in blocks])
-    return knots, np.r_[slopes, slopes[-1]]
-
-
-def _fitted(p: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(knots, density from each knot on) of sorted distinct p-values and their counts, on [0, 1]."""
-    x, y = p, np.cumsum(counts) / counts.sum()
-    if x[-1] != 1:
-        x, y = np.r_[x, 1.0], np.r_[y, 1.0]
-    if x[0] != 0:
-        x, y = np.r_[0.0, x], np.r_[0.0, y]
-    return concave_majorant(x, y) if len(x) > 1 else (np.array([0.0, 1.0]), np.array([1.0, 1.0]))
-
-
-def grenander(values: DataFrame, by: str) -> DataFrame:
-    """Group, x, f: knots of the decreasing density of p-values, on [0, 1]. A group has one row for each distinct p-value."""
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("p")
-        knots, slopes = _fitted(pdf["p"].to_numpy(float), pdf["c"].to_numpy(float))
-        return pd.DataFrame({by: pdf[by].iloc[0], "x": knots, "f": slopes})
-
-    return values.groupBy(by, "p").agg(F.count(F.lit(1)).alias("c")).groupBy(by).applyInPandas(fit, f"{by} bigint, x double, f double")
-
-
-def bayes_factors(values: DataFrame, by: str) -> DataFrame:
-    """Group, p, bf, q for each distinct p-value: the density at its last knot by the least density, less one, and one
-    less that least density."""
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("p")
-        p = pdf["p"].to_numpy(float)
-        knots, slopes = _fitted(p, pdf["c"].to_numpy(float))
-        low = max(float(slopes.min()), 1e-6)  # a density that falls to zero leaves some null
-        return pd.DataFrame({by: pdf[by], "p": p, "bf": slopes[np.searchsorted(knots, p, "right") - 1] / low - 1, "q": 1 - low})
-
-    return values.groupBy(by, "p").agg(F.count(F.lit(1)).alias("c")).groupBy(by).applyInPandas(fit, f"{by} bigint, p double, bf double, q double")
-
-
 def posterior(table: DataFrame, kk: DataFrame, nk: DataFrame, max_k_mock: int, lump: int = 10, scale: bool = False) -> DataFrame:
     """The transition table with bf_kk, bf_nk, pval_kk, pval_nk, posterior, for k_factor > 0 and k_mock <= max_k_mock.
 

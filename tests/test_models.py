@@ -207,3 +207,23 @@ def test_streams_agree_with_batch(spark, tmp_path):
     named = incoming().selectExpr("concat(chrom, pos) as read_id", "chrom as place", "ref as umi", "arrived")
     once = drained(stream.molecules(named, "1 hour"), "complete", "stream_molecules")
     assert {(x.umi, x.n) for x in once.collect()} == {("A", 4), ("T", 4)}
+
+
+@pytest.mark.parametrize("ranges", [3, 40])
+def test_densities_in_ranges(spark, ranges):
+    from bindery.operators import density
+
+    r = np.random.default_rng(ranges)
+    rows = [(g, float(round(x, 3))) for g, n in ((0, 900), (1, 300), (2, 5), (3, 1)) for x in np.minimum(r.exponential(0.2, n), 1.0)] + [(4, 0.0), (4, 1.0), (5, 0.0), (6, 1.0), (6, 1.0)]
+    values = spark.createDataFrame(rows, "g long, p double")
+    one, many = ({(x.g, round(x.x, 9)): x.f for x in density.grenander(values, "g", n).collect()} for n in (1, ranges))
+    assert one.keys() == many.keys() and all(many[k] == pytest.approx(one[k], rel=1e-9) for k in one)
+    for g in range(7):
+        p = np.sort([x for y, x in rows if y == g])
+        x, c = np.unique(p, return_counts=True)
+        knots, slopes = density._padded(x, np.cumsum(c) / len(p))
+        assert {k: f for (y, k), f in many.items() if y == g} == {round(k, 9): pytest.approx(f, rel=1e-9) for k, f in zip(knots.tolist(), slopes.tolist(), strict=True)}
+        got = {x.p: (x.bf, x.q) for x in density.bayes_factors(values.where(f"g = {g}"), "g", ranges).collect()}
+        low = max(slopes.min(), 1e-6)
+        assert got == {v: (pytest.approx(slopes[np.searchsorted(knots, v, "right") - 1] / low - 1, rel=1e-8, abs=1e-9), pytest.approx(1 - low)) for v in x.tolist()}
+    assert density.grenander(values.limit(0), "g").count() == 0 and density.bayes_factors(values.limit(0), "g").count() == 0
