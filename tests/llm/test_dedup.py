@@ -34,6 +34,25 @@ def test_exact_groups_empty_and_hot(spark):
     assert {(r.keep_id, r.group_size) for r in got} == {(0, 500)} and [r.doc_id for r in got if r.kept] == [0]
 
 
+def test_copies_without_ids_spread_over_salts(spark):
+    """A third of all rows is one text under null ids: its batches go to many salts, and no salt holds most of them."""
+    from bindery.llm.exact_dedup import LOCAL, _local
+
+    rows = [(None, "same text") if i % 3 == 0 else (i, f"text {i}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        lists = docs.mapInArrow(_local(64), LOCAL).where("norm = 'same text'").groupBy("salt").count().collect()
+        got = exact_groups(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(lists) > 32 and max(x["count"] for x in lists) * 8 < sum(x["count"] for x in lists)
+    hot = [x for x in got if x.doc_id is None]
+    assert len(hot) == 2000 and {(x.keep_id, x.group_size) for x in hot} == {(None, 2000)} and sum(x.kept for x in hot) == 1
+    assert sum(x.kept for x in got) == 4001
+
+
 def brute_print(t):
     w = (t or "").encode().lower().split()
     s = [b" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
