@@ -32,16 +32,6 @@ def concave_majorant(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return knots, np.r_[slopes, slopes[-1]]
 
 
-def _fitted(p: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(knots, density from each knot on) of sorted distinct p-values and their counts, on [0, 1]."""
-    x, y = p, np.cumsum(counts) / counts.sum()
-    if x[-1] != 1:
-        x, y = np.r_[x, 1.0], np.r_[y, 1.0]
-    if x[0] != 0:
-        x, y = np.r_[0.0, x], np.r_[0.0, y]
-    return concave_majorant(x, y) if len(x) > 1 else (np.array([0.0, 1.0]), np.array([1.0, 1.0]))
-
-
 def corners(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Places of the points that the majorant of these points touches at its bends, ends included."""
     kept: list[int] = []
