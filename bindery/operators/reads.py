@@ -123,3 +123,18 @@ def statistics(align: DataFrame) -> DataFrame:
     """total_reads, total_coverage of mapped reads."""
     left, end = mapped_span(F.col("cigar"), F.length("seq"))
     return align.where("mapped").agg(F.count(F.lit(1)).alias("total_reads"), F.coalesce(F.sum((end - left).cast("long")), F.lit(0).cast("long")).alias("total_coverage"))
+
+
+def left_over(reads: DataFrame, align: DataFrame, name: str = "id") -> DataFrame:
+    """Reads that no alignment maps, for the next mapper. Names are compared up to the first white space, as mappers write them."""
+    mapped = align.where("mapped").select(F.col("read_id").cast("string").alias("_mapped")).distinct()
+    return reads.withColumn("_name", F.regexp_extract(F.col(name).cast("string"), r"^\S*", 0)).join(mapped, F.col("_name") == F.col("_mapped"), "left_anti").drop("_name")
+
+
+def merge_runs(first: DataFrame, later: DataFrame) -> DataFrame:
+    """Alignments of two mappers: all mapped ones of both; of reads that neither maps, the rows of the first, or of the later one if the
+    first does not know them. Columns of the first."""
+    both = first.unionByName(later.select(*[F.col(c) if c in later.columns else F.lit(None).cast(t).alias(c) for c, t in first.dtypes]))
+    mapped, known = both.where("mapped").select("read_id").distinct(), first.select("read_id").distinct()
+    lost = first.where("not mapped").unionByName(both.where("not mapped").join(known, "read_id", "left_anti").select(first.columns))
+    return both.where("mapped").unionByName(lost.join(mapped, "read_id", "left_anti").select(first.columns))

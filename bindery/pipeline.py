@@ -102,7 +102,7 @@ class Pipeline:
 
 #: Format -> reader of a path.
 READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "fastq": tables.read_fastq, "sam": tables.read_sam, "bam": bam.read_bam, "pileup": tables.read_pileup, "mock_pileup": tables.read_pileup, "sites": tables.read_sites, "legacy_sites": tables.read_legacy,
+    "fastq": tables.read_fastq, "sam": tables.read_sam, "later_sam": tables.read_sam, "bam": bam.read_bam, "pileup": tables.read_pileup, "mock_pileup": tables.read_pileup, "sites": tables.read_sites, "legacy_sites": tables.read_legacy,
     "gff": lambda spark, path: with_ids(tables.read_gff(spark, path)), "genome": tables.read_fasta, "genome_index": tables.read_fai, "parquet": lambda spark, path: spark.read.parquet(path),
 }
 
@@ -200,6 +200,16 @@ def _umi_deduplicate(spark, t):
     return {"sam": kept.select(t["sam"].columns), "molecules": kept.select("read_id", "umi", "molecule_reads", "molecule_umis")}
 
 
+@stage("left_over", ("fastq", "sam"), ("fastq",))
+def _left_over(spark, t):
+    return {"fastq": reads.left_over(t["fastq"], t["sam"])}
+
+
+@stage("merge_runs", ("sam", "later_sam"), ("sam",))
+def _merge_runs(spark, t):
+    return {"sam": reads.merge_runs(t["sam"], t["later_sam"])}
+
+
 @stage("sort_alignments", ("sam",), ("sam",))
 def _sort_alignments(spark, t, *, partitions: Count = 200):
     path = lineage.new_table(spark, "sorted")

@@ -495,6 +495,17 @@ def adapter_clip(v, spark):
     return v["v_reads"].select("read_id", clipped.alias("clipped"))
 
 
+@query("select read_id, seq from v_reads r where not exists (select 1 from v_align a where a.mapped and a.read_id = r.read_id)")
+def reads_left_over(v, spark):
+    return reads.left_over(v["v_reads"], v["v_align"], "read_id")
+
+
+@query(", later as (select read_id + 5 as read_id, read_id % 3 = 0 as mapped, start from v_indel), b as (select read_id, mapped, start from v_align union all select * from later), m as (select distinct read_id from b where mapped) select * from b where mapped union all select read_id, mapped, start from v_align where not mapped and read_id not in (select read_id from m) union all select * from later where not mapped and read_id not in (select read_id from m) and read_id not in (select read_id from v_align)")
+def merge_runs(v, spark):
+    later = v["v_indel"].select((F.col("read_id") + 5).alias("read_id"), (F.col("read_id") % 3 == 0).alias("mapped"), "start")
+    return reads.merge_runs(v["v_align"].select("read_id", "mapped", "start"), later)
+
+
 @query("select read_id, case when starts_with(seq, 'TTGATC') then substr(seq, 7) when starts_with(seq, 'TGATC') then substr(seq, 6) when starts_with(seq, 'GATC') then substr(seq, 5) when starts_with(seq, 'ATC') then substr(seq, 4) else seq end as seq from v_reads")
 def adapter_5p_seeded(v, spark):
     return v["v_reads"].select("read_id", seq.remove_five(F.col("seq"), "TTGATC", 3).alias("seq"))

@@ -292,3 +292,10 @@ def write_gff(gff: DataFrame, path: str) -> None:
 def duplicate_lines(histogram: DataFrame) -> DataFrame:
     """A line of two right-aligned numbers for each multiplicity."""
     return histogram.select(F.format_string("%15d  %15d", "multiplicity", "sequences").alias("value"))
+
+
+def write_plain(df: DataFrame, path: str, order: list[Column] | None = None) -> None:
+    """Values separated by tabs, without a header and without quotes, in the order given: count, k-mer and matrix tables. Null is empty;
+    an array, a row of a matrix, is spread over columns of its own."""
+    columns = [F.array_join(F.transform(F.col(c), lambda x: x.cast("string")), "\t", "") if t.startswith("array") else F.coalesce(F.col(c).cast("string"), F.lit("")) for c, t in df.dtypes]
+    (df.orderBy(*order) if order else df).select(F.concat_ws("\t", *columns)).write.text(path)

@@ -113,3 +113,10 @@ def test_kmer_extras(spark):
     assert kmers.quartiles(dense).where("pos = 0").first().q75 == 0
     odds = kmers.log_odds(seqs.withColumn("bin", F.lit(0)), kmers.frequencies(kmers.count(seqs, 2, 1)), 2, clamp=0.01)
     assert odds.where("abs(log_odds) > 0.01").count() == 0
+
+
+def test_plain_tables(spark, tmp_path):
+    df = spark.createDataFrame([("AC", 3, [1.5, 2.0]), ("AA", None, [0.0, 7.25]), ("T\"T", 1, [])], "kmer string, n int, v array<double>")
+    tables.write_plain(df, str(tmp_path / "p"), [F.col("kmer")])
+    lines = [x for f in sorted((tmp_path / "p").glob("part-*.txt")) for x in f.read_text().splitlines()]
+    assert lines == ["AA\t\t0.0\t7.25", "AC\t3\t1.5\t2.0", 'T"T\t1\t']
