@@ -72,7 +72,8 @@ def edge_mutations(align: DataFrame, edge: int) -> DataFrame:
 def clip_edges(align: DataFrame, edge: int) -> DataFrame:
     """Reads with mismatches near an edge soft-clipped there: seq stays, start moves, cigar, md and nm follow.
 
-    For reads of one match block, as after short-read alignment; others are left alone."""
+    Insertions, deletions and skips stay; what is clipped has to lie in the first and the last match block and leave a letter of each.
+    Reads where it does not, or that do not begin and end with a match beside soft clips, are left alone."""
     left, end = mapped_span(F.col("cigar"), F.length("seq"))
     size, mm, at = F.col("_size"), F.col("_mm"), lambda m: m["pos"]
     cut_left = F.coalesce(F.array_max(F.transform(F.filter(mm, lambda m: m["pos"] < edge), at)) + 1, F.lit(0))
@@ -89,7 +90,44 @@ def clip_edges(align: DataFrame, edge: int) -> DataFrame:
     cigar = F.concat(F.when(s > 0, F.concat(s.cast("string"), F.lit("S"))).otherwise(""), kept.cast("string"), F.lit("M"), F.when(e > 0, F.concat(e.cast("string"), F.lit("S"))).otherwise(""))
     simple = F.col("cigar").rlike(r"^(\d+S)?\d+M(\d+S)?$") & (kept > 0)
     new = {"start": F.col("start") + F.col("_cl"), "cigar": cigar, "md": md, "nm": F.col("_last")}
-    return step3.withColumns({k: F.when(simple, v).otherwise(F.col(k)) for k, v in new.items()}).select(align.columns)
+    gapped = F.col("cigar").rlike(GAPPED) & F.col("nm").isNotNull() & F.col("md").rlike("^[0-9]+")
+    simply = step3.where(~F.coalesce(gapped, F.lit(False))).withColumns({k: F.when(simple, v).otherwise(F.col(k)) for k, v in new.items()}).select(align.columns)
+    return simply.unionByName(_clip_gapped(align.where(gapped), edge))
+
+
+#: Soft clips, a match block, anything, a match block, soft clips.
+GAPPED = r"^(?:(\d+)S)?(\d+)M((?:\d+[A-Z=])*\d+[IDN](?:\d+[A-Z=])*?)(\d+)M(?:(\d+)S)?$"
+
+
+def _clip_gapped(align: DataFrame, edge: int) -> DataFrame:
+    """The same for reads of several match blocks. A clip ends with a mismatch, so the tag loses its parts up to that one, and from
+    that one on."""
+    number = lambda k: F.coalesce(F.regexp_extract("cigar", GAPPED, k).try_cast("int"), F.lit(0))
+    parts = F.regexp_extract_all("md", F.lit(r"[0-9]+|\^[A-Z]+|[A-Z]"), F.lit(0))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<text:string,at:int>>").alias("out"))
+
+    def step(a, p):
+        """Each part with the letters of the match blocks before it, -1 where it is no mismatch."""
+        plain, gone = p.rlike("^[0-9]"), p.startswith("^")
+        here = F.struct(p.alias("text"), F.when(plain | gone, -1).otherwise(a["at"]).alias("at"))
+        return F.struct((a["at"] + F.when(plain, p.try_cast("int")).when(gone, 0).otherwise(1)).alias("at"), F.concat(a["out"], F.array(here)).alias("out"))
+
+    walked = align.withColumns({"_w": F.aggregate(parts, zero, step), "_s": number(1), "_m": number(2), "_n": number(4), "_e": number(5)})
+    hits = F.filter("_w.out", lambda x: x["at"] >= 0)
+    known = walked.withColumns({
+        "_cl": F.coalesce(F.array_max(F.transform(F.filter(hits, lambda x: x["at"] < edge), lambda x: x["at"])) + 1, F.lit(0)),
+        "_from": F.coalesce(F.array_min(F.transform(F.filter(hits, lambda x: x["at"] >= F.col("_w.at") - edge), lambda x: x["at"])), F.col("_w.at")),
+    }).withColumn("_cr", F.col("_w.at") - F.col("_from"))
+    begin = F.when(F.col("_cl") > 0, F.array_position(F.transform("_w.out", lambda x: x["at"]), F.col("_cl") - 1)).otherwise(0)
+    stop = F.when(F.col("_cr") > 0, F.array_position(F.transform("_w.out", lambda x: x["at"]), F.col("_from"))).otherwise(F.size("_w.out") + 1)
+    kept = known.withColumn("_rest", F.slice("_w.out", (begin + 1).cast("int"), F.greatest(stop - begin - 1, F.lit(0)).cast("int")))
+    clip = lambda c: F.when(c > 0, F.concat(c.cast("string"), F.lit("S"))).otherwise("")
+    block = lambda c: F.concat(c.cast("string"), F.lit("M"))
+    cigar = F.concat(clip(F.col("_s") + F.col("_cl")), block(F.col("_m") - F.col("_cl")), F.regexp_extract("cigar", GAPPED, 3), block(F.col("_n") - F.col("_cr")), clip(F.col("_e") + F.col("_cr")))
+    lost = F.size(hits) - F.size(F.filter("_rest", lambda x: x["at"] >= 0))
+    new = {"start": F.col("start") + F.col("_cl"), "cigar": cigar, "md": F.concat_ws("", "_rest.text"), "nm": F.col("nm") - lost}
+    fits = (F.col("_cl") < F.col("_m")) & (F.col("_cr") < F.col("_n"))
+    return kept.withColumns({k: F.when(fits, v).otherwise(F.col(k)) for k, v in new.items()}).select(align.columns)
 
 
 def mismatch_profile(mm: DataFrame, reads_per_length: int = 20) -> DataFrame:

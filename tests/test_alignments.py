@@ -262,3 +262,66 @@ def test_trim_quality(spark):
     assert {x.id: x.qual for x in trimming.trim_quality(df, 30, mode="sum").collect()} == {"a": "IIII", "b": "", "c": None, "d": ""}
     assert {x.id: x.seq for x in trimming.trim_quality(df, 30, mode="segment").collect()} == {"a": "ACGT", "b": "", "c": None, "d": ""}
     assert {x.id for x in trimming.trim_quality(df, 30, min_length=3).collect()} == {"a"}
+
+
+def brute_clip(x, edge):
+    """Clipped start, cigar, md, nm of a read with gaps, letter by letter."""
+    start, cigar, md, nm = x
+    ops = [(int(n), o) for n, o in re.findall(r"(\d+)([A-Z=])", cigar)]
+    s, e = (ops[0][0] if ops[0][1] == "S" else 0), (ops[-1][0] if ops[-1][1] == "S" else 0)
+    core = ops[bool(s) : len(ops) - bool(e)]
+    # The tag letter by letter: what stands before each aligned letter (a deletion), and the reference letter of a mismatch.
+    letters, ahead = [], ""
+    for t in re.findall(r"[0-9]+|\^[A-Z]+|[A-Z]", md):
+        if t[0] == "^":
+            ahead = t
+        elif t[0].isdigit():
+            for _ in range(int(t)):
+                letters.append((ahead, ""))
+                ahead = ""
+        else:
+            letters.append((ahead, t))
+            ahead = ""
+    bad = [k for k, (_, m) in enumerate(letters) if m]
+    cl = max((k + 1 for k in bad if k < edge), default=0)
+    cr = max((len(letters) - k for k in bad if k >= len(letters) - edge), default=0)
+    if cl >= core[0][0] or cr >= core[-1][0]:
+        return x
+    rest = letters[cl : len(letters) - cr]
+    out, run = "", 0
+    for gone, m in rest:
+        if gone:
+            out, run = out + str(run) + gone, 0
+        if m:
+            out, run = out + str(run) + m, 0
+        else:
+            run += 1
+    core[0], core[-1] = (core[0][0] - cl, "M"), (core[-1][0] - cr, "M")
+    new = ([(s + cl, "S")] if s + cl else []) + core + ([(e + cr, "S")] if e + cr else [])
+    return start + cl, "".join(f"{n}{o}" for n, o in new), out + str(run), nm - (len(bad) - sum(bool(m) for _, m in rest))
+
+
+def test_clipped_edges_of_reads_with_gaps(spark):
+    from bindery.operators import reads
+
+    r = random.Random(13)
+    rows = []
+    for i in range(300):
+        blocks = [r.randint(1, 9) for _ in range(r.randint(2, 4))]
+        gaps = [(r.randint(1, 3), r.choice("IDN")) for _ in blocks[1:]]
+        cigar = (f"{r.randint(1, 4)}S" if r.random() < 0.5 else "") + f"{blocks[0]}M" + "".join(f"{n}{o}{b}M" for (n, o), b in zip(gaps, blocks[1:], strict=True)) + (f"{r.randint(1, 4)}S" if r.random() < 0.5 else "")
+        md, run, nm = "", 0, sum(n for n, o in gaps if o in "ID")
+        for k, b in enumerate(blocks):
+            if k and gaps[k - 1][1] == "D":
+                md, run = md + f"{run}^{'ACG'[: gaps[k - 1][0]]}", 0
+            for _ in range(b):
+                if r.random() < 0.25:
+                    md, run, nm = md + f"{run}{r.choice('ACGT')}", 0, nm + 1
+                else:
+                    run += 1
+        rows.append((i, 100 + i, cigar, md + str(run), nm))
+    df = spark.createDataFrame([(i, a, c, m, n, "A" * sum(int(x) for x, o in re.findall(r"(\d+)([MIS])", c))) for i, a, c, m, n in rows], "read_id long, start long, cigar string, md string, nm int, seq string")
+    got = {x.read_id: (x.start, x.cigar, x.md, x.nm) for x in reads.clip_edges(df, 3).collect()}
+    want = {i: brute_clip((a, c, m, n), 3) for i, a, c, m, n in rows}
+    assert sum(want[x[0]] != x[1:] for x in rows) > 100
+    assert got == want
