@@ -2,9 +2,10 @@
 
 Pieces of equal length are interchangeable, so the search runs on the histogram of piece lengths, which
 has at most `capacity` rows however many documents there are. Bin completion takes the largest length
-left, enumerates the fillings of the room beside it to which nothing can be added, and branches on them and
-on how often each is repeated. Best-fit decreasing gives the first incumbent; a branch is cut when its waste so far
-already costs a bin more than the volume bound allows. Spark tokenises, counts, ranks the pieces of a
+left, enumerates the fillings of the room beside it to which nothing can be added, leaves out those that another one
+dominates (some of its pieces could give way to a single free one of at least their length), and branches on the others and
+on how often each is repeated. Best-fit decreasing, first-fit decreasing and the least-waste fillings give the first
+incumbent; a branch is cut when its waste so far already costs a bin more than the volume bound allows. Spark tokenises, counts, ranks the pieces of a
 length in salted groups, and looks up each rank's place in the small table of fillings.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -157,8 +158,76 @@ def _fillings(room: int, lengths: list[int], counts: dict[int, int], steps: int,
     return [items for _, items in found], whole, spent
 
 
+def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
+    """Bins of best-fit decreasing as (times, filling): each piece, the longest first, goes to the fullest bin that has room for it.
+
+    Pieces of one length are placed together: the fullest bins with room for one take as many as fit before the next fuller ones do."""
+    rooms: dict[int, list[tuple[int, list[int]]]] = {}
+    order: list[int] = []  # the rooms that occur, ascending
+
+    def put(room: int, times: int, items: list[int]) -> None:
+        if times:
+            if room not in rooms:
+                insort(order, room)
+            rooms.setdefault(room, []).append((times, items))
+
+    for x in sorted(histogram, reverse=True):
+        left = histogram[x]
+        while left:
+            k = bisect_left(order, x)
+            if k < len(order):
+                room = order[k]
+                times, items = rooms[room].pop()
+                if not rooms[room]:
+                    del rooms[room], order[k]
+            else:
+                room, times, items = capacity, left, []
+            each = room // x
+            full = min(times, left // each)
+            put(room - each * x, full, items + [x] * each)
+            left -= full * each
+            times -= full
+            if times and left:  # fewer than a bin takes
+                put(room - left * x, 1, items + [x] * left)
+                left, times = 0, times - 1
+            if items:
+                put(room, times, items)
+    return [b for room in order for b in rooms[room]]
+
+
+def _smeared(bits: int, most: int) -> int:
+    """Each bit, and the `most` places above it."""
+    done = 1
+    while done <= most:
+        step = min(done, most + 1 - done)
+        bits |= bits << step
+        done += step
+    return bits
+
+
+def undominated(options: list[list[int]], room: int, counts: dict[int, int]) -> list[list[int]]:
+    """The fillings of a room that no other dominates: there is no free length that could stand for two or more pieces of at most its
+    length, or for a shorter piece, and still fit. Sums of pieces are bits of a number."""
+    free = sum(1 << x for x, n in counts.items() if n > 0 and x <= room)
+    kept = []
+    for items in options:
+        left = room - sum(items)
+        some = several = ones = 0
+        used: dict[int, int] = {}
+        for x in items:
+            several |= some << x
+            some |= some << x | 1 << x
+            ones |= 1 << x
+            used[x] = used.get(x, 0) + 1
+        other = free & ~sum(1 << x for x, n in used.items() if counts[x] <= n)
+        better = _smeared(several, left) | (_smeared(ones << 1, left - 1) if left else 0)
+        if not better & other:
+            kept.append(items)
+    return kept
+
+
 def _greedy(histogram: dict[int, int], capacity: int, fit: bool) -> list[tuple[int, list[int]]]:
-    """Bins as (times, filling). fit: best-fit decreasing per bin; else the least-waste filling."""
+    """Bins as (times, filling). fit: the largest pieces that fit, bin by bin (first-fit decreasing); else the least-waste filling."""
     counts = dict(histogram)
     lengths = sorted(counts)
     out = []
@@ -206,7 +275,7 @@ def bin_completion(histogram: dict[int, int], capacity: int = CAPACITY, nodes: i
     size = lambda bins: sum(t for t, _ in bins)
     volume = sum(k * v for k, v in histogram.items())
     bound = volume_bound(histogram, capacity)
-    best = min(_greedy(histogram, capacity, True), _greedy(histogram, capacity, False), key=size)
+    best = min(best_fit(histogram, capacity), _greedy(histogram, capacity, True), _greedy(histogram, capacity, False), key=size)
     fewest = size(best)
     if fewest == bound:
         return best
@@ -235,6 +304,7 @@ def bin_completion(histogram: dict[int, int], capacity: int = CAPACITY, nodes: i
         big = lengths[-1]
         counts[big] -= 1
         options, _, steps = _fillings(capacity - big, lengths, counts, max(50 * FILLINGS, (nodes - spent) // 4), False)
+        options = undominated(options, capacity - big, counts) or options
         counts[big] += 1
         spent += steps
         for items in options:

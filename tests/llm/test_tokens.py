@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from bindery.llm.bpe import Bpe, encode
-from bindery.llm.packing import WordEncoder, bin_completion, fillings, pack
+from bindery.llm.packing import WordEncoder, best_fit, bin_completion, fillings, pack, undominated
 from cases import frame, texts
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -176,3 +176,32 @@ def test_bin_completion_finds_the_fewest():
         assert sum((Counter({x: n * t for x, n in Counter(b).items()}) for t, b in bins), Counter()) == Counter(items) and all(sum(b) <= capacity for _, b in bins)
     hard = [9, 10, 12, 13, 13, 16, 16, 16, 17, 21, 23, 24, 25, 26, 27, 30]
     assert sum(t for t, _ in bin_completion(dict(Counter(hard)), 60)) == 5
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=40))
+def test_best_fit_piece_by_piece(items):
+    rooms = []
+    for x in sorted(items, reverse=True):
+        tight = min((r for r in rooms if r >= x), default=None)
+        if tight is None:
+            rooms.append(30 - x)
+        else:
+            rooms[rooms.index(tight)] -= x
+    bins = best_fit(_count(items), 30)
+    assert sorted(x for n, b in bins for x in b * n) == sorted(items)
+    assert sorted(30 - sum(b) for n, b in bins for _ in range(n)) == sorted(rooms)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 12), min_size=1, max_size=8), st.integers(5, 24))
+def test_dominated_fillings_by_subsets(items, room):
+    counts = _count(items)
+    options = [f for f in {tuple(sorted(c)) for n in range(len(items) + 1) for c in combinations(items, n)} if sum(f) <= room]
+    kept = {tuple(x) for x in undominated([list(f) for f in options], room, counts)}
+    for f in options:
+        left = room - sum(f)
+        subsets = [c for n in range(1, len(f) + 1) for c in combinations(f, n)]
+        free = [x for x in counts if counts[x] > f.count(x) and x <= room]
+        worse = any(sum(c) <= x <= sum(c) + left and (len(c) > 1 or c[0] < x) for c in subsets for x in free)
+        assert (f not in kept) == worse
