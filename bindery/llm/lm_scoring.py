@@ -66,6 +66,21 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(at)
 
 
+def distinct_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values, and for each value its place among them, with indexes of 32 bits and few arrays at a time."""
+    order = np.argsort(h).astype(np.uint32) if len(h) < 1 << 31 else np.argsort(h)
+    ordered = h[order]
+    first = np.ones(len(h), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    values = ordered[first]
+    del ordered
+    place = np.cumsum(first, dtype=np.int32)
+    place -= 1
+    inverse = np.empty(len(h), np.int32)
+    inverse[order] = place
+    return values, inverse
+
+
 class Shard:
     """Token hashes of a shard's texts, an end token after each, and its n-grams."""
 
@@ -101,12 +116,15 @@ class Shard:
             for k in range(1, order):
                 before = np.r_[np.zeros(k, np.uint64), self.tokens[:-k]] if len(h) > k else np.zeros(len(h), np.uint64)
                 h = h * np.uint64(0x9FB21C651E98DF25) + before
+                del before
             h = mix(h) >> np.uint64(8)
-        at = np.flatnonzero(self.place >= order - 1)
-        distinct, inverse = np.unique(h[at], return_inverse=True)
-        index = np.full(len(h), -1, np.int32)
-        index[at] = inverse
-        train = ~np.repeat(self.held_out, self.n)[at]
+        has = self.place >= order - 1
+        h = h[has]
+        distinct, inverse = distinct_of(h)
+        del h
+        index = np.full(len(has), -1, np.int32)
+        index[has] = inverse
+        train = ~np.repeat(self.held_out, self.n)[has]
         return distinct, index, np.bincount(inverse[train], minlength=len(distinct))
 
 
@@ -146,11 +164,17 @@ def _counter(order: int, buckets: int):
 
 def _merger(order: int):
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        hashes = [np.cumsum(unpacked(b), dtype=np.uint64) for b in pdf["hashes"]]
-        distinct, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-        counts = np.concatenate([unpacked(b) for b in pdf["counts"]]).astype(np.int64)
-        total = np.bincount(inverse, weights=counts, minlength=len(distinct)).astype(np.int64)
-        answers = np.split(total[inverse], np.cumsum([len(h) for h in hashes])[:-1])
+        hashes = [np.cumsum(unpacked(b), dtype=np.uint64) for b in pdf.pop("hashes")]
+        ends = np.cumsum([len(h) for h in hashes])
+        joined = np.concatenate(hashes)
+        del hashes
+        distinct, inverse = distinct_of(joined)
+        del joined
+        total = np.zeros(len(distinct), np.int64)
+        # A list names each n-gram once.
+        for begin, end, b in zip([0, *ends], ends, pdf.pop("counts"), strict=False):
+            total[inverse[begin:end]] += unpacked(b).astype(np.int64)
+        answers = [total[inverse[begin:end]] for begin, end in zip([0, *ends], ends, strict=False)]
         # The bucket's share of N and V stands in one row.
         once = (np.arange(len(pdf)) == 0) & bool(pdf["bucket"].iloc[0] % order == 0)
         return pd.DataFrame({
