@@ -49,7 +49,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", keep_quality), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies), ("pii", redact_personal), ("packing", pack)]
 
-#: No stage but the second can be told in SQL; tests hold run() against brute force.
+#: No stage but the second can be told in SQL; tests hold each stage's decisions against those of its operator.
 ORACLE_SQL = None
 
 
