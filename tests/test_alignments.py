@@ -107,6 +107,43 @@ def test_a_deep_position_is_put_together_in_parts(spark, monkeypatch):
     assert alignments.pileup(spark.createDataFrame([], ALIGN), genome).count() == 0
 
 
+def shuffled_rows(df):
+    """Rows of df, and how many rows its shuffles wrote."""
+    rows, n = df.collect(), 0
+    todo = [df._jdf.queryExecution().executedPlan().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            node = node.plan()
+        if node.metrics().contains("shuffleRecordsWritten"):
+            n += node.metrics().get("shuffleRecordsWritten").get().value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows, n
+
+
+def test_whole_reads_are_shuffled_and_not_their_bases(spark):
+    rows = [(f"r{i:04}", "c1", 1 + i % 7, "20M2D20M", "ACGTTGCAGT" * 4, [i % 40] * 40, i % 2 == 0, 60, True) for i in range(300)]
+    align, genome = spark.createDataFrame(rows, ALIGN), spark.createDataFrame(list(GENOME.items()), "seqid string, seq string")
+    found, n = shuffled_rows(alignments.pileup(align, genome))
+    assert {(x.chrom, x.pos): (x.ref, x.depth, x.bases, x.quals) for x in found} == brute_pileup(rows, GENOME)
+    assert 0 < n <= len(rows) + len(GENOME)
+
+
+@pytest.mark.parametrize("deep", [20, 100_000])
+def test_deletions_over_several_pieces(spark, monkeypatch, deep):
+    monkeypatch.setattr(alignments, "PIECE", 7)
+    monkeypatch.setattr(alignments, "DEEP", deep)
+    monkeypatch.setattr(alignments, "HELD", 25)
+    cigars = ["4M19D4M", "2M6D2M3I", "3M20N2I3D4M", "2S2M30D4M"]
+    rows = [(f"r{i:04}", "c1", 1 + i % 9, cigars[i % 4], "ACGTTGCAG", [i % 40] * 9, i % 2 == 0, 60, True) for i in range(120)]
+    genome = spark.createDataFrame(list(GENOME.items()), "seqid string, seq string")
+    got = {(x.chrom, x.pos): (x.ref, x.depth, x.bases, x.quals) for x in alignments.pileup(spark.createDataFrame(rows, ALIGN), genome).collect()}
+    want = brute_pileup(rows, GENOME)
+    if deep < len(rows):  # parts have an order of their own
+        got, want = ({k: (r, d, Counter(b), Counter(q)) for k, (r, d, b, q) in x.items()} for x in (got, want))
+    assert got == want
+
+
 def test_a_region_reads_few_rows_of_a_sorted_table(spark, tmp_path):
     r = random.Random(4)
     rows = [(f"r{i:05}", f"c{i % 4}", 1 + (i * 7919) % 50_000, "20M5N30M", "A" * 50, [30], True, 9, True) for i in range(20_000)] + [(f"u{i}", None, None, "*", "A", [3], True, 0, False) for i in range(50)]
