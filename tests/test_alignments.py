@@ -129,6 +129,18 @@ def test_whole_reads_are_shuffled_and_not_their_bases(spark):
     assert 0 < n <= len(rows) + len(GENOME)
 
 
+def test_counts_by_base_shuffle_whole_reads(spark, monkeypatch):
+    genome = spark.createDataFrame(list(GENOME.items()), "seqid string, seq string")
+    rows = [(f"r{i:04}", "missing", 1 + 40 * i, "40M", "ACGT" * 10, [9] * 40, True, 60, True) for i in range(100)]
+    found, n = shuffled_rows(alignments.position_counts(spark.createDataFrame(rows, ALIGN), genome))
+    assert sorted((x.pos, x.ref, x.strand, x.base, x.n) for x in found) == [(p, "N", "+", "ACGT"[(p - 1) % 4], 1) for p in range(1, 4001)]
+    assert 0 < n <= len(rows) + 1 + len(GENOME)  # one more for the number that begin in a piece
+    align = spark.createDataFrame(random_reads(random.Random(3), 200, GENOME), ALIGN)
+    whole = sorted(map(tuple, alignments.position_counts(align, genome).collect()))
+    monkeypatch.setattr(alignments, "DEEP", 20)
+    assert sorted(map(tuple, alignments.position_counts(align, genome).collect())) == whole
+
+
 @pytest.mark.parametrize("deep", [20, 100_000])
 def test_deletions_over_several_pieces(spark, monkeypatch, deep):
     monkeypatch.setattr(alignments, "PIECE", 7)
