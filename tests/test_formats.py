@@ -1,6 +1,9 @@
 """Formats read in splits, writers, and long sequences."""
 
+import math
 import random
+from collections import Counter
+from itertools import product
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,6 +107,48 @@ def test_other_readers_and_writers(spark, tmp_path):
     assert tables.duplicate_lines(spark.createDataFrame([(2, 7)], "multiplicity bigint, sequences bigint")).first().value == "%15d  %15d" % (2, 7)
 
 
+def most_rows(df):
+    """Rows of df, and the most that a step of its plan made."""
+    rows, most = df.collect(), 0
+    todo = [df._jdf.queryExecution().executedPlan().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            node = node.plan()
+        if node.metrics().contains("numOutputRows"):
+            most = max(most, node.metrics().get("numOutputRows").get().value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows, most
+
+
+@pytest.mark.parametrize("k", [1, 3, 9])
+def test_kmers_are_counted_without_a_row_for_each_letter(spark, k):
+    r = random.Random(k)
+    texts = ["".join(r.choices("ACGTNa\u00e4\n", [9, 9, 9, 9, 1, 1, 1, 1], k=r.choice([0, 1, 2, 3, 40, 9_000]))) for _ in range(400)]
+    texts += [None, "", "AC\n", "ACG\n", "GATTACA" * 5_000]
+    rows = [(i % 3, s) for i, s in enumerate(texts)]
+    want = Counter((b, s[i : i + k]) for b, s in rows if s for i in range(len(s) - k + 1) if set(s[i : i + k]) <= set("ACGT"))
+    seqs = spark.createDataFrame(rows, "bin int, seq string").repartition(2)
+    found, most = most_rows(kmers.count(seqs, k))
+    whole = Counter()
+    for (_, x), n in want.items():
+        whole[x] += n
+    assert {x.kmer: x.n for x in found} == whole and sum(whole.values()) > 100_000
+    if k < 9:
+        assert most < 10_000
+        background = spark.createDataFrame([("".join(x), 0.25**k) for x in product("ACGT", repeat=k)], "kmer string, freq double")
+        odds, most = most_rows(kmers.log_odds(seqs, background, k))
+        total = {b: sum(want[b, "".join(x)] + 1 for x in product("ACGT", repeat=k)) for b in range(3)}
+        assert len(odds) == 3 * 4**k and most < 10_000
+        assert all(abs(x.log_odds - math.log2((want[x.bin, x.kmer] + 1) / total[x.bin] / 0.25**k)) < 1e-9 for x in odds)
+
+
+@pytest.mark.parametrize("text", [None, "", "abc", "abcd", "abcde", "\U0001f9ec" * 4, "\U0001f9ec" * 9])
+def test_short_texts_are_one_piece(spark, text):
+    got = spark.createDataFrame([(text,)], "s string").select(seq.chunks(F.col("s"), 4, 1).alias("c")).first().c
+    assert got == (None if text is None else [text[i : i + 5] for i in range(0, len(text), 4)])
+
+
 def test_kmer_extras(spark):
     pwm = spark.createDataFrame([(0, "A", 0.75), (0, "C", 0.25), (1, "G", 1.0)], "pos int, base string, p double")
     assert sorted(map(tuple, kmers.reverse_pwm(pwm, 2).collect())) == [(0, "C", 1.0), (1, "G", 0.25), (1, "T", 0.75)]
