@@ -156,6 +156,45 @@ def test_deletions_over_several_pieces(spark, monkeypatch, deep):
     assert got == want
 
 
+def brute_counts(rows, genome, piece):
+    n = Counter()
+    for _, c, start, cigar, seq, _, fwd, _, mapped in rows:
+        if not mapped or start is None or cigar is None:
+            continue
+        at, q = start - 1, 0
+        for size, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar):
+            for j in range(int(size)) if op in "M=XD" else ():
+                base, low = "-" if op == "D" else (seq or "")[q + j : q + j + 1].upper(), (at + j) // piece * piece
+                for s in [s for d, s in genome if d is not None and d == c and s and len(s) > low] or [""]:
+                    if base:
+                        n[c, at + j + 1, s[at + j : at + j + 1] or "N", "+" if fwd else "-", base] += 1
+            at += int(size) * (op in "MDN=X")
+            q += int(size) * (op in "MIS=X")
+    return n
+
+
+@pytest.mark.parametrize(("piece", "held", "batch"), [(7, 5, 3), (10_000, 1_000_000, 10_000), (10_000, 50, 40)])
+def test_counts_by_base_of_every_reference_letter(spark, monkeypatch, piece, held, batch):
+    monkeypatch.setattr(alignments, "PIECE", piece)
+    monkeypatch.setattr(alignments, "HELD", held)
+    monkeypatch.setattr(alignments, "ROWS", 11)
+    genome = [*GENOME.items(), ("twice", "ACGTTGCATGCA"), ("twice", "ACCTTGGATGCATT"), ("null", None), (None, "ACGT")]
+    r = random.Random(piece + held)
+    rows = random_reads(r, 150, GENOME)
+    for i in range(150):
+        cigar = "".join(f"{r.choice([0, 1, 3, 12])}{r.choice('MIDNSHP=X')}" for _ in range(r.randint(0, 5)))
+        rows.append((f"x{i}", r.choice(["twice", "twice", "c1", "null", "missing", None]), r.choice([1, 2, 5, 9, 60]), r.choice([cigar, cigar, "4M2D5M", "*", None]), r.choice(["ACGTTGCAGTACGT", "acgtn", "*", "", None, "A\u00e4\U0001f9ecGT" * 3]), [9], r.choice([True, False, None]), 60, r.random() < 0.9))
+    r.shuffle(rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = alignments.position_counts(spark.createDataFrame(rows, ALIGN), spark.createDataFrame(genome, "seqid string, seq string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = brute_counts(rows, genome, piece)
+    assert Counter({(x.chrom, x.pos, x.ref, x.strand, x.base): x.n for x in found}) == want and len(found) == len(want)
+    assert {k[2] for k in want if k[:2] == ("twice", 3)} == {"G", "C"}
+
+
 def test_a_region_reads_few_rows_of_a_sorted_table(spark, tmp_path):
     r = random.Random(4)
     rows = [(f"r{i:05}", f"c{i % 4}", 1 + (i * 7919) % 50_000, "20M5N30M", "A" * 50, [30], True, 9, True) for i in range(20_000)] + [(f"u{i}", None, None, "*", "A", [3], True, 0, False) for i in range(50)]
