@@ -143,6 +143,27 @@ def test_kmers_are_counted_without_a_row_for_each_letter(spark, k):
         assert all(abs(x.log_odds - math.log2((want[x.bin, x.kmer] + 1) / total[x.bin] / 0.25**k)) < 1e-9 for x in odds)
 
 
+@pytest.mark.parametrize("k", [1, 3])
+def test_spectra_count_each_text_by_itself(spark, k):
+    r = random.Random(k)
+    texts = ["".join(r.choices("ACGTacgtnN \u00e4\n\ufb05\u1e97", k=r.choice([0, 1, 2, 3, 40, 900]))) for _ in range(700)]
+    texts += [None, "", "n", "a c\ng", "gattaca" * 100_000, "A" * kmers.LETTERS, "C" * (kmers.LETTERS - 1), None, "CGT"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(2)
+    got = {x.id: x for x in kmers.spectra(df, k).collect()}
+    names = sorted("".join(x) for x in product("ACGT", repeat=k))
+    assert len(got) == len(texts)
+    total = Counter()
+    for i, text in enumerate(texts):
+        letters = "".join(c.upper() for c in text or "" if c in "ACGTacgt")
+        want = Counter(letters[j : j + k] for j in range(len(letters) - k + 1))
+        total.update(want)
+        assert got[i].letters == (None if text is None else len(letters)) and got[i].counts == [want[x] for x in names]
+    assert {x.kmer: x.n for x in kmers.summed(kmers.spectra(df, k), k).collect()} == total
+    assert [x.kmer for x in kmers.universe(spark, k).orderBy("kmer").collect()] == names
+    none = kmers.summed(kmers.spectra(df.where("id < 0"), k), k).collect()
+    assert len(none) == 4**k and not any(x.n for x in none)
+
+
 @pytest.mark.parametrize("text", [None, "", "abc", "abcd", "abcde", "\U0001f9ec" * 4, "\U0001f9ec" * 9])
 def test_short_texts_are_one_piece(spark, text):
     got = spark.createDataFrame([(text,)], "s string").select(seq.chunks(F.col("s"), 4, 1).alias("c")).first().c

@@ -53,6 +53,16 @@ def test_features(spark, table):
     assert sites.filter_features(table.limit(0), annots, ["snRNA"]).count() == 0
 
 
+def test_placed_is_the_order_of_columns(spark):
+    r = random.Random(5)
+    rows = [(r.choice([None, -(2**60), 0, 0, 0, 7, 2**60]), r.randrange(5), i) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint, c bigint").repartition(7)
+    got = {x.c: x.ordinal for x in sites.placed(df, "a", "b", "c").collect()}
+    order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2]))
+    assert got == {c: i for i, (_, _, c) in enumerate(order)}
+    assert sites.placed(df.where("c < 0"), "a", "c").count() == 0
+
+
 def test_annotate_keeps_null_and_repeated_rows(spark):
     annots = spark.createDataFrame([(1, "s", 5, 9, "+", "gene"), (2, "s", 7, 200_000, "+", "exon"), (3, "s", 7, 8, "+", "gene")], ANNOT)
     rows = [("s", 6, "+", None), ("s", 6, "+", None), ("s", 8, "+", 0.5), ("s", 8, "+", 0.5), ("s", 8, "+", None), ("s", 8, "-", 0.9), (None, 8, "+", 0.1), ("s", None, "+", 0.2), ("s", 150_000, "+", 0.3)]
