@@ -156,6 +156,38 @@ def test_deletions_over_several_pieces(spark, monkeypatch, deep):
     assert got == want
 
 
+@pytest.mark.parametrize(("deep", "held"), [(1, 4), (9, 1_000_000), (40, 60)])
+def test_reads_of_parts_stand_in_order(spark, monkeypatch, deep, held):
+    """Deep pieces among others, reads over several of them, and more reads at one start than a part takes."""
+    monkeypatch.setattr(alignments, "PIECE", 7)
+    r = random.Random(deep)
+    rows = random_reads(r, 300, GENOME)
+    rows += [(f"h{r.random()}", "c1", 30, "5M9N4M", "ACGTTGCAG", [i % 40] * 9, i % 2 == 0, 60, True) for i in range(90)]
+    rows += [("again", "c2", 8, "3M2D4M", "ACGTTGC", [7] * 7, True, 60, True)] * 50
+    r.shuffle(rows)
+    genome = spark.createDataFrame(list(GENOME.items()), "seqid string, seq string")
+    found = lambda rows: {(x.chrom, x.pos): (x.ref, x.depth, x.bases, x.quals) for x in alignments.pileup(spark.createDataFrame(rows, ALIGN).repartition(3), genome).collect()}
+    odd = [*rows, *[(None if i % 2 else f"h{i}", None if i % 5 == 0 else "c1", 30 + i % 3, "9M", "ACGTTGCAG", [9] * 9, True, 60, True) for i in range(60)]]
+    whole = found(odd)
+    monkeypatch.setattr(alignments, "DEEP", deep)
+    monkeypatch.setattr(alignments, "HELD", held)
+    assert found(rows) == brute_pileup(rows, GENOME)
+    assert found(odd) == whole
+
+
+def test_parts_are_ranges_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(alignments, "DEEP", 50)
+    rows = [(f"r{i * 7919 % 1000:04}", "c1", 5 + i % 2 * 3, "4M", "ACGT", [9] * 4, True, 60, True) for i in range(1000)] + [(f"x{i}", "c1", 10_001 + i, "4M", "ACGT", [9] * 4, True, 60, True) for i in range(20)]
+    beside, parts = alignments._beside(spark.createDataFrame(rows, ALIGN), spark.createDataFrame([("c1", "ACGT" * 3000)], "seqid string, seq string"))
+    sizes, spans = Counter(), defaultdict(list)
+    for x in beside.where("more is null").collect():
+        sizes[x.piece, x.part] += 1
+        spans[x.piece, x.part].append((x.start, x.read_id))
+    ranges = [spans[k] for k in sorted(spans)]
+    assert parts and len(ranges) > 20 and max(sizes.values()) <= 50 and sum(sizes.values()) == len(rows)
+    assert all(max(a) < min(b) for a, b in zip(ranges, ranges[1:], strict=False))
+
+
 def brute_counts(rows, genome, piece):
     n = Counter()
     for _, c, start, cigar, seq, _, fwd, _, mapped in rows:
