@@ -175,6 +175,19 @@ def test_reads_of_parts_stand_in_order(spark, monkeypatch, deep, held):
     assert found(odd) == whole
 
 
+@pytest.mark.parametrize("far", [[], [("far", "c2", 1, "2M40D2M", "ACGT", [9] * 4, True, 60, True)]])
+def test_deletions_in_sequences_of_one_name(spark, monkeypatch, far):
+    """A long deletion elsewhere does not change the letters of others, and each sequence has its own."""
+    monkeypatch.setattr(alignments, "PIECE", 7)
+    genome = spark.createDataFrame([("c1", "ACGTTGCTTTTTTTTT"), ("c1", "ACGTTGCAACGTTTCC"), ("c1", "ACGTTGCAACGTTTCC"), ("c1", "ACGTTGC"), ("c2", "ACGT" * 20)], "seqid string, seq string")
+    rows = [("a", "c1", 4, "4M3D3M", "TTGCTTT", [7] * 7, True, 60, True), ("b", "c1", 5, "3M6D1M", "TGCT", [7] * 4, False, 60, True)]
+    rows += far and [("c", "c1", 6, "2M9D1M", "GCT", [7] * 3, True, 60, True), *far]
+    got = {x.pos: x for x in alignments.pileup(spark.createDataFrame(rows, ALIGN), genome).where("chrom = 'c1'").collect()}
+    own, other = [".-3NNN", ".-3AAC", ".-3AAC", ".-3TTT"], [",-6nnnnnn", ",-6aacgtt", ",-6aacgtt", ",-6tttttt"]
+    last = [".-9NNNNNNNNN", ".-9AACGTTTCC", ".-9AACGTTTCC", ".-9TTTTTTTTT"] if far else []
+    assert (got[7].ref, got[7].depth, got[7].bases) == ("C", 4 * (2 + len(far)), "".join(own + other + last))
+
+
 def test_parts_are_ranges_of_bounded_size(spark, monkeypatch):
     monkeypatch.setattr(alignments, "DEEP", 50)
     rows = [(f"r{i * 7919 % 1000:04}", "c1", 5 + i % 2 * 3, "4M", "ACGT", [9] * 4, True, 60, True) for i in range(1000)] + [(f"x{i}", "c1", 10_001 + i, "4M", "ACGT", [9] * 4, True, 60, True) for i in range(20)]
